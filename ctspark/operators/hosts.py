@@ -110,13 +110,15 @@ def registered_domain(df: DataFrame, host_col: str, psl: PublicSuffixTable, out:
     flags = []
     for j in range(1, L + 1):
         cand = F.when(n >= j, F.array_join(F.slice(labels, -j, j), "."))
-        r = psl.df.select(
-            F.col("key").alias(f"__k{j}"),
-            F.col("is_exact").alias(f"__e{j}"),
-            F.col("is_wild").alias(f"__w{j}"),
-            F.col("is_exc").alias(f"__x{j}"),
+        # the same broadcast relation under an alias per level, so the exchange is reused
+        r = psl.df.alias(f"__r{j}")
+        d = d.withColumn(f"__c{j}", cand).join(r, F.col(f"__c{j}") == F.col(f"__r{j}.key"), "left")
+        d = d.select(
+            *[c for c in d.columns if c not in ("key", "is_exact", "is_wild", "is_exc", "labels")],
+            F.col(f"__r{j}.is_exact").alias(f"__e{j}"),
+            F.col(f"__r{j}.is_wild").alias(f"__w{j}"),
+            F.col(f"__r{j}.is_exc").alias(f"__x{j}"),
         )
-        d = d.withColumn(f"__c{j}", cand).join(r, F.col(f"__c{j}") == F.col(f"__k{j}"), "left")
         flags.append(j)
     exc_terms = [F.when(F.col(f"__x{j}"), F.lit(j - 1)) for j in flags if j >= 2]
     rule_terms = [F.when(F.col(f"__e{j}"), F.lit(j)) for j in flags] + [
@@ -134,7 +136,7 @@ def registered_domain(df: DataFrame, host_col: str, psl: PublicSuffixTable, out:
     dom = F.when(~bad & (n > suffix_len), F.array_join(F.slice(labels, -(suffix_len + 1), suffix_len + 1), ".")).otherwise(
         F.lit("")
     )
-    drop = [tmp] + [f"__{p}{j}" for j in flags for p in ("c", "k", "e", "w", "x")]
+    drop = [tmp] + [f"__{p}{j}" for j in flags for p in ("c", "e", "w", "x")]
     return d.withColumn(out, dom).drop(*drop)
 
 

@@ -85,8 +85,23 @@ def _names_array() -> Column:
     return F.concat(cn_entry, san_entries)
 
 
-def certificates(lines: DataFrame, seq_col: str = "sequence_number", data_col: str = "certificate_data", lenient_base64: bool = False) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give the Python stage at least one partition per core.
+
+    Inputs with few, large partitions (a handful of gzip files, a single parquet row group)
+    would otherwise run the certificate walk in a few tasks; with many input files this is a
+    no-op.  The check reads only the physical plan's partition count, not the data.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
+def certificates(lines: DataFrame, seq_col: str = "sequence_number", data_col: str = "certificate_data", lenient_base64: bool = False, min_partitions: int | None = None) -> DataFrame:
     """Decode + DER walk + organisation: one row per input entry, arrays intact."""
+    lines = spread(lines.select(seq_col, data_col), min_partitions)
     entry_err = validate_entry(F.col(seq_col), F.col(data_col))
     b64_err = base64_error(F.col(data_col), lenient_base64)
     d = lines.select(

@@ -798,3 +798,55 @@ def q_transfer_rate(spark, sf_dir):
     w = Window.partitionBy("endpoint").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     s = f.select(F.col("endpoint").alias("key"), "ts", "event_id", F.sum("bytes").over(w).alias("bytes_done"))
     return monitor.transfer_rate(s).select("key", "event_id", "bytes_done", "rate_mbps", "completed")
+
+
+# ---- sinks (write, then read back what was written) ----------------------------------------------
+
+
+def _sink_path(spark, sf_dir, name):
+    return fx.fixture_path(spark, sf_dir, f"sink_{name}")
+
+
+@query("sink_text", O.with_(O.CERTS) + "SELECT name || ' -> ' || organization || ' (' || source || ') [seq:' || CAST(sequence_number AS VARCHAR) || ']' AS value FROM mappings")
+def q_sink_text(spark, sf_dir):
+    from ..sinks.writers import write_text
+
+    path = _sink_path(spark, sf_dir, "text")
+    write_text(_extract(spark, sf_dir)[0], path)
+    return spark.read.text(path)
+
+
+@query(
+    "sink_csv",
+    O.with_(O.CERTS) + 'SELECT name AS "Name", organization AS "Organization", source AS "Source", CAST(sequence_number AS VARCHAR) AS "SequenceNumber" FROM mappings',
+)
+def q_sink_csv(spark, sf_dir):
+    from ..sinks.writers import write_csv
+
+    path = _sink_path(spark, sf_dir, "csv")
+    write_csv(_extract(spark, sf_dir)[0], path)
+    return spark.read.option("header", "true").option("escape", '"').option("inferSchema", "false").csv(path)
+
+
+@query(
+    "sink_jsonl",
+    O.with_(O.CERTS) + "SELECT domain, name, organization, NULLIF(organizational_unit, '') AS organizational_unit, source, sequence_number FROM mappings",
+)
+def q_sink_jsonl(spark, sf_dir):
+    from ..sinks.writers import write_jsonl
+
+    path = _sink_path(spark, sf_dir, "jsonl")
+    write_jsonl(_extract(spark, sf_dir)[0], path)
+    return spark.read.schema("domain string, name string, organization string, organizational_unit string, source string, sequence_number long").json(path)
+
+
+@query("sink_batches", "SELECT c_custkey AS log_index, c_custkey - c_custkey % 100 AS batch_start FROM customer WHERE c_custkey % 12 <> 7")
+def q_sink_batches(spark, sf_dir):
+    from ..sinks.writers import write_batches
+    from ..sources.batch_files import parse_lines, read_batch_lines
+
+    path = _sink_path(spark, sf_dir, "batches")
+    d = decode_leaf(fx.ct_entries(spark, sf_dir)).filter(F.col("error").isNull())
+    write_batches(d, path, batch_size=100, mode="overwrite")
+    back = parse_lines(read_batch_lines(spark, path, recursive=True))
+    return back.select(F.col("sequence_number").alias("log_index"), F.regexp_extract("file", r"batch_start=(\d+)", 1).cast("long").alias("batch_start"))
