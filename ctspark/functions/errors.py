@@ -167,7 +167,7 @@ def is_retryable(message, error_type) -> Column:
 
 
 def is_rate_limit(message) -> Column:
-    """E6 (substring match, so 'rate' also hits words such as 'operation')."""
+    """E6 (substring match, so 'rate' also hits words such as "generated")."""
     return F.coalesce(_any(_low(message), RATE_LIMIT) & col_(message).isNotNull(), F.lit(False))
 
 

@@ -850,3 +850,52 @@ def q_sink_batches(spark, sf_dir):
     write_batches(d, path, batch_size=100, mode="overwrite")
     back = parse_lines(read_batch_lines(spark, path, recursive=True))
     return back.select(F.col("sequence_number").alias("log_index"), F.regexp_extract("file", r"batch_start=(\d+)", 1).cast("long").alias("batch_start"))
+
+
+# ---- CT log source and streaming ingest -------------------------------------------------------
+
+
+def _log_dir(spark, sf_dir):
+    from ..streaming.ct_source import write_log_dir
+
+    path = fx.fixture_path(spark, sf_dir, "ct_log_dir")
+    if path not in _WRITTEN:
+        tree = read_table(spark, sf_dir, "customer").agg(F.max("c_custkey") + 1)
+        write_log_dir(fx.ct_pages(spark, sf_dir), tree, path.replace("file:", ""))
+        _WRITTEN.add(path)
+    return path.replace("file:", "")
+
+
+@query("ct_source_batch", "SELECT c_custkey AS log_index, true AS has_leaf FROM customer")
+def q_ct_source_batch(spark, sf_dir):
+    from ..streaming.ct_source import register
+
+    register(spark)
+    d = spark.read.format("ct_log").option("path", _log_dir(spark, sf_dir)).option("download_size", "256").load()
+    return d.select("log_index", F.col("leaf_input").isNotNull().alias("has_leaf"))
+
+
+@query("stream_ingest", "SELECT 'log0' AS log, c_custkey AS log_index FROM customer WHERE c_custkey % 12 <> 7")
+def q_stream_ingest(spark, sf_dir):
+    import uuid
+
+    from ..streaming.ingest import start_ingest
+
+    base = fx.fixture_path(spark, sf_dir, f"stream_{uuid.uuid4().hex}")
+    q = start_ingest(spark, _log_dir(spark, sf_dir), f"{base}/out", f"{base}/ckpt", download_size=256)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").filter(F.col("error").isNull()).select("log", "log_index")
+
+
+@query("reorder_stream", "SELECT 'log0' AS log, c_custkey AS log_index FROM customer WHERE c_custkey % 12 <> 7")
+def q_reorder_stream(spark, sf_dir):
+    import uuid
+
+    from ..streaming.ingest import ingest_stream, reorder_stream
+
+    base = fx.fixture_path(spark, sf_dir, f"reorder_{uuid.uuid4().hex}")
+    # unsupported entries (class 7) keep their index with an empty line, so they do not block the order
+    s = ingest_stream(spark, _log_dir(spark, sf_dir), download_size=256).select("log", "log_index", F.coalesce("line", F.lit("")).alias("line"))
+    q = reorder_stream(s).writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").filter(F.col("line") != "").select("log", "log_index")
