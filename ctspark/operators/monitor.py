@@ -16,6 +16,7 @@ MIB = 1024.0 * 1024.0
 LATENCY_CEILING_MS = 60_000.0
 DEFAULT_MAX_FAILURES = 5
 DEFAULT_BUCKET_S = 86_400
+HEALTH_BUCKET_S = 3_600
 
 
 def endpoint_latency(fetch_log: DataFrame, accuracy: int = 10_000, exact: bool = False) -> DataFrame:
@@ -84,10 +85,10 @@ def progress_eta(rated: DataFrame, total, current: str = "value") -> DataFrame:
     )
 
 
-def endpoint_health(fetch_log: DataFrame, max_failures: int = DEFAULT_MAX_FAILURES, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
+def endpoint_health(fetch_log: DataFrame, max_failures: int = DEFAULT_MAX_FAILURES, bucket_s: int = HEALTH_BUCKET_S) -> DataFrame:
     """Consecutive failures per endpoint after each call (reset by a success) and health.
 
-    Rows are numbered inside (endpoint, day) windows; the failure streak carried into a bucket
+    Rows are numbered inside (endpoint, hour) windows; the failure streak carried into a bucket
     is found from a per-bucket table: each bucket contributes its trailing failures (if it has
     a success) or all its rows (if it has none), summed back to the last bucket with a success.
     """
@@ -118,7 +119,8 @@ def transfer_rate(samples: DataFrame, key: str = "key", ts: str = "ts", nbytes:
     """Per file, MB/s between consecutive byte counters; a zero time step keeps the earlier
     rate; 0 before the first measurable step; the last sample of a file is flagged completed.
 
-    One window per file: a file's progress samples are bounded by its size.
+    One window per file: a file's progress samples are bounded by its size (use
+    ``ordering.running_total`` to build the byte counters of long series).
     """
     w = Window.partitionBy(key).orderBy(ts, order)
     us = F.unix_micros(F.col(ts).cast("timestamp"))

@@ -140,6 +140,20 @@ def positions(df: DataFrame, part: list[str], order: list[str], bucket) -> DataF
     ).drop("__bk", "__rn", "__off")
 
 
+def running_total(df: DataFrame, part: list[str], order: list[str], bucket, value: str, out: str = "running") -> DataFrame:
+    """Running sum of ``value`` within ``part`` ordered by ``order``, computed two-level like
+    ``positions``: a cumulative sum inside (part, bucket) windows plus the totals of earlier
+    buckets from a per-bucket table."""
+    d = df.withColumn("__bk", bucket)
+    sums = d.groupBy(*part, "__bk").agg(F.sum(value).alias("__s"))
+    wc = Window.partitionBy(*part).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.withColumn("__off", F.coalesce(F.sum("__s").over(wc), F.lit(0))).drop("__s")
+    w = Window.partitionBy(*part, "__bk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return d.withColumn("__rs", F.sum(value).over(w)).join(offsets, [*part, "__bk"]).withColumn(out, F.col("__rs") + F.col("__off")).drop(
+        "__bk", "__rs", "__off"
+    )
+
+
 def progress_marks(df: DataFrame, part: str, order: str, bucket, interval: int = 100_000) -> DataFrame:
     """The rows at every ``interval``-th processed entry of each part (file)."""
     return positions(df, [part], [order], bucket).filter(F.col("position") % interval == 0)

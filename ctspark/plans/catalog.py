@@ -792,11 +792,8 @@ r AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) > 0 THEN (byte
 SELECT key, event_id, bytes_done, round(coalesce(last_value(raw IGNORE NULLS) OVER (PARTITION BY key ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 0.0), 6) AS rate_mbps, completed FROM r""",
 )
 def q_transfer_rate(spark, sf_dir):
-    from pyspark.sql import Window
-
-    f = fx.fetch_log(spark, sf_dir)
-    w = Window.partitionBy("endpoint").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    s = f.select(F.col("endpoint").alias("key"), "ts", "event_id", F.sum("bytes").over(w).alias("bytes_done"))
+    f = fx.fetch_log(spark, sf_dir).select(F.col("endpoint").alias("key"), "ts", "event_id", "bytes")
+    s = ordering.running_total(f, ["key"], ["ts", "event_id"], F.date_trunc("hour", F.col("ts")), "bytes", "bytes_done")
     return monitor.transfer_rate(s).select("key", "event_id", "bytes_done", "rate_mbps", "completed")
 
 

@@ -274,6 +274,8 @@ def errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-endpoint monotone counters (endpoint, ts, event_id, value = running count)."""
+    from ..operators.ordering import positions
+
     f = fetch_log(spark, sf_dir).select("endpoint", "ts", "event_id")
-    w = Window.partitionBy("endpoint").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    return f.select("endpoint", "ts", "event_id", F.count(F.lit(1)).over(w).alias("value"))
+    # per-endpoint running count, two-level (endpoint x hour) so a busy endpoint is not one task
+    return positions(f, ["endpoint"], ["ts", "event_id"], F.date_trunc("hour", F.col("ts"))).withColumnRenamed("position", "value")
