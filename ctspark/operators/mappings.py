@@ -99,12 +99,22 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df
 
 
-def certificates(lines: DataFrame, seq_col: str = "sequence_number", data_col: str = "certificate_data", lenient_base64: bool = False, min_partitions: int | None = None) -> DataFrame:
-    """Decode + DER walk + organisation: one row per input entry, arrays intact."""
-    lines = spread(lines.select(seq_col, data_col), min_partitions)
+def certificates(
+    lines: DataFrame,
+    seq_col: str = "sequence_number",
+    data_col: str = "certificate_data",
+    lenient_base64: bool = False,
+    min_partitions: int | None = None,
+    keep: tuple = (),
+) -> DataFrame:
+    """Decode + DER walk + organisation: one row per input entry, arrays intact.
+
+    ``keep`` names extra input columns (e.g. the source file) carried to the outputs."""
+    lines = spread(lines.select(*keep, seq_col, data_col), min_partitions)
     entry_err = validate_entry(F.col(seq_col), F.col(data_col))
     b64_err = base64_error(F.col(data_col), lenient_base64)
     d = lines.select(
+        *keep,
         F.col(seq_col).alias("sequence_number"),
         F.when(entry_err.isNull() & b64_err.isNull(), decode_base64_strict(F.col(data_col), lenient_base64)).alias("der"),
         F.when(entry_err.isNotNull(), F.concat(F.lit(ERR_INVALID_ENTRY + ": "), entry_err)).otherwise(b64_err).alias("decode_error"),
@@ -131,13 +141,13 @@ def _with_cert_flags(c: DataFrame) -> DataFrame:
     )
 
 
-def extract(lines: DataFrame, psl: PublicSuffixTable, **kw) -> tuple[DataFrame, DataFrame]:
+def extract(lines: DataFrame, psl: PublicSuffixTable, keep: tuple = (), **kw) -> tuple[DataFrame, DataFrame]:
     """P10: (mappings, entry_status) from (sequence_number, certificate_data) lines.
 
     entry_status has one row per input entry: stage ok / parse / extract, error, rows emitted,
     and the reason a certificate produced no rows (no_org, dcv, self_referential).
     """
-    c = _with_cert_flags(certificates(lines, **kw))
+    c = _with_cert_flags(certificates(lines, keep=keep, **kw))
     parse_failed = F.col("decode_error").isNotNull() | F.col("parse_error").isNotNull()
     org = F.col("organization")
     no_org = (org == "") | (org == DCV_ORG)
@@ -157,6 +167,7 @@ def extract(lines: DataFrame, psl: PublicSuffixTable, **kw) -> tuple[DataFrame,
     c = c.withColumn("stage", status).withColumn("skip_reason", reason).withColumn("mappings_emitted", emitted)
 
     status_df = c.select(
+        *keep,
         "sequence_number",
         "stage",
         F.coalesce(F.col("decode_error"), F.col("parse_error"), F.when(F.col("stage") == "extract", F.lit(ERR_NO_MAPPINGS))).alias("error"),
@@ -165,9 +176,10 @@ def extract(lines: DataFrame, psl: PublicSuffixTable, **kw) -> tuple[DataFrame,
     )
 
     rows = c.filter((F.col("stage") == "ok") & F.col("skip_reason").isNull()).select(
-        "sequence_number", "organization", "organizational_unit", F.posexplode("names").alias("position", "n")
+        *keep, "sequence_number", "organization", "organizational_unit", F.posexplode("names").alias("position", "n")
     )
     rows = rows.filter(F.col("n.name") != "").select(
+        *keep,
         "sequence_number",
         "organization",
         "organizational_unit",
@@ -178,7 +190,7 @@ def extract(lines: DataFrame, psl: PublicSuffixTable, **kw) -> tuple[DataFrame,
     )
     rows = rows.filter(validate_mapping(F.col("name"), F.col("organization"), F.col("organizational_unit"), F.col("source"), F.col("sequence_number")).isNull())
     mapped = registered_domain(rows, "host", psl, out="domain")
-    return mapped.select(*MAPPING_COLUMNS, "position"), status_df
+    return mapped.select(*keep, *MAPPING_COLUMNS, "position"), status_df
 
 
 def extract_mappings(lines: DataFrame, psl: PublicSuffixTable, **kw) -> DataFrame:

@@ -896,3 +896,49 @@ def q_reorder_stream(spark, sf_dir):
     q = reorder_stream(s).writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out").filter(F.col("line") != "").select("log", "log_index")
+
+
+# ---- incremental bucket job and listing ---------------------------------------------------------
+
+
+def _ct_batch_files(spark, sf_dir):
+    """D1 lines written as ten gzip batch files (file = sequence % 10)."""
+    path = fx.fixture_path(spark, sf_dir, "ct_batch_files")
+    if path not in _WRITTEN:
+        lines = fx.ct_lines(spark, sf_dir)
+        df = lines.select(
+            F.concat(F.lit("ct-"), (F.col("sequence_number") % 10).cast("string"), F.lit(".gz")).alias("file"),
+            F.col("sequence_number"),
+            F.concat(F.col("sequence_number").cast("string"), F.lit(" "), F.col("certificate_data")).alias("line"),
+        )
+        write_batch_fixture(df, path, order_col="sequence_number")
+        _WRITTEN.add(path)
+    return path
+
+
+@query("list_objects", "SELECT DISTINCT 'ct-' || CAST(c_custkey % 10 AS VARCHAR) || '.gz' AS file, true AS has_bytes FROM customer WHERE c_custkey % 12 <> 7")
+def q_list_objects(spark, sf_dir):
+    o = objects.filter_objects(objects.list_objects(spark, _ct_batch_files(spark, sf_dir)), [".gz"])
+    return o.select(F.regexp_extract("key", r"file=([^/]+)/", 1).alias("file"), (F.col("size") > 0).alias("has_bytes")).distinct()
+
+
+@query(
+    "process_bucket",
+    O.with_(O.CERTS) + "SELECT domain, name, organization, organizational_unit, source, sequence_number FROM mappings WHERE sequence_number % 10 >= 3",
+)
+def q_process_bucket(spark, sf_dir):
+    import uuid
+
+    from .bucket_job import listing_with_fingerprint, process_bucket
+
+    src = _ct_batch_files(spark, sf_dir)
+    run = fx.fixture_path(spark, sf_dir, f"bucket_{uuid.uuid4().hex}")
+    # an earlier run already processed the files of ct-0, ct-1 and ct-2
+    done = listing_with_fingerprint(spark, src).filter(F.col("key").rlike(r"file=ct-[012]\.gz/")).select(
+        "key", "etag", "size", F.lit("2024-01-01 00:00:00").cast("timestamp").alias("event_ts"), F.lit(1).alias("seq"),
+        F.lit("processed").alias("status"), F.lit("").alias("error_msg"),
+    )
+    done.write.parquet(f"{run}/ledger")
+    process_bucket(spark, src, f"{run}/out", f"{run}/ledger", fmt="jsonl")
+    back = spark.read.schema("domain string, name string, organization string, organizational_unit string, source string, sequence_number long").json(f"{run}/out")
+    return back.select("domain", "name", "organization", F.coalesce("organizational_unit", F.lit("")).alias("organizational_unit"), "source", "sequence_number")
