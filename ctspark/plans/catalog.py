@@ -942,3 +942,24 @@ def q_process_bucket(spark, sf_dir):
     process_bucket(spark, src, f"{run}/out", f"{run}/ledger", fmt="jsonl")
     back = spark.read.schema("domain string, name string, organization string, organizational_unit string, source string, sequence_number long").json(f"{run}/out")
     return back.select("domain", "name", "organization", F.coalesce("organizational_unit", F.lit("")).alias("organizational_unit"), "source", "sequence_number")
+
+
+@query("health_stream")
+def q_health_stream(spark, sf_dir):
+    """T8 over the fetch log replayed as a stream (every 10th event is a health probe).
+    A sequential state machine with timers: checked against a brute-force run in the tests."""
+    import uuid
+
+    from ..streaming.health import health_stream
+
+    src = fx.fixture_path(spark, sf_dir, "fetch_stream")
+    if src not in _WRITTEN:
+        f = fx.fetch_log(spark, sf_dir).withColumn("kind", F.when(F.col("event_id") % 10 == 9, F.lit("probe")).otherwise(F.lit("call")))
+        f.select("endpoint", "ts", "event_id", "kind", "success").write.mode("overwrite").parquet(src)
+        _WRITTEN.add(src)
+    base = fx.fixture_path(spark, sf_dir, f"health_{uuid.uuid4().hex}")
+    schema = spark.read.parquet(src).schema
+    s = spark.readStream.schema(schema).parquet(src)
+    q = health_stream(s).writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")

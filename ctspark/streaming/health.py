@@ -1,0 +1,89 @@
+"""Endpoint health as a streaming state machine over a fetch-log stream.
+
+Rows are (endpoint, ts, kind, success) with kind 'call' (a fetch made through the endpoint) or
+'probe' (a health check).  Per endpoint: a healthy endpoint counts consecutive failed calls
+(reset by a success) and turns unhealthy at ``max_failures``; an unhealthy endpoint waits a
+cooldown (1 min, doubling after each failed probe up to 30 min) and returns to healthy on the
+first successful probe at or after the cooldown.  One output row per state change.
+
+State per endpoint is a handful of numbers; the rows of one endpoint in one micro-batch are
+processed in time order inside one group, so the micro-batch size bounds that group.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+# Cooldown start and ceiling (seconds), failure threshold.
+COOLDOWN_START_S = 60
+COOLDOWN_MAX_S = 1800
+DEFAULT_MAX_FAILURES = 5
+
+OUT_SCHEMA = "endpoint string, ts timestamp, state string, failures int, cooldown_s long"
+STATE_SCHEMA = "healthy boolean, failures int, cooldown_s long, next_probe_us long"
+
+
+def step(state: tuple, rows, max_failures: int = DEFAULT_MAX_FAILURES):
+    """Advance one endpoint's state over time-ordered (ts_us, kind, success) rows.
+
+    Returns (new_state, transitions) with transitions as (ts_us, state, failures, cooldown_s).
+    Pure Python so that the streaming operator and the tests share it.
+    """
+    healthy, failures, cooldown, next_probe = state
+    out = []
+    for ts_us, kind, success in rows:
+        if healthy:
+            if kind != "call":
+                continue
+            if success:
+                failures = 0
+            else:
+                failures += 1
+                if failures >= max_failures:
+                    healthy, cooldown = False, COOLDOWN_START_S
+                    next_probe = ts_us + cooldown * 1_000_000
+                    out.append((ts_us, "unhealthy", failures, cooldown))
+        else:
+            if kind != "probe" or ts_us < next_probe:
+                continue
+            if success:
+                healthy, failures = True, 0
+                out.append((ts_us, "healthy", 0, cooldown))
+            else:
+                cooldown = min(cooldown * 2, COOLDOWN_MAX_S)
+                next_probe = ts_us + cooldown * 1_000_000
+                out.append((ts_us, "cooldown", failures, cooldown))
+    return (healthy, failures, cooldown, next_probe), out
+
+
+def _make_fn(max_failures: int):
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
+        (endpoint,) = key
+        st = tuple(state.get) if state.exists else (True, 0, 0, 0)
+        pdf = pd.concat(list(pdfs), ignore_index=True)
+        pdf = pdf.sort_values(["ts_us", "seq"], kind="stable")
+        st, out = step(st, zip(pdf["ts_us"].tolist(), pdf["kind"].tolist(), pdf["success"].tolist()), max_failures)
+        state.update(st)
+        yield pd.DataFrame(
+            {
+                "endpoint": [endpoint] * len(out),
+                "ts": pd.to_datetime([o[0] for o in out], unit="us"),
+                "state": [o[1] for o in out],
+                "failures": [int(o[2]) for o in out],
+                "cooldown_s": [int(o[3]) for o in out],
+            }
+        )
+
+    return fn
+
+
+def health_stream(fetch: DataFrame, max_failures: int = DEFAULT_MAX_FAILURES, seq_col: str = "event_id") -> DataFrame:
+    """T8 over a (streaming or batch) DataFrame (endpoint, ts, kind, success, event_id)."""
+    from pyspark.sql import functions as F
+
+    d = fetch.select("endpoint", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), F.col(seq_col).alias("seq"), "kind", "success")
+    return d.groupBy("endpoint").applyInPandasWithState(_make_fn(max_failures), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
