@@ -105,21 +105,19 @@ def registered_domain(df: DataFrame, host_col: str, psl: PublicSuffixTable, out:
     L = psl.max_labels
     tmp = f"__h_{out}"
     labels = F.split(F.col(tmp), r"\.", -1)
-    d = df.withColumn(tmp, F.col(host_col))
     n = F.size(labels)
-    flags = []
-    for j in range(1, L + 1):
-        cand = F.when(n >= j, F.array_join(F.slice(labels, -j, j), "."))
-        # the same broadcast relation under an alias per level, so the exchange is reused
-        r = psl.df.alias(f"__r{j}")
-        d = d.withColumn(f"__c{j}", cand).join(r, F.col(f"__c{j}") == F.col(f"__r{j}.key"), "left")
-        d = d.select(
-            *[c for c in d.columns if c not in ("key", "is_exact", "is_wild", "is_exc", "labels")],
-            F.col(f"__r{j}.is_exact").alias(f"__e{j}"),
-            F.col(f"__r{j}.is_wild").alias(f"__w{j}"),
-            F.col(f"__r{j}.is_exc").alias(f"__x{j}"),
-        )
-        flags.append(j)
+    flags = list(range(1, L + 1))
+    # candidate suffixes in one projection, then one broadcast lookup per length; the same
+    # broadcast relation under an alias per level, so the exchange can be reused
+    d = df.select("*", F.col(host_col).alias(tmp))
+    d = d.select("*", *[F.when(n >= j, F.array_join(F.slice(labels, -j, j), ".")).alias(f"__c{j}") for j in flags])
+    for j in flags:
+        d = d.join(psl.df.alias(f"__r{j}"), F.col(f"__c{j}") == F.col(f"__r{j}.key"), "left")
+    d = d.select(
+        *[F.col(c) for c in df.columns],
+        F.col(tmp),
+        *[F.col(f"__r{j}.{f}").alias(f"__{p}{j}") for j in flags for f, p in (("is_exact", "e"), ("is_wild", "w"), ("is_exc", "x"))],
+    )
     exc_terms = [F.when(F.col(f"__x{j}"), F.lit(j - 1)) for j in flags if j >= 2]
     rule_terms = [F.when(F.col(f"__e{j}"), F.lit(j)) for j in flags] + [
         F.when(F.col(f"__w{j}") & (n >= j + 1), F.lit(j + 1)) for j in flags
@@ -136,7 +134,7 @@ def registered_domain(df: DataFrame, host_col: str, psl: PublicSuffixTable, out:
     dom = F.when(~bad & (n > suffix_len), F.array_join(F.slice(labels, -(suffix_len + 1), suffix_len + 1), ".")).otherwise(
         F.lit("")
     )
-    drop = [tmp] + [f"__{p}{j}" for j in flags for p in ("c", "e", "w", "x")]
+    drop = [tmp] + [f"__{p}{j}" for j in flags for p in ("e", "w", "x")]
     return d.withColumn(out, dom).drop(*drop)
 
 

@@ -12,9 +12,12 @@ MIB = 1024.0 * 1024.0
 EST_SECONDS_PER_100K = 3.0
 
 
-def processing_stats(status: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """A1: total, success (incl. no mappings), errors and the two rates (0 when total is 0)."""
-    g = status.groupBy(*by) if by else status
+def processing_stats(status: DataFrame, by: list[str] | None = None, with_total: bool = False) -> DataFrame:
+    """A1: total, success (incl. no mappings), errors and the two rates (0 when total is 0).
+
+    ``by`` groups (e.g. per source file); ``with_total`` adds the overall row via ``rollup``
+    (grouping columns null on that row)."""
+    g = (status.rollup(*by) if with_total else status.groupBy(*by)) if by else status
     agg = g.agg(
         F.count(F.lit(1)).alias("total_processed"),
         F.count_if(F.col("stage") == "ok").alias("successful_parsed"),

@@ -963,3 +963,35 @@ def q_health_stream(spark, sf_dir):
     q = health_stream(s).writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
+
+
+@query(
+    "processing_stats_by_file",
+    """SELECT file, count(*) AS total_processed, count(*) FILTER (WHERE cls NOT IN (8, 9, 11)) AS successful_parsed,
+  count(*) FILTER (WHERE cls IN (8, 9, 11)) AS errors,
+  round(100.0 * count(*) FILTER (WHERE cls NOT IN (8, 9, 11)) / count(*), 6) AS success_rate,
+  round(100.0 * count(*) FILTER (WHERE cls IN (8, 9, 11)) / count(*), 6) AS error_rate
+FROM (SELECT 'ct-' || CAST(c_custkey % 10 AS VARCHAR) || '.gz' AS file, c_custkey % 12 AS cls FROM customer WHERE c_custkey % 12 <> 7)
+GROUP BY ROLLUP (file)""",
+)
+def q_processing_stats_by_file(spark, sf_dir):
+    from ..shipping import ensure_shipped
+
+    ensure_shipped(spark)
+    lines = parse_lines(read_batch_lines(spark, _ct_batch_files(spark, sf_dir), recursive=True))
+    lines = lines.withColumn("file", F.regexp_extract("file", r"file=([^/]+)/", 1))
+    _m, status = extract(lines.filter(F.col("error").isNull()), default_psl(spark), keep=("file",))
+    return stats.processing_stats(status, by=["file"], with_total=True)
+
+
+@query(
+    "sink_json",
+    O.with_(O.CERTS) + "SELECT domain, name, organization, NULLIF(organizational_unit, '') AS organizational_unit, source, sequence_number FROM mappings",
+)
+def q_sink_json(spark, sf_dir):
+    from ..sinks.writers import write_json
+
+    path = _sink_path(spark, sf_dir, "json")
+    m, status = _extract(spark, sf_dir)
+    write_json(m.drop("position"), path, stats=stats.processing_stats(status))
+    return spark.read.schema("domain string, name string, organization string, organizational_unit string, source string, sequence_number long").json(f"{path}/mappings")
