@@ -55,15 +55,18 @@ def _with_overlap(df: DataFrame, ts_us, window_us: int, bucket_us: int) -> DataF
     )
 
 
-def rolling_rate(samples: DataFrame, window_s: int = 60, part: list[str] | None = None, bucket_s: int = DEFAULT_BUCKET_S, per_minute: bool = False) -> DataFrame:
+def rolling_rate(samples: DataFrame, window_s: int = 60, part: list[str] | None = None, bucket_s: int | None = None, per_minute: bool = False) -> DataFrame:
     """W5 (W6 with ``part=["endpoint"]`` and ``per_minute``): (last - first) / elapsed seconds over
-    the samples in [ts - window, ts]; 0 with fewer than 2 samples or under 1 s elapsed."""
+    the samples in [ts - window, ts]; 0 with fewer than 2 samples or under 1 s elapsed.
+
+    Windows run per (part, time bucket); rows within ``window_s`` of a bucket's start are also
+    copied into that bucket as context, so every row sees its whole window and each row is
+    duplicated at most once.  Buckets default to an hour (or the window, if longer)."""
     part = part or []
-    bucket_s = max(bucket_s, window_s)
+    bucket_s = max(bucket_s or 3600, window_s)
     ts_us = F.unix_micros(F.col("ts").cast("timestamp"))
     d = _with_overlap(samples.withColumn("__us", ts_us), F.col("__us"), window_s * 1_000_000, bucket_s * 1_000_000)
-    w = Window.partitionBy(*part, F.col("__bk.b")).orderBy("__us", "event_id").rangeBetween(-window_s * 1_000_000, 0)
-    # rangeBetween needs a single order key; tie order by event_id is restored below
+    # rangeBetween takes one order key; ties on the timestamp are ordered by event_id in min_by
     w = Window.partitionBy(*part, F.col("__bk.b")).orderBy("__us").rangeBetween(-window_s * 1_000_000, 0)
     n = F.count(F.lit(1)).over(w)
     first_v = F.min_by("value", F.struct("__us", "event_id")).over(w)
