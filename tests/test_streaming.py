@@ -56,3 +56,39 @@ def test_reorder_releases_in_order_with_gaps(spark, tmp_path):
     batch2 = pd.DataFrame({"log_index": [1, 0], "line": ["b", "dup"]})
     out2 = list(_release(("log0", 0), iter([batch2]), st))[0]
     assert out2["log_index"].tolist() == [1, 2, 3] and out2["line"].tolist() == ["b", "c", "d2"]
+
+
+def test_ct_source_resumes_from_checkpoint(spark, tmp_path):
+    """A second run after the tree grew reads only the new range, exactly once."""
+    import base64
+    import json
+    import os
+
+    from derutil import cert, x509_leaf
+
+    from ctspark.streaming.ingest import start_ingest
+
+    log = tmp_path / "log"
+    rows = []
+    for start in range(0, 300, 100):
+        entries = [{"leaf_input": base64.b64encode(x509_leaf(cert([("O", "Org"), ("CN", f"h{start + i}.example.com")]))).decode(), "extra_data": ""} for i in range(100)]
+        rows.append((start, json.dumps({"entries": entries})))
+    # one page is broken JSON: it is skipped whole, its indexes stay missing
+    rows[1] = (100, "{not json")
+    spark.createDataFrame(rows, "start long, json string").write.partitionBy("start").text(str(log / "pages"))
+
+    def set_tree(n):
+        with open(log / "sth.json", "w") as fh:
+            json.dump({"tree_size": n}, fh)
+
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    set_tree(150)
+    start_ingest(spark, str(log), out, ck, download_size=64).awaitTermination()
+    first = {r.log_index for r in spark.read.parquet(out).collect()}
+    assert first == set(range(0, 100))
+    set_tree(300)
+    start_ingest(spark, str(log), out, ck, download_size=64).awaitTermination()
+    got = [r.log_index for r in spark.read.parquet(out).collect()]
+    assert sorted(got) == list(range(0, 100)) + list(range(200, 300))
+    assert len(got) == len(set(got))
+    assert os.path.exists(ck)
