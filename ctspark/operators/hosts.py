@@ -59,10 +59,22 @@ def load_psl(spark: SparkSession, path: str | None = None, rules: list[str] | No
 
 
 class PublicSuffixTable:
-    """A loaded, size-checked rule table and the number of suffix lengths to probe."""
+    """A loaded, size-checked rule table and the number of suffix lengths to probe.
+
+    The parsed table is written once to the shared checkpoint folder and read back, so every
+    lookup level scans the same files and the broadcast of the table is built once and reused.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None, rules: list[str] | None = None):
-        df = load_psl(spark, path, rules).cache()
+        import hashlib
+
+        from ..session import ensure_checkpoint_dir
+
+        src = path or psl_path() or ""
+        stamp = f"{src}:{os.path.getmtime(src) if src and os.path.exists(src) else ''}:{rules}"
+        target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ctspark-psl/{hashlib.md5(stamp.encode()).hexdigest()[:12]}"
+        load_psl(spark, path, rules).select("key", "is_exact", "is_wild", "is_exc", "labels").coalesce(1).write.mode("overwrite").parquet(target)
+        df = spark.read.parquet(target)
         stats = df.agg(F.count(F.lit(1)).alias("n"), F.max("labels").alias("l")).first()
         self.rows = int(stats["n"])
         self.max_labels = int(stats["l"] or 1)
@@ -118,7 +130,8 @@ def registered_domain(df: DataFrame, host_col: str, psl: PublicSuffixTable, out:
         F.col(tmp),
         *[F.col(f"__r{j}.{f}").alias(f"__{p}{j}") for j in flags for f, p in (("is_exact", "e"), ("is_wild", "w"), ("is_exc", "x"))],
     )
-    exc_terms = [F.when(F.col(f"__x{j}"), F.lit(j - 1)) for j in flags if j >= 2]
+    # every level reads the same columns, so the per-level broadcasts are one reused exchange
+    exc_terms = [F.when(F.col(f"__x{j}"), F.lit(j - 1)) for j in flags]
     rule_terms = [F.when(F.col(f"__e{j}"), F.lit(j)) for j in flags] + [
         F.when(F.col(f"__w{j}") & (n >= j + 1), F.lit(j + 1)) for j in flags
     ]
