@@ -141,7 +141,7 @@ def _with_cert_flags(c: DataFrame) -> DataFrame:
     )
 
 
-def extract(lines: DataFrame, psl: PublicSuffixTable, keep: tuple = (), **kw) -> tuple[DataFrame, DataFrame]:
+def extract(lines: DataFrame, psl: PublicSuffixTable, keep: tuple = (), observation=None, **kw) -> tuple[DataFrame, DataFrame]:
     """P10: (mappings, entry_status) from (sequence_number, certificate_data) lines.
 
     entry_status has one row per input entry: stage ok / parse / extract, error, rows emitted,
@@ -165,6 +165,15 @@ def extract(lines: DataFrame, psl: PublicSuffixTable, keep: tuple = (), **kw) ->
     ).when(self_ref, F.lit("self_referential"))
     emitted = F.when(status.isin("parse", "extract") | reason.isNotNull(), F.lit(0)).otherwise(F.col("n_names"))
     c = c.withColumn("stage", status).withColumn("skip_reason", reason).withColumn("mappings_emitted", emitted)
+    if observation is not None:
+        # A1 counters collected as a side effect of writing the mappings: no second pass
+        c = c.observe(
+            observation,
+            F.count(F.lit(1)).alias("total_processed"),
+            F.count_if(F.col("stage") == "ok").alias("successful_parsed"),
+            F.count_if(F.col("stage") != "ok").alias("errors"),
+            F.sum("mappings_emitted").alias("mappings"),
+        )
 
     status_df = c.select(
         *keep,

@@ -991,7 +991,15 @@ def q_processing_stats_by_file(spark, sf_dir):
 def q_sink_json(spark, sf_dir):
     from ..sinks.writers import write_json
 
+    from pyspark.sql import Observation
+
+    from ..shipping import ensure_shipped
+
+    ensure_shipped(spark)
     path = _sink_path(spark, sf_dir, "json")
-    m, status = _extract(spark, sf_dir)
-    write_json(m.drop("position"), path, stats=stats.processing_stats(status))
+    obs = Observation("run_stats")
+    m, _status = extract(fx.ct_lines(spark, sf_dir), default_psl(spark), observation=obs)
+    write_json(m.drop("position"), path)
+    # the run's counters arrive with the write; they are one small row
+    spark.createDataFrame([obs.get]).write.mode("overwrite").json(f"{path}/stats")
     return spark.read.schema("domain string, name string, organization string, organizational_unit string, source string, sequence_number long").json(f"{path}/mappings")

@@ -90,3 +90,25 @@ def test_flags(spark):
     assert [x.rl for x in r] == [True, False, False]  # "rate" inside "generated"
     assert [x.au for x in r] == [False, True, False]
     assert [x.dr for x in r] == [False, False, True]
+
+
+def test_strict_base64(spark):
+    from ctspark.functions.encoding import base64_error, decode_base64_strict
+
+    bad = "failed to decode base64 certificate data"
+    rows = [
+        ("QUJD", None, 3),
+        ("QUI=", None, 2),
+        ("QQ==", None, 1),
+        ("QU" + chr(13) + chr(10) + "JD", None, 3),  # CR LF inside are ignored
+        ("QUI", bad, None),
+        ("QU JD", bad, None),
+        ("QUJD!", bad, None),
+        ("  ", "certificate data is empty", None),
+        ("Q===", bad, None),
+    ]
+    df = spark.createDataFrame(rows, "s string, err string, n int")
+    for r in df.select("err", "n", base64_error(F.col("s")).alias("e"), F.length(decode_base64_strict(F.col("s"))).alias("m")).collect():
+        assert r.e == r.err and r.m == r.n
+    lenient = spark.createDataFrame([("QU JD",)], "s string").select(base64_error(F.col("s"), lenient=True).alias("e")).first()
+    assert lenient.e is None
