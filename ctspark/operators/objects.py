@@ -44,22 +44,24 @@ def filter_objects(df: DataFrame, extensions=(".gz",), min_size: int = 0, max_si
 
 def validate_objects(df: DataFrame) -> DataFrame:
     """F8: first failing rule per listing row, null when valid."""
+    # The listing validation messages, in check order.
     reason = (
-        F.when(is_blank("key"), F.lit("object key cannot be empty"))
-        .when(F.col("size") < 0, F.lit("object size cannot be negative"))
-        .when(is_blank("etag"), F.lit("object ETag cannot be empty"))
-        .when(F.col("last_modified").isNull(), F.lit("object last modified time cannot be zero"))
+        F.when(is_blank("key"), F.lit("S3 object key cannot be empty"))
+        .when(F.col("size") < 0, F.lit("S3 object size must be non-negative"))
+        .when(is_blank("etag"), F.lit("S3 object ETag cannot be empty"))
+        .when(F.col("last_modified").isNull(), F.lit("S3 object LastModified cannot be zero"))
     )
     return df.withColumn("validation_error", reason)
 
 
 def validate_file_state(df: DataFrame, ts_col: str = "event_ts") -> DataFrame:
     """F8 for ledger rows."""
+    # The ledger entry validation messages, in check order.
     reason = (
-        F.when(is_blank("key"), F.lit("file key cannot be empty"))
-        .when(is_blank("etag"), F.lit("file ETag cannot be empty"))
-        .when(F.col("size") < 0, F.lit("file size cannot be negative"))
-        .when(F.col(ts_col).isNull(), F.lit("processed time cannot be zero"))
+        F.when(is_blank("key"), F.lit("key cannot be empty"))
+        .when(is_blank("etag"), F.lit("etag cannot be empty"))
+        .when(F.col("size") < 0, F.lit("size must be non-negative"))
+        .when(F.col(ts_col).isNull(), F.lit("processed_at cannot be zero"))
     )
     return df.withColumn("validation_error", reason)
 
@@ -77,11 +79,14 @@ def verify_integrity(manifest: DataFrame, files: DataFrame) -> DataFrame:
     Both sides are keyed by the object key, so this is a shuffle join on key at scale.
     """
     j = manifest.join(files, "key", "left")
-    etag = F.regexp_replace(F.col("etag"), '"', "")
+    expected = F.regexp_replace(F.col("etag"), r'^"+|"+\z', "")
     reason = (
-        F.when(F.col("actual_size").isNull(), F.lit("file not found"))
-        .when(F.col("actual_size") != F.col("size"), F.lit("size mismatch"))
-        .when(~etag.contains("-") & (F.lower(etag) != F.col("actual_md5")), F.lit("checksum mismatch"))
+        F.when(F.col("actual_size").isNull(), F.lit("failed to stat file"))
+        .when(F.col("actual_size") != F.col("size"), F.format_string("size mismatch: expected %d, got %d", F.col("size"), F.col("actual_size")))
+        .when(
+            ~F.col("etag").contains("-") & (expected != F.col("actual_md5")),
+            F.format_string("MD5 mismatch: expected %s, got %s", expected, F.col("actual_md5")),
+        )
     )
     return j.select("key", "size", "etag", "actual_size", reason.alias("integrity_error"), reason.isNull().alias("ok"))
 

@@ -420,7 +420,7 @@ def q_filter_objects(spark, sf_dir):
 @query(
     "validate_objects",
     O.with_(O.OBJECTS)
-    + "SELECT key, CASE WHEN doc_id % 19 = 0 THEN 'object ETag cannot be empty' END AS validation_error FROM objects",
+    + "SELECT key, CASE WHEN doc_id % 19 = 0 THEN 'S3 object ETag cannot be empty' END AS validation_error FROM objects",
 )
 def q_validate_objects(spark, sf_dir):
     o = fx.objects(spark, sf_dir)
@@ -465,8 +465,9 @@ def q_ledger_counts(spark, sf_dir):
     "verify_integrity",
     O.with_(O.OBJECTS)
     + """SELECT o.key, o.size, o.etag, f.actual_size,
-  CASE WHEN f.actual_size IS NULL THEN 'file not found' WHEN f.actual_size <> o.size THEN 'size mismatch'
-       WHEN NOT contains(replace(o.etag, '"', ''), '-') AND lower(replace(o.etag, '"', '')) <> f.actual_md5 THEN 'checksum mismatch' END AS integrity_error
+  CASE WHEN f.actual_size IS NULL THEN 'failed to stat file'
+       WHEN f.actual_size <> o.size THEN 'size mismatch: expected ' || CAST(o.size AS VARCHAR) || ', got ' || CAST(f.actual_size AS VARCHAR)
+       WHEN NOT contains(o.etag, '-') AND trim(o.etag, '"') <> f.actual_md5 THEN 'MD5 mismatch: expected ' || trim(o.etag, '"') || ', got ' || f.actual_md5 END AS integrity_error
 FROM objects o LEFT JOIN (SELECT key, CAST(octet_length(encode(text)) AS BIGINT) AS actual_size, md5(text) AS actual_md5 FROM objects WHERE doc_id % 23 <> 0) f ON f.key = o.key""",
 )
 def q_verify_integrity(spark, sf_dir):
