@@ -51,3 +51,8 @@ def base64_error(c, lenient: bool = False) -> Column:
 def base64_line(bin_col) -> Column:
     """Standard base64 without line breaks (Spark may chunk long output with CRLF)."""
     return F.regexp_replace(F.base64(col_(bin_col)), r"[\r\n]", "")
+
+
+def decode_base64(c, lenient: bool = False) -> Column:
+    """P3 as one column: struct(data BINARY, error STRING)."""
+    return F.struct(F.when(base64_error(c, lenient).isNull(), decode_base64_strict(c, lenient)).alias("data"), base64_error(c, lenient).alias("error"))

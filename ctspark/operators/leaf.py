@@ -85,3 +85,7 @@ def leaf_payload(df: DataFrame, leaf_col: str = "leaf_input") -> DataFrame:
         .when(~exact, F.lit(ERR_TRUNCATED))
         .alias("error"),
     )
+
+
+# the survey's name for P2
+leaf_tbs = leaf_payload

@@ -92,6 +92,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     would otherwise run the certificate walk in a few tasks; with many input files this is a
     no-op.  The check reads only the physical plan's partition count, not the data.
     """
+    if df.isStreaming:
+        return df
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
@@ -222,3 +224,23 @@ def format_mapping(df: DataFrame, with_seq: bool = False) -> Column:
     if with_seq:
         return F.concat(base, F.format_string(" [seq:%d]", F.col("sequence_number")))
     return base
+
+
+def filter_org(certs: DataFrame) -> DataFrame:
+    """F1 on certificate rows (after ``subject_org``): keep certificates with a usable
+    organisation; the others count as successes with no rows.  Apply before any explode."""
+    org = F.col("organization")
+    return certs.filter((org != "") & (org != DCV_ORG))
+
+
+def drop_self_referential(certs: DataFrame, psl: PublicSuffixTable) -> DataFrame:
+    """F2 on certificate rows: drop certificates whose lower-case organisation, normalised like
+    a host and with an eTLD+1, equals one of the certificate's normalised CN/SAN hosts."""
+    c = registered_domain(_with_cert_flags(certs), "org_host", psl, out="org_domain")
+    keep = F.col("org_host").isNull() | (F.col("org_domain") == "")
+    return c.filter(keep).drop("names", "n_names", "no_names_error", "org_host", "org_domain")
+
+
+def no_names_error(certs: DataFrame) -> DataFrame:
+    """F6 flag on certificate rows: no mapping would be produced and a name failed registration."""
+    return _with_cert_flags(certs).drop("names", "n_names", "org_host")

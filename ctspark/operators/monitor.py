@@ -134,3 +134,8 @@ def transfer_rate(samples: DataFrame, key: str = "key", ts: str = "ts", nbytes:
     rate = F.coalesce(F.last("__raw", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0.0))
     last = F.row_number().over(Window.partitionBy(key).orderBy(F.col(ts).desc(), F.col(order).desc())) == 1
     return d.withColumn("rate_mbps", F.round(rate, 6)).withColumn("completed", last).drop("__raw")
+
+
+def endpoint_rate(samples: DataFrame, window_s: int = 60, bucket_s: int | None = None) -> DataFrame:
+    """Per-endpoint rate in entries per minute over the trailing window."""
+    return rolling_rate(samples, window_s, part=["endpoint"], bucket_s=bucket_s, per_minute=True)

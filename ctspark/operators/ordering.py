@@ -157,3 +157,8 @@ def running_total(df: DataFrame, part: list[str], order: list[str], bucket, valu
 def progress_marks(df: DataFrame, part: str, order: str, bucket, interval: int = 100_000) -> DataFrame:
     """The rows at every ``interval``-th processed entry of each part (file)."""
     return positions(df, [part], [order], bucket).filter(F.col("position") % interval == 0)
+
+
+def next_index(df: DataFrame, idx: str = "log_index", start: int = 0, batch_size: int = DEFAULT_BATCH) -> DataFrame:
+    """T2 for batch runs: the next index to fetch = end of the committed contiguous prefix + 1."""
+    return contiguous_prefix(df, idx, start, batch_size).select("next_index")

@@ -159,3 +159,7 @@ def bucket_stats(objects: DataFrame, pending: DataFrame, current: DataFrame, fet
         F.round(safe_div(F.col("processed_files"), F.col("total_files")) * 100, 6).alias("success_rate"),
         F.round(safe_div(F.col("failed_files"), F.col("total_files")) * 100, 6).alias("failure_rate"),
     )
+
+
+# the survey's name for the P15 compact form
+compact_stats = stats_string

@@ -36,10 +36,17 @@ def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
         return spark.createDataFrame([], L.LEDGER_SCHEMA)
 
 
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
 def relative_output_name(key, root: str, fmt: str):
     """Output name from the key relative to the input root ('.gz' dropped, format extension
-    added); keeping the sub-path avoids collisions between equal basenames."""
-    rel = F.regexp_replace(key, "^" + root.rstrip("/").replace(".", r"\.") + "/?", "")
+    added); keeping the sub-path avoids collisions between equal basenames.  File-system
+    schemes (file:, hdfs://host, s3a://bucket) are ignored on both sides."""
+    import re
+
+    root_path = re.sub(_SCHEME, "", root).rstrip("/")
+    rel = F.regexp_replace(F.regexp_replace(key, _SCHEME, ""), "^" + re.escape(root_path) + "/?", "")
     rel = F.regexp_replace(rel, r"\.gz\z", "")
     return F.concat(rel, F.lit(OUTPUT_EXT.get(fmt, ".json")))
 

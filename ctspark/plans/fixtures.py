@@ -133,6 +133,11 @@ def _ct_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ct_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
+    """D1 as get-entries pages: one JSON document per `page_size` indexes, start = first index."""
+    return materialize(spark, sf_dir, f"ct_pages_{page_size}", lambda: _ct_pages(spark, sf_dir, page_size))
+
+
+def _ct_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
     """D1 as get-entries pages: one JSON document per `page_size` indexes, start = first index."""
     e = ct_entries(spark, sf_dir)
     page = (F.col("log_index") / page_size).cast("long") * page_size
@@ -149,6 +154,11 @@ def ct_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFram
 
 
 def batch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, doc_id, line) - batch-file lines with grammar faults at fixed residues."""
+    return materialize(spark, sf_dir, "batch_lines", lambda: _batch_lines(spark, sf_dir))
+
+
+def _batch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(file, doc_id, line) - batch-file lines with grammar faults at fixed residues."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     i = F.col("doc_id")
@@ -164,6 +174,11 @@ def batch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 listing: (key, size, etag, last_modified)."""
+    return materialize(spark, sf_dir, "objects", lambda: _objects(spark, sf_dir))
+
+
+def _objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3 listing: (key, size, etag, last_modified)."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars")
     i = F.col("doc_id")
@@ -190,6 +205,11 @@ LEDGER_FAILURES = [
 
 
 def ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 ledger: append-only (key, etag, size, event_ts, seq, status, error_msg)."""
+    return materialize(spark, sf_dir, "ledger_events", lambda: _ledger_events(spark, sf_dir))
+
+
+def _ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3 ledger: append-only (key, etag, size, event_ts, seq, status, error_msg)."""
     o = objects(spark, sf_dir)
     i = F.col("doc_id")
@@ -216,6 +236,11 @@ def ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One fetch attempt per event."""
+    return materialize(spark, sf_dir, "fetch_log", lambda: _fetch_log(spark, sf_dir))
+
+
+def _fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One fetch attempt per event."""
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     i = F.col("event_id")
@@ -254,6 +279,11 @@ ERROR_CASES = [
 
 
 def errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(sequence, ts, message, context, kind, attempt, source_file)."""
+    return materialize(spark, sf_dir, "errors", lambda: _errors(spark, sf_dir))
+
+
+def _errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sequence, ts, message, context, kind, attempt, source_file)."""
     e = read_table(spark, sf_dir, "events").select("event_id", "ts")
     i = F.col("event_id")

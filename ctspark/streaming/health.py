@@ -87,3 +87,7 @@ def health_stream(fetch: DataFrame, max_failures: int = DEFAULT_MAX_FAILURES, se
 
     d = fetch.select("endpoint", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), F.col(seq_col).alias("seq"), "kind", "success")
     return d.groupBy("endpoint").applyInPandasWithState(_make_fn(max_failures), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+
+
+# the survey's name for T8
+endpoint_health_stream = health_stream

@@ -58,3 +58,20 @@ def test_filters_and_domains(spark, psl):
 def test_cn_repeated_as_san_not_deduplicated(spark, psl):
     rows, _ = run(spark, psl, [cert([("O", "Org"), ("CN", "a.example.com")], ["a.example.com"])])
     assert len(rows) == 2
+
+
+def test_certificate_level_filters(spark, psl):
+    from ctspark.operators.mappings import certificates, drop_self_referential, filter_org, no_names_error
+
+    certs = [
+        cert([("O", "Domain Control Validated"), ("CN", "a.example.com")]),
+        cert([("O", "b.example.net"), ("CN", "www.b.example.net")], ["b.example.net"]),
+        cert([("O", "Org"), ("CN", "c.example.com")]),
+        cert([("O", "Org")], [" "]),
+    ]
+    c = certificates(lines(spark, certs))
+    kept = filter_org(c)
+    assert sorted(r.sequence_number for r in kept.collect()) == [1, 2, 3]
+    assert sorted(r.sequence_number for r in drop_self_referential(kept, psl).collect()) == [2, 3]
+    flags = {r.sequence_number: r.no_names_error for r in no_names_error(kept).collect()}
+    assert flags == {1: False, 2: False, 3: True}

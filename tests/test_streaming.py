@@ -92,3 +92,33 @@ def test_ct_source_resumes_from_checkpoint(spark, tmp_path):
     assert sorted(got) == list(range(0, 100)) + list(range(200, 300))
     assert len(got) == len(set(got))
     assert os.path.exists(ck)
+
+
+def test_extraction_stream_processes_new_files_once(spark, psl, tmp_path):
+    import base64
+    import gzip
+
+    from derutil import cert
+
+    from ctspark.streaming.extract_stream import start_extraction_stream
+
+    src = tmp_path / "in"
+    src.mkdir()
+
+    def put(name, seqs):
+        with gzip.open(src / name, "wt") as fh:
+            for s in seqs:
+                fh.write(f"{s} {base64.b64encode(cert([('O', 'Org'), ('CN', f'h{s}.example.com')])).decode()}\n")
+
+    put("a.gz", [1, 2])
+    put("b.GZ", [3])
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    start_extraction_stream(spark, str(src), out, ck, psl=psl).awaitTermination()
+    schema = "domain string, name string, organization string, source string, sequence_number long, output_name string"
+    first = sorted((r.sequence_number, r.domain) for r in spark.read.schema(schema).json(out).collect())
+    assert first == [(1, "example.com"), (2, "example.com"), (3, "example.com")]
+    put("c.gz", [4])
+    start_extraction_stream(spark, str(src), out, ck, psl=psl).awaitTermination()
+    rows = spark.read.schema(schema).json(out).collect()
+    assert sorted(r.sequence_number for r in rows) == [1, 2, 3, 4]
+    assert {r.output_name for r in rows} == {"a.jsonl", "b.GZ.jsonl", "c.jsonl"}
