@@ -74,14 +74,21 @@ def process_bucket(
     if not paths:
         return {"total_files": total, "pending_files": 0, "status": None}
     lines = read_batch_lines(spark, paths)
-    parsed = parse_lines(lines, mode="abort_file")
-    file_err = parsed.filter(F.col("error").isNotNull()).groupBy("file").agg(F.min_by("error", "line_id").alias("file_error"))
-    ok = parsed.filter(F.col("error").isNull()).select("file", "sequence_number", "certificate_data")
+    parsed = parse_lines(lines)
+    # a file fails at its first bad line; the lines before it are still processed
+    file_err = parsed.filter(F.col("error").isNotNull()).groupBy("file").agg(
+        F.min_by("error", "line_id").alias("file_error"), F.min("line_id").alias("first_bad")
+    )
+    ok = (
+        parsed.join(file_err, "file", "left")
+        .filter(F.col("error").isNull() & (F.col("first_bad").isNull() | (F.col("line_id") < F.col("first_bad"))))
+        .select("file", "sequence_number", "certificate_data")
+    )
     mappings, _status = extract(ok, psl, keep=("file",))
     out = mappings.withColumn("output_name", relative_output_name(F.col("file"), input_path, fmt)).drop("file", "position")
     write_per_source(out, output_path, fmt)
     events = (
-        pending.join(file_err.withColumnRenamed("file", "key"), "key", "left")
+        pending.join(file_err.select(F.col("file").alias("key"), "file_error"), "key", "left")
         .select(
             "key",
             "etag",
