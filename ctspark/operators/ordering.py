@@ -29,19 +29,23 @@ def batch_summary(df: DataFrame, idx: str = "log_index", batch_size: int = DEFAU
 
 
 def contiguous_prefix(df: DataFrame, idx: str = "log_index", start: int = 0, batch_size: int = DEFAULT_BATCH) -> DataFrame:
-    """One row (start, committed, next_index): the longest run start, start+1, ... present.
+    """One row (start, committed_through, committed_entries, next_index) for the longest
+    run start, start+1, ... of present indexes.
 
-    Batches are aligned on ``start``.  The first batch that is incomplete or absent is found with
-    aggregates and an anti-join on batch ids; the run length inside it is the first missing
-    offset, found with a row_number over that single batch.
+    Batches are aligned on ``start``.  The first batch that is incomplete, or that is missing,
+    is found by one ordered pass over the per-batch table (rows / N); the run length inside
+    it is the first missing offset, found with a row number over that single batch (<= N rows).
     """
     d = df.select(F.col(idx).alias("i")).filter(F.col("i") >= start).distinct()
     d = d.withColumn("b", F.floor((F.col("i") - start) / batch_size).cast("long"))
     per = d.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
-    incomplete = per.filter(F.col("n") < batch_size).select("b")
-    nxt = per.select((F.col("b") + 1).alias("b")).join(per.select("b"), "b", "left_anti")
-    zero = per.filter(F.col("b") == 0).agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") == 0).select(F.lit(0).cast("long").alias("b"))
-    first_bad = incomplete.unionByName(nxt).unionByName(zero).agg(F.min("b").alias("fb"))
+    wb = Window.orderBy("b")
+    prev = F.coalesce(F.lag("b").over(wb), F.lit(-1))
+    # a batch absent between prev and b makes prev + 1 the first bad batch
+    cand = F.when(F.col("b") != prev + 1, prev + 1).when(F.col("n") < batch_size, F.col("b"))
+    marks = per.select(cand.alias("c"), F.col("b"))
+    first_bad = marks.agg(F.coalesce(F.min("c"), F.max("b") + 1, F.lit(0)).cast("long").alias("fb"))
+    # one row, so the broadcast is bounded
     inside = d.join(F.broadcast(first_bad), d["b"] == first_bad["fb"], "inner").select("i", "fb")
     w = Window.partitionBy("fb").orderBy("i")
     off = inside.withColumn("o", F.col("i") - start - F.col("fb") * batch_size).withColumn("rn", F.row_number().over(w) - 1)
