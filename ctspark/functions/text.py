@@ -14,15 +14,23 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _edge_space(c: Column) -> Column:
+    """First or last character is white space: a constant-time test on the two end characters,
+    so long values that need no trimming never reach a regular expression."""
+    return F.substring(c, 1, 1).rlike(GO_SPACE_CLASS) | F.substring(c, -1, 1).rlike(GO_SPACE_CLASS)
+
+
 def go_trim(c) -> Column:
     """Trim leading and trailing Unicode white space (Spark's trim only removes blanks)."""
-    return F.regexp_replace(col_(c), rf"^{GO_SPACE_CLASS}+|{GO_SPACE_CLASS}+\z", "")
+    c = col_(c)
+    trimmed = F.regexp_replace(F.regexp_replace(c, rf"^{GO_SPACE_CLASS}+", ""), rf"{GO_SPACE_CLASS}+\z", "")
+    return F.when(_edge_space(c), trimmed).otherwise(c)
 
 
 def is_blank(c) -> Column:
-    """True when the value is null or only white space."""
+    """True when the value is null or only white space (first character checked first)."""
     c = col_(c)
-    return c.isNull() | (go_trim(c) == F.lit(""))
+    return c.isNull() | (F.length(c) == 0) | (F.substring(c, 1, 1).rlike(GO_SPACE_CLASS) & c.rlike(rf"^{GO_SPACE_CLASS}+\z"))
 
 
 def nz(c, default="") -> Column:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.encoding import base64_error, decode_base64_strict
+from ..functions.encoding import B64_SHAPE, ERR_BAD_BASE64, ERR_DATA_EMPTY, ERR_DECODED_EMPTY, strip_crlf
 from ..functions.text import go_trim, is_blank
 from .hosts import PublicSuffixTable, normalize_host_ascii, registered_domain
 from .x509 import extract_cert_fields
@@ -113,12 +113,25 @@ def certificates(
 
     ``keep`` names extra input columns (e.g. the source file) carried to the outputs."""
     lines = spread(lines.select(*keep, seq_col, data_col), min_partitions)
-    entry_err = validate_entry(F.col(seq_col), F.col(data_col))
-    b64_err = base64_error(F.col(data_col), lenient_base64)
-    d = lines.select(
+    # staged projections: each regular expression runs once per row
+    data = F.col(data_col)
+    d = lines.select(*keep, F.col(seq_col).alias("sequence_number"), data.alias("__data"), is_blank(data).alias("__blank"))
+    clean = strip_crlf(F.col("__data"))
+    if lenient_base64:
+        clean = F.regexp_replace(clean, r"[ \t]", "")
+    d = d.select(*keep, "sequence_number", "__data", "__blank", F.when(~F.col("__blank"), clean).alias("__clean"))
+    d = d.select(*keep, "sequence_number", "__data", "__blank", "__clean", (F.col("__clean").rlike(B64_SHAPE) & (F.length("__clean") % 4 == 0)).alias("__valid"))
+    entry_err = validate_entry(F.col("sequence_number"), F.col("__data"))
+    decoded = F.when(F.col("__valid"), F.unbase64("__clean"))
+    b64_err = (
+        F.when(F.col("__blank"), F.lit(ERR_DATA_EMPTY))
+        .when(~F.coalesce(F.col("__valid"), F.lit(False)), F.lit(ERR_BAD_BASE64))
+        .when(F.length(decoded) == 0, F.lit(ERR_DECODED_EMPTY))
+    )
+    d = d.select(
         *keep,
-        F.col(seq_col).alias("sequence_number"),
-        F.when(entry_err.isNull() & b64_err.isNull(), decode_base64_strict(F.col(data_col), lenient_base64)).alias("der"),
+        "sequence_number",
+        F.when(entry_err.isNull() & b64_err.isNull(), decoded).alias("der"),
         F.when(entry_err.isNotNull(), F.concat(F.lit(ERR_INVALID_ENTRY + ": "), entry_err)).otherwise(b64_err).alias("decode_error"),
     )
     return subject_org(extract_cert_fields(d, "der", idna=True))
