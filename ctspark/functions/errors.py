@@ -6,11 +6,29 @@ order of the tests matters.  The pattern lists below are the fixed values the ru
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import col_
 
+
+def _memo(fn):
+    """Reuse the (large, unresolved) rule expression when called again with the same column
+    names: building it costs hundreds of driver round trips, evaluating it costs nothing extra."""
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args, **kw):
+        if kw or not all(isinstance(a, str) for a in args):
+            return fn(*args, **kw)
+        if args not in cache:
+            cache[args] = fn(*args)
+        return cache[args]
+
+    return wrapper
+
 # ---- fixed values ------------------------------------------------------------------------
 # Error types
 FILE, PARSING, PROCESSING, OUTPUT, NETWORK, MEMORY = "FILE", "PARSING", "PROCESSING", "OUTPUT", "NETWORK", "MEMORY"
@@ -96,6 +114,7 @@ def _low(c) -> Column:
     return F.lower(F.coalesce(col_(c), F.lit("")))
 
 
+@_memo
 def classify_error(message, context) -> Column:
     """Error type from message and context; null message -> UNKNOWN."""
     m, x = _low(message), _low(context)
@@ -119,6 +138,7 @@ def classify_error(message, context) -> Column:
     )
 
 
+@_memo
 def classify_s3_error(message, operation) -> Column:
     """Object-store classification, falling back to E1 with the operation as context."""
     m, o = _low(message), _low(operation)
@@ -175,6 +195,7 @@ def is_auth_error(message) -> Column:
     return F.coalesce(_any(_low(message), AUTH) & col_(message).isNotNull(), F.lit(False))
 
 
+@_memo
 def error_action(message, operation, kind, attempt) -> Column:
     """RETRY / SKIP / FAIL / WAIT by handler kind (s3, download, processing, state)."""
     m = _low(message)
@@ -271,6 +292,7 @@ HINTS = {
 }
 
 
+@_memo
 def error_hint(message, error_type) -> Column:
     """Guidance text by type and keyword."""
     m, t = _low(message), col_(error_type)

@@ -552,7 +552,7 @@ def _errs(spark, sf_dir):
 
 @query("classify_error", O.with_(O.ERRORS) + f"SELECT sequence, {O.ETYPE} AS error_type FROM errs")
 def q_classify_error(spark, sf_dir):
-    return _errs(spark, sf_dir).select("sequence", E.classify_error(F.col("message"), F.col("context")).alias("error_type"))
+    return _errs(spark, sf_dir).select("sequence", E.classify_error("message", "context").alias("error_type"))
 
 
 @query("classify_s3_error", O.with_(O.ERRORS) + f"SELECT sequence, {O.classify_s3_sql(O.EL, O.EX)} AS s3_type FROM errs")
@@ -591,7 +591,7 @@ def q_error_flags(spark, sf_dir):
 @query("error_action", O.with_(O.ERRORS) + f"SELECT sequence, {O.action_sql(O.EL, O.EX, 'kind', 'attempt')} AS action FROM errs")
 def q_error_action(spark, sf_dir):
     e = _errs(spark, sf_dir)
-    return e.select("sequence", E.error_action(F.col("message"), F.col("context"), F.col("kind"), F.col("attempt")).alias("action"))
+    return e.select("sequence", E.error_action("message", "context", "kind", "attempt").alias("action"))
 
 
 @query("retry_delay", O.with_(O.ERRORS) + f"SELECT sequence, round({O.delay_sql('attempt', O.classify_s3_sql(O.EL, O.EX))}, 6) AS delay_s FROM errs")
