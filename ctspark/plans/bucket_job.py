@@ -30,10 +30,12 @@ def listing_with_fingerprint(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
-    try:
+    """The ledger event table; empty on the first run."""
+    from ..session import path_exists
+
+    if path_exists(spark, ledger_path):
         return spark.read.schema(L.LEDGER_SCHEMA).parquet(ledger_path)
-    except Exception:  # noqa: BLE001 - first run: no ledger yet
-        return spark.createDataFrame([], L.LEDGER_SCHEMA)
+    return spark.createDataFrame([], L.LEDGER_SCHEMA)
 
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import der
 from ..functions.encoding import base64_line
 from ..operators.leaf import decode_leaf
-from ..session import ensure_checkpoint_dir, read_table
+from ..session import ensure_checkpoint_dir, path_exists, read_table
 
 _MATERIALIZED: dict = {}
 
@@ -34,10 +34,7 @@ def materialize(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame
     """
     path = fixture_path(spark, sf_dir, name)
     if path not in _MATERIALIZED:
-        try:
-            df = spark.read.parquet(path)
-            df.schema  # noqa: B018 - forces the existence check
-        except Exception:  # noqa: BLE001 - not written yet
+        if not path_exists(spark, f"{path}/_SUCCESS"):
             build().write.mode("overwrite").parquet(path)
         _MATERIALIZED[path] = True
     return spark.read.parquet(path)

@@ -115,6 +115,13 @@ class CtLogDataSource(DataSource):
 
 
 def register(spark) -> None:
+    """Register ``ct_log``.  The source's planner runs in its own Python process, which does
+    not see files added with ``addPyFile``, so this module is pickled by value."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(CtLogDataSource)
 
 
