@@ -116,24 +116,19 @@ def registered_domain(df: DataFrame, host_col: str, psl: PublicSuffixTable, out:
     """
     L = psl.max_labels
     tmp = f"__h_{out}"
-    labels = F.split(F.col(tmp), r"\.", -1)
-    n = F.size(labels)
     flags = list(range(1, L + 1))
-    # candidate suffixes in one projection, then one broadcast lookup per length; the same
-    # broadcast relation under an alias per level, so the exchange can be reused
-    d = df.select("*", F.col(host_col).alias(tmp))
+    # staged: labels are split once, candidates built once, the suffix length computed once
+    d = df.select("*", F.col(host_col).alias(tmp), F.split(F.col(host_col), r"\.", -1).alias("__labels"))
+    labels = F.col("__labels")
+    n = F.size(labels)
     d = d.select("*", *[F.when(n >= j, F.array_join(F.slice(labels, -j, j), ".")).alias(f"__c{j}") for j in flags])
+    # one broadcast lookup per candidate length; the same relation under an alias per level
     for j in flags:
         d = d.join(psl.df.alias(f"__r{j}"), F.col(f"__c{j}") == F.col(f"__r{j}.key"), "left")
-    d = d.select(
-        *[F.col(c) for c in df.columns],
-        F.col(tmp),
-        *[F.col(f"__r{j}.{f}").alias(f"__{p}{j}") for j in flags for f, p in (("is_exact", "e"), ("is_wild", "w"), ("is_exc", "x"))],
-    )
     # every level reads the same columns, so the per-level broadcasts are one reused exchange
-    exc_terms = [F.when(F.col(f"__x{j}"), F.lit(j - 1)) for j in flags]
-    rule_terms = [F.when(F.col(f"__e{j}"), F.lit(j)) for j in flags] + [
-        F.when(F.col(f"__w{j}") & (n >= j + 1), F.lit(j + 1)) for j in flags
+    exc_terms = [F.when(F.col(f"__r{j}.is_exc"), F.lit(j - 1)) for j in flags]
+    rule_terms = [F.when(F.col(f"__r{j}.is_exact"), F.lit(j)) for j in flags] + [
+        F.when(F.col(f"__r{j}.is_wild") & (n >= j + 1), F.lit(j + 1)) for j in flags
     ]
 
     def greatest(terms):
@@ -142,13 +137,11 @@ def registered_domain(df: DataFrame, host_col: str, psl: PublicSuffixTable, out:
         return terms[0] if len(terms) == 1 else F.greatest(*terms)
 
     suffix_len = F.coalesce(greatest(exc_terms), greatest(rule_terms), F.lit(1))
-    h = F.col(tmp)
+    d = d.select(*[F.col(c) for c in df.columns], F.col(tmp), labels, suffix_len.alias("__sl"))
+    h, sl, n = F.col(tmp), F.col("__sl"), F.size(F.col("__labels"))
     bad = h.isNull() | (h == "") | h.startswith(".") | h.endswith(".") | h.contains("..")
-    dom = F.when(~bad & (n > suffix_len), F.array_join(F.slice(labels, -(suffix_len + 1), suffix_len + 1), ".")).otherwise(
-        F.lit("")
-    )
-    drop = [tmp] + [f"__{p}{j}" for j in flags for p in ("e", "w", "x")]
-    return d.withColumn(out, dom).drop(*drop)
+    dom = F.when(~bad & (n > sl), F.array_join(F.slice(F.col("__labels"), -(sl + 1), sl + 1), ".")).otherwise(F.lit(""))
+    return d.select(*[F.col(c) for c in df.columns], dom.alias(out))
 
 
 # ---- P11-P13 -----------------------------------------------------------------------------

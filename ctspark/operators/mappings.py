@@ -138,18 +138,19 @@ def certificates(
 
 
 def _with_cert_flags(c: DataFrame) -> DataFrame:
+    # staged: the names array is built once, the flags read it
+    c = c.select("*", _names_array().alias("names"), F.coalesce(F.col("org_idna"), normalize_host_ascii(F.col("organization"))).alias("__org_host"))
     org = F.col("organization")
-    names = _names_array()
+    names = F.col("names")
     n_emit = F.size(F.filter(names, lambda x: x["name"] != ""))
     # nothing emitted but at least one name failed registration.  A blank name has no dot,
     # hence never an eTLD+1, so the error exists exactly when a blank SAN is present.
     no_names_err = (n_emit == 0) & F.exists(names, lambda x: x["name"] == "")
     # organisation that is its own lower-case form and equals one of the normalised names
-    org_host = F.coalesce(F.col("org_idna"), normalize_host_ascii(org))
+    org_host = F.col("__org_host")
     self_candidate = (org == F.lower(org)) & F.exists(names, lambda x: x["host"] == org_host)
     return c.select(
-        "*",
-        names.alias("names"),
+        *[x for x in c.columns if x != "__org_host"],
         n_emit.alias("n_names"),
         no_names_err.alias("no_names_error"),
         F.when(self_candidate, org_host).alias("org_host"),
@@ -163,23 +164,23 @@ def extract(lines: DataFrame, psl: PublicSuffixTable, keep: tuple = (), observat
     and the reason a certificate produced no rows (no_org, dcv, self_referential).
     """
     c = _with_cert_flags(certificates(lines, keep=keep, **kw))
+    # eTLD+1 of the organisation host, only for certificates where it could cause a drop
+    c = registered_domain(c, "org_host", psl, out="org_domain")
     parse_failed = F.col("decode_error").isNotNull() | F.col("parse_error").isNotNull()
     org = F.col("organization")
     no_org = (org == "") | (org == DCV_ORG)
-    # eTLD+1 of the organisation host, only for certificates where it could cause a drop
-    c = registered_domain(c, "org_host", psl, out="org_domain")
     self_ref = F.col("org_host").isNotNull() & (F.col("org_domain") != "")
-    status = (
-        F.when(parse_failed, F.lit("parse"))
-        .when(no_org, F.lit("ok"))
-        .when(F.col("no_names_error"), F.lit("extract"))
-        .otherwise(F.lit("ok"))
+    stage = F.when(parse_failed, F.lit("parse")).when(no_org, F.lit("ok")).when(F.col("no_names_error"), F.lit("extract")).otherwise(F.lit("ok"))
+    reason = (
+        F.when(parse_failed, F.lit(None))
+        .when(org == "", F.lit("no_org"))
+        .when(org == DCV_ORG, F.lit("dcv"))
+        .when(F.col("no_names_error"), F.lit(None))
+        .when(self_ref, F.lit("self_referential"))
     )
-    reason = F.when(parse_failed, F.lit(None)).when(org == "", F.lit("no_org")).when(org == DCV_ORG, F.lit("dcv")).when(
-        F.col("no_names_error"), F.lit(None)
-    ).when(self_ref, F.lit("self_referential"))
-    emitted = F.when(status.isin("parse", "extract") | reason.isNotNull(), F.lit(0)).otherwise(F.col("n_names"))
-    c = c.withColumn("stage", status).withColumn("skip_reason", reason).withColumn("mappings_emitted", emitted)
+    c = c.select("*", stage.alias("stage"), reason.alias("skip_reason"))
+    emitted = F.when(F.col("stage").isin("parse", "extract") | F.col("skip_reason").isNotNull(), F.lit(0)).otherwise(F.col("n_names"))
+    c = c.select("*", emitted.alias("mappings_emitted"))
     if observation is not None:
         # A1 counters collected as a side effect of writing the mappings: no second pass
         c = c.observe(

@@ -8,7 +8,7 @@ line numbers of the progress report need.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import go_trim, is_blank
@@ -47,21 +47,37 @@ def parse_lines(df: DataFrame, col: str = "value", mode: str = "quarantine", fil
     lines of a file from its first bad line on (the earlier rows are kept), as the reference
     does.  Over-long lines (>= 1 MiB) are an error of their own.
     """
+    # The grammar is LINE_RE; it is evaluated with short expressions anchored at the start of
+    # the line (digits, then the blank run), so a long certificate is never scanned by a regex.
+    # Staged projections: every expression below is computed once per line.
     v = F.col(col)
-    m = F.regexp_extract(v, LINE_RE, 1)
-    rest = F.regexp_extract(v, LINE_RE, 2)
-    matched = v.rlike(LINE_RE)
-    seq = F.expr(f"try_cast(regexp_extract({col}, '{LINE_RE.replace(chr(92), chr(92) * 2)}', 1) AS BIGINT)")
-    data = go_trim(rest)
+    d = df.select(
+        "*",
+        F.regexp_extract(v, r"^([0-9]+)", 1).alias("__digits"),
+        F.regexp_extract(v, r"^[0-9]+([\t\n\f\r ]+)", 1).alias("__blanks"),
+        (F.octet_length(v) >= MAX_LINE_BYTES).alias("__long"),
+        is_blank(v).alias("__blank"),
+    )
+    nd, nb = F.length("__digits"), F.length("__blanks")
+    rest = F.substring(v, nd + nb + 1, MAX_LINE_BYTES)
+    d = d.select("*", rest.alias("__rest"), F.expr("try_cast(__digits AS BIGINT)").alias("__seq"))
+    # '.+' needs one character: with nothing after the blanks the last blank is taken as data
+    nr = F.length("__rest")
+    matched = (nd > 0) & (nb > 0) & ((nr > 0) | (nb > 1))
+    d = d.select("*", matched.alias("__matched"), go_trim(F.when(nr > 0, F.col("__rest")).otherwise(F.substring("__blanks", -1, 1))).alias("__data"))
     err = (
-        F.when(F.octet_length(v) >= MAX_LINE_BYTES, F.lit("line too long"))
-        .when(is_blank(v), F.lit(ERR_EMPTY))
-        .when(~matched, F.lit(ERR_FORMAT))
-        .when(seq.isNull(), F.concat(F.lit(ERR_SEQUENCE + " '"), m, F.lit("'")))
-        .when(data == "", F.lit(ERR_DATA))
+        F.when(F.col("__long"), F.lit("line too long"))
+        .when(F.col("__blank"), F.lit(ERR_EMPTY))
+        .when(~F.col("__matched"), F.lit(ERR_FORMAT))
+        .when(F.col("__seq").isNull(), F.concat(F.lit(ERR_SEQUENCE + " '"), F.col("__digits"), F.lit("'")))
+        .when(F.col("__data") == "", F.lit(ERR_DATA))
     )
-    out = df.withColumn("error", err).withColumn("sequence_number", F.when(err.isNull(), seq)).withColumn(
-        "certificate_data", F.when(err.isNull(), data)
+    d = d.select("*", err.alias("error"))
+    out = d.select(
+        *df.columns,
+        "error",
+        F.when(F.col("error").isNull(), F.col("__seq")).alias("sequence_number"),
+        F.when(F.col("error").isNull(), F.col("__data")).alias("certificate_data"),
     )
     if mode == "abort_file":
         first_bad = out.filter(F.col("error").isNotNull()).groupBy(file_col).agg(F.min(order_col).alias("__first_bad"))
@@ -110,6 +126,3 @@ def write_batch_fixture(df: DataFrame, path: str, file_col: str = "file", line_c
         .text(path)
     )
 
-
-def latest_window(df: DataFrame) -> Window:  # pragma: no cover - kept for API symmetry
-    return Window.partitionBy("file").orderBy("line_id")
