@@ -45,7 +45,20 @@ def decode_leaf(df: DataFrame, leaf_col: str = "leaf_input", extra_col: str = "e
     df = df.select(*others, decode_base64_strict(F.col(leaf_col)).alias("__leaf"), decode_base64_strict(F.col(extra_col)).alias("__extra"))
     leaf, extra = F.col("__leaf"), F.col("__extra")
     n, entry_type, payload_len, payload_start, exact = _leaf_parts(leaf)
-    pre_len = be_uint(extra, 1, 3)
+    # staged: the header fields are read once, the slices and checks refer to them
+    df = df.select(
+        *others,
+        "__leaf",
+        "__extra",
+        n.alias("__n"),
+        entry_type.alias("__type"),
+        payload_len.alias("__plen"),
+        payload_start.alias("__pstart"),
+        exact.alias("__exact"),
+        be_uint(extra, 1, 3).alias("__prelen"),
+    )
+    n, entry_type, payload_len, payload_start = F.col("__n"), F.col("__type"), F.col("__plen"), F.col("__pstart")
+    pre_len = F.col("__prelen")
     pre_ok = F.length(extra) >= pre_len + 3
     der = (
         F.when(entry_type == 0, F.substring(leaf, payload_start, payload_len))
@@ -55,16 +68,17 @@ def decode_leaf(df: DataFrame, leaf_col: str = "leaf_input", extra_col: str = "e
         F.when(leaf.isNull(), F.lit(ERR_BAD_LEAF_B64))
         .when(n < 12, F.lit(ERR_TRUNCATED))
         .when(~entry_type.isin(0, 1), F.lit(ERR_UNSUPPORTED))
-        .when(~exact, F.lit(ERR_TRUNCATED))
+        .when(~F.col("__exact"), F.lit(ERR_TRUNCATED))
         .when((entry_type == 1) & extra.isNull(), F.lit(ERR_BAD_EXTRA_B64))
         .when((entry_type == 1) & ~pre_ok, F.lit(ERR_TRUNCATED))
     )
+    df = df.select(*others, "__leaf", "__n", "__type", der.alias("__der"), error.alias("error"))
     return df.select(
         *others,
-        F.when(n >= 12, be_uint(leaf, 3, 8)).alias("timestamp_ms"),
-        F.when(n >= 12, entry_type).alias("entry_type"),
-        F.when(error.isNull(), der).alias("der"),
-        error.alias("error"),
+        F.when(F.col("__n") >= 12, be_uint(F.col("__leaf"), 3, 8)).alias("timestamp_ms"),
+        F.when(F.col("__n") >= 12, F.col("__type")).alias("entry_type"),
+        F.when(F.col("error").isNull(), F.col("__der")).alias("der"),
+        "error",
     )
 
 
