@@ -1,11 +1,14 @@
 """K1-K7 sinks: mapping table to json / jsonl / csv / text, CT batch files, per-source outputs.
 
 All writers are distributed DataFrame writes (one part file per task); none gathers the
-result on the driver.  Run statistics go to a side directory next to the rows.
+result on the driver.  Run statistics go to a side directory next to the rows.  The one
+exception is the opt-in single-document JSON form, which meets in one task behind a row bound.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,13 +101,57 @@ def write_batches(entries: DataFrame, path: str, batch_size: int = 100_000, idx:
 def write_per_source(df: DataFrame, path: str, fmt: str = "jsonl", source_col: str = "output_name") -> None:
     """K6: one output per input file, partitioned by its output name; a re-run overwrites only
     the partitions it produces (dynamic partition overwrite), so it is idempotent."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    w = _valid(df).write.mode("overwrite").partitionBy(source_col)
     f = fmt.lower()
+    if f in ("txt", "text"):
+        out = _valid(df).select(source_col, format_mapping(df, with_seq=True).alias("value"))
+    elif f == "csv":
+        out = _valid(df)
+    else:
+        out = _omit_empty_ou(_valid(df))
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(source_col)
     if f == "csv":
         w.option("header", "true").option("escape", '"').csv(path)
     elif f in ("txt", "text"):
-        _valid(df).select(source_col, format_mapping(df, with_seq=True).alias("value")).write.mode("overwrite").partitionBy(source_col).text(path)
+        w.text(path)
     else:
-        _omit_empty_ou(_valid(df)).write.mode("overwrite").partitionBy(source_col).option("ignoreNullFields", "true").json(path)
+        w.option("ignoreNullFields", "true").json(path)
+
+
+def _go_json(c):
+    """JSON text of a value with the HTML characters escaped the way Go's encoder does."""
+    j = F.to_json(F.array(c))
+    j = F.regexp_replace(F.regexp_replace(F.regexp_replace(j, "<", "\\\\u003c"), ">", "\\\\u003e"), "&", "\\\\u0026")
+    return F.regexp_replace(F.regexp_replace(j, r"^\[", ""), r"\]\z", "")
+
+
+def write_json_document(df: DataFrame, path: str, stats: dict | None = None, max_rows: int = 1_000_000) -> None:
+    """K1 single-document form: {"mappings": [...], "stats": {...}} with 2-space indentation,
+    ``organizational_unit`` omitted when empty and HTML characters escaped.
+
+    The document is one file, so all rows meet in one task: the row count is checked against
+    ``max_rows`` first and the distributed ``write_json`` is the form to use beyond it.
+    """
+    rows = _valid(df).select(*MAPPING_COLUMNS)
+    n = rows.count()
+    if n > max_rows:
+        raise ValueError(f"{n} mappings exceed the single-document bound of {max_rows}; use write_json")
+    fields = [
+        F.concat(F.lit('      "domain": '), _go_json(F.col("domain"))),
+        F.concat(F.lit('      "name": '), _go_json(F.col("name"))),
+        F.concat(F.lit('      "organization": '), _go_json(F.col("organization"))),
+        F.when(F.col("organizational_unit") != "", F.concat(F.lit('      "organizational_unit": '), _go_json(F.col("organizational_unit")))),
+        F.concat(F.lit('      "source": '), _go_json(F.col("source"))),
+        F.concat(F.lit('      "sequence_number": '), F.col("sequence_number").cast("string")),
+    ]
+    obj = F.concat(F.lit("    {\n"), F.concat_ws(",\n", *fields), F.lit("\n    }"))
+    st = stats or {}
+    stats_txt = "{\n" + ",\n".join(f'    "{k}": {json.dumps(v)}' for k, v in st.items()) + "\n  }" if st else "{}"
+    doc = rows.select(F.col("sequence_number"), obj.alias("o")).agg(
+        F.concat(
+            F.lit('{\n  "mappings": ['),
+            F.when(F.count(F.lit(1)) > 0, F.concat(F.lit("\n"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("sequence_number", "o"))), lambda x: x["o"]), ",\n"), F.lit("\n  "))).otherwise(F.lit("")),
+            F.lit('],\n  "stats": ' + stats_txt + "\n}"),
+        ).alias("value")
+    )
+    doc.coalesce(1).write.mode("overwrite").text(path)
+

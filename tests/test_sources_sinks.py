@@ -52,3 +52,36 @@ def test_entry_smoke(spark):
     assert df.columns == ["domain", "name", "organization", "organizational_unit", "source", "sequence_number"]
     assert df.count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_json_document(spark, tmp_path):
+    from ctspark.sinks.writers import write_json_document
+
+    df = spark.createDataFrame(MAPS + [("example.org", "a.example.org", "A <&> B", "", "SAN", 3)], SCHEMA)
+    write_json_document(df, str(tmp_path / "doc"), stats={"TotalProcessed": 3, "Errors": 0})
+    text = "".join(open(p).read() for p in sorted((tmp_path / "doc").glob("part-*")))
+    doc = json.loads(text)
+    assert [m["sequence_number"] for m in doc["mappings"]] == [1, 1, 3]
+    assert doc["stats"]["TotalProcessed"] == 3
+    assert "\\u003c\\u0026\\u003e" in text and '\n  "mappings": [\n    {\n      "domain"' in text
+    assert sum("organizational_unit" in m for m in doc["mappings"]) == 1
+    with pytest.raises(ValueError):
+        write_json_document(df, str(tmp_path / "big"), max_rows=1)
+
+
+def test_batches_in_index_order(spark, tmp_path):
+    import gzip
+    import random
+
+    from ctspark.sinks.writers import write_batches
+
+    idx = list(range(0, 250))
+    random.Random(1).shuffle(idx)
+    df = spark.createDataFrame([(i, bytes([i % 256, 1, 2])) for i in idx], "log_index long, der binary").repartition(5)
+    write_batches(df, str(tmp_path / "b"), batch_size=100, mode="overwrite")
+    dirs = sorted((tmp_path / "b").glob("batch_start=*"))
+    assert [d.name for d in dirs] == ["batch_start=0", "batch_start=100", "batch_start=200"]
+    for d in dirs:
+        lines = [l for p in sorted(d.glob("*.gz")) for l in gzip.open(p, "rt").read().splitlines()]
+        nums = [int(l.split(" ")[0]) for l in lines]
+        assert nums == sorted(nums) and len(nums) == (50 if d.name.endswith("200") else 100)
