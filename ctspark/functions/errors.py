@@ -196,11 +196,13 @@ def is_auth_error(message) -> Column:
 
 
 @_memo
-def error_action(message, operation, kind, attempt) -> Column:
-    """RETRY / SKIP / FAIL / WAIT by handler kind (s3, download, processing, state)."""
+def error_action(message, operation, kind, attempt, s3_type=None, proc_type=None) -> Column:
+    """RETRY / SKIP / FAIL / WAIT by handler kind (s3, download, processing, state).
+
+    ``s3_type`` / ``proc_type`` take precomputed classifications (see ``errlog.error_actions``)."""
     m = _low(message)
     k = F.lower(F.coalesce(col_(kind), F.lit("")))
-    s3_type = classify_s3_error(message, operation)
+    s3_type = col_(s3_type) if s3_type is not None else classify_s3_error(message, operation)
     s3 = (
         F.when(is_rate_limit(message), F.lit("WAIT"))
         .when(is_auth_error(message), F.lit("FAIL"))
@@ -213,7 +215,7 @@ def error_action(message, operation, kind, attempt) -> Column:
         .when(is_retryable(message, F.lit(S3_DOWNLOAD)), F.when(is_rate_limit(message), F.lit("WAIT")).otherwise(F.lit("RETRY")))
         .otherwise(F.lit("SKIP"))
     )
-    ptype = classify_error(message, F.lit("processing"))
+    ptype = col_(proc_type) if proc_type is not None else classify_error(message, F.lit("processing"))
     processing = (
         F.when(ptype == MEMORY, F.lit("WAIT"))
         .when(ptype == FILE, F.lit("RETRY"))

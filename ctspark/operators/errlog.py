@@ -17,6 +17,18 @@ def classify(errors: DataFrame) -> DataFrame:
     return errors.withColumn("error_type", E.classify_error(F.col("message"), F.col("context")))
 
 
+def error_actions(errors: DataFrame, message: str = "message", operation: str = "context", kind: str = "kind", attempt: str = "attempt") -> DataFrame:
+    """E7 over an error table, staged: the two classifications are computed once per row in
+    their own projection and the action reads them (a much smaller expression to plan)."""
+    staged = errors.select(
+        "*",
+        E.classify_s3_error(message, operation).alias("__s3_type"),
+        E.classify_error(F.col(message), F.lit("processing")).alias("__proc_type"),
+    )
+    act = E.error_action(F.col(message), F.col(operation), F.col(kind), F.col(attempt), s3_type="__s3_type", proc_type="__proc_type")
+    return staged.select(*errors.columns, act.alias("action"))
+
+
 def error_summary(errors: DataFrame) -> DataFrame:
     """A4: count per error type plus a grand-total row (error_type null), via rollup."""
     return classify(errors).rollup("error_type").agg(F.count(F.lit(1)).alias("errors"))

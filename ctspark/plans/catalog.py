@@ -590,7 +590,7 @@ def q_error_flags(spark, sf_dir):
 @query("error_action", O.with_(O.ERRORS) + f"SELECT sequence, {O.action_sql(O.EL, O.EX, 'kind', 'attempt')} AS action FROM errs")
 def q_error_action(spark, sf_dir):
     e = _errs(spark, sf_dir)
-    return e.select("sequence", E.error_action("message", "context", "kind", "attempt").alias("action"))
+    return errlog.error_actions(e).select("sequence", "action")
 
 
 @query("retry_delay", O.with_(O.ERRORS) + f"SELECT sequence, round({O.delay_sql('attempt', O.classify_s3_sql(O.EL, O.EX))}, 6) AS delay_s FROM errs")
