@@ -86,7 +86,7 @@ def q_decode_leaf(spark, sf_dir):
 
 @query(
     "leaf_payload",
-    """SELECT c_custkey AS log_index, CASE WHEN c_custkey % 12 = 7 THEN NULL WHEN c_custkey % 12 = 6 THEN 1 ELSE 0 END AS entry_type,
+    """SELECT c_custkey AS log_index, CAST(CASE WHEN c_custkey % 12 = 7 THEN NULL WHEN c_custkey % 12 = 6 THEN 1 ELSE 0 END AS BIGINT) AS entry_type,
   c_custkey % 12 <> 7 AS payload_present,
   CASE WHEN c_custkey % 12 = 7 THEN 'unsupported log entry type' END AS error
 FROM customer""",
@@ -786,7 +786,7 @@ def q_progress_eta(spark, sf_dir):
 @query(
     "transfer_rate",
     O.with_(O.FETCH)
-    + """, s AS (SELECT endpoint AS key, ts, event_id, sum(bytes) OVER (PARTITION BY endpoint ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS bytes_done FROM flog),
+    + """, s AS (SELECT endpoint AS key, ts, event_id, CAST(sum(bytes) OVER (PARTITION BY endpoint ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS bytes_done FROM flog),
 r AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) > 0 THEN (bytes_done - lag(bytes_done) OVER w) / 1048576.0 / ((epoch_us(ts) - epoch_us(lag(ts) OVER w)) / 1e6) END AS raw,
   row_number() OVER (PARTITION BY key ORDER BY ts DESC, event_id DESC) = 1 AS completed FROM s WINDOW w AS (PARTITION BY key ORDER BY ts, event_id))
 SELECT key, event_id, bytes_done, round(coalesce(last_value(raw IGNORE NULLS) OVER (PARTITION BY key ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 0.0), 6) AS rate_mbps, completed FROM r""",
