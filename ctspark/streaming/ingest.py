@@ -52,7 +52,7 @@ REORDER_OUT = "log string, batch_start long, log_index long, line string"
 REORDER_STATE = "next long, idx array<long>, lines array<string>"
 
 
-def _release(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
+def _release(key, pdfs: Iterator[pd.DataFrame], state: GroupState, batch_size: int | None = None):
     log, batch_start = key
     if state.exists:
         nxt, idx, lines = state.get
@@ -69,7 +69,10 @@ def _release(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         out_l.append(buf.pop(nxt))
         nxt += 1
     keys = sorted(buf)
-    state.update((nxt, keys, [buf[k] for k in keys]))
+    if batch_size is not None and nxt >= int(batch_start) + batch_size:
+        state.remove()  # batch complete: nothing more can arrive for it
+    else:
+        state.update((nxt, keys, [buf[k] for k in keys]))
     yield pd.DataFrame({"log": [log] * len(out_i), "batch_start": [int(batch_start)] * len(out_i), "log_index": out_i, "line": out_l})
 
 
@@ -77,4 +80,8 @@ def reorder_stream(stream: DataFrame, batch_size: int = 100_000) -> DataFrame:
     """Release (log, batch_start, log_index, line) rows in index order within each batch,
     holding out-of-order rows in state until their predecessors arrive."""
     keyed = stream.withColumn("batch_start", F.col("log_index") - F.pmod(F.col("log_index"), F.lit(batch_size)))
-    return keyed.groupBy("log", "batch_start").applyInPandasWithState(_release, REORDER_OUT, REORDER_STATE, "append", GroupStateTimeout.NoTimeout)
+
+    def release(key, pdfs, state):
+        return _release(key, pdfs, state, batch_size)
+
+    return keyed.groupBy("log", "batch_start").applyInPandasWithState(release, REORDER_OUT, REORDER_STATE, "append", GroupStateTimeout.NoTimeout)

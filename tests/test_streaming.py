@@ -122,3 +122,23 @@ def test_extraction_stream_processes_new_files_once(spark, psl, tmp_path):
     rows = spark.read.schema(schema).json(out).collect()
     assert sorted(r.sequence_number for r in rows) == [1, 2, 3, 4]
     assert {r.output_name for r in rows} == {"a.jsonl", "b.GZ.jsonl", "c.jsonl"}
+
+
+def test_reorder_state_removed_when_batch_complete():
+    import pandas as pd
+
+    from ctspark.streaming.ingest import _release
+
+    class FakeState:
+        def __init__(self):
+            self.exists, self.get, self.removed = False, None, False
+
+        def update(self, v):
+            self.exists, self.get = True, v
+
+        def remove(self):
+            self.exists, self.removed = False, True
+
+    st = FakeState()
+    out = list(_release(("log0", 10), iter([pd.DataFrame({"log_index": [12, 11, 10], "line": ["c", "b", "a"]})]), st, batch_size=3))[0]
+    assert out["log_index"].tolist() == [10, 11, 12] and st.removed
