@@ -44,7 +44,7 @@ def main() -> None:
     # derived inputs, written once to the checkpoint folder, and the public-suffix table
     fx.ct_entries(spark, sf_dir).count()
     n_lines = fx.ct_lines(spark, sf_dir).count()
-    for derive in (fx.ct_pages, fx.batch_lines, fx.objects, fx.ledger_events, fx.fetch_log, fx.errors):
+    for derive in (fx.ct_pages, fx.batch_lines, fx.objects, fx.ledger_events, fx.fetch_log, fx.errors, fx.samples, fx.global_samples):
         derive(spark, sf_dir)
     default_psl(spark)
     # one small run starts the Python workers and compiles the plans (reported separately)

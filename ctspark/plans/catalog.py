@@ -749,8 +749,7 @@ _RATE = """(CASE WHEN count(*) OVER w < 2 OR (epoch_us(ts) - epoch_us(min(ts) OV
 
 
 def _global_samples(spark, sf_dir):
-    e = read_table(spark, sf_dir, "events").select("ts", "event_id")
-    return ordering.positions(e, [], ["ts", "event_id"], F.date_trunc("day", F.col("ts"))).withColumnRenamed("position", "value")
+    return fx.global_samples(spark, sf_dir)
 
 
 @query(

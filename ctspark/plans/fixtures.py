@@ -301,6 +301,22 @@ def _errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-endpoint monotone counters (endpoint, ts, event_id, value = running count)."""
+    return materialize(spark, sf_dir, "samples", lambda: _samples(spark, sf_dir))
+
+
+def global_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D6 global series: (ts, event_id, value = running count over all events)."""
+    return materialize(spark, sf_dir, "global_samples", lambda: _global_samples(spark, sf_dir))
+
+
+def _global_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.ordering import positions
+
+    e = read_table(spark, sf_dir, "events").select("ts", "event_id")
+    return positions(e, [], ["ts", "event_id"], F.date_trunc("day", F.col("ts"))).withColumnRenamed("position", "value")
+
+
+def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.ordering import positions
 
     f = fetch_log(spark, sf_dir).select("endpoint", "ts", "event_id")
