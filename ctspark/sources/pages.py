@@ -5,15 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.encoding import base64_valid
 from ..operators.hosts import clean_log_name
 
 PAGE_SCHEMA = "struct<entries:array<struct<leaf_input:string,extra_data:string>>>"
-_B64 = r"^[A-Za-z0-9+/]*={0,2}\z"
 
 
 def _b64_ok(c):
-    s = F.regexp_replace(c, r"[\r\n]", "")
-    return c.isNull() | (s.rlike(_B64) & (F.length(s) % 4 == 0))
+    return c.isNull() | base64_valid(c)
 
 
 def explode_entries(pages: DataFrame, json_col: str = "json", start_col: str = "start") -> DataFrame:
