@@ -75,3 +75,12 @@ def test_certificate_level_filters(spark, psl):
     assert sorted(r.sequence_number for r in drop_self_referential(kept, psl).collect()) == [2, 3]
     flags = {r.sequence_number: r.no_names_error for r in no_names_error(kept).collect()}
     assert flags == {1: False, 2: False, 3: True}
+
+
+def test_non_ascii_common_name(spark, psl):
+    rows, status = run(spark, psl, [cert([("O", "Org"), ("CN", " Bücher.Example.COM ")], ["shop.example.com"])])
+    assert ("example.com", "Bücher.Example.COM", "Org", "", "CN", 0) in rows
+    assert ("example.com", "shop.example.com", "Org", "", "SAN", 0) in rows
+    # an organisation equal to the IDNA form of a name is self-referential
+    rows2, status2 = run(spark, psl, [cert([("O", "bücher.example.com"), ("CN", "Bücher.example.com")])])
+    assert rows2 == [] and status2[0].skip_reason == "self_referential"
