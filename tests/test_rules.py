@@ -112,3 +112,75 @@ def test_strict_base64(spark):
         assert r.e == r.err and r.m == r.n
     lenient = spark.createDataFrame([("QU JD",)], "s string").select(base64_error(F.col("s"), lenient=True).alias("e")).first()
     assert lenient.e is None
+
+
+def test_line_grammar_against_regex(spark):
+    """parse_lines (anchored expressions) against the grammar as one regular expression."""
+    import random
+    import re
+
+    from ctspark.functions.idna_host import GO_SPACE
+
+    rnd = random.Random(5)
+    alphabet = ["1", "2", "0", "9", " ", " ", "\t", "\r", "a", "Z", "=", "+", "-", "\x0b", "　"]
+    lines = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(0, 9))) for _ in range(3000)]
+    lines += ["12 ", "12  ", "12 \t", "9223372036854775807 x", "9223372036854775808 x", "00012 x"]
+
+    def expected(line):
+        if line.strip(GO_SPACE) == "":
+            return ("line is empty", None, None)
+        m = re.fullmatch(r"([0-9]+)[\t\n\f\r ]+(.+)", line)
+        if not m:
+            return ("format", None, None)
+        seq = int(m.group(1))
+        if seq > 2**63 - 1:
+            return ("sequence", None, None)
+        data = m.group(2).strip(GO_SPACE)
+        if data == "":
+            return ("certificate data is empty", None, None)
+        return (None, seq, data)
+
+    df = spark.createDataFrame([(i, l) for i, l in enumerate(lines)], "i int, value string")
+    got = {r.i: r for r in parse_lines(df).collect()}
+    for i, line in enumerate(lines):
+        e = expected(line)
+        r = got[i]
+        kind = None if r.error is None else ("format" if r.error.startswith("line does not match") else "sequence" if r.error.startswith("invalid sequence") else r.error)
+        assert (kind, r.sequence_number, r.certificate_data) == e, (repr(line), r)
+
+
+def test_strict_base64_against_python_decoder(spark):
+    import base64
+    import binascii
+    import random
+
+    from ctspark.functions.encoding import base64_error, decode_base64_strict
+
+    rnd = random.Random(9)
+    alphabet = "QUJDabc019+/=" + "\r\n !"
+    values = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(1, 13))) for _ in range(3000)]
+
+    def expected(v):
+        if v.strip() == "":
+            return "empty"
+        s = v.replace("\r", "").replace("\n", "")
+        # padding only at the end, then the standard strict decoder
+        if "=" in s.rstrip("="):
+            return None
+        try:
+            out = base64.b64decode(s, validate=True)
+        except (binascii.Error, ValueError):
+            return None
+        return out
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = {r.i: r for r in df.select("i", base64_error(F.col("v")).alias("e"), decode_base64_strict(F.col("v")).alias("d")).collect()}
+    for i, v in enumerate(values):
+        e = expected(v)
+        r = got[i]
+        if e == "empty":
+            assert r.e == "certificate data is empty", repr(v)
+        elif e is None:
+            assert r.e == "failed to decode base64 certificate data", repr(v)
+        else:
+            assert bytes(r.d) == e and (r.e is None or (len(e) == 0 and r.e.startswith("decoded"))), repr(v)
