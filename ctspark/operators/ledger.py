@@ -65,34 +65,54 @@ _ENTRY = "struct<key:string,etag:string,size:bigint,processed_at:string,error_ms
 _DOC = f"struct<processed_files:map<string,{_ENTRY}>,failed_files:map<string,{_ENTRY}>,last_updated:string,version:string>"
 
 
+# RFC 3339 timestamp shape.
+RFC3339 = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})\z"
+
+
+def _rfc3339(c):
+    return F.when(c.rlike(RFC3339), F.try_to_timestamp(c))
+
+
 def ledger_recover(docs: DataFrame, col: str = "value") -> DataFrame:
     """Legacy JSON ledger documents -> ledger events.
 
-    A document that is not a JSON object gives no rows (the run starts empty).  A parseable
-    document without a version keeps each entry that has key, etag, a valid RFC 3339 time and
-    size >= 0.  Entries are exploded per document, so many documents are handled in parallel.
+    A well-formed document (both maps present, a version, every given time in RFC 3339) is
+    taken whole.  Otherwise, as in recovery, each entry is kept only when it has a non-blank
+    key and etag, size >= 0 (absent = 0) and a valid RFC 3339 time; a document that is not a
+    JSON object gives no rows.  Entries are exploded per document, so many documents are
+    handled in parallel.
     """
     parsed = docs.select(F.from_json(F.col(col), _DOC, {"mode": "PERMISSIVE"}).alias("d"))
+    times_ok = lambda m: F.forall(F.map_values(m), lambda e: e["processed_at"].isNull() | _rfc3339(e["processed_at"]).isNotNull())
+    whole = (
+        F.col("d").isNotNull()
+        & F.col("d.processed_files").isNotNull()
+        & F.col("d.failed_files").isNotNull()
+        & (F.coalesce(F.col("d.version"), F.lit("")) != "")
+        & times_ok(F.col("d.processed_files"))
+        & times_ok(F.col("d.failed_files"))
+    )
+    parsed = parsed.select("d", whole.alias("whole"))
     rows = []
     for status, field in (("processed", "processed_files"), ("failed", "failed_files")):
         rows.append(
-            parsed.select(F.explode(F.coalesce(F.col(f"d.{field}"), F.create_map().cast(f"map<string,{_ENTRY}>"))).alias("k", "e"), F.col("d.version").alias("version")).select(
+            parsed.select(F.explode(F.coalesce(F.col(f"d.{field}"), F.create_map().cast(f"map<string,{_ENTRY}>"))).alias("k", "e"), "whole").select(
                 F.col("e.key").alias("key"),
                 F.col("e.etag").alias("etag"),
-                F.col("e.size").alias("size"),
-                F.try_to_timestamp(F.col("e.processed_at")).alias("event_ts"),
+                F.coalesce(F.col("e.size"), F.lit(0)).alias("size"),
+                _rfc3339(F.col("e.processed_at")).alias("event_ts"),
                 F.lit(1 if status == "processed" else 2).alias("seq"),
                 F.lit(status).alias("status"),
                 F.coalesce(F.col("e.error_msg"), F.lit("")).alias("error_msg"),
-                "version",
+                "whole",
             )
         )
     out = rows[0].unionByName(rows[1])
-    valid = ~is_blank("key") & ~is_blank("etag") & F.col("event_ts").isNotNull() & (F.coalesce(F.col("size"), F.lit(-1)) >= 0)
-    return out.filter(F.col("version").isNotNull() | valid).filter(valid).drop("version")
+    valid = ~is_blank("key") & ~is_blank("etag") & F.col("event_ts").isNotNull() & (F.col("size") >= 0)
+    return out.filter(F.col("whole") | valid).drop("whole")
 
 
-def plan_retries(events: DataFrame, now_col=None) -> DataFrame:
+def plan_retries(events: DataFrame) -> DataFrame:
     """For every currently failed file: error type, attempt (failures so far), retryable,
     next action, delay (no jitter) and next attempt time."""
     current = ledger_apply(events)

@@ -53,9 +53,12 @@ def test_download_stats(spark):
 def test_ledger_recover(spark):
     good = '{"processed_files":{"a":{"key":"a","etag":"e1","size":3,"processed_at":"2024-01-01T00:00:00Z"}},"failed_files":{"b":{"key":"b","etag":"e2","size":0,"processed_at":"2024-01-01T00:00:00Z","error_msg":"x"}}}'
     bad_entry = '{"processed_files":{"c":{"key":"","etag":"e","size":1,"processed_at":"nope"}},"version":"1.0"}'
-    df = spark.createDataFrame([(good,), (bad_entry,), ('{"processed_files": {"a"',)], "value string")
+    whole = '{"processed_files":{"w":{"key":"","etag":"e","size":1}},"failed_files":{},"version":"1.0"}'
+    df = spark.createDataFrame([(good,), (bad_entry,), ('{"processed_files": {"a"',), (whole,)], "value string")
     out = sorted((r.key, r.status) for r in ledger.ledger_recover(df).collect())
-    assert out == [("a", "processed"), ("b", "failed")]
+    # no version: recovered entry by entry; bad time: recovery drops the entry; truncated: nothing;
+    # a well-formed document is taken whole, as loaded
+    assert out == [("", "processed"), ("a", "processed"), ("b", "failed")]
 
 
 def test_human_units(spark):
