@@ -81,9 +81,12 @@ def write_mappings(df: DataFrame, path: str, fmt: str, stats: DataFrame | None =
         write_text(df, path, mode)
 
 
-def write_batches(entries: DataFrame, path: str, batch_size: int = 100_000, idx: str = "log_index", der: str = "der", mode: str = "append") -> None:
+def write_batches(entries: DataFrame, path: str, batch_size: int = 100_000, idx: str = "log_index", der: str = "der", mode: str = "append", log_name: str | None = None) -> None:
     """K5: '<index> <base64 DER>' lines, one gzip directory per batch of N consecutive indexes,
-    lines in index order.  The only shuffle is by batch; rows are sorted inside each batch."""
+    lines in index order, under ``<log_name>/certs`` when a (clean) log name is given.  The only
+    shuffle is by batch; rows are sorted inside each batch."""
+    if log_name:
+        path = f"{path.rstrip('/')}/{log_name}/certs"
     b = assign_batches(entries.select(idx, der), idx, batch_size)
     line = F.concat(F.col(idx).cast("string"), F.lit(" "), base64_line(F.col(der)))
     (

@@ -85,3 +85,37 @@ def reorder_stream(stream: DataFrame, batch_size: int = 100_000) -> DataFrame:
         return _release(key, pdfs, state, batch_size)
 
     return keyed.groupBy("log", "batch_start").applyInPandasWithState(release, REORDER_OUT, REORDER_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def start_ingest_to_batches(
+    spark: SparkSession,
+    log_dir: str,
+    out_path: str,
+    checkpoint: str,
+    batch_size: int = 100_000,
+    continuous: bool = False,
+    interval: str = "5 minutes",
+    **kw,
+):
+    """T1 + K5: the ingest stream written as '<index> <base64>' gzip batch files.
+
+    Each micro-batch appends its part files under ``batch_start=<n>`` (lines in index order
+    inside every part file), so a resumed run adds to a partial batch instead of truncating it.
+    """
+    from ..sinks.writers import write_batches
+
+    def run_batch(df: DataFrame, epoch_id: int) -> None:
+        ok = df.filter(F.col("error").isNull())
+        write_batches(ok.select("log_index", "der"), out_path, batch_size=batch_size, mode="append")
+
+    register(spark)
+    raw = (
+        spark.readStream.format("ct_log")
+        .option("path", log_dir)
+        .option("download_size", str(kw.get("download_size", 1000)))
+        .option("max_entries_per_trigger", str(kw.get("max_entries_per_trigger", 0)))
+        .load()
+    )
+    w = decode_leaf(raw).writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(processingTime=interval) if continuous else w.trigger(availableNow=True)
+    return w.start()

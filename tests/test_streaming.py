@@ -142,3 +142,28 @@ def test_reorder_state_removed_when_batch_complete():
     st = FakeState()
     out = list(_release(("log0", 10), iter([pd.DataFrame({"log_index": [12, 11, 10], "line": ["c", "b", "a"]})]), st, batch_size=3))[0]
     assert out["log_index"].tolist() == [10, 11, 12] and st.removed
+
+
+def test_ingest_to_batch_files(spark, tmp_path):
+    import base64
+    import gzip
+    import json
+
+    from derutil import cert, x509_leaf
+
+    from ctspark.streaming.ingest import start_ingest_to_batches
+
+    log = tmp_path / "log"
+    entries = [{"leaf_input": base64.b64encode(x509_leaf(cert([("O", "Org"), ("CN", f"h{i}.example.com")]))).decode(), "extra_data": ""} for i in range(100)]
+    spark.createDataFrame([(0, json.dumps({"entries": entries}))], "start long, json string").write.partitionBy("start").text(str(log / "pages"))
+    with open(log / "sth.json", "w") as fh:
+        json.dump({"tree_size": 100}, fh)
+    out = tmp_path / "batches"
+    start_ingest_to_batches(spark, str(log), str(out), str(tmp_path / "ck"), batch_size=40, download_size=30).awaitTermination()
+    dirs = sorted(out.glob("batch_start=*"), key=lambda p: int(p.name.split("=")[1]))
+    assert [d.name for d in dirs] == ["batch_start=0", "batch_start=40", "batch_start=80"]
+    for d in dirs:
+        nums = [int(l.split(" ")[0]) for p in sorted(d.glob("*.gz")) for l in gzip.open(p, "rt").read().splitlines()]
+        assert nums == sorted(nums)
+        start = int(d.name.split("=")[1])
+        assert nums == list(range(start, min(start + 40, 100)))
