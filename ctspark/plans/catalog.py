@@ -1002,3 +1002,16 @@ def q_sink_json(spark, sf_dir):
     # the run's counters arrive with the write; they are one small row
     spark.createDataFrame([obs.get]).write.mode("overwrite").json(f"{path}/stats")
     return spark.read.schema("domain string, name string, organization string, organizational_unit string, source string, sequence_number long").json(f"{path}/mappings")
+
+
+@query("stream_batches", "SELECT c_custkey AS log_index, c_custkey - c_custkey % 100 AS batch_start FROM customer WHERE c_custkey % 12 <> 7")
+def q_stream_batches(spark, sf_dir):
+    """T1 + K5: the CT log streamed into gzip batch files, read back with S1/S2."""
+    import uuid
+
+    from ..streaming.ingest import start_ingest_to_batches
+
+    base = fx.fixture_path(spark, sf_dir, f"stream_batches_{uuid.uuid4().hex}")
+    start_ingest_to_batches(spark, _log_dir(spark, sf_dir), f"{base}/out", f"{base}/ckpt", batch_size=100, download_size=256).awaitTermination()
+    back = parse_lines(read_batch_lines(spark, f"{base}/out", recursive=True))
+    return back.select(F.col("sequence_number").alias("log_index"), F.regexp_extract("file", r"batch_start=(\d+)", 1).cast("long").alias("batch_start"))
