@@ -94,6 +94,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     if df.isStreaming:
         return df
+    # after a shuffle the partition count is already the shuffle's; asking an adaptive plan for
+    # its partitions would run the shuffle stages, so only scan-only plans are inspected
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
