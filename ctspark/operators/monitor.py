@@ -118,22 +118,37 @@ def endpoint_health(fetch_log: DataFrame, max_failures: int = DEFAULT_MAX_FAILUR
     return out.withColumn("healthy", F.col("consecutive_failures") < max_failures).drop("__b", "__succ_sofar", "__rn", "__local", "carry")
 
 
-def transfer_rate(samples: DataFrame, key: str = "key", ts: str = "ts", nbytes: str = "bytes_done", order: str = "event_id") -> DataFrame:
-    """Per file, MB/s between consecutive byte counters; a zero time step keeps the earlier
-    rate; 0 before the first measurable step; the last sample of a file is flagged completed.
-
-    One window per file: a file's progress samples are bounded by its size (use
-    ``ordering.running_total`` to build the byte counters of long series).
+def transfer_rate(
+    samples: DataFrame, key: str = "key", ts: str = "ts", nbytes: str = "bytes_done", order: str = "event_id", bucket_s: int = HEALTH_BUCKET_S
+) -> DataFrame:
+    """Per key (file), MB/s between consecutive byte counters; a zero time step keeps the
+    earlier rate; 0 before the first measurable step; the last sample of a key is flagged
+    completed.
+
+    Two-level, so a long series is not one task: ``lag`` and the running last rate work inside
+    (key, hour) windows, and a per-bucket table supplies each bucket's predecessor sample and
+    the rate carried in from earlier buckets.
     """
-    w = Window.partitionBy(key).orderBy(ts, order)
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    dt = (us - F.lag(us).over(w)) / 1e6
-    db = F.col(nbytes) - F.lag(nbytes).over(w)
-    raw = F.when(dt > 0, db / MIB / dt)
-    d = samples.withColumn("__raw", raw)
-    rate = F.coalesce(F.last("__raw", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0.0))
-    last = F.row_number().over(Window.partitionBy(key).orderBy(F.col(ts).desc(), F.col(order).desc())) == 1
-    return d.withColumn("rate_mbps", F.round(rate, 6)).withColumn("completed", last).drop("__raw")
+    d = samples.withColumn("__us", us).withColumn("__b", F.floor(F.col("__us") / (bucket_s * 1_000_000)).cast("long"))
+    per = d.groupBy(key, "__b").agg(F.max_by(F.struct("__us", F.col(nbytes).alias("nb")), F.struct("__us", order)).alias("__last"))
+    wb = Window.partitionBy(key).orderBy("__b")
+    per = per.select(key, "__b", "__last", F.lag("__last").over(wb).alias("__prev"), (F.row_number().over(Window.partitionBy(key).orderBy(F.col("__b").desc())) == 1).alias("__final"))
+    w = Window.partitionBy(key, "__b").orderBy("__us", order)
+    d = d.join(per.select(key, "__b", "__prev", "__final"), [key, "__b"])
+    prev_us = F.coalesce(F.lag("__us").over(w), F.col("__prev.__us"))
+    prev_nb = F.coalesce(F.lag(nbytes).over(w), F.col("__prev.nb"))
+    dt = (F.col("__us") - prev_us) / 1e6
+    d = d.withColumn("__raw", F.when(dt > 0, (F.col(nbytes) - prev_nb) / MIB / dt))
+    d = d.withColumn("__local", F.last("__raw", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    d = d.withColumn("__is_last", F.row_number().over(Window.partitionBy(key, "__b").orderBy(F.col("__us").desc(), F.col(order).desc())) == 1)
+    # the last measurable rate of each bucket, carried into later buckets
+    carry = d.groupBy(key, "__b").agg(F.max_by("__local", F.struct("__us", order)).alias("__blast"))
+    carry = carry.select(key, "__b", F.last("__blast", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"))
+    d = d.join(carry, [key, "__b"])
+    rate = F.coalesce(F.col("__local"), F.col("__carry"), F.lit(0.0))
+    out = d.withColumn("rate_mbps", F.round(rate, 6)).withColumn("completed", F.col("__final") & F.col("__is_last"))
+    return out.drop("__us", "__b", "__prev", "__final", "__raw", "__local", "__is_last", "__carry")
 
 
 def endpoint_rate(samples: DataFrame, window_s: int = 60, bucket_s: int | None = None) -> DataFrame:

@@ -82,7 +82,10 @@ def _make_fn(max_failures: int):
 
 
 def health_stream(fetch: DataFrame, max_failures: int = DEFAULT_MAX_FAILURES, seq_col: str = "event_id") -> DataFrame:
-    """T8 over a (streaming or batch) DataFrame (endpoint, ts, kind, success, event_id)."""
+    """T8 over a streaming DataFrame (endpoint, ts, kind, success, event_id).
+
+    ``applyInPandasWithState`` runs in streaming queries only; for a batch table the same
+    health figures come from W11 ``endpoint_health`` (two-level, no per-endpoint group)."""
     from pyspark.sql import functions as F
 
     d = fetch.select("endpoint", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), F.col(seq_col).alias("seq"), "kind", "success")

@@ -44,3 +44,33 @@ def test_plan_ranges(spark):
     r = [(x.start, x.end) for x in ordering.plan_ranges(spark, 10, 35, 10).orderBy("start").collect()]
     assert r == [(10, 19), (20, 29), (30, 34)]
     assert ordering.plan_ranges(spark, 5, 5, 10).count() == 0
+
+
+def test_transfer_rate_two_level_matches_single_window(spark):
+    import datetime as dt
+    import random
+
+    from pyspark.sql import Window
+
+    from ctspark.operators.monitor import MIB, transfer_rate
+
+    rnd = random.Random(4)
+    t0 = dt.datetime(2024, 1, 1)
+    rows, total = [], {"a": 0, "b": 0}
+    for i in range(600):
+        k = "a" if rnd.random() < 0.7 else "b"
+        total[k] += rnd.randrange(0, 5000)
+        step = rnd.choice([0, 7, 13, 40])  # zero steps keep the earlier rate
+        t0 = t0 + dt.timedelta(seconds=step)
+        rows.append((k, t0, i, total[k]))
+    df = spark.createDataFrame(rows, "key string, ts timestamp, event_id long, bytes_done long")
+    got = {(r.key, r.event_id): (r.rate_mbps, r.completed) for r in transfer_rate(df, bucket_s=60).collect()}
+    # single ordered window per key, as a plain reference
+    w = Window.partitionBy("key").orderBy("ts", "event_id")
+    us = F.unix_micros(F.col("ts"))
+    dts = (us - F.lag(us).over(w)) / 1e6
+    raw = F.when(dts > 0, (F.col("bytes_done") - F.lag("bytes_done").over(w)) / MIB / dts)
+    ref = df.withColumn("raw", raw).withColumn("r", F.coalesce(F.last("raw", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0.0)))
+    ref = ref.withColumn("c", F.row_number().over(Window.partitionBy("key").orderBy(F.col("ts").desc(), F.col("event_id").desc())) == 1)
+    want = {(r.key, r.event_id): (round(r.r, 6), r.c) for r in ref.collect()}
+    assert got == want
