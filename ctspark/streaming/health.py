@@ -71,7 +71,7 @@ def _make_fn(max_failures: int):
         yield pd.DataFrame(
             {
                 "endpoint": [endpoint] * len(out),
-                "ts": pd.to_datetime([o[0] for o in out], unit="us"),
+                "ts": pd.to_datetime([o[0] for o in out], unit="us", utc=True),
                 "state": [o[1] for o in out],
                 "failures": [int(o[2]) for o in out],
                 "cooldown_s": [int(o[3]) for o in out],
