@@ -41,3 +41,9 @@ def safe_div(num, den) -> Column:
     """num / den, 0.0 when den is 0 or null (the reference reports zero rates on empty input)."""
     num, den = col_(num), col_(den)
     return F.when(F.coalesce(den, F.lit(0)) == 0, F.lit(0.0)).otherwise(num.cast("double") / den.cast("double"))
+
+
+def wall_micros(c) -> Column:
+    """Microseconds since 1970-01-01 of a wall-clock timestamp (TIMESTAMP_NTZ event times),
+    independent of the session time zone, so elapsed times never shift across DST changes."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col_(c).cast("timestamp_ntz"))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import wall_micros
+
 MIB = 1024.0 * 1024.0
 # Latency histogram ceiling (60 s) and unhealthy threshold default.
 LATENCY_CEILING_MS = 60_000.0
@@ -64,7 +66,7 @@ def rolling_rate(samples: DataFrame, window_s: int = 60, part: list[str] | None
     duplicated at most once.  Buckets default to an hour (or the window, if longer)."""
     part = part or []
     bucket_s = max(bucket_s or 3600, window_s)
-    ts_us = F.unix_micros(F.col("ts").cast("timestamp"))
+    ts_us = wall_micros("ts")
     d = _with_overlap(samples.withColumn("__us", ts_us), F.col("__us"), window_s * 1_000_000, bucket_s * 1_000_000)
     # rangeBetween takes one order key; ties on the timestamp are ordered by event_id in min_by
     w = Window.partitionBy(*part, F.col("__bk.b")).orderBy("__us").rangeBetween(-window_s * 1_000_000, 0)
@@ -95,7 +97,7 @@ def endpoint_health(fetch_log: DataFrame, max_failures: int = DEFAULT_MAX_FAILUR
     is found from a per-bucket table: each bucket contributes its trailing failures (if it has
     a success) or all its rows (if it has none), summed back to the last bucket with a success.
     """
-    d = fetch_log.withColumn("__b", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / (bucket_s * 1_000_000)).cast("long"))
+    d = fetch_log.withColumn("__b", F.floor(wall_micros("ts") / (bucket_s * 1_000_000)).cast("long"))
     w = Window.partitionBy("endpoint", "__b").orderBy("ts", "event_id")
     d = d.withColumn("__succ_sofar", F.sum(F.col("success").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     d = d.withColumn("__rn", F.row_number().over(w))
@@ -129,7 +131,7 @@ def transfer_rate(
     (key, hour) windows, and a per-bucket table supplies each bucket's predecessor sample and
     the rate carried in from earlier buckets.
     """
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    us = wall_micros(ts)
     d = samples.withColumn("__us", us).withColumn("__b", F.floor(F.col("__us") / (bucket_s * 1_000_000)).cast("long"))
     per = d.groupBy(key, "__b").agg(F.max_by(F.struct("__us", F.col(nbytes).alias("nb")), F.struct("__us", order)).alias("__last"))
     wb = Window.partitionBy(key).orderBy("__b")

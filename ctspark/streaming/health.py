@@ -88,7 +88,9 @@ def health_stream(fetch: DataFrame, max_failures: int = DEFAULT_MAX_FAILURES, se
     health figures come from W11 ``endpoint_health`` (two-level, no per-endpoint group)."""
     from pyspark.sql import functions as F
 
-    d = fetch.select("endpoint", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), F.col(seq_col).alias("seq"), "kind", "success")
+    from ..functions.text import wall_micros
+
+    d = fetch.select("endpoint", wall_micros("ts").alias("ts_us"), F.col(seq_col).alias("seq"), "kind", "success")
     return d.groupBy("endpoint").applyInPandasWithState(_make_fn(max_failures), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
 
