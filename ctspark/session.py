@@ -32,7 +32,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("CTSPARK_DRIVER_MEMORY", "8g"))
+    builder = builder.config("spark.driver.memory", os.environ.get("CTSPARK_DRIVER_MEMORY", _default_driver_memory()))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -42,6 +42,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def _default_driver_memory() -> str:
+    """8 GB, or 60 % of the machine's memory when that is smaller (local runs only)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        return f"{max(1, min(8, int(total * 0.6 / 2**30)))}g"
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a scratch one only when the cluster gave none."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
