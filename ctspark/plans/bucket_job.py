@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import ledger as L
 from ..operators.hosts import OUTPUT_EXT, PublicSuffixTable, default_psl
 from ..operators.mappings import extract
-from ..operators.objects import filter_objects, list_objects
+from ..operators.objects import filter_objects, list_objects, verify_integrity
 from ..sinks.writers import write_per_source
 from ..sources.batch_files import parse_lines, read_batch_lines
 
@@ -64,17 +64,43 @@ def process_bucket(
     max_size: int = 0,
     psl: PublicSuffixTable | None = None,
     now: datetime | None = None,
+    manifest: DataFrame | None = None,
 ) -> dict:
+    """Run one incremental pass.  ``manifest`` (key, size, etag) replaces the metadata
+    fingerprint with real ETags; pending files are then checked with J2 (size, and MD5 for
+    single-part ETags) and a file that fails the check is recorded as failed, not read."""
     psl = psl or default_psl(spark)
     now = now or datetime.now(timezone.utc).replace(tzinfo=None)
-    listing = filter_objects(listing_with_fingerprint(spark, input_path), list(extensions), min_size, max_size)
+    listing = listing_with_fingerprint(spark, input_path)
+    if manifest is not None:
+        listing = listing.drop("etag", "size").join(manifest.select("key", "size", "etag"), "key")
+    listing = filter_objects(listing, list(extensions), min_size, max_size)
     current = L.ledger_apply(read_ledger(spark, ledger_path))
     pending = L.pending_files(listing, current).cache()
     # the file list is metadata the driver's file index holds anyway
     paths = [r.key for r in pending.select("key").collect()]
     total = listing.count()
-    if not paths:
+    bad = None
+    bad_keys: set = set()
+    if manifest is not None and paths:
+        # J2 on the pending files only: just their bytes are read for the MD5
+        facts = (
+            spark.read.format("binaryFile")
+            .load(paths)
+            .select(F.col("path").alias("key"), F.col("length").alias("actual_size"), F.md5("content").alias("actual_md5"))
+        )
+        checked = verify_integrity(pending.select("key", "size", "etag"), facts)
+        bad = checked.filter(~F.col("ok")).select(F.col("key").alias("file"), F.col("integrity_error").alias("file_error")).cache()
+        bad_keys = {r.file for r in bad.select("file").collect()}
+        paths = [p for p in paths if p not in bad_keys]
+    if not paths and not bad_keys:
+        pending.unpersist()
         return {"total_files": total, "pending_files": 0, "status": None}
+    if not paths:
+        events = _events(pending, bad, now)
+        events.write.mode("append").parquet(ledger_path)
+        pending.unpersist()
+        return {"total_files": total, "pending_files": len(bad_keys), "status": events}
     lines = read_batch_lines(spark, paths)
     parsed = parse_lines(lines)
     # a file fails at its first bad line; the lines before it are still processed
@@ -89,18 +115,23 @@ def process_bucket(
     mappings, _status = extract(ok, psl, keep=("file",))
     out = mappings.withColumn("output_name", relative_output_name(F.col("file"), input_path, fmt)).drop("file", "position")
     write_per_source(out, output_path, fmt)
-    events = (
-        pending.join(file_err.select(F.col("file").alias("key"), "file_error"), "key", "left")
-        .select(
-            "key",
-            "etag",
-            F.when(F.col("file_error").isNull(), F.col("size")).otherwise(F.lit(0)).cast("long").alias("size"),
-            F.lit(now).cast("timestamp").alias("event_ts"),
-            F.lit(1).alias("seq"),
-            F.when(F.col("file_error").isNull(), F.lit("processed")).otherwise(F.lit("failed")).alias("status"),
-            F.coalesce(F.col("file_error"), F.lit("")).alias("error_msg"),
-        )
-    )
+    errs = file_err.select("file", "file_error")
+    if bad is not None:
+        errs = errs.unionByName(bad)
+    events = _events(pending, errs, now)
     events.write.mode("append").parquet(ledger_path)
     pending.unpersist()
-    return {"total_files": total, "pending_files": len(paths), "status": events}
+    return {"total_files": total, "pending_files": len(paths) + len(bad_keys), "status": events}
+
+
+def _events(pending: DataFrame, file_err: DataFrame, now) -> DataFrame:
+    """T5 events of this run: processed, or failed with the file's first error."""
+    return pending.join(file_err.select(F.col("file").alias("key"), "file_error"), "key", "left").select(
+        "key",
+        "etag",
+        F.when(F.col("file_error").isNull(), F.col("size")).otherwise(F.lit(0)).cast("long").alias("size"),
+        F.lit(now).cast("timestamp").alias("event_ts"),
+        F.lit(1).alias("seq"),
+        F.when(F.col("file_error").isNull(), F.lit("processed")).otherwise(F.lit("failed")).alias("status"),
+        F.coalesce(F.col("file_error"), F.lit("")).alias("error_msg"),
+    )

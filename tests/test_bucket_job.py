@@ -35,3 +35,34 @@ def test_bucket_job_is_incremental(spark, psl, tmp_path):
     # second run: processed files are skipped, the failed one is retried
     r2 = process_bucket(spark, str(src), out, led, fmt="jsonl", psl=psl)
     assert r2["pending_files"] == 1
+
+
+def test_bucket_job_with_manifest_checks_integrity(spark, psl, tmp_path):
+    import hashlib
+
+    from ctspark.operators.objects import list_objects
+
+    src = tmp_path / "b"
+    src.mkdir()
+    good = lambda s: f"{s} {base64.b64encode(cert([('O', 'Org'), ('CN', f'h{s}.example.com')])).decode()}"
+    for name, seqs in (("ok.gz", [1]), ("badsize.gz", [2]), ("badmd5.gz", [3])):
+        with gzip.open(src / name, "wt") as fh:
+            fh.write("\n".join(good(s) for s in seqs) + "\n")
+    listing = {r.key.rsplit("/", 1)[-1]: r for r in list_objects(spark, str(src)).collect()}
+    md5 = {n: hashlib.md5((src / n).read_bytes()).hexdigest() for n in listing}
+    manifest = spark.createDataFrame(
+        [
+            (listing["ok.gz"].key, listing["ok.gz"].size, f'"{md5["ok.gz"]}"'),
+            (listing["badsize.gz"].key, listing["badsize.gz"].size + 1, md5["badsize.gz"]),
+            (listing["badmd5.gz"].key, listing["badmd5.gz"].size, "0" * 32),
+        ],
+        "key string, size long, etag string",
+    )
+    out, led = str(tmp_path / "out"), str(tmp_path / "ledger")
+    r = process_bucket(spark, str(src), out, led, psl=psl, manifest=manifest)
+    assert r["pending_files"] == 3
+    cur = {x.key.rsplit("/", 1)[-1]: x for x in L.ledger_apply(read_ledger(spark, led)).collect()}
+    assert cur["ok.gz"].status == "processed"
+    assert cur["badsize.gz"].status == "failed" and cur["badsize.gz"].error_msg.startswith("size mismatch")
+    assert cur["badmd5.gz"].status == "failed" and cur["badmd5.gz"].error_msg.startswith("MD5 mismatch")
+    assert [x.sequence_number for x in spark.read.json(out).collect()] == [1]
