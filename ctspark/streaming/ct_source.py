@@ -47,12 +47,16 @@ def _read_range(path: str, page_size: int, part: RangePartition):
                 for line in fh:
                     try:
                         entries = json.loads(line)["entries"]
+                        if not isinstance(entries, list):
+                            continue
                     except (ValueError, KeyError, TypeError):
                         continue
                     for pos, e in enumerate(entries):
                         idx = page_start + pos
-                        if part.start <= idx <= part.end:
-                            yield (idx, e.get("leaf_input"), e.get("extra_data"))
+                        # a malformed entry is skipped but still consumes its index
+                        if part.start <= idx <= part.end and isinstance(e, dict):
+                            leaf, extra = e.get("leaf_input"), e.get("extra_data")
+                            yield (idx, leaf if isinstance(leaf, str) else None, extra if isinstance(extra, str) else None)
 
 
 class CtLogBatchReader(DataSourceReader):
