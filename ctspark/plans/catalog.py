@@ -897,6 +897,33 @@ def q_reorder_stream(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").filter(F.col("line") != "").select("log", "log_index")
 
 
+# T8 as a recursive walk over each endpoint's calls and probes, in the order of the stream
+HEALTH_SQL = """
+SELECT endpoint, make_timestamp(out_us) AS ts, out_state AS state, CAST(failures AS INTEGER) AS failures, CAST(cooldown AS BIGINT) AS cooldown_s
+FROM (
+  WITH RECURSIVE st(endpoint, rn, healthy, failures, cooldown, next_probe, out_state, out_us) AS (
+    SELECT endpoint, CAST(0 AS BIGINT), true, 0, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT)
+    FROM (SELECT DISTINCT endpoint FROM r) e
+    UNION ALL
+    SELECT st.endpoint, r.rn,
+      CASE WHEN st.healthy THEN NOT (r.kind = 'call' AND NOT r.success AND st.failures + 1 >= 5)
+           ELSE (r.kind = 'probe' AND r.us >= st.next_probe AND r.success) END,
+      CASE WHEN st.healthy THEN (CASE WHEN r.kind <> 'call' THEN st.failures WHEN r.success THEN 0 ELSE st.failures + 1 END)
+           WHEN r.kind = 'probe' AND r.us >= st.next_probe AND r.success THEN 0 ELSE st.failures END,
+      CASE WHEN st.healthy THEN (CASE WHEN r.kind = 'call' AND NOT r.success AND st.failures + 1 >= 5 THEN 60 ELSE st.cooldown END)
+           WHEN r.kind = 'probe' AND r.us >= st.next_probe AND NOT r.success THEN least(st.cooldown * 2, 1800) ELSE st.cooldown END,
+      CASE WHEN st.healthy THEN (CASE WHEN r.kind = 'call' AND NOT r.success AND st.failures + 1 >= 5 THEN r.us + 60000000 ELSE st.next_probe END)
+           WHEN r.kind = 'probe' AND r.us >= st.next_probe AND NOT r.success THEN r.us + least(st.cooldown * 2, 1800) * 1000000 ELSE st.next_probe END,
+      CASE WHEN st.healthy THEN (CASE WHEN r.kind = 'call' AND NOT r.success AND st.failures + 1 >= 5 THEN 'unhealthy' END)
+           WHEN r.kind = 'probe' AND r.us >= st.next_probe THEN (CASE WHEN r.success THEN 'healthy' ELSE 'cooldown' END) END,
+      r.us
+    FROM st JOIN r ON r.endpoint = st.endpoint AND r.rn = st.rn + 1
+  )
+  SELECT * FROM st
+) WHERE out_state IS NOT NULL
+"""
+
+
 # ---- incremental bucket job and listing ---------------------------------------------------------
 
 
@@ -943,7 +970,13 @@ def q_process_bucket(spark, sf_dir):
     return back.select("domain", "name", "organization", F.coalesce("organizational_unit", F.lit("")).alias("organizational_unit"), "source", "sequence_number")
 
 
-@query("health_stream")
+@query(
+    "health_stream",
+    O.with_(O.FETCH)
+    + """, r AS (SELECT endpoint, epoch_us(ts) AS us, CASE WHEN event_id % 10 = 9 THEN 'probe' ELSE 'call' END AS kind, success,
+         row_number() OVER (PARTITION BY endpoint ORDER BY ts, event_id) AS rn FROM flog)"""
+    + HEALTH_SQL,
+)
 def q_health_stream(spark, sf_dir):
     """T8 over the fetch log replayed as a stream (every 10th event is a health probe).
     A sequential state machine with timers: checked against a brute-force run in the tests."""

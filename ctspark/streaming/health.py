@@ -23,7 +23,7 @@ COOLDOWN_START_S = 60
 COOLDOWN_MAX_S = 1800
 DEFAULT_MAX_FAILURES = 5
 
-OUT_SCHEMA = "endpoint string, ts timestamp, state string, failures int, cooldown_s long"
+OUT_SCHEMA = "endpoint string, ts timestamp_ntz, state string, failures int, cooldown_s long"
 STATE_SCHEMA = "healthy boolean, failures int, cooldown_s long, next_probe_us long"
 
 
@@ -71,7 +71,7 @@ def _make_fn(max_failures: int):
         yield pd.DataFrame(
             {
                 "endpoint": [endpoint] * len(out),
-                "ts": pd.to_datetime([o[0] for o in out], unit="us", utc=True),
+                "ts": pd.to_datetime([o[0] for o in out], unit="us"),
                 "state": [o[1] for o in out],
                 "failures": [int(o[2]) for o in out],
                 "cooldown_s": [int(o[3]) for o in out],
