@@ -92,19 +92,26 @@ def verify_integrity(manifest: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def list_objects(spark, path: str, prefix: str = "", recursive: bool = True) -> DataFrame:
-    """Listing rows (key, size, etag, last_modified) of the files under ``path``.
+    """Listing rows (key, rel_key, size, etag, last_modified) of the files under ``path``.
 
-    Uses the binaryFile source with only metadata columns selected, so file contents are not
-    read.  Hadoop listings carry no ETag; a content MD5 can be added with ``with_content_md5``.
+    ``rel_key`` is the key relative to ``path`` (what an object-store prefix is matched
+    against); ``prefix`` keeps the keys whose relative form starts with it.  Uses the
+    binaryFile source with only metadata columns selected, so file contents are not read.
+    Hadoop listings carry no ETag; a content MD5 can be added with ``with_content_md5``.
     """
+    import re
+
+    scheme = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+    root = re.sub(scheme, "", path).rstrip("/")
     df = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", str(recursive).lower())
         .load(path)
         .select(F.col("path").alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("last_modified"))
     )
+    df = df.withColumn("rel_key", F.regexp_replace(F.regexp_replace("key", scheme, ""), "^" + re.escape(root) + "/?", ""))
     if prefix:
-        df = df.filter(F.col("key").startswith(prefix))
+        df = df.filter(F.col("rel_key").startswith(prefix))
     return df.withColumn("etag", F.lit(None).cast("string"))
 
 

@@ -64,3 +64,13 @@ def test_ledger_recover(spark):
 def test_human_units(spark):
     df = spark.createDataFrame([(512,), (1536,), (1280,), (5 * 1024 * 1024,)], "b long")
     assert [r.h for r in df.select(stats.human_bytes(F.col("b")).alias("h")).collect()] == ["512 B", "1.5 KB", "1.2 KB", "5.0 MB"]
+
+
+def test_list_objects_prefix(spark, tmp_path):
+    for rel in ("data/file1.gz", "data/file2.gz", "data/file3.txt", "logs/access.log", "data/large_file.gz"):
+        p = tmp_path / rel
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_bytes(b"x" * 10)
+    assert objects.list_objects(spark, str(tmp_path), prefix="data/").count() == 4
+    rel = sorted(r.rel_key for r in objects.list_objects(spark, str(tmp_path)).collect())
+    assert rel[0] == "data/file1.gz" and rel[-1] == "logs/access.log"
