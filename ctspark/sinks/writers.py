@@ -108,12 +108,19 @@ def write_per_source(df: DataFrame, path: str, fmt: str = "jsonl", source_col: s
     if f in ("txt", "text"):
         out = _valid(df).select(source_col, format_mapping(df, with_seq=True).alias("value"))
     elif f == "csv":
-        out = _valid(df)
+        out = _valid(df).select(source_col, *[F.col(c).alias(h) for c, h in CSV_HEADER.items()])
     else:
         out = _omit_empty_ou(_valid(df))
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(source_col)
     if f == "csv":
-        w.option("header", "true").option("escape", '"').csv(path)
+        (
+            w.option("header", "true")
+            .option("escape", '"')
+            .option("emptyValue", "")
+            .option("ignoreLeadingWhiteSpace", "false")
+            .option("ignoreTrailingWhiteSpace", "false")
+            .csv(path)
+        )
     elif f in ("txt", "text"):
         w.text(path)
     else:

@@ -85,3 +85,20 @@ def test_batches_in_index_order(spark, tmp_path):
         lines = [l for p in sorted(d.glob("*.gz")) for l in gzip.open(p, "rt").read().splitlines()]
         nums = [int(l.split(" ")[0]) for l in lines]
         assert nums == sorted(nums) and len(nums) == (50 if d.name.endswith("200") else 100)
+
+
+def test_write_per_source_formats_and_rerun(spark, tmp_path):
+    from ctspark.sinks.writers import write_per_source
+
+    df = spark.createDataFrame([m + ("f1.csv",) for m in MAPS[:2]] + [("example.net", "x.example.net", "Y", "", "SAN", 9, "f2.csv")], SCHEMA + ", output_name string")
+    write_per_source(df, str(tmp_path / "c"), "csv")
+    parts = sorted(p.name for p in (tmp_path / "c").iterdir() if p.is_dir())
+    assert parts == ["output_name=f1.csv", "output_name=f2.csv"]
+    # a re-run for f2 only replaces f2's partition
+    write_per_source(df.filter("output_name = 'f2.csv'").withColumn("organization", F.lit("Z")), str(tmp_path / "c"), "csv")
+    back = spark.read.option("header", "true").option("escape", "\"").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(str(tmp_path / "c"))
+    assert sorted((r.output_name, r.Organization) for r in back.select("output_name", "Organization").collect()) == [
+        ("f1.csv", "  Acme  "), ("f1.csv", 'Acme, "Inc"'), ("f2.csv", "Z")
+    ]
+    write_per_source(df, str(tmp_path / "t"), "txt")
+    assert spark.read.text(str(tmp_path / "t")).count() == 3
