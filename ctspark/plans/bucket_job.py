@@ -101,21 +101,28 @@ def process_bucket(
         events.write.mode("append").parquet(ledger_path)
         pending.unpersist()
         return {"total_files": total, "pending_files": len(bad_keys), "status": events}
-    lines = read_batch_lines(spark, paths)
+    lines = read_batch_lines(spark, paths, ignore_corrupt=True)
     parsed = parse_lines(lines)
-    # a file fails at its first bad line; the lines before it are still processed
-    file_err = parsed.filter(F.col("error").isNotNull()).groupBy("file").agg(
-        F.min_by("error", "line_id").alias("file_error"), F.min("line_id").alias("first_bad")
+    # one pass per file: line count and first bad line; a file fails at its first bad line (the
+    # lines before it are still processed), an unreadable or empty file fails as a whole
+    per_file = parsed.groupBy("file").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.min(F.when(F.col("error").isNotNull(), F.struct("line_id", "error"))).alias("__first"),
     )
+    file_err = per_file.select("file", F.col("__first.error").alias("file_error"), F.col("__first.line_id").alias("first_bad"))
     ok = (
-        parsed.join(file_err, "file", "left")
+        parsed.join(file_err.select("file", "first_bad"), "file", "left")
         .filter(F.col("error").isNull() & (F.col("first_bad").isNull() | (F.col("line_id") < F.col("first_bad"))))
         .select("file", "sequence_number", "certificate_data")
     )
+    read_files = pending.select(F.col("key").alias("file"))
+    if bad is not None:
+        read_files = read_files.join(bad.select("file"), "file", "left_anti")
+    unreadable = read_files.join(per_file.select("file"), "file", "left_anti").select("file", F.lit("file is empty or unreadable").alias("file_error"))
     mappings, _status = extract(ok, psl, keep=("file",))
     out = mappings.withColumn("output_name", relative_output_name(F.col("file"), input_path, fmt)).drop("file", "position")
     write_per_source(out, output_path, fmt)
-    errs = file_err.select("file", "file_error")
+    errs = file_err.filter(F.col("file_error").isNotNull()).select("file", "file_error").unionByName(unreadable)
     if bad is not None:
         errs = errs.unionByName(bad)
     events = _events(pending, errs, now)

@@ -22,13 +22,17 @@ ERR_DATA = "certificate data is empty"
 MAX_LINE_BYTES = 1024 * 1024
 
 
-def read_batch_lines(spark: SparkSession, path, recursive: bool = False, min_partitions: int | None = None) -> DataFrame:
+def read_batch_lines(spark: SparkSession, path, recursive: bool = False, min_partitions: int | None = None, ignore_corrupt: bool = False) -> DataFrame:
     """(file, line_id, value) for every line of every *.gz (any case) under ``path``.
 
     Lines are split on LF only and one trailing CR is dropped.  ``path`` may be a directory or a
-    list of files; files that hold fewer lines than cores are spread with a repartition.
+    list of files; files that hold fewer lines than cores are spread with a repartition.  With
+    ``ignore_corrupt`` a file that cannot be decompressed yields the lines read before the fault
+    instead of failing the job (the caller reports it).
     """
     reader = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.[gG][zZ]").option("recursiveFileLookup", str(recursive).lower())
+    if ignore_corrupt:
+        reader = reader.option("ignoreCorruptFiles", "true")
     df = reader.text(path if isinstance(path, (list, tuple)) else [path])
     df = df.select(
         F.col("_metadata.file_path").alias("file"),

@@ -66,3 +66,18 @@ def test_bucket_job_with_manifest_checks_integrity(spark, psl, tmp_path):
     assert cur["badsize.gz"].status == "failed" and cur["badsize.gz"].error_msg.startswith("size mismatch")
     assert cur["badmd5.gz"].status == "failed" and cur["badmd5.gz"].error_msg.startswith("MD5 mismatch")
     assert [x.sequence_number for x in spark.read.json(out).collect()] == [1]
+
+
+def test_bucket_job_survives_a_corrupt_file(spark, psl, tmp_path):
+    src = tmp_path / "c"
+    src.mkdir()
+    good = lambda s: f"{s} {base64.b64encode(cert([('O', 'Org'), ('CN', f'h{s}.example.com')])).decode()}"
+    with gzip.open(src / "fine.gz", "wt") as fh:
+        fh.write(good(1) + "\n")
+    (src / "broken.gz").write_bytes(b"this is not gzip data at all")
+    out, led = str(tmp_path / "out"), str(tmp_path / "ledger")
+    process_bucket(spark, str(src), out, led, psl=psl)
+    cur = {x.key.rsplit("/", 1)[-1]: x for x in L.ledger_apply(read_ledger(spark, led)).collect()}
+    assert cur["fine.gz"].status == "processed"
+    assert cur["broken.gz"].status == "failed" and cur["broken.gz"].error_msg == "file is empty or unreadable"
+    assert [x.sequence_number for x in spark.read.json(out).collect()] == [1]
