@@ -74,3 +74,23 @@ def test_transfer_rate_two_level_matches_single_window(spark):
     ref = ref.withColumn("c", F.row_number().over(Window.partitionBy("key").orderBy(F.col("ts").desc(), F.col("event_id").desc())) == 1)
     want = {(r.key, r.event_id): (round(r.r, 6), r.c) for r in ref.collect()}
     assert got == want
+
+
+def test_rolling_rate_and_eta_edges(spark):
+    import datetime as dt
+
+    from ctspark.operators.monitor import progress_eta, rolling_rate
+
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [
+        (t0, 1, 100),  # first sample: fewer than 2 -> 0
+        (t0 + dt.timedelta(milliseconds=500), 2, 150),  # under 1 s elapsed -> 0
+        (t0 + dt.timedelta(seconds=10), 3, 200),  # (200 - 100) / 10 s
+        (t0 + dt.timedelta(seconds=200), 4, 1000),  # window 60 s: only itself -> 0
+        (t0 + dt.timedelta(seconds=230), 5, 1300),  # (1300 - 1000) / 30 s
+    ]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, event_id long, value long")
+    r = {x.event_id: x for x in progress_eta(rolling_rate(df, window_s=60, bucket_s=100), total=1300).collect()}
+    assert [r[i].rate for i in range(1, 6)] == [0.0, 0.0, 10.0, 0.0, 10.0]
+    assert r[3].eta_s == 110 and r[1].eta_s is None and r[5].eta_s is None  # rate < 1 / nothing left
+    assert r[5].percent == 100.0
