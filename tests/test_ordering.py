@@ -94,3 +94,27 @@ def test_rolling_rate_and_eta_edges(spark):
     assert [r[i].rate for i in range(1, 6)] == [0.0, 0.0, 10.0, 0.0, 10.0]
     assert r[3].eta_s == 110 and r[1].eta_s is None and r[5].eta_s is None  # rate < 1 / nothing left
     assert r[5].percent == 100.0
+
+
+def test_running_total_and_health_two_level(spark):
+    import datetime as dt
+    import random
+
+    from pyspark.sql import Window
+
+    from ctspark.operators.monitor import endpoint_health
+
+    rnd = random.Random(8)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("e" + str(rnd.randrange(2)), t0 + dt.timedelta(seconds=17 * i), i, rnd.random() < 0.4, rnd.randrange(100)) for i in range(800)]
+    df = spark.createDataFrame(rows, "endpoint string, ts timestamp_ntz, event_id long, success boolean, bytes long")
+    got = {r.event_id: r.run for r in ordering.running_total(df, ["endpoint"], ["ts", "event_id"], F.floor(F.col("event_id") / 50), "bytes", "run").collect()}
+    w = Window.partitionBy("endpoint").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    want = {r.event_id: r.run for r in df.select("event_id", F.sum("bytes").over(w).alias("run")).collect()}
+    assert got == want
+    # consecutive failures with 10-minute buckets against a plain sequential count
+    health = {r.event_id: r.consecutive_failures for r in endpoint_health(df, max_failures=3, bucket_s=600).collect()}
+    streak = {}
+    for ep, _ts, i, ok, _b in rows:
+        streak[ep] = 0 if ok else streak.get(ep, 0) + 1
+        assert health[i] == streak[ep], i
