@@ -11,7 +11,10 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 
 def test_every_query_has_oracle_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    # the corpus operators that SQL cannot express are tested against brute force in tests/llm
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    own = {name for name in entry.queries() if name not in entry._LLM}
+    assert own <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
