@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, compression_bands, compression_classifier, nb_toxicity, ss_packing
+from . import byte_bpe, compression_bands, compression_classifier, dc3_dedup, jaccard_join, nb_toxicity, ss_packing
 from .common import prepare, table
 from .labelled import fold
 
@@ -40,11 +40,22 @@ def op5_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _held_out(compression_classifier.score(docs, compression_classifier.train(docs, table(spark, sf_dir, "labels"))), 0.5)
 
 
+def op6_dc3_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    out = dc3_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return jaccard_join.link_components(table(spark, sf_dir, "documents"))
+
+
 def op10_nb_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
     return _held_out(nb_toxicity.score(docs, nb_toxicity.train(docs, table(spark, sf_dir, "labels"))), 0.7)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_compression_bands, op4_ss_packing, op5_compression_classifier, op10_nb_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_compression_bands, op4_ss_packing, op5_compression_classifier, op6_dc3_dedup, op7_jaccard_join, op10_nb_toxicity)}
 ORACLE_SQL: dict[str, str] = {}
