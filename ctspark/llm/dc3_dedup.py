@@ -254,6 +254,25 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col
     return whole.unionByName(hurt).withColumnRenamed("id", id_col)
 
 
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars", **options) -> DataFrame:
+    """``docs`` with repeated strings cut out of their texts, and ``size_col`` set anew where there is one.
+
+    What remains is decoded again; a character of which only some bytes repeat is dropped.  Rows are
+    told apart by number, so ids may be null or repeat.
+    """
+    docs = settle(docs.withColumn("__row", F.monotonically_increasing_id()), "docs")
+    found = remove_repeats(docs, id_col="__row", text_col=text_col, **options)
+    changed = settle(found.where("n_removed > 0").select(F.col("__row").alias("__changed"), F.decode(F.col("kept"), "UTF-8").alias("__kept")), "kept")
+    out = docs.join(changed, docs["__row"] == changed["__changed"], "left")
+    text = F.when(F.col("__changed").isNotNull(), F.regexp_replace("__kept", "\ufffd", "")).otherwise(F.col(text_col))
+    return _replaced(out, docs.drop("__row").columns, text, text_col, size_col)
+
+
+def _replaced(df: DataFrame, columns: list[str], text, text_col: str, size_col: str) -> DataFrame:
+    df = df.withColumn("__text", text)
+    return df.select(*(F.col("__text").alias(c) if c == text_col else F.length("__text").cast(df.schema[c].dataType).alias(c) if c == size_col else F.col(c) for c in columns))
+
+
 def _sorter(width: int):
     def run(batches):
         held, size, last = [], 0, None

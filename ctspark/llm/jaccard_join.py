@@ -227,3 +227,13 @@ def _links(regions: DataFrame, members: DataFrame, num: int, den: int) -> DataFr
     )
     last = _distances(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), members).where(linked).select("a", "b")
     return links.union(last)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without those that a smaller id of their component stands for.
+
+    An id is one document: rows that share an id stay or go together.  Rows with a null id stay.
+    """
+    found = link_components(docs, id_col=id_col, text_col=text_col, **options)
+    gone = settle(found.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("gone")).distinct(), "gone")
+    return docs.join(gone, docs[id_col] == gone["gone"], "left_anti")

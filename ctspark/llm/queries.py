@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, compression_bands, compression_classifier, dc3_dedup, jaccard_join, nb_toxicity, ss_packing
+from . import byte_bpe, compression_bands, compression_classifier, dc3_dedup, impact_topk, jaccard_join, kd_sharding, nb_toxicity, pii_bootstrap, ss_packing
 from .common import prepare, table
 from .labelled import fold
 
@@ -25,6 +25,11 @@ def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii_bootstrap.find(table(spark, sf_dir, "documents"))
+    return pii_bootstrap.digests(out)
+
+
 def op4_ss_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return ss_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -51,11 +56,36 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_components(table(spark, sf_dir, "documents"))
 
 
+def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = kd_sharding.shard(docs, 16, with_text_crc=True)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    usable = table(spark, sf_dir, "embeddings").where(
+        F.col("embedding").isNotNull() & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    )
+    vectors = usable.select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * 64)).alias("vec"))
+    return impact_topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
 def op10_nb_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
     return _held_out(nb_toxicity.score(docs, nb_toxicity.train(docs, table(spark, sf_dir, "labels"))), 0.7)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_compression_bands, op4_ss_packing, op5_compression_classifier, op6_dc3_dedup, op7_jaccard_join, op10_nb_toxicity)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_compression_bands, op3_pii_bootstrap, op4_ss_packing, op5_compression_classifier, op6_dc3_dedup, op7_jaccard_join, op8_kd_sharding, op9_impact_topk, op10_nb_toxicity)}
+ORACLE_SQL: dict[str, str] = {
+    "op9_impact_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 64)) AS vec FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.vec, v.vec) AS BIGINT) AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+}
