@@ -7,8 +7,8 @@ single shingles: a document is nearer than 1 to {s} exactly if it holds s.  It l
 its shingles' regions, and how many of them it must be copied to follows from the radius:
 
 * Shingles are ordered by hash.  With p = |x| - ceil(t |x|) + 1, documents within the radius share at
-  least l = q - p + 1 of their q lowest shingles, q = min(|x|, 2 p).  Only these q (a fifth of a
-  document) are counted over the corpus.
+  least l = q - p + 1 of their q lowest shingles, q = min(|x|, p + |x| / 10 + 1).  Only these q (a fifth of
+  a document at t = 0.9) are counted over the corpus.
 * A document with fewer than l shingles that also occur elsewhere has no partner and goes.
 * Of the s shared ones, the s - l + 1 rarest are its regions; partners meet in one at least.
 
@@ -76,7 +76,7 @@ class Shingler:
 def _prefix(n: int, num: int, den: int) -> tuple[int, int]:
     """(p, q) of a set of n shingles."""
     p = n + (-num * n) // den + 1
-    return p, min(n, 2 * p)
+    return p, min(n, p + n // 10 + 1)
 
 
 def _need(n: int, num: int, den: int) -> int:
@@ -118,7 +118,7 @@ def link_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 1
     mine = entries.join(shared, "h").groupBy("row", "n", "need").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("hs"))
     regions = (
         mine.where("size(hs) >= need")
-        .select("row", "n", (F.least(F.col("n"), F.expr(f"2 * (n - ({num} * n + {den - 1}) div {den} + 1)")) - F.size("hs")).alias("own"), F.explode(F.expr("slice(hs, 1, cast(size(hs) - need + 1 as int))")).alias("x"))
+        .select("row", "n", (F.least(F.col("n"), F.expr(f"n - ({num} * n + {den - 1}) div {den} + n div 10 + 2")) - F.size("hs")).alias("own"), F.explode(F.expr("slice(hs, 1, cast(size(hs) - need + 1 as int))")).alias("x"))
         .select("row", "n", "own", F.col("x.h").alias("h"))
     )
     regions = settle(regions, "regions")

@@ -154,6 +154,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry:
     trusted = confident_patterns(edges)
     fresh = places.where("not seed and end > start").select("row", "start", "end", F.explode("patterns").alias("pattern")).join(trusted, "pattern")
     fresh = fresh.groupBy("row").agg(F.collect_set(F.struct("start", F.lit(KINDS.index("id")).alias("kind"), "end")).alias("more"))
+    fresh = settle(fresh, "fresh")  # its size is known then, and the join is planned by it
     out = rows.drop("found").join(fresh, "row", "left")
     spans = F.when(F.col("more").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "more")))
     return out.select("row", F.col("id").alias(id_col), *carry, "base", spans.alias("spans"))
