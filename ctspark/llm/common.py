@@ -81,6 +81,20 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
     return nodes.union(centres)
 
 
+def bitmap(spots: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of 2 ** ``bits`` bits, as 32-bit words, with the long column ``b``'s values set.
+
+    The bits are merged by Spark; one row of 4 KB per 32,768 bits reaches the driver.
+    """
+    out = np.zeros((1 << bits) >> 3, np.uint8)
+    rows = spots.groupBy(F.shiftright("b", 15).alias("k")).agg(F.bitmap_construct_agg(F.col("b").bitwiseAND(F.lit(32_767))).alias("m"))
+    for r in rows.toLocalIterator():
+        m = np.frombuffer(bytes(r["m"]), np.uint8)
+        at = r["k"] << 12
+        out[at : at + len(m)] = m[: len(out) - at]
+    return out.view("<u4")
+
+
 def codepoints(raw: bytes) -> int:
     """Code points of valid UTF-8 bytes."""
     if not raw:

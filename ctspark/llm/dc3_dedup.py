@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, settle, utf8
+from .common import bitmap, pieces, settle, utf8
 
 WIDTH = 200
 GRAM = 50
@@ -190,11 +190,7 @@ def _filter_of(repeated: DataFrame) -> np.ndarray:
     """A Bloom filter with two bits a hash, of fixed size, from the column ``h``."""
     mask = (1 << FILTER_BITS) - 1
     spots = repeated.select(F.explode(F.array(F.col("h").bitwiseAND(F.lit(mask)), F.shiftrightunsigned("h", 32).bitwiseAND(F.lit(mask)))).alias("b"))
-    words = spots.groupBy(F.shiftright("b", 5).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("b").bitwiseAND(F.lit(31)).cast("int"))).alias("v"))
-    got = words.toPandas()  # 2 ** (FILTER_BITS - 5) rows at most
-    bits = np.zeros((mask + 1) >> 5, np.uint32)
-    bits[got["w"].to_numpy(np.int64)] = got["v"].to_numpy(np.uint64).astype(np.uint32)
-    return bits
+    return bitmap(spots, FILTER_BITS)
 
 
 def _hit(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -278,10 +274,15 @@ def _sorter(width: int):
         held, size, last = [], 0, None
 
         def done():
-            flags = repeated_starts([x[1] for x in held], [x[2] for x in held], width)
+            # an anchor with a single context has nothing to compare it with
+            groups = {}
+            for i, x in enumerate(held):
+                groups.setdefault(x[4], []).append(i)
+            rows = [i for g in groups.values() if len(g) > 1 for i in g]
+            flags = dict(zip(rows, repeated_starts([held[i][1] for i in rows], [held[i][2] for i in rows], width), strict=True)) if rows else {}
             keys, spans = [], []
-            for (key, _, n, c), f in zip(held, flags, strict=True):
-                found = [0, n + width - 1] if c > 1 else _spans(f, width)
+            for i, (key, _, n, c, _) in enumerate(held):
+                found = [0, n + width - 1] if c > 1 else _spans(flags[i], width) if i in flags else []
                 if found:
                     keys.append(key)
                     spans.append(found)
@@ -292,7 +293,7 @@ def _sorter(width: int):
                 if size >= SORT_BYTES and h != last:
                     yield done()
                     held, size = [], 0
-                held.append((key, s, n, c))
+                held.append((key, s, n, c, h))
                 size, last = size + len(s), h
         if held:
             yield done()
