@@ -7,17 +7,20 @@ single shingles: a document is nearer than 1 to {s} exactly if it holds s.  It l
 its shingles' regions, and how many of them it must be copied to follows from the radius:
 
 * Shingles are ordered by hash.  With p = |x| - ceil(t |x|) + 1, documents within the radius share at
-  least l = q - p + 1 of their q lowest shingles, q = min(|x|, p + |x| / 10 + 1).  Only these q (a fifth of
-  a document at t = 0.9) are counted over the corpus.
-* A document with fewer than l shingles that also occur elsewhere has no partner and goes.
-* Of the s shared ones, the s - l + 1 rarest are its regions; partners meet in one at least.
+  least l = q - p + 1 of their q lowest shingles, q = min(|x|, p + |x| / 10 + 1).  Only these q (a
+  fifth of a document at t = 0.9) are counted over the corpus, and a document with fewer than l
+  shingles that also occur elsewhere has no partner and goes.
+* The whole sets of the others are counted among themselves and put in order of rising frequency.
+  Partners share one of their first p shingles; those that occur elsewhere are a document's regions.
 
 Inside a region documents are close, and documents serve as pivots: the one with the fewest shingles
 of its own is compared with all members.  Members within the radius are linked by this alone, so a
 group of copies costs one comparison each.  What is still in different components elects a second
 pivot (recursion), and the rest is compared in rings around the pivots: by the triangle inequality
 partners' distances to a pivot differ by the radius at most, so a document is copied to its own
-ring and the next.  Pairs already in one component are not compared again.
+ring and the next.  At the first region that two documents share, what either has before it is
+missing in the other, which bounds their distance from below.  Pairs already in one
+component are not compared again.
 
 Equal sets are collapsed first.  A null text or one without words has the empty set and is linked
 with nothing.  Repeated rows are copies of each other.  Null ids are allowed; a component's id is its
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, pieces, settle, utf8
+from .common import bitmap, connected_components, pieces, settle, utf8
 
 #: Words that a worker remembers the hash of.
 CACHE_ENTRIES = 400_000
@@ -97,7 +100,8 @@ def link_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 1
         shingles = Shingler(width)
         for b in pieces(batches):
             sets = [shingles(r) for r in utf8(b.column(2))]
-            low = [s[: _prefix(len(s), num, den)[1]] if len(s) else s for s in sets]
+            # the order is that of the whole hashes; 48 bits of them are enough to filter by
+            low = [(s[: _prefix(len(s), num, den)[1]] >> 16) & _LOW if len(s) else s for s in sets]
             at = np.concatenate([[0], np.cumsum([len(x) for x in low])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -112,21 +116,16 @@ def link_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 1
             )
 
     rows = settle(src.select(F.monotonically_increasing_id().alias("row"), "id", "text").mapInArrow(sketch, f"row long, id {kind}, n long, key binary, need long, low array<long>"), "sketch")
-    sets = rows.where("n > 0").groupBy("key").agg(F.min(F.struct("row", "n", "need", "low")).alias("x"))
-    entries = sets.select("x.row", "x.n", "x.need", F.explode("x.low").alias("h"))
-    shared = entries.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    mine = entries.join(shared, "h").groupBy("row", "n", "need").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("hs"))
-    regions = (
-        mine.where("size(hs) >= need")
-        .select("row", "n", (F.least(F.col("n"), F.expr(f"n - ({num} * n + {den - 1}) div {den} + n div 10 + 2")) - F.size("hs")).alias("own"), F.explode(F.expr("slice(hs, 1, cast(size(hs) - need + 1 as int))")).alias("x"))
-        .select("row", "n", "own", F.col("x.h").alias("h"))
-    )
-    regions = settle(regions, "regions")
-    members = _member_sets(src, rows, regions, width)
+    entries = rows.where("n > 0").select("row", F.explode("low").alias("h"))
+    shared = entries.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("h")
+    mine = entries.join(shared, "h").groupBy("row").agg(F.count(F.lit(1)).alias("shared"))
+    wanted = rows.select("row", "key", "need").join(mine, "row").where("shared >= need").groupBy("key").agg(F.min("row").alias("row"))
+    members = _member_sets(src, settle(wanted, "wanted"), width)
+    regions = settle(_regions(members, num, den), "regions")
     links = _links(regions, members, num, den)
     component = connected_components(links) if links is not None else None
 
-    groups = rows.where("n > 0").groupBy("key").agg(F.min("row").alias("row"), F.min("id").alias("first"))
+    groups = rows.where("n > 0").groupBy("key").agg(F.min("id").alias("first")).join(members.select("key", "row"), "key", "left")
     if component is None:
         named = groups.select("key", F.col("first").alias("component_id"))
     else:
@@ -137,33 +136,30 @@ def link_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 1
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _member_sets(src: DataFrame, rows: DataFrame, regions: DataFrame, width: int) -> DataFrame:
-    """(row, hs) with the whole shingle set of each document in a region.
+_LOW = (1 << 48) - 1
+
 
-    The texts are read a second time.  A bitmap of the wanted sets' keys, of fixed size, lets most
+def _member_sets(src: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(row, key, hs): the whole shingle set of each wanted (key, row).
+
+    The texts are read a second time.  A bitmap of the wanted keys, of fixed size, lets most
     of them be skipped; the join decides.
     """
-    wanted = rows.join(regions.select("row").distinct(), "row", "left_semi").select("row", "key")
-    wanted = settle(wanted, "wanted")
     mask = (1 << BITMAP_BITS) - 1
-    bit = F.conv(F.hex(F.substring("key", 1, 4)), 16, 10).cast("long").bitwiseAND(F.lit(mask))
-    words = wanted.select(F.shiftright(bit, 5).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(31)).cast("int")).alias("v")).groupBy("w").agg(F.bit_or("v").alias("v"))
-    bits = np.zeros((1 << BITMAP_BITS) >> 5, np.uint32)
-    got = words.toPandas()  # 2 ** 19 rows at most
-    bits[got["w"].to_numpy(np.int64)] = got["v"].to_numpy(np.uint64).astype(np.uint32)
+    bits = bitmap(wanted.select(F.conv(F.hex(F.substring("key", 1, 4)), 16, 10).cast("long").bitwiseAND(F.lit(mask)).alias("b")), BITMAP_BITS)
     shared = src.sparkSession.sparkContext.broadcast(bits)
 
     def again(batches):
         from xxhash import xxh3_128_digest
 
-        shingles, bitmap = Shingler(width), shared.value
+        shingles, known = Shingler(width), shared.value
         for b in pieces(batches):
             keys, sets, seen = [], [], set()
             for r in utf8(b.column(0)):
                 s = shingles(r)
                 key = xxh3_128_digest(s.tobytes())
                 spot = int.from_bytes(key[:4], "big") & mask
-                if key not in seen and (int(bitmap[spot >> 5]) >> (spot & 31)) & 1:
+                if key not in seen and (int(known[spot >> 5]) >> (spot & 31)) & 1:
                     seen.add(key)
                     keys.append(key)
                     sets.append(s)
@@ -172,7 +168,20 @@ def _member_sets(src: DataFrame, rows: DataFrame, regions: DataFrame, width: int
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets), pa.int64()))], ["key", "hs"])
 
     found = src.select("text").mapInArrow(again, "key binary, hs array<long>")
-    return settle(found.join(wanted, "key").groupBy("row").agg(F.first("hs").alias("hs")), "sets")
+    return settle(found.join(wanted, "key").groupBy("row", "key").agg(F.first("hs").alias("hs")), "sets")
+
+
+def _regions(members: DataFrame, num: int, den: int) -> DataFrame:
+    """(row, n, own, h, pos): a document's regions, and the place of each in its order by frequency.
+
+    ``own`` counts the shingles that no other member has; they come first in the order.
+    """
+    entries = members.select("row", F.explode("hs").alias("h"))
+    shared = entries.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    mine = entries.join(shared, "h").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("xs"))
+    mine = mine.join(members.select("row", F.size("hs").cast("long").alias("n")), "row")
+    mine = mine.select("row", "n", (F.col("n") - F.size("xs")).alias("own"), F.expr(f"n - ({num} * n + {den - 1}) div {den} + 1").alias("p"), "xs").where("own < p")
+    return mine.select("row", "n", "own", F.posexplode(F.expr("slice(xs, 1, cast(p - own as int))")).alias("k", "x")).select("row", "n", "own", F.col("x.h").alias("h"), (F.col("own") + F.col("k")).alias("pos"))
 
 
 def _distances(pairs: DataFrame, members: DataFrame) -> DataFrame:
@@ -204,7 +213,7 @@ def _links(regions: DataFrame, members: DataFrame, num: int, den: int) -> DataFr
         dist = settle(_distances(near.select("a", "b").where("a <> b").distinct(), members), "dist")
         new = dist.where(linked).select("a", "b")
         links = new if links is None else links.union(new)
-        placed = near.join(dist, ["a", "b"], "left").select(F.col("a").alias("row"), "h", "n", "own", "b", *([] if turn == 1 else ["d1", "b1"]), F.when(F.col("a") == F.col("b"), 0.0).otherwise(1.0 - F.col("i") / F.col("u")).alias("d"))
+        placed = near.join(dist, ["a", "b"], "left").select(F.col("a").alias("row"), "h", "n", "own", "pos", "b", *([] if turn == 1 else ["d1", "b1"]), F.when(F.col("a") == F.col("b"), 0.0).otherwise(1.0 - F.col("i") / F.col("u")).alias("d"))
         placed = _with_components(placed, links)
         alive = placed.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min(F.when(F.col("row") == F.col("b"), F.col("c"))).alias(f"c{turn}")).where("lo <> hi").drop("lo", "hi")
         rest = placed.join(alive, "h").withColumnRenamed("d", f"d{turn}").withColumnRenamed("b", f"b{turn}")
@@ -213,8 +222,8 @@ def _links(regions: DataFrame, members: DataFrame, num: int, den: int) -> DataFr
             return links
     # what is left: rings around the first pivot, each document in its own and in the next
     ring = F.floor(F.col("d1") / radius).cast("long")
-    x = rest.select("h", F.col("row").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"), F.col("d1").alias("a1"), F.col("d2").alias("a2"), F.col("b1").alias("ab1"), F.col("b2").alias("ab2"), ring.alias("own_ring"), F.explode(F.array(ring, ring + 1)).alias("ring"))
-    y = rest.select("h", F.col("row").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"), F.col("d1").alias("e1"), F.col("d2").alias("e2"), ring.alias("ring"))
+    x = rest.select("h", F.col("row").alias("a"), F.col("n").alias("an"), F.col("pos").alias("ap"), F.col("c").alias("ac"), F.col("d1").alias("a1"), F.col("d2").alias("a2"), F.col("b1").alias("ab1"), F.col("b2").alias("ab2"), ring.alias("own_ring"), F.explode(F.array(ring, ring + 1)).alias("ring"))
+    y = rest.select("h", F.col("row").alias("b"), F.col("n").alias("bn"), F.col("pos").alias("bp"), F.col("c").alias("bc"), F.col("d1").alias("e1"), F.col("d2").alias("e2"), ring.alias("ring"))
     eps = 1e-9
     pairs = x.join(y, ["h", "ring"]).where(
         (F.col("ac") != F.col("bc"))
@@ -222,6 +231,8 @@ def _links(regions: DataFrame, members: DataFrame, num: int, den: int) -> DataFr
         & (F.abs(F.col("a1") - F.col("e1")) <= radius + eps)
         & (F.abs(F.col("a2") - F.col("e2")) <= radius + eps)
         & (F.least("an", "bn") * den >= F.greatest("an", "bn") * num)
+        # |x - y| + |y - x| is at most (1 - t) / (1 + t) of |x| + |y|
+        & ((F.col("ap") + F.col("bp")) * (den + num) <= (F.col("an") + F.col("bn")) * (den - num))
         & ~F.col("ab1").isin(F.col("a"), F.col("b"))
         & ~F.col("ab2").isin(F.col("a"), F.col("b"))
     )
