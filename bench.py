@@ -79,7 +79,7 @@ def main() -> None:
         runs = []
         for _ in range(2):  # first run includes planning and code generation of this plan
             t0 = time.time()
-            extract(src, default_psl(spark))[0].write.format("noop").mode("overwrite").save()
+            extract(src, default_psl(spark), partitions=2 * spark.sparkContext.defaultParallelism)[0].write.format("noop").mode("overwrite").save()
             runs.append(time.time() - t0)
         scaled = {
             "certificates": n_big,

@@ -18,9 +18,6 @@ from ..functions.text import col_
 
 # Where a system copy of the public-suffix list is looked for.
 PSL_PATHS = ("/usr/share/publicsuffix/public_suffix_list.dat", "/usr/share/publicsuffix/effective_tld_names.dat")
-PSL_MAX_BROADCAST_ROWS = 1_000_000
-# A small built-in rule set used when no list file is available (tests).
-BUILTIN_RULES = ["com", "net", "org", "uk", "co.uk", "*.ck", "!www.ck", "jp", "*.kawasaki.jp", "!city.kawasaki.jp"]
 
 
 def psl_path() -> str | None:
@@ -36,10 +33,16 @@ def load_psl(spark: SparkSession, path: str | None = None, rules: list[str] | No
     ``*.x`` is stored as key x with is_wild, ``!x`` as key x with is_exc.  Non-ASCII rules are
     converted to their ASCII (punycode) form, the form hosts have after normalisation.
     """
-    if rules is not None or (path is None and psl_path() is None):
-        raw = spark.createDataFrame([(r,) for r in (rules or BUILTIN_RULES)], "value string")
+    if rules is not None:
+        raw = spark.createDataFrame([(r,) for r in rules], "value string")
+    elif path is not None:
+        raw = spark.read.text(path)
+    elif psl_path() is not None:
+        # the system copy is on the driver; its lines travel from here, not by path
+        with open(psl_path(), encoding="utf-8") as f:
+            raw = spark.createDataFrame([(line.rstrip("\n"),) for line in f], "value string")
     else:
-        raw = spark.read.text(path or psl_path())
+        raise FileNotFoundError("no public-suffix list found: give its path, or rules")
     rule = F.split(F.trim(F.col("value")), r"\s+").getItem(0)
     r = raw.select(rule.alias("rule")).filter((F.col("rule") != "") & ~F.col("rule").startswith("//"))
     kind = F.when(F.col("rule").startswith("!"), "exc").when(F.col("rule").startswith("*."), "wild").otherwise("exact")
@@ -78,15 +81,15 @@ class PublicSuffixTable:
         stats = df.agg(F.count(F.lit(1)).alias("n"), F.max("labels").alias("l")).first()
         self.rows = int(stats["n"])
         self.max_labels = int(stats["l"] or 1)
-        self.broadcastable = self.rows <= PSL_MAX_BROADCAST_ROWS
-        self.df = F.broadcast(df) if self.broadcastable else df
+        # a written table of known size: Spark broadcasts it below its own threshold
+        self.df = df
 
 
 _PSL_CACHE: dict = {}
 
 
 def default_psl(spark: SparkSession) -> PublicSuffixTable:
-    key = (id(spark), psl_path())
+    key = (spark.sparkContext.applicationId, psl_path())
     if key not in _PSL_CACHE:
         _PSL_CACHE[key] = PublicSuffixTable(spark)
     return _PSL_CACHE[key]

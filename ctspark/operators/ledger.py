@@ -113,10 +113,13 @@ def ledger_recover(docs: DataFrame, col: str = "value") -> DataFrame:
 
 
 def plan_retries(events: DataFrame) -> DataFrame:
-    """For every currently failed file: error type, attempt (failures so far), retryable,
-    next action, delay (no jitter) and next attempt time."""
+    """For every currently failed file: error type, attempt (failures since its last success),
+    retryable, next action, delay (no jitter) and next attempt time."""
     current = ledger_apply(events)
-    attempts = events.filter(F.col("status") == "failed").groupBy("key").agg(F.count(F.lit(1)).alias("attempt"))
+    at = F.struct("event_ts", "seq")
+    done = events.filter(F.col("status") == "processed").groupBy("key").agg(F.max(at).alias("done"))
+    since = events.filter(F.col("status") == "failed").join(done, "key", "left").filter(F.col("done").isNull() | (at > F.col("done")))
+    attempts = since.groupBy("key").agg(F.count(F.lit(1)).alias("attempt"))
     failed = current.filter(F.col("status") == "failed").join(attempts, "key", "left")
     etype = E.classify_s3_error(F.col("error_msg"), F.lit("download"))
     delay = E.retry_delay(F.col("attempt"), etype)

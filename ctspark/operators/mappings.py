@@ -85,38 +85,22 @@ def _names_array() -> Column:
     return F.concat(cn_entry, san_entries)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give the Python stage at least one partition per core.
-
-    Inputs with few, large partitions (a handful of gzip files, a single parquet row group)
-    would otherwise run the certificate walk in a few tasks; with many input files this is a
-    no-op.  The check reads only the physical plan's partition count, not the data.
-    """
-    if df.isStreaming:
-        return df
-    # after a shuffle the partition count is already the shuffle's; asking an adaptive plan for
-    # its partitions would run the shuffle stages, so only scan-only plans are inspected
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        return df
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
 def certificates(
     lines: DataFrame,
     seq_col: str = "sequence_number",
     data_col: str = "certificate_data",
     lenient_base64: bool = False,
-    min_partitions: int | None = None,
+    partitions: int | None = None,
     keep: tuple = (),
 ) -> DataFrame:
     """Decode + DER walk + organisation: one row per input entry, arrays intact.
 
-    ``keep`` names extra input columns (e.g. the source file) carried to the outputs."""
-    lines = spread(lines.select(*keep, seq_col, data_col), min_partitions)
+    ``keep`` names extra input columns (e.g. the source file) carried to the outputs.  Give
+    ``partitions`` where the input has few, large partitions (unsplittable gzip files, one row
+    group): the lines are then dealt out evenly before the certificates are decoded."""
+    lines = lines.select(*keep, seq_col, data_col)
+    if partitions:
+        lines = lines.repartition(partitions)
     # staged projections: each regular expression runs once per row
     data = F.col(data_col)
     d = lines.select(*keep, F.col(seq_col).alias("sequence_number"), data.alias("__data"), is_blank(data).alias("__blank"))

@@ -14,17 +14,19 @@ from pyspark.sql import functions as F
 from ..functions.text import wall_micros
 
 MIB = 1024.0 * 1024.0
-# Latency histogram ceiling (60 s) and unhealthy threshold default.
-LATENCY_CEILING_MS = 60_000.0
+# Fixed value: unhealthy threshold default.
 DEFAULT_MAX_FAILURES = 5
 DEFAULT_BUCKET_S = 86_400
 HEALTH_BUCKET_S = 3_600
 
 
-def endpoint_latency(fetch_log: DataFrame, accuracy: int = 10_000, exact: bool = False) -> DataFrame:
+def endpoint_latency(fetch_log: DataFrame, accuracy: int = 10_000, exact: bool = False, ceiling_ms: float | None = None) -> DataFrame:
     """A5: per endpoint mean, p95, p99, max latency (ms) of recorded calls, and entries
-    downloaded on success.  Durations of 0 or above the 60 s histogram ceiling are not recorded."""
-    rec = (F.col("duration_ms") > 0) & (F.col("duration_ms") <= LATENCY_CEILING_MS)
+    downloaded on success.  Durations of 0, and those above ``ceiling_ms`` if it is given, are not recorded.
+    ``exact`` percentiles merge one count per distinct duration."""
+    rec = F.col("duration_ms") > 0
+    if ceiling_ms is not None:
+        rec = rec & (F.col("duration_ms") <= ceiling_ms)
     d = F.when(rec, F.col("duration_ms"))
     if exact:
         p95, p99 = F.percentile(d, 0.95), F.percentile(d, 0.99)
@@ -63,22 +65,23 @@ def rolling_rate(samples: DataFrame, window_s: int = 60, part: list[str] | None
 
     Windows run per (part, time bucket); rows within ``window_s`` of a bucket's start are also
     copied into that bucket as context, so every row sees its whole window and each row is
-    duplicated at most once.  Buckets default to an hour (or the window, if longer)."""
+    duplicated at most once.  Buckets default to five windows.  A window's first sample is found by one
+    pass: every row also asks at the time its window begins, and going back in time the last
+    sample seen before the question is the answer.  Nothing is evaluated per window."""
     part = part or []
-    bucket_s = max(bucket_s or 3600, window_s)
+    bucket_s = max(bucket_s or 5 * window_s, window_s)
     ts_us = wall_micros("ts")
     d = _with_overlap(samples.withColumn("__us", ts_us), F.col("__us"), window_s * 1_000_000, bucket_s * 1_000_000)
-    # rangeBetween takes one order key; ties on the timestamp are ordered by event_id in min_by
-    w = Window.partitionBy(*part, F.col("__bk.b")).orderBy("__us").rangeBetween(-window_s * 1_000_000, 0)
-    n = F.count(F.lit(1)).over(w)
-    first_v = F.min_by("value", F.struct("__us", "event_id")).over(w)
-    first_t = F.min("__us").over(w)
-    elapsed = (F.col("__us") - first_t) / 1e6
-    rate = F.when((n < 2) | (elapsed < 1), F.lit(0.0)).otherwise((F.col("value") - first_v) / elapsed)
+    asks = F.array(F.struct(F.lit(1).alias("k"), F.col("__us").alias("t")), F.struct(F.lit(0).alias("k"), (F.col("__us") - window_s * 1_000_000).alias("t")))
+    d = d.withColumn("__q", F.explode(asks)).filter((F.col("__q.k") == 1) | ~F.col("__bk.ctx"))
+    w = Window.partitionBy(*part, F.col("__bk.b")).orderBy(F.col("__q.t").desc(), F.col("__q.k").desc(), F.col("event_id").desc())
+    sample = F.when(F.col("__q.k") == 1, F.struct(F.col("__us").alias("us"), F.col("value").alias("v")))
+    d = d.withColumn("__first", F.last(sample, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).filter(F.col("__q.k") == 0)
+    elapsed = (F.col("__us") - F.col("__first.us")) / 1e6
+    rate = F.when(elapsed < 1, F.lit(0.0)).otherwise((F.col("value") - F.col("__first.v")) / elapsed)
     if per_minute:
         rate = rate * 60
-    out = d.withColumn("rate", rate).filter(~F.col("__bk.ctx")).drop("__bk", "__us")
-    return out.withColumn("rate", F.round("rate", 6))
+    return d.withColumn("rate", F.round(rate, 6)).drop("__bk", "__us", "__q", "__first")
 
 
 def progress_eta(rated: DataFrame, total, current: str = "value") -> DataFrame:
@@ -128,29 +131,36 @@ def transfer_rate(
     completed.
 
     Two-level, so a long series is not one task: ``lag`` and the running last rate work inside
-    (key, hour) windows, and a per-bucket table supplies each bucket's predecessor sample and
-    the rate carried in from earlier buckets.
+    (key, hour) windows.  One table per bucket holds its first and last sample and its last rate; an
+    ordered pass over that table gives each bucket the sample and the rate before it.
     """
     us = wall_micros(ts)
     d = samples.withColumn("__us", us).withColumn("__b", F.floor(F.col("__us") / (bucket_s * 1_000_000)).cast("long"))
-    per = d.groupBy(key, "__b").agg(F.max_by(F.struct("__us", F.col(nbytes).alias("nb")), F.struct("__us", order)).alias("__last"))
-    wb = Window.partitionBy(key).orderBy("__b")
-    per = per.select(key, "__b", "__last", F.lag("__last").over(wb).alias("__prev"), (F.row_number().over(Window.partitionBy(key).orderBy(F.col("__b").desc())) == 1).alias("__final"))
     w = Window.partitionBy(key, "__b").orderBy("__us", order)
-    d = d.join(per.select(key, "__b", "__prev", "__final"), [key, "__b"])
-    prev_us = F.coalesce(F.lag("__us").over(w), F.col("__prev.__us"))
-    prev_nb = F.coalesce(F.lag(nbytes).over(w), F.col("__prev.nb"))
-    dt = (F.col("__us") - prev_us) / 1e6
-    d = d.withColumn("__raw", F.when(dt > 0, (F.col(nbytes) - prev_nb) / MIB / dt))
+
+    def rate(t1, n1, t0, n0):
+        dt = (t1 - t0) / 1e6
+        return F.when(dt > 0, (n1 - n0) / MIB / dt)
+
+    d = d.withColumn("__raw", rate(F.col("__us"), F.col(nbytes), F.lag("__us").over(w), F.lag(nbytes).over(w)))
     d = d.withColumn("__local", F.last("__raw", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    d = d.withColumn("__is_last", F.row_number().over(Window.partitionBy(key, "__b").orderBy(F.col("__us").desc(), F.col(order).desc())) == 1)
-    # the last measurable rate of each bucket, carried into later buckets
-    carry = d.groupBy(key, "__b").agg(F.max_by("__local", F.struct("__us", order)).alias("__blast"))
-    carry = carry.select(key, "__b", F.last("__blast", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"))
-    d = d.join(carry, [key, "__b"])
-    rate = F.coalesce(F.col("__local"), F.col("__carry"), F.lit(0.0))
-    out = d.withColumn("rate_mbps", F.round(rate, 6)).withColumn("completed", F.col("__final") & F.col("__is_last"))
-    return out.drop("__us", "__b", "__prev", "__final", "__raw", "__local", "__is_last", "__carry")
+    d = d.withColumn("__is_last", F.lead("__us").over(w).isNull())
+    at = F.struct("__us", order)
+    sample = F.struct(F.col("__us").alias("us"), F.col(nbytes).alias("nb"))
+    per = d.groupBy(key, "__b").agg(F.min_by(sample, at).alias("first"), F.max_by(sample, at).alias("last"), F.max_by("__local", at).alias("local"))
+    wb = Window.partitionBy(key).orderBy("__b")
+    prev = F.lag("last").over(wb)
+    per = per.withColumn("__edge", rate(F.col("first.us"), F.col("first.nb"), prev["us"], prev["nb"]))
+    per = per.select(
+        key,
+        "__b",
+        "__edge",
+        F.last(F.coalesce("local", "__edge"), ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"),
+        F.lead("__b").over(wb).isNull().alias("__final"),
+    )
+    d = d.join(per, [key, "__b"])
+    out = d.withColumn("rate_mbps", F.round(F.coalesce("__local", "__edge", "__carry", F.lit(0.0)), 6)).withColumn("completed", F.col("__final") & F.col("__is_last"))
+    return out.drop("__us", "__b", "__edge", "__final", "__raw", "__local", "__is_last", "__carry")
 
 
 def endpoint_rate(samples: DataFrame, window_s: int = 60, bucket_s: int | None = None) -> DataFrame:

@@ -28,31 +28,45 @@ def batch_summary(df: DataFrame, idx: str = "log_index", batch_size: int = DEFAU
     )
 
 
-def contiguous_prefix(df: DataFrame, idx: str = "log_index", start: int = 0, batch_size: int = DEFAULT_BATCH) -> DataFrame:
+#: Bits of Spark's bitmap aggregate: the most indexes one presence bitmap can hold.
+BITMAP_BITS = 32_768
+
+
+def _presence(df: DataFrame, idx: str, start: int, bits: int) -> DataFrame:
+    """(b, bm, n): for each run of ``bits`` indexes the bitmap of those present, and their number.
+
+    Bitmaps are merged before the shuffle, so repeated rows cost nothing and one shuffle of
+    a few kilobytes per run of indexes is all that the row-level data need.
+    """
+    if not 0 < bits <= BITMAP_BITS:
+        raise ValueError(f"a bitmap holds at most {BITMAP_BITS} indexes")
+    at = F.col(idx) - F.lit(start)
+    d = df.filter(at >= 0).select(F.floor(at / bits).cast("long").alias("b"), F.pmod(at, F.lit(bits)).cast("long").alias("pos"))
+    return d.groupBy("b").agg(F.bitmap_construct_agg("pos").alias("bm")).withColumn("n", F.bitmap_count("bm"))
+
+
+def _is_set(bm, pos):
+    """Whether bit ``pos`` of a bitmap is set."""
+    byte = F.conv(F.hex(F.substring(bm, F.floor(pos / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.pmod(F.floor(byte / F.pow(F.lit(2.0), F.pmod(pos, F.lit(8)).cast("double"))).cast("int"), F.lit(2)) == 1
+
+
+def contiguous_prefix(df: DataFrame, idx: str = "log_index", start: int = 0, batch_size: int = BITMAP_BITS) -> DataFrame:
     """One row (start, committed_through, committed_entries, next_index) for the longest
     run start, start+1, ... of present indexes.
 
-    Batches are aligned on ``start``.  The first batch that is incomplete, or that is missing,
-    is found by one ordered pass over the per-batch table (rows / N); the run length inside
-    it is the first missing offset, found with a row number over that single batch (<= N rows).
+    The first run of ``batch_size`` indexes that is incomplete, or absent, is found by one ordered
+    pass over the table of bitmaps; the first missing index is the first bit not set in its bitmap.
     """
-    d = df.select(F.col(idx).alias("i")).filter(F.col("i") >= start).distinct()
-    d = d.withColumn("b", F.floor((F.col("i") - start) / batch_size).cast("long"))
-    per = d.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
-    wb = Window.orderBy("b")
-    prev = F.coalesce(F.lag("b").over(wb), F.lit(-1))
-    # a batch absent between prev and b makes prev + 1 the first bad batch
-    cand = F.when(F.col("b") != prev + 1, prev + 1).when(F.col("n") < batch_size, F.col("b"))
-    marks = per.select(cand.alias("c"), F.col("b"))
-    first_bad = marks.agg(F.coalesce(F.min("c"), F.max("b") + 1, F.lit(0)).cast("long").alias("fb"))
-    # one row, so the broadcast is bounded
-    inside = d.join(F.broadcast(first_bad), d["b"] == first_bad["fb"], "inner").select("i", "fb")
-    w = Window.partitionBy("fb").orderBy("i")
-    off = inside.withColumn("o", F.col("i") - start - F.col("fb") * batch_size).withColumn("rn", F.row_number().over(w) - 1)
-    run = off.filter(F.col("o") == F.col("rn")).groupBy("fb").agg(F.count(F.lit(1)).alias("run"))
-    res = first_bad.join(run, "fb", "left").select(
+    per = _presence(df, idx, start, batch_size)
+    prev = F.coalesce(F.lag("b").over(Window.orderBy("b")), F.lit(-1))
+    # a run of indexes absent between prev and b makes prev + 1 the first bad one
+    bad = F.when(F.col("b") != prev + 1, F.struct((prev + 1).alias("c"), F.lit(None).cast("binary").alias("m"))).when(F.col("n") < batch_size, F.struct(F.col("b").alias("c"), F.col("bm").alias("m")))
+    first = per.select("b", bad.alias("bad")).agg(F.min_by("bad", "bad.c").alias("bad"), F.max("b").alias("top"))
+    offset = F.filter(F.sequence(F.lit(0), F.lit(batch_size - 1)), lambda p: ~_is_set(F.col("bad.m"), p))[0]
+    res = first.select(
         F.lit(start).cast("long").alias("start"),
-        (F.lit(start) + F.col("fb") * batch_size + F.coalesce(F.col("run"), F.lit(0))).cast("long").alias("next_index"),
+        (F.lit(start) + F.coalesce(F.col("bad.c"), F.col("top") + 1, F.lit(0)) * batch_size + F.when(F.col("bad.m").isNotNull(), offset).otherwise(0)).cast("long").alias("next_index"),
     )
     return res.select(
         "start",
@@ -62,54 +76,51 @@ def contiguous_prefix(df: DataFrame, idx: str = "log_index", start: int = 0, bat
     )
 
 
-def gap_report(df: DataFrame, idx: str = "log_index", start: int = 0, tree_size: int | None = None, batch_size: int = DEFAULT_BATCH) -> DataFrame:
+def gap_report(df: DataFrame, idx: str = "log_index", start: int = 0, tree_size: int | None = None, batch_size: int = BITMAP_BITS) -> DataFrame:
     """Missing index ranges [gap_start, gap_end] in [start, tree_size) with the number of
     present entries stuck behind each gap (present indexes above gap_end).
 
-    Gaps inside a batch come from ``lag`` within the batch (at most N rows per window); gaps
-    across batch boundaries and the ranks used for the counts come from an ordered pass over
-    the per-batch table, whose size is the row count divided by N.
+    Presence is kept as one bitmap per run of ``batch_size`` indexes.  An ordered pass over that table
+    finds the gaps between runs and the counts before them; gaps inside a run are read from its
+    bitmap, and only incomplete runs are looked at.
     """
-    d = df.select(F.col(idx).alias("i")).filter(F.col("i") >= start).distinct()
+    d = df.select(F.col(idx).cast("long").alias("i"))
     if tree_size is not None:
-        d = d.filter(F.col("i") < tree_size)
-    d = d.withColumn("b", F.floor((F.col("i") - start) / batch_size).cast("long"))
-    per = d.groupBy("b").agg(F.min("i").alias("lo"), F.max("i").alias("hi"), F.count(F.lit(1)).alias("n"))
-    wb = Window.orderBy("b")
+        # the tree head counts as present, so that what is missing below it ends there
+        d = d.filter(F.col("i") < tree_size).unionByName(df.sparkSession.range(tree_size, tree_size + 1).select(F.col("id").alias("i")))
+    extra = 0 if tree_size is None else 1
+    per = _presence(d, "i", start, batch_size)
+    every = F.sequence(F.lit(0), F.lit(batch_size - 1))
+    partial = F.col("n") < batch_size
+    per = per.select("b", "n", F.when(partial, F.filter(every, lambda p: _is_set(F.col("bm"), p))).alias("at"))
+    base = F.lit(start) + F.col("b") * batch_size
+    lo = base + F.coalesce(F.element_at("at", 1), F.lit(0))
+    hi = base + F.coalesce(F.element_at("at", -1), F.lit(batch_size - 1))
+    per = per.select("b", "n", "at", base.alias("base"), lo.alias("lo"), hi.alias("hi"))
+    w = Window.orderBy("b")
     per = per.select(
         "b",
+        "at",
+        "base",
         "lo",
-        "hi",
-        F.lag("hi").over(wb).alias("prev_hi"),
-        F.coalesce(F.sum("n").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
-        F.sum("n").over(Window.partitionBy()).alias("total"),
+        F.coalesce(F.lag("hi").over(w) + 1, F.lit(start).cast("long")).alias("from"),
+        F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+        (F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) - extra).alias("total"),
     )
-    w = Window.partitionBy("b").orderBy("i")
-    rows = d.select("i", "b", F.lag("i").over(w).alias("prev"), F.row_number().over(w).alias("rn"))
-    inner = (
-        rows.filter(F.col("prev").isNotNull() & (F.col("i") - F.col("prev") > 1))
-        .join(per.select("b", "before", "total"), "b")
-        .select(
-            (F.col("prev") + 1).alias("gap_start"),
-            (F.col("i") - 1).alias("gap_end"),
-            (F.col("total") - F.col("before") - F.col("rn") + 1).alias("entries_behind"),
-        )
+    per = per.filter(F.col("at").isNotNull() | (F.col("lo") > F.col("from"))).repartition("b")
+    cross = F.struct(F.col("from").alias("s"), (F.col("lo") - 1).alias("e"), F.lit(0).cast("long").alias("k"))
+    inside = F.transform(
+        F.filter(F.sequence(F.lit(1), F.size("at") - 1), lambda k: F.col("at")[k] - F.col("at")[k - 1] > 1),
+        lambda k: F.struct((F.col("base") + F.col("at")[k - 1] + 1).alias("s"), (F.col("base") + F.col("at")[k] - 1).alias("e"), k.cast("long").alias("k")),
     )
-    cross = per.select(
-        F.coalesce(F.col("prev_hi") + 1, F.lit(start).cast("long")).alias("gap_start"),
-        (F.col("lo") - 1).alias("gap_end"),
-        (F.col("total") - F.col("before")).alias("entries_behind"),
-    ).filter(F.col("gap_end") >= F.col("gap_start"))
-    gaps = inner.unionByName(cross)
-    if tree_size is not None:
-        tail = per.agg(F.max("hi").alias("top")).select(
-            F.coalesce(F.col("top") + 1, F.lit(start).cast("long")).alias("gap_start"),
-            F.lit(tree_size - 1).cast("long").alias("gap_end"),
-            F.lit(0).cast("long").alias("entries_behind"),
-        ).filter(F.col("gap_end") >= F.col("gap_start"))
-        gaps = gaps.unionByName(tail)
+    none = F.array().cast("array<struct<s:bigint,e:bigint,k:bigint>>")
+    found = F.concat(F.when(F.col("lo") > F.col("from"), F.array(cross)).otherwise(none), F.when(F.size("at") > 1, inside).otherwise(none))
+    gaps = per.select("before", "total", F.explode(found).alias("g"))
     return gaps.select(
-        "gap_start", "gap_end", (F.col("gap_end") - F.col("gap_start") + 1).alias("missing"), F.col("entries_behind").cast("long").alias("entries_behind")
+        F.col("g.s").alias("gap_start"),
+        F.col("g.e").alias("gap_end"),
+        (F.col("g.e") - F.col("g.s") + 1).alias("missing"),
+        (F.col("total") - F.col("before") - F.col("g.k")).cast("long").alias("entries_behind"),
     )
 
 

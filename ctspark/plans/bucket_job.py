@@ -19,13 +19,17 @@ from ..operators.hosts import OUTPUT_EXT, PublicSuffixTable, default_psl
 from ..operators.mappings import extract
 from ..operators.objects import filter_objects, list_objects, verify_integrity
 from ..sinks.writers import write_per_source
-from ..sources.batch_files import parse_lines, read_batch_lines
+from ..sources.batch_files import damaged_files, parse_lines, read_batch_lines
 
 
 def listing_with_fingerprint(spark: SparkSession, path: str) -> DataFrame:
     """S6 listing plus an ETag stand-in from metadata (size and modification time), so that
-    a changed file is pending again without reading any content."""
+    a changed file is pending again without reading any content.  Files without any bytes, which
+    a scan leaves out, are listed with size 0."""
     o = list_objects(spark, path)
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).inputFiles()
+    every = spark.createDataFrame([(n,) for n in names], "name string").select(F.url_decode(F.regexp_replace(F.regexp_replace("name", "^file:///", "file:/"), r"\+", "%2B")).alias("key"))
+    o = o.select("key", "size", "last_modified").join(every, "key", "full_outer").withColumn("size", F.coalesce("size", F.lit(0).cast("long"))).withColumn("last_modified", F.coalesce("last_modified", F.timestamp_seconds(F.lit(0))))
     return o.withColumn("etag", F.concat(F.col("size").cast("string"), F.lit("-"), F.unix_micros(F.col("last_modified")).cast("string")))
 
 
@@ -66,69 +70,81 @@ def process_bucket(
     now: datetime | None = None,
     manifest: DataFrame | None = None,
 ) -> dict:
-    """Run one incremental pass.  ``manifest`` (key, size, etag) replaces the metadata
-    fingerprint with real ETags; pending files are then checked with J2 (size, and MD5 for
-    single-part ETags) and a file that fails the check is recorded as failed, not read."""
+    """Run one incremental pass.
+
+    ``manifest`` (key, size, etag) replaces the metadata fingerprint with real ETags; pending files
+    are then checked with J2 (existence, size, and MD5 for single-part ETags) and a file that fails
+    the check is recorded as failed, not read.  A listed file that the manifest lacks keeps its
+    fingerprint and is read unchecked.  A file whose gzip data end early, are damaged or are empty is
+    recorded as failed with its reason, and none of its rows are published.
+
+    Every pending file is decompressed once: its parsed lines are written to the shared checkpoint folder,
+    and the outputs and the ledger both come from there.
+    """
     psl = psl or default_psl(spark)
     now = now or datetime.now(timezone.utc).replace(tzinfo=None)
-    listing = listing_with_fingerprint(spark, input_path)
+    listing = listing_with_fingerprint(spark, input_path).withColumn("present", F.col("size") > 0).withColumn("void", F.col("size") == 0).withColumn("checked", F.lit(False))
     if manifest is not None:
-        listing = listing.drop("etag", "size").join(manifest.select("key", "size", "etag"), "key")
+        m = manifest.select("key", F.col("size").alias("m_size"), F.col("etag").alias("m_etag"))
+        listing = listing.join(m, "key", "full_outer").select(
+            "key",
+            F.coalesce("m_size", "size").alias("size"),
+            F.coalesce("m_etag", "etag").alias("etag"),
+            "last_modified",
+            F.coalesce("present", F.lit(False)).alias("present"),
+            F.coalesce("void", F.lit(False)).alias("void"),
+            F.col("m_etag").isNotNull().alias("checked"),
+        )
     listing = filter_objects(listing, list(extensions), min_size, max_size)
     current = L.ledger_apply(read_ledger(spark, ledger_path))
-    pending = L.pending_files(listing, current).cache()
-    # the file list is metadata the driver's file index holds anyway
-    paths = [r.key for r in pending.select("key").collect()]
+    pending = _keep(L.pending_files(listing, current), "pending")
     total = listing.count()
-    bad = None
-    bad_keys: set = set()
-    if manifest is not None and paths:
-        # J2 on the pending files only: just their bytes are read for the MD5
-        facts = (
-            spark.read.format("binaryFile")
-            .load(paths)
-            .select(F.col("path").alias("key"), F.col("length").alias("actual_size"), F.md5("content").alias("actual_md5"))
-        )
-        checked = verify_integrity(pending.select("key", "size", "etag"), facts)
-        bad = checked.filter(~F.col("ok")).select(F.col("key").alias("file"), F.col("integrity_error").alias("file_error")).cache()
-        bad_keys = {r.file for r in bad.select("file").collect()}
-        paths = [p for p in paths if p not in bad_keys]
-    if not paths and not bad_keys:
-        pending.unpersist()
+    # a file source takes its files as a list, which its index holds on the driver in any case
+    paths = [r.key for r in pending.filter("present").select("key").collect()]
+    bad = spark.createDataFrame([], "file string, file_error string")
+    if manifest is not None:
+        facts = spark.createDataFrame([], "key string, actual_size long, actual_md5 string")
+        if paths:
+            facts = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("key"), F.col("length").alias("actual_size"), F.md5("content").alias("actual_md5"))
+        checked = verify_integrity(pending.filter("checked and not void").select("key", "size", "etag"), facts)
+        bad = _keep(checked.filter(~F.col("ok")).select(F.col("key").alias("file"), F.col("integrity_error").alias("file_error")), "bad")
+    n_pending = pending.count()
+    if not n_pending:
         return {"total_files": total, "pending_files": 0, "status": None}
-    if not paths:
-        events = _events(pending, bad, now)
-        events.write.mode("append").parquet(ledger_path)
-        pending.unpersist()
-        return {"total_files": total, "pending_files": len(bad_keys), "status": events}
-    lines = read_batch_lines(spark, paths, ignore_corrupt=True)
-    parsed = parse_lines(lines)
-    # one pass per file: line count and first bad line; a file fails at its first bad line (the
-    # lines before it are still processed), an unreadable or empty file fails as a whole
-    per_file = parsed.groupBy("file").agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.min(F.when(F.col("error").isNotNull(), F.struct("line_id", "error"))).alias("__first"),
-    )
-    file_err = per_file.select("file", F.col("__first.error").alias("file_error"), F.col("__first.line_id").alias("first_bad"))
-    ok = (
-        parsed.join(file_err.select("file", "first_bad"), "file", "left")
-        .filter(F.col("error").isNull() & (F.col("first_bad").isNull() | (F.col("line_id") < F.col("first_bad"))))
-        .select("file", "sequence_number", "certificate_data")
-    )
-    read_files = pending.select(F.col("key").alias("file"))
-    if bad is not None:
-        read_files = read_files.join(bad.select("file"), "file", "left_anti")
-    unreadable = read_files.join(per_file.select("file"), "file", "left_anti").select("file", F.lit("file is empty or unreadable").alias("file_error"))
-    mappings, _status = extract(ok, psl, keep=("file",))
-    out = mappings.withColumn("output_name", relative_output_name(F.col("file"), input_path, fmt)).drop("file", "position")
-    write_per_source(out, output_path, fmt)
-    errs = file_err.filter(F.col("file_error").isNotNull()).select("file", "file_error").unionByName(unreadable)
-    if bad is not None:
-        errs = errs.unionByName(bad)
-    events = _events(pending, errs, now)
+    void = pending.filter("void").select(F.col("key").alias("file"), F.lit("file is empty or unreadable").alias("file_error"))
+    errs = bad.unionByName(void)
+    if paths:
+        lines = read_batch_lines(spark, paths, ignore_corrupt=True, with_size=True).join(bad.select("file"), "file", "left_anti")
+        parsed = _keep(parse_lines(lines).select("file", "line_id", "n_bytes", "error", "sequence_number", "certificate_data"), "lines")
+        per_file = parsed.groupBy("file").agg(F.sum("n_bytes").alias("n_bytes"), F.min(F.when(F.col("error").isNotNull(), F.struct("line_id", "error"))).alias("first"))
+        damaged = _keep(damaged_files(spark, paths, per_file.select("file", "n_bytes")).join(bad.select("file"), "file", "left_anti"), "damaged")
+        file_err = per_file.select("file", F.col("first.error").alias("file_error"), F.col("first.line_id").alias("first_bad")).filter(F.col("file_error").isNotNull())
+        # a file fails at its first bad line: the lines before it are still processed
+        ok = (
+            parsed.join(damaged.select("file"), "file", "left_anti")
+            .join(file_err.select("file", "first_bad"), "file", "left")
+            .filter(F.col("error").isNull() & (F.col("first_bad").isNull() | (F.col("line_id") < F.col("first_bad"))))
+            .select("file", "sequence_number", "certificate_data")
+        )
+        errs = errs.unionByName(damaged).unionByName(file_err.select("file", "file_error").join(damaged.select("file"), "file", "left_anti"))
+        mappings, _status = extract(ok, psl, keep=("file",))
+        out = mappings.withColumn("output_name", relative_output_name(F.col("file"), input_path, fmt)).drop("file", "position")
+        done = pending.filter("present").select(relative_output_name(F.col("key"), input_path, fmt).alias("output_name"))
+        write_per_source(out, output_path, fmt, sources=done)
+    events = _keep(_events(pending, errs, now), "events")
     events.write.mode("append").parquet(ledger_path)
-    pending.unpersist()
-    return {"total_files": total, "pending_files": len(paths) + len(bad_keys), "status": events}
+    return {"total_files": total, "pending_files": n_pending, "status": events}
+
+
+def _keep(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back, so that later steps see the same rows."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/bucket-{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _events(pending: DataFrame, file_err: DataFrame, now) -> DataFrame:

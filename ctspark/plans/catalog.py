@@ -5,6 +5,7 @@ Every builder reads the driver tables (or data Spark derives from them) in full;
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import errors as E
@@ -34,7 +35,7 @@ def _extract(spark, sf_dir):
     from ..shipping import ensure_shipped
 
     ensure_shipped(spark)
-    return extract(fx.ct_lines(spark, sf_dir), default_psl(spark))
+    return extract(fx.ct_lines(spark, sf_dir), default_psl(spark), partitions=spark.sparkContext.defaultParallelism)
 
 
 # ---- flagship and decode ---------------------------------------------------------------------
@@ -516,14 +517,16 @@ def q_download_stats(spark, sf_dir):
 @query(
     "plan_retries",
     O.with_(O.OBJECTS)
-    + f""", att AS (SELECT key, count(*) AS attempt FROM ledger WHERE status = 'failed' GROUP BY key),
+    + f""", ok AS (SELECT key, max(event_ts) AS done FROM ledger WHERE status = 'processed' GROUP BY key),
+att AS (SELECT l.key, count(*) AS attempt FROM ledger l LEFT JOIN ok USING (key) WHERE status = 'failed' AND (done IS NULL OR l.event_ts > done) GROUP BY l.key),
 f AS (SELECT cur.*, CAST(att.attempt AS INTEGER) AS attempt, {O.classify_s3_sql('lower(error_msg)', "'download'")} AS error_type FROM cur JOIN att USING (key) WHERE status = 'failed')
 SELECT key, etag, error_msg, error_type, attempt, {O.retryable_sql('lower(error_msg)', 'error_type')} AS retryable,
   {O.action_sql('lower(error_msg)', "'download'", "'download'", 'attempt')} AS action,
-  {O.delay_sql('attempt', 'error_type')} AS delay_s FROM f""",
+  {O.delay_sql('attempt', 'error_type')} AS delay_s,
+  event_ts + to_microseconds(CAST(round(1000000 * ({O.delay_sql('attempt', 'error_type')})) AS BIGINT)) AS next_attempt_ts FROM f""",
 )
 def q_plan_retries(spark, sf_dir):
-    return ledger.plan_retries(fx.ledger_events(spark, sf_dir)).drop("next_attempt_ts")
+    return ledger.plan_retries(fx.ledger_events(spark, sf_dir))
 
 
 def _recover_docs(spark, sf_dir):
@@ -655,13 +658,13 @@ def q_error_budget(spark, sf_dir):
 
 # ---- ordering ------------------------------------------------------------------------------------
 
-_ORD = "kept AS (SELECT c_custkey AS i FROM customer WHERE NOT (c_custkey % 97 = 96 OR c_custkey BETWEEN 500 AND 520))"
+_ORD = "kept AS (SELECT c_custkey AS i FROM customer WHERE NOT (c_custkey > 1000 AND c_custkey % 97 = 96 OR c_custkey BETWEEN 1200 AND 1220))"
 
 
 def _kept(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("log_index"))
     k = F.col("log_index")
-    return c.filter(~((k % 97 == 96) | k.between(500, 520)))
+    return c.filter(~(((k > 1000) & (k % 97 == 96)) | k.between(1200, 1220)))
 
 
 @query(
@@ -723,10 +726,10 @@ def q_dedupe_index(spark, sf_dir):
     O.with_(O.FETCH)
     + """SELECT endpoint, round(avg(d), 3) AS mean_ms, round(quantile_disc(d, 0.95), 3) AS p95_ms, round(quantile_disc(d, 0.99), 3) AS p99_ms,
   round(max(d), 3) AS max_ms, CAST(coalesce(sum(CASE WHEN success THEN entries END), 0) AS BIGINT) AS entries_downloaded, count(d) AS recorded_calls
-FROM (SELECT *, CASE WHEN duration_ms > 0 AND duration_ms <= 60000 THEN duration_ms END AS d FROM flog) GROUP BY endpoint""",
+FROM (SELECT *, CASE WHEN duration_ms > 0 THEN duration_ms END AS d FROM flog) GROUP BY endpoint""",
 )
 def q_endpoint_latency(spark, sf_dir):
-    return monitor.endpoint_latency(fx.fetch_log(spark, sf_dir))
+    return monitor.endpoint_latency(fx.fetch_log(spark, sf_dir), exact=True)
 
 
 @query(
@@ -856,90 +859,39 @@ def _log_dir(spark, sf_dir):
 
     path = fx.fixture_path(spark, sf_dir, "ct_log_dir")
     if path not in _WRITTEN:
-        tree = read_table(spark, sf_dir, "customer").agg(F.max("c_custkey") + 1)
-        write_log_dir(fx.ct_pages(spark, sf_dir), tree, path.replace("file:", ""))
+        write_log_dir(fx.ct_pages(spark, sf_dir), path)
         _WRITTEN.add(path)
-    return path.replace("file:", "")
+    return path
 
 
-@query("ct_source_batch", "SELECT c_custkey AS log_index, true AS has_leaf FROM customer")
+@query(
+    "ct_source_batch",
+    """SELECT c_custkey AS log_index, 1700000000000 + c_custkey * 1000 AS timestamp_ms,
+  CAST(CASE c_custkey % 12 WHEN 6 THEN 1 WHEN 7 THEN 2 ELSE 0 END AS BIGINT) AS entry_type, CAST(NULL AS VARCHAR) AS page_error FROM customer""",
+)
 def q_ct_source_batch(spark, sf_dir):
-    from ..streaming.ct_source import register
+    """Every entry of the log folder, with what its leaf bytes say."""
+    from ..streaming.ct_source import read_log
 
-    register(spark)
-    d = spark.read.format("ct_log").option("path", _log_dir(spark, sf_dir)).option("download_size", "256").load()
-    return d.select("log_index", F.col("leaf_input").isNotNull().alias("has_leaf"))
+    d = decode_leaf(read_log(spark, _log_dir(spark, sf_dir), keep_errors=True))
+    return d.select("log_index", "timestamp_ms", "entry_type", "page_error")
 
 
-@query("stream_ingest", "SELECT 'log0' AS log, c_custkey AS log_index FROM customer WHERE c_custkey % 12 <> 7")
+@query(
+    "stream_ingest",
+    """SELECT 'log0' AS log, c_custkey AS log_index, 1700000000000 + c_custkey * 1000 AS timestamp_ms, c_custkey % 12 <> 7 AS has_line,
+  CASE WHEN c_custkey % 12 <> 7 THEN CAST(c_custkey AS VARCHAR) END AS line_index,
+  CASE WHEN c_custkey % 12 = 7 THEN 'unsupported log entry type' END AS error FROM customer""",
+)
 def q_stream_ingest(spark, sf_dir):
     import uuid
 
     from ..streaming.ingest import start_ingest
 
     base = fx.fixture_path(spark, sf_dir, f"stream_{uuid.uuid4().hex}")
-    q = start_ingest(spark, _log_dir(spark, sf_dir), f"{base}/out", f"{base}/ckpt", download_size=256)
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").filter(F.col("error").isNull()).select("log", "log_index")
-
-
-@query("reorder_stream", "SELECT 'log0' AS log, c_custkey AS log_index FROM customer WHERE c_custkey % 12 <> 7")
-def q_reorder_stream(spark, sf_dir):
-    import uuid
-
-    from ..streaming.ingest import ingest_stream, reorder_stream
-
-    base = fx.fixture_path(spark, sf_dir, f"reorder_{uuid.uuid4().hex}")
-    # unsupported entries (class 7) keep their index with an empty line, so they do not block the order
-    s = ingest_stream(spark, _log_dir(spark, sf_dir), download_size=256).select("log", "log_index", F.coalesce("line", F.lit("")).alias("line"))
-    q = reorder_stream(s).writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt").outputMode("append").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").filter(F.col("line") != "").select("log", "log_index")
-
-
-# T8 as a recursive walk over each endpoint's calls and probes, in the order of the stream
-HEALTH_SQL = """
-SELECT endpoint, make_timestamp(out_us) AS ts, out_state AS state, CAST(failures AS INTEGER) AS failures, CAST(cooldown AS BIGINT) AS cooldown_s
-FROM (
-  WITH RECURSIVE st(endpoint, rn, healthy, failures, cooldown, next_probe, out_state, out_us) AS (
-    SELECT endpoint, CAST(0 AS BIGINT), true, 0, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT)
-    FROM (SELECT DISTINCT endpoint FROM r) e
-    UNION ALL
-    SELECT st.endpoint, r.rn,
-      CASE WHEN st.healthy THEN NOT (r.kind = 'call' AND NOT r.success AND st.failures + 1 >= 5)
-           ELSE (r.kind = 'probe' AND r.us >= st.next_probe AND r.success) END,
-      CASE WHEN st.healthy THEN (CASE WHEN r.kind <> 'call' THEN st.failures WHEN r.success THEN 0 ELSE st.failures + 1 END)
-           WHEN r.kind = 'probe' AND r.us >= st.next_probe AND r.success THEN 0 ELSE st.failures END,
-      CASE WHEN st.healthy THEN (CASE WHEN r.kind = 'call' AND NOT r.success AND st.failures + 1 >= 5 THEN 60 ELSE st.cooldown END)
-           WHEN r.kind = 'probe' AND r.us >= st.next_probe AND NOT r.success THEN least(st.cooldown * 2, 1800) ELSE st.cooldown END,
-      CASE WHEN st.healthy THEN (CASE WHEN r.kind = 'call' AND NOT r.success AND st.failures + 1 >= 5 THEN r.us + 60000000 ELSE st.next_probe END)
-           WHEN r.kind = 'probe' AND r.us >= st.next_probe AND NOT r.success THEN r.us + least(st.cooldown * 2, 1800) * 1000000 ELSE st.next_probe END,
-      CASE WHEN st.healthy THEN (CASE WHEN r.kind = 'call' AND NOT r.success AND st.failures + 1 >= 5 THEN 'unhealthy' END)
-           WHEN r.kind = 'probe' AND r.us >= st.next_probe THEN (CASE WHEN r.success THEN 'healthy' ELSE 'cooldown' END) END,
-      r.us
-    FROM st JOIN r ON r.endpoint = st.endpoint AND r.rn = st.rn + 1
-  )
-  SELECT * FROM st
-) WHERE out_state IS NOT NULL
-"""
-
-
-# ---- incremental bucket job and listing ---------------------------------------------------------
-
-
-def _ct_batch_files(spark, sf_dir):
-    """D1 lines written as ten gzip batch files (file = sequence % 10)."""
-    path = fx.fixture_path(spark, sf_dir, "ct_batch_files")
-    if path not in _WRITTEN:
-        lines = fx.ct_lines(spark, sf_dir)
-        df = lines.select(
-            F.concat(F.lit("ct-"), (F.col("sequence_number") % 10).cast("string"), F.lit(".gz")).alias("file"),
-            F.col("sequence_number"),
-            F.concat(F.col("sequence_number").cast("string"), F.lit(" "), F.col("certificate_data")).alias("line"),
-        )
-        write_batch_fixture(df, path, order_col="sequence_number")
-        _WRITTEN.add(path)
-    return path
+    start_ingest(spark, _log_dir(spark, sf_dir), f"{base}/out", f"{base}/ckpt").awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    return out.select("log", "log_index", "timestamp_ms", F.col("line").isNotNull().alias("has_line"), F.split("line", " ")[0].alias("line_index"), "error")
 
 
 @query("list_objects", "SELECT DISTINCT 'ct-' || CAST(c_custkey % 10 AS VARCHAR) || '.gz' AS file, true AS has_bytes FROM customer WHERE c_custkey % 12 <> 7")
@@ -970,33 +922,6 @@ def q_process_bucket(spark, sf_dir):
     return back.select("domain", "name", "organization", F.coalesce("organizational_unit", F.lit("")).alias("organizational_unit"), "source", "sequence_number")
 
 
-@query(
-    "health_stream",
-    O.with_(O.FETCH)
-    + """, r AS (SELECT endpoint, epoch_us(ts) AS us, CASE WHEN event_id % 10 = 9 THEN 'probe' ELSE 'call' END AS kind, success,
-         row_number() OVER (PARTITION BY endpoint ORDER BY ts, event_id) AS rn FROM flog)"""
-    + HEALTH_SQL,
-)
-def q_health_stream(spark, sf_dir):
-    """T8 over the fetch log replayed as a stream (every 10th event is a health probe).
-    A sequential state machine with timers: checked against a brute-force run in the tests."""
-    import uuid
-
-    from ..streaming.health import health_stream
-
-    src = fx.fixture_path(spark, sf_dir, "fetch_stream")
-    if src not in _WRITTEN:
-        f = fx.fetch_log(spark, sf_dir).withColumn("kind", F.when(F.col("event_id") % 10 == 9, F.lit("probe")).otherwise(F.lit("call")))
-        f.select("endpoint", "ts", "event_id", "kind", "success").write.mode("overwrite").parquet(src)
-        _WRITTEN.add(src)
-    base = fx.fixture_path(spark, sf_dir, f"health_{uuid.uuid4().hex}")
-    schema = spark.read.parquet(src).schema
-    s = spark.readStream.schema(schema).parquet(src)
-    q = health_stream(s).writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt").outputMode("append").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
-
-
 @query(
     "processing_stats_by_file",
     """SELECT file, count(*) AS total_processed, count(*) FILTER (WHERE cls NOT IN (8, 9, 11)) AS successful_parsed,
@@ -1037,14 +962,85 @@ def q_sink_json(spark, sf_dir):
     return spark.read.schema("domain string, name string, organization string, organizational_unit string, source string, sequence_number long").json(f"{path}/mappings")
 
 
-@query("stream_batches", "SELECT c_custkey AS log_index, c_custkey - c_custkey % 100 AS batch_start FROM customer WHERE c_custkey % 12 <> 7")
+@query("stream_batches", "SELECT c_custkey AS log_index, c_custkey - c_custkey % 100 AS batch_start, true AS in_order FROM customer WHERE c_custkey % 12 <> 7")
 def q_stream_batches(spark, sf_dir):
-    """T1 + K5: the CT log streamed into gzip batch files, read back with S1/S2."""
+    """T1 + K5: the CT log streamed into gzip batch files, read back with S1/S2; a file's lines rise by index."""
     import uuid
 
     from ..streaming.ingest import start_ingest_to_batches
 
     base = fx.fixture_path(spark, sf_dir, f"stream_batches_{uuid.uuid4().hex}")
-    start_ingest_to_batches(spark, _log_dir(spark, sf_dir), f"{base}/out", f"{base}/ckpt", batch_size=100, download_size=256).awaitTermination()
+    start_ingest_to_batches(spark, _log_dir(spark, sf_dir), f"{base}/out", f"{base}/ckpt", batch_size=100).awaitTermination()
     back = parse_lines(read_batch_lines(spark, f"{base}/out", recursive=True))
-    return back.select(F.col("sequence_number").alias("log_index"), F.regexp_extract("file", r"batch_start=(\d+)", 1).cast("long").alias("batch_start"))
+    before = F.lag("sequence_number").over(Window.partitionBy("file").orderBy("line_id"))  # a batch file holds 100 lines at most
+    return back.select(
+        F.col("sequence_number").alias("log_index"),
+        F.regexp_extract("file", r"batch_start=(\d+)", 1).cast("long").alias("batch_start"),
+        (before.isNull() | (before < F.col("sequence_number"))).alias("in_order"),
+    )
+
+
+@query(
+    "sink_per_source",
+    O.with_(O.CERTS)
+    + "SELECT domain, name, organization, NULLIF(organizational_unit, '') AS organizational_unit, source, sequence_number, 'ct-' || CAST(sequence_number % 10 AS VARCHAR) || '.jsonl' AS output_name FROM mappings",
+)
+def q_sink_per_source(spark, sf_dir):
+    """K6: one output per source, written twice (a re-run changes nothing) and read back."""
+    from ..sinks.writers import write_per_source
+
+    path = _sink_path(spark, sf_dir, "per_source")
+    m = _extract(spark, sf_dir)[0].drop("position").withColumn("output_name", F.concat(F.lit("ct-"), (F.col("sequence_number") % 10).cast("string"), F.lit(".jsonl")))
+    for _ in range(2):
+        write_per_source(m, path, sources=m.select("output_name").distinct())
+    return spark.read.schema("domain string, name string, organization string, organizational_unit string, source string, sequence_number long, output_name string").json(path)
+
+
+@query(
+    "sink_dispatch",
+    O.with_(O.CERTS)
+    + """, f AS (SELECT unnest(['json', 'JSONL', 'csv', 'text']) AS fmt)
+SELECT lower(fmt) AS fmt, count(*) AS n_rows, count(*) FILTER (WHERE fmt IN ('json', 'JSONL') AND organizational_unit <> '') AS n_units FROM mappings, f GROUP BY fmt""",
+)
+def q_sink_dispatch(spark, sf_dir):
+    """K7: each format by name, in any case, read back."""
+    from ..sinks.writers import write_mappings
+
+    m = _extract(spark, sf_dir)[0].drop("position")
+    out = None
+    for fmt in ("json", "JSONL", "csv", "text"):
+        path = _sink_path(spark, sf_dir, f"dispatch_{fmt}")
+        write_mappings(m, path, fmt)
+        if fmt.lower() in ("json", "jsonl"):
+            back = spark.read.schema("name string, organizational_unit string").json(f"{path}/mappings" if fmt == "json" else path)
+        elif fmt == "csv":
+            back = spark.read.option("header", "true").csv(path).selectExpr("Name AS name", "CAST(NULL AS STRING) AS organizational_unit")
+        else:
+            back = spark.read.text(path).selectExpr("value AS name", "CAST(NULL AS STRING) AS organizational_unit")
+        one = back.groupBy(F.lit(fmt.lower()).alias("fmt")).agg(F.count(F.lit(1)).alias("n_rows"), F.count("organizational_unit").alias("n_units"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(
+    "log_list",
+    """SELECT CAST(n_regionkey AS INTEGER) AS operator_pos, CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS INTEGER) AS log_pos,
+  n_name AS description, 'id' || CAST(n_nationkey AS VARCHAR) AS log_id,
+  CAST(n_nationkey AS INTEGER) AS download_jobs, CAST(n_nationkey * 100 AS BIGINT) AS download_size FROM nation""",
+)
+def q_log_list(spark, sf_dir):
+    """A log list document (an operator per region, a log per nation), flattened."""
+    from ..sources.pages import flatten_log_list
+
+    log = F.struct(
+        F.col("n_nationkey").alias("n"),
+        F.col("n_name").alias("description"),
+        F.concat(F.lit("id"), F.col("n_nationkey").cast("string")).alias("log_id"),
+        F.concat(F.lit("https://ct.example.com/"), F.lower("n_name"), F.lit("/")).alias("url"),
+        F.col("n_nationkey").cast("int").alias("certspotter_download_jobs"),
+        (F.col("n_nationkey") * 100).cast("long").alias("certspotter_download_size"),
+    )
+    ops = read_table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.sort_array(F.collect_list(log)).alias("logs"))
+    one = F.struct("n_regionkey", F.concat(F.lit("operator "), F.col("n_regionkey").cast("string")).alias("name"), "logs")
+    doc = ops.agg(F.to_json(F.struct(F.sort_array(F.collect_list(one)).alias("operators"))).alias("json"))
+    return flatten_log_list(doc).select("operator_pos", "log_pos", "description", "log_id", "download_jobs", "download_size")

@@ -15,7 +15,7 @@ _SHIPPED: set = set()
 def ensure_shipped(spark: SparkSession) -> None:
     """Zip this package once per SparkContext and register it with ``addPyFile``."""
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = sc.applicationId
     if key in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))

@@ -1,8 +1,7 @@
 """K1-K7 sinks: mapping table to json / jsonl / csv / text, CT batch files, per-source outputs.
 
 All writers are distributed DataFrame writes (one part file per task); none gathers the
-result on the driver.  Run statistics go to a side directory next to the rows.  The one
-exception is the opt-in single-document JSON form, which meets in one task behind a row bound.
+result on the driver.  Run statistics go to a side directory next to the rows.
 """
 
 from __future__ import annotations
@@ -101,9 +100,14 @@ def write_batches(entries: DataFrame, path: str, batch_size: int = 100_000, idx:
     )
 
 
-def write_per_source(df: DataFrame, path: str, fmt: str = "jsonl", source_col: str = "output_name") -> None:
+def write_per_source(df: DataFrame, path: str, fmt: str = "jsonl", source_col: str = "output_name", sources: DataFrame | None = None, files_per_source: int = 1) -> None:
     """K6: one output per input file, partitioned by its output name; a re-run overwrites only
-    the partitions it produces (dynamic partition overwrite), so it is idempotent."""
+    the partitions it produces (dynamic partition overwrite), so it is idempotent.
+
+    ``sources`` names the outputs this run stands for: one that gets no rows now is cleared.  Rows
+    are shuffled by source first, so that a source has ``files_per_source`` files at most; give
+    more for sources too large for one task.
+    """
     f = fmt.lower()
     if f in ("txt", "text"):
         out = _valid(df).select(source_col, format_mapping(df, with_seq=True).alias("value"))
@@ -111,6 +115,10 @@ def write_per_source(df: DataFrame, path: str, fmt: str = "jsonl", source_col: s
         out = _valid(df).select(source_col, *[F.col(c).alias(h) for c, h in CSV_HEADER.items()])
     else:
         out = _omit_empty_ou(_valid(df))
+    if sources is not None:
+        _clear(sources.select(source_col).join(out.select(source_col).distinct(), source_col, "left_anti"), path, source_col)
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_source))
+    out = out.repartition(F.col(source_col), salt) if files_per_source > 1 else out.repartition(F.col(source_col))
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(source_col)
     if f == "csv":
         (
@@ -127,6 +135,20 @@ def write_per_source(df: DataFrame, path: str, fmt: str = "jsonl", source_col: s
         w.option("ignoreNullFields", "true").json(path)
 
 
+def _clear(empty: DataFrame, path: str, source_col: str) -> None:
+    """Remove the partitions of sources that have no rows any more.
+
+    A dynamic overwrite replaces the partitions it has rows for; only folder names travel, and a
+    source without rows is an exception, not the rule.
+    """
+    spark = empty.sparkSession
+    jvm = spark.sparkContext._jvm
+    unesc = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for r in empty.distinct().toLocalIterator():
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{source_col}={unesc.escapePathName(r[0])}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _go_json(c):
     """JSON text of a value with the HTML characters escaped the way Go's encoder does."""
     j = F.to_json(F.array(c))
@@ -134,17 +156,14 @@ def _go_json(c):
     return F.regexp_replace(F.regexp_replace(j, r"^\[", ""), r"\]\z", "")
 
 
-def write_json_document(df: DataFrame, path: str, stats: dict | None = None, max_rows: int = 1_000_000) -> None:
+def write_json_document(df: DataFrame, path: str, stats: dict | None = None) -> None:
     """K1 single-document form: {"mappings": [...], "stats": {...}} with 2-space indentation,
     ``organizational_unit`` omitted when empty and HTML characters escaped.
 
-    The document is one file, so all rows meet in one task: the row count is checked against
-    ``max_rows`` first and the distributed ``write_json`` is the form to use beyond it.
+    The document is the part files under ``path``, one after the other in the order of their names:
+    the rows are range-sorted by sequence number, so no task holds more than its range.
     """
     rows = _valid(df).select(*MAPPING_COLUMNS)
-    n = rows.count()
-    if n > max_rows:
-        raise ValueError(f"{n} mappings exceed the single-document bound of {max_rows}; use write_json")
     fields = [
         F.concat(F.lit('      "domain": '), _go_json(F.col("domain"))),
         F.concat(F.lit('      "name": '), _go_json(F.col("name"))),
@@ -156,12 +175,15 @@ def write_json_document(df: DataFrame, path: str, stats: dict | None = None, max
     obj = F.concat(F.lit("    {\n"), F.concat_ws(",\n", *fields), F.lit("\n    }"))
     st = stats or {}
     stats_txt = "{\n" + ",\n".join(f'    "{k}": {json.dumps(v)}' for k, v in st.items()) + "\n  }" if st else "{}"
-    doc = rows.select(F.col("sequence_number"), obj.alias("o")).agg(
-        F.concat(
-            F.lit('{\n  "mappings": ['),
-            F.when(F.count(F.lit(1)) > 0, F.concat(F.lit("\n"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("sequence_number", "o"))), lambda x: x["o"]), ",\n"), F.lit("\n  "))).otherwise(F.lit("")),
-            F.lit('],\n  "stats": ' + stats_txt + "\n}"),
-        ).alias("value")
-    )
-    doc.coalesce(1).write.mode("overwrite").text(path)
-
+    body = rows.select(F.lit(1).alias("k"), "sequence_number", obj.alias("o")).groupBy("k", "sequence_number", "o").agg(F.count(F.lit(1)).alias("n"))
+    last = body.agg(F.max(F.struct("sequence_number", "o")).alias("x")).first()["x"]
+    if last is None:
+        lines = df.sparkSession.createDataFrame([(0, '{\n  "mappings": [],\n  "stats": ' + stats_txt + "\n}")], "k int, value string")
+    else:
+        # equal rows are one line repeated; only the last one of the document has no comma
+        is_last = (F.col("sequence_number") == F.lit(last["sequence_number"])) & (F.col("o") == F.lit(last["o"]))
+        many = F.array_join(F.array_repeat("o", F.col("n").cast("int")), ",\n")
+        text = F.when(is_last, many).otherwise(F.concat(many, F.lit(",")))
+        edge = df.sparkSession.createDataFrame([(0, 0, '{\n  "mappings": ['), (2, 0, '  ],\n  "stats": ' + stats_txt + "\n}")], "k int, sequence_number long, value string")
+        lines = body.select("k", "sequence_number", "o", text.alias("value")).unionByName(edge.withColumn("o", F.lit(""))).orderBy("k", "sequence_number", "o")
+    lines.select("value").write.mode("overwrite").text(path)

@@ -8,7 +8,7 @@ line numbers of the progress report need.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import go_trim, is_blank
@@ -19,25 +19,30 @@ ERR_EMPTY = "line is empty"
 ERR_FORMAT = "line does not match expected format 'sequence_number certificate_data'"
 ERR_SEQUENCE = "invalid sequence number"
 ERR_DATA = "certificate data is empty"
-MAX_LINE_BYTES = 1024 * 1024
 
 
-def read_batch_lines(spark: SparkSession, path, recursive: bool = False, min_partitions: int | None = None, ignore_corrupt: bool = False) -> DataFrame:
+def file_path() -> Column:
+    """The scanned file's path as listings name it; the scan's own metadata column is URL-escaped."""
+    return F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+
+
+def read_batch_lines(spark: SparkSession, path, recursive: bool = False, min_partitions: int | None = None, ignore_corrupt: bool = False, with_size: bool = False) -> DataFrame:
     """(file, line_id, value) for every line of every *.gz (any case) under ``path``.
 
     Lines are split on LF only and one trailing CR is dropped.  ``path`` may be a directory or a
     list of files; files that hold fewer lines than cores are spread with a repartition.  With
     ``ignore_corrupt`` a file that cannot be decompressed yields the lines read before the fault
-    instead of failing the job (the caller reports it).
+    instead of failing the job; the caller finds such files with ``damaged_files``.
     """
     reader = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.[gG][zZ]").option("recursiveFileLookup", str(recursive).lower())
     if ignore_corrupt:
         reader = reader.option("ignoreCorruptFiles", "true")
     df = reader.text(path if isinstance(path, (list, tuple)) else [path])
     df = df.select(
-        F.col("_metadata.file_path").alias("file"),
+        file_path().alias("file"),
         F.monotonically_increasing_id().alias("line_id"),
         F.regexp_replace(F.col("value"), r"\r\z", "").alias("value"),
+        *([(F.octet_length("value") + 1).cast("long").alias("n_bytes")] if with_size else []),
     )
     if min_partitions:
         df = df.repartition(min_partitions)
@@ -49,7 +54,7 @@ def parse_lines(df: DataFrame, col: str = "value", mode: str = "quarantine", fil
 
     mode="quarantine" keeps every line with its error; mode="abort_file" additionally drops all
     lines of a file from its first bad line on (the earlier rows are kept), as the reference
-    does.  Over-long lines (>= 1 MiB) are an error of their own.
+    does.  Lines may be of any length.
     """
     # The grammar is LINE_RE; it is evaluated with short expressions anchored at the start of
     # the line (digits, then the blank run), so a long certificate is never scanned by a regex.
@@ -59,19 +64,17 @@ def parse_lines(df: DataFrame, col: str = "value", mode: str = "quarantine", fil
         "*",
         F.regexp_extract(v, r"^([0-9]+)", 1).alias("__digits"),
         F.regexp_extract(v, r"^[0-9]+([\t\n\f\r ]+)", 1).alias("__blanks"),
-        (F.octet_length(v) >= MAX_LINE_BYTES).alias("__long"),
         is_blank(v).alias("__blank"),
     )
     nd, nb = F.length("__digits"), F.length("__blanks")
-    rest = F.substring(v, nd + nb + 1, MAX_LINE_BYTES)
+    rest = F.substring(v, nd + nb + 1, F.length(v))
     d = d.select("*", rest.alias("__rest"), F.expr("try_cast(__digits AS BIGINT)").alias("__seq"))
     # '.+' needs one character: with nothing after the blanks the last blank is taken as data
     nr = F.length("__rest")
     matched = (nd > 0) & (nb > 0) & ((nr > 0) | (nb > 1))
     d = d.select("*", matched.alias("__matched"), go_trim(F.when(nr > 0, F.col("__rest")).otherwise(F.substring("__blanks", -1, 1))).alias("__data"))
     err = (
-        F.when(F.col("__long"), F.lit("line too long"))
-        .when(F.col("__blank"), F.lit(ERR_EMPTY))
+        F.when(F.col("__blank"), F.lit(ERR_EMPTY))
         .when(~F.col("__matched"), F.lit(ERR_FORMAT))
         .when(F.col("__seq").isNull(), F.concat(F.lit(ERR_SEQUENCE + " '"), F.col("__digits"), F.lit("'")))
         .when(F.col("__data") == "", F.lit(ERR_DATA))
@@ -91,6 +94,52 @@ def parse_lines(df: DataFrame, col: str = "value", mode: str = "quarantine", fil
     return out
 
 
+def damaged_files(spark: SparkSession, paths: list[str], read_bytes: DataFrame) -> DataFrame:
+    """(file, file_error) of the gzip files among ``paths`` that did not decompress to their end.
+
+    ``read_bytes`` has (file, n_bytes), the size of the lines read from each file.  A gzip file ends with
+    the size of its content modulo 2 ** 32, so an intact file needs no second decompression.
+    Where both differ (damage, or several gzip members in one file), the file is decompressed
+    in full on an executor, piece by piece, and nothing of its content is kept.
+    """
+    raw = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"), "length", "content")
+    tail = F.hex(F.substring("content", -4, 4))
+    size = F.conv(F.concat(*(F.substring(tail, i, 2) for i in (7, 5, 3, 1))), 16, 10).cast("long")
+    told = raw.select("file", "length", size.alias("told")).join(read_bytes, "file", "left")
+    short = F.pmod(F.col("n_bytes") - F.col("told"), F.lit(1 << 32))
+    doubt = told.filter((F.col("length") < 18) | F.col("n_bytes").isNull() | ~short.isin(0, 1)).select("file")
+    found = raw.join(doubt, "file").select("file", "content").mapInPandas(_inflate, "file string, file_error string")
+    return found.filter(F.col("file_error").isNotNull())
+
+
+def _inflate(frames):
+    import zlib
+
+    import pandas as pd
+
+    for f in frames:
+        errors = []
+        for data in f["content"]:
+            error, at, empty = None, 0, True
+            try:
+                while at < len(data) and error is None:
+                    member, before = zlib.decompressobj(31), at
+                    while not member.eof and at < len(data):
+                        empty = not member.decompress(data[at : at + (1 << 20)]) and empty
+                        at += min(1 << 20, len(data) - at)
+                    if not member.eof:
+                        error = "unexpected end of file"
+                    at -= len(member.unused_data)
+                    if at <= before:
+                        break
+                    if member.eof and not data[at:].strip(b"\x00"):
+                        break  # padding after the last member
+            except zlib.error:
+                error = "file is empty or unreadable"
+            errors.append(error or ("file is empty or unreadable" if empty else None))
+        yield pd.DataFrame({"file": f["file"], "file_error": errors})
+
+
 def file_profile(lines: DataFrame, files: DataFrame | None = None, file_col: str = "file") -> DataFrame:
     """Per file: line count (malformed lines count too), byte size when a listing is given,
     estimated seconds at 100,000 lines per 3 s.  Files of the listing with no readable lines

@@ -15,17 +15,29 @@ def _b64_ok(c):
     return c.isNull() | base64_valid(c)
 
 
-def explode_entries(pages: DataFrame, json_col: str = "json", start_col: str = "start") -> DataFrame:
+# Fixed value: what a page that cannot be decoded is reported with.
+ERR_PAGE = "get-entries page cannot be decoded"
+
+
+def explode_entries(pages: DataFrame, json_col: str = "json", start_col: str = "start", keep_errors: bool = False) -> DataFrame:
     """S3: (log_index, leaf_input, extra_data) from (start, json) pages.
 
     Entry index = page start + position in the page.  A page that is not valid JSON, or that
-    has a field that is not valid base64 (the JSON decoder decodes the bytes), is dropped whole.
+    has a field that is not valid base64 (the JSON decoder decodes the bytes), yields no entry;
+    with ``keep_errors`` it yields one row at the page's start, and a column ``page_error``.
     """
     p = pages.select(F.col(start_col).alias("start"), F.from_json(F.col(json_col), PAGE_SCHEMA, {"mode": "PERMISSIVE"}).alias("p"))
-    ok = F.col("p").isNotNull() & F.col("p.entries").isNotNull() & F.forall("p.entries", lambda e: _b64_ok(e["leaf_input"]) & _b64_ok(e["extra_data"]))
-    return p.filter(ok).select("start", F.posexplode("p.entries").alias("pos", "e")).select(
-        (F.col("start") + F.col("pos")).alias("log_index"), F.col("e.leaf_input").alias("leaf_input"), F.col("e.extra_data").alias("extra_data")
-    )
+    ok = F.coalesce(F.forall("p.entries", lambda e: _b64_ok(e["leaf_input"]) & _b64_ok(e["extra_data"])), F.lit(False))
+    p = p.select("start", "p", ok.alias("ok"))
+    if not keep_errors:
+        rows = p.filter("ok").select("start", "ok", F.posexplode("p.entries").alias("pos", "e"))
+    else:
+        none = F.array(F.lit(None).cast("struct<leaf_input:string,extra_data:string>"))
+        rows = p.select("start", "ok", F.posexplode(F.when(F.col("ok"), F.col("p.entries")).otherwise(none)).alias("pos", "e"))
+    out = [(F.col("start") + F.col("pos")).alias("log_index"), F.col("e.leaf_input").alias("leaf_input"), F.col("e.extra_data").alias("extra_data")]
+    if keep_errors:
+        out.append(F.when(~F.col("ok"), F.lit(ERR_PAGE)).alias("page_error"))
+    return rows.select(*out)
 
 
 def read_get_entries(spark: SparkSession, path: str) -> DataFrame:

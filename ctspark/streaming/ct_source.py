@@ -1,137 +1,47 @@
-"""A CT log as a Spark data source, batch and streaming (Python Data Source API).
-
-Transport is file-backed: a log directory holds ``sth.json`` ({"tree_size": N}) and get-entries
-pages as JSON lines under ``pages/start=<first index>/``.  The stream offset is the next index
-to read; the latest offset is the tree size (never moving backwards; 0 = no data yet).  Each
-micro-batch [next, tree_size) is cut into ``download_size`` ranges, one input partition each,
-the last range clipped to tree_size - 1.
+"""A CT log folder as a native file source, batch and streaming.
+
+Transport is file-backed: get-entries pages as JSON lines under ``pages/start=<first index>/``.
+Both forms read the pages with Spark's text source, on any file system; the page's start comes from
+its folder, so pages may start and end anywhere, as log servers serve them.  The streaming form
+remembers which files it has read in the query checkpoint, and admission
+(``max_files_per_trigger``) is decided in the source's offset: what one trigger leaves is read
+by the next.  A page that cannot be decoded gives one row with ``page_error``.
 """
 
 from __future__ import annotations
 
-import glob
-import json
-import os
-
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
-
-SCHEMA = "log_index long, leaf_input string, extra_data string"
-
-
-class RangePartition(InputPartition):
-    def __init__(self, start: int, end: int):
-        self.start, self.end = start, end
-
-
-def _tree_size(path: str) -> int:
-    try:
-        with open(os.path.join(path, "sth.json")) as fh:
-            return int(json.load(fh).get("tree_size", 0))
-    except (OSError, ValueError):
-        return 0
-
-
-def _plan(start: int, tree: int, size: int):
-    return [RangePartition(s, min(s + size - 1, tree - 1)) for s in range(start, tree, size)]
-
-
-def _read_range(path: str, page_size: int, part: RangePartition):
-    """Rows of [start, end] from the pages that cover it; a page that is not valid JSON is
-    skipped whole, a bad entry still consumes its index."""
-    first_page = part.start - part.start % page_size
-    for page_start in range(first_page, part.end + 1, page_size):
-        for f in sorted(glob.glob(os.path.join(path, "pages", f"start={page_start}", "*"))):
-            if os.path.basename(f).startswith((".", "_")):
-                continue
-            with open(f) as fh:
-                for line in fh:
-                    try:
-                        entries = json.loads(line)["entries"]
-                        if not isinstance(entries, list):
-                            continue
-                    except (ValueError, KeyError, TypeError):
-                        continue
-                    for pos, e in enumerate(entries):
-                        idx = page_start + pos
-                        # a malformed entry is skipped but still consumes its index
-                        if part.start <= idx <= part.end and isinstance(e, dict):
-                            leaf, extra = e.get("leaf_input"), e.get("extra_data")
-                            yield (idx, leaf if isinstance(leaf, str) else None, extra if isinstance(extra, str) else None)
-
-
-class CtLogBatchReader(DataSourceReader):
-    def __init__(self, options):
-        self.path = options["path"]
-        self.size = int(options.get("download_size", "1000"))
-        self.page_size = int(options.get("page_size", "100"))
-        self.start = int(options.get("start", "0"))
-
-    def partitions(self):
-        return _plan(self.start, _tree_size(self.path), self.size)
-
-    def read(self, partition):
-        yield from _read_range(self.path, self.page_size, partition)
-
-
-class CtLogStreamReader(DataSourceStreamReader):
-    def __init__(self, options):
-        self.path = options["path"]
-        self.size = int(options.get("download_size", "1000"))
-        self.page_size = int(options.get("page_size", "100"))
-        self.start = int(options.get("start", "0"))
-        self.max_per_batch = int(options.get("max_entries_per_trigger", "0"))
-        self._seen_tree = 0
-
-    def initialOffset(self):
-        return {"next": self.start}
-
-    def latestOffset(self):
-        tree = max(_tree_size(self.path), self._seen_tree)  # the tree head never moves back
-        self._seen_tree = tree
-        return {"next": tree}
-
-    def partitions(self, start, end):
-        lo, hi = int(start["next"]), int(end["next"])
-        if self.max_per_batch > 0:
-            hi = min(hi, lo + self.max_per_batch)
-        return _plan(lo, hi, self.size)
-
-    def read(self, partition):
-        yield from _read_range(self.path, self.page_size, partition)
-
-    def commit(self, end):
-        pass
-
+from pyspark.sql import DataFrame, SparkSession
 
-class CtLogDataSource(DataSource):
-    @classmethod
-    def name(cls):
-        return "ct_log"
+from ..session import make_dirs, path_exists
+from ..sources.pages import explode_entries
 
-    def schema(self):
-        return SCHEMA
+PAGES = "value string, start long"
 
-    def reader(self, schema):
-        return CtLogBatchReader(self.options)
 
-    def streamReader(self, schema):
-        return CtLogStreamReader(self.options)
+def _pages_path(path: str) -> str:
+    return f"{path.rstrip('/')}/pages"
 
 
-def register(spark) -> None:
-    """Register ``ct_log``.  The source's planner runs in its own Python process, which does
-    not see files added with ``addPyFile``, so this module is pickled by value."""
-    import sys
+def read_log(spark: SparkSession, path: str, keep_errors: bool = False) -> DataFrame:
+    """(log_index, leaf_input, extra_data) of all pages of a log folder; none before its first page."""
+    pages = _pages_path(path)
+    if path_exists(spark, pages):
+        raw = spark.read.schema(PAGES).option("lineSep", "\n").text(pages)
+    else:
+        raw = spark.createDataFrame([], PAGES)
+    return explode_entries(raw, "value", "start", keep_errors)
 
-    from pyspark import cloudpickle
 
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    spark.dataSource.register(CtLogDataSource)
+def log_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, keep_errors: bool = True) -> DataFrame:
+    """The streaming form of ``read_log``; the folder may still be empty."""
+    pages = _pages_path(path)
+    make_dirs(spark, pages)
+    reader = spark.readStream.schema(PAGES).option("lineSep", "\n")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return explode_entries(reader.text(pages), "value", "start", keep_errors)
 
 
-def write_log_dir(pages_df, tree_size_df, path: str) -> None:
-    """Lay out a file-backed log from (start, json) pages and a one-row tree-size frame."""
-    pages_df.select("start", "json").write.mode("overwrite").partitionBy("start").text(os.path.join(path, "pages"))
-    row = tree_size_df.first()  # one scalar: the signed tree head
-    with open(os.path.join(path, "sth.json"), "w") as fh:
-        json.dump({"tree_size": int(row[0])}, fh)
+def write_log_dir(pages_df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Lay out a file-backed log from (start, json) pages."""
+    pages_df.selectExpr("json AS value", "start").write.mode(mode).partitionBy("start").text(_pages_path(path))

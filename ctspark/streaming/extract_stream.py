@@ -3,7 +3,10 @@
 The file stream source tracks which files were seen (in the query checkpoint), so each file
 is read once; every micro-batch runs the same batch plan (parse -> extract -> per-source
 outputs) through ``foreachBatch``.  Outputs are written with dynamic partition overwrite per
-source file, so replaying a micro-batch after a failure rewrites the same partitions.
+source file, so replaying a micro-batch after a failure rewrites the same partitions.  Every
+entry's status and every file's first bad line are written beside the outputs, one folder per
+micro-batch, overwritten on a replay.  As in the batch job a file ends at its first bad line, and
+a file that cannot be decompressed fails the micro-batch.
 """
 
 from __future__ import annotations
@@ -13,9 +16,9 @@ from pyspark.sql import functions as F
 
 from ..operators.hosts import PublicSuffixTable, default_psl
 from ..operators.mappings import extract
-from ..plans.bucket_job import relative_output_name
+from ..plans.bucket_job import _keep, relative_output_name
 from ..sinks.writers import write_per_source
-from ..sources.batch_files import parse_lines
+from ..sources.batch_files import file_path, parse_lines
 
 
 def batch_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -23,7 +26,7 @@ def batch_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: in
     r = spark.readStream.format("text").option("lineSep", "\n").option("pathGlobFilter", "*.[gG][zZ]").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", r"\r\z", "").alias("value"))
+    return r.load(path).select(file_path().alias("file"), F.regexp_replace("value", r"\r\z", "").alias("value"))
 
 
 def start_extraction_stream(
@@ -40,11 +43,16 @@ def start_extraction_stream(
     psl = psl or default_psl(spark)
 
     def run_batch(df: DataFrame, epoch_id: int) -> None:
-        parsed = parse_lines(df)
-        ok = parsed.filter(F.col("error").isNull()).select("file", "sequence_number", "certificate_data")
-        mappings, _status = extract(ok, psl, keep=("file",))
+        # written once: line ids, errors and rows then come from one scan
+        parsed = _keep(parse_lines(df.withColumn("line_id", F.monotonically_increasing_id())).select("file", "line_id", "error", "sequence_number", "certificate_data"), "stream")
+        first = parsed.filter(F.col("error").isNotNull()).groupBy("file").agg(F.min(F.struct("line_id", "error")).alias("first"))
+        ok = parsed.join(first, "file", "left").filter(F.col("first").isNull() | (F.col("line_id") < F.col("first.line_id"))).select("file", "sequence_number", "certificate_data")
+        mappings, status = extract(ok, psl, keep=("file",))
         out = mappings.withColumn("output_name", relative_output_name(F.col("file"), input_path, fmt)).drop("file", "position")
-        write_per_source(out, output_path, fmt)
+        sources = parsed.select(relative_output_name(F.col("file"), input_path, fmt).alias("output_name")).distinct()
+        write_per_source(out, output_path, fmt, sources=sources)
+        status.write.mode("overwrite").parquet(f"{output_path}_status/epoch={epoch_id}")
+        first.select("file", "first.error").write.mode("overwrite").json(f"{output_path}_errors/epoch={epoch_id}")
 
     w = batch_lines_stream(spark, input_path, max_files_per_trigger).writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)

@@ -1,90 +1,54 @@
-"""Continuous / fixed-range ingest and ordered release.
-
-T1  ``start_ingest``: CT source -> leaf decode -> sink, with ``trigger(availableNow=True)`` for
-    a fixed range or ``processingTime`` for a follower.  The streaming checkpoint holds the next
-    index (T2): a restart resumes from it and a replayed micro-batch covers the same range, so
-    the stream needs no de-duplication state (which would grow with every index of the log);
-    T4 ``dedupe_index`` is for at-least-once batch inputs.
-T3  ``reorder_stream``: ordered release with a bounded buffer, as a stateful operator keyed by
-    (log, batch) (``applyInPandasWithState``): inside each batch of N consecutive indexes,
-    entries wait until every lower index of the batch has been released.  Keying by batch
-    keeps every state bounded by N and lets batches of one log proceed in parallel; batch
-    files are written per batch anyway (K5).
+"""Continuous or fixed-range ingest of a CT log.
+
+``start_ingest`` runs log folder -> leaf decode -> sink, with ``trigger(availableNow=True)`` up to the
+pages present or ``processingTime`` as a follower.  The streaming checkpoint holds what was read:
+a restart goes on from there.  T4 ``dedupe_index`` is for at-least-once batch inputs.  Ordered
+output is a matter of the batch files: lines are sorted inside every batch (K5), and W1 tells
+how far a log is complete.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.encoding import base64_line
 from ..operators.leaf import decode_leaf
-from .ct_source import register
-
-
-def ingest_stream(spark: SparkSession, log_dir: str, log_name: str = "log0", download_size: int = 1000, max_entries_per_trigger: int = 0) -> DataFrame:
-    """Streaming DataFrame (log, log_index, timestamp_ms, line, error) from a CT log directory."""
-    register(spark)
-    raw = (
-        spark.readStream.format("ct_log")
-        .option("path", log_dir)
-        .option("download_size", str(download_size))
-        .option("max_entries_per_trigger", str(max_entries_per_trigger))
-        .load()
-    )
-    d = decode_leaf(raw)
-    line = F.when(F.col("error").isNull(), F.concat(F.col("log_index").cast("string"), F.lit(" "), base64_line(F.col("der"))))
-    return d.select(F.lit(log_name).alias("log"), "log_index", "timestamp_ms", line.alias("line"), "error")
+from ..sinks.writers import write_batches
+from .ct_source import log_stream
 
 
-def start_ingest(spark: SparkSession, log_dir: str, out_path: str, checkpoint: str, continuous: bool = False, interval: str = "5 minutes", **kw):
-    """Write decoded entries as parquet; availableNow stops at the tree head."""
-    q = ingest_stream(spark, log_dir, **kw).writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
-    q = q.trigger(processingTime=interval) if continuous else q.trigger(availableNow=True)
-    return q.start()
+def _decoded(spark: SparkSession, log_dir: str, max_files_per_trigger: int | None) -> DataFrame:
+    """Decoded leaves; a page that cannot be read is one row whose ``error`` says so."""
+    d = decode_leaf(log_stream(spark, log_dir, max_files_per_trigger))
+    return d.withColumn("error", F.coalesce("page_error", "error")).drop("page_error")
 
 
-REORDER_OUT = "log string, batch_start long, log_index long, line string"
-REORDER_STATE = "next long, idx array<long>, lines array<string>"
+def ingest_stream(spark: SparkSession, log_dir: str, log_name: str = "log0", max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming DataFrame (log, log_index, timestamp_ms, line, error) of a log folder."""
+    d = _decoded(spark, log_dir, max_files_per_trigger)
+    line = F.when(F.col("error").isNull(), F.concat(F.col("log_index").cast("string"), F.lit(" "), base64_line(F.col("der"))))
+    return d.select(F.lit(log_name).alias("log"), "log_index", "timestamp_ms", line.alias("line"), "error")
 
 
-def _release(key, pdfs: Iterator[pd.DataFrame], state: GroupState, batch_size: int | None = None):
-    log, batch_start = key
-    if state.exists:
-        nxt, idx, lines = state.get
-        buf = dict(zip(list(idx), list(lines)))
-    else:
-        nxt, buf = int(batch_start), {}
-    for pdf in pdfs:
-        for i, line in zip(pdf["log_index"].tolist(), pdf["line"].tolist()):
-            if i >= nxt:
-                buf[int(i)] = line  # a repeated index overwrites the held one
-    out_i, out_l = [], []
-    while nxt in buf:
-        out_i.append(nxt)
-        out_l.append(buf.pop(nxt))
-        nxt += 1
-    keys = sorted(buf)
-    if batch_size is not None and nxt >= int(batch_start) + batch_size:
-        state.remove()  # batch complete: nothing more can arrive for it
-    else:
-        state.update((nxt, keys, [buf[k] for k in keys]))
-    yield pd.DataFrame({"log": [log] * len(out_i), "batch_start": [int(batch_start)] * len(out_i), "log_index": out_i, "line": out_l})
+def _trigger(writer, continuous: bool, interval: str):
+    return writer.trigger(processingTime=interval) if continuous else writer.trigger(availableNow=True)
 
 
-def reorder_stream(stream: DataFrame, batch_size: int = 100_000) -> DataFrame:
-    """Release (log, batch_start, log_index, line) rows in index order within each batch,
-    holding out-of-order rows in state until their predecessors arrive."""
-    keyed = stream.withColumn("batch_start", F.col("log_index") - F.pmod(F.col("log_index"), F.lit(batch_size)))
+def start_ingest(spark: SparkSession, log_dir: str, out_path: str, checkpoint: str, continuous: bool = False, interval: str = "5 minutes", **kw):
+    """Write decoded entries, errors included, as parquet; availableNow stops at the last page."""
+    q = ingest_stream(spark, log_dir, **kw).writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
+    return _trigger(q, continuous, interval).start()
 
-    def release(key, pdfs, state):
-        return _release(key, pdfs, state, batch_size)
 
-    return keyed.groupBy("log", "batch_start").applyInPandasWithState(release, REORDER_OUT, REORDER_STATE, "append", GroupStateTimeout.NoTimeout)
+def write_epoch(df: DataFrame, epoch_id: int, out_path: str, batch_size: int) -> None:
+    """One micro-batch as batch files under ``epoch=<id>`` and its errors under ``<out_path>_errors``.
+
+    Both are overwritten, so a replayed micro-batch changes nothing.
+    """
+    ok = df.filter(F.col("error").isNull())
+    write_batches(ok.select("log_index", "der"), f"{out_path}/epoch={epoch_id}", batch_size=batch_size, mode="overwrite")
+    df.filter(F.col("error").isNotNull()).select("log_index", "error").write.mode("overwrite").json(f"{out_path}_errors/epoch={epoch_id}")
 
 
 def start_ingest_to_batches(
@@ -95,27 +59,12 @@ def start_ingest_to_batches(
     batch_size: int = 100_000,
     continuous: bool = False,
     interval: str = "5 minutes",
-    **kw,
+    max_files_per_trigger: int | None = None,
 ):
-    """T1 + K5: the ingest stream written as '<index> <base64>' gzip batch files.
-
-    Each micro-batch appends its part files under ``batch_start=<n>`` (lines in index order
-    inside every part file), so a resumed run adds to a partial batch instead of truncating it.
-    """
-    from ..sinks.writers import write_batches
+    """T1 + K5: the ingest stream written as '<index> <base64>' gzip batch files, by micro-batch."""
 
     def run_batch(df: DataFrame, epoch_id: int) -> None:
-        ok = df.filter(F.col("error").isNull())
-        write_batches(ok.select("log_index", "der"), out_path, batch_size=batch_size, mode="append")
-
-    register(spark)
-    raw = (
-        spark.readStream.format("ct_log")
-        .option("path", log_dir)
-        .option("download_size", str(kw.get("download_size", 1000)))
-        .option("max_entries_per_trigger", str(kw.get("max_entries_per_trigger", 0)))
-        .load()
-    )
-    w = decode_leaf(raw).writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
-    w = w.trigger(processingTime=interval) if continuous else w.trigger(availableNow=True)
-    return w.start()
+        write_epoch(df, epoch_id, out_path, batch_size)
+
+    w = _decoded(spark, log_dir, max_files_per_trigger).writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
+    return _trigger(w, continuous, interval).start()

@@ -81,3 +81,45 @@ def test_bucket_job_survives_a_corrupt_file(spark, psl, tmp_path):
     assert cur["fine.gz"].status == "processed"
     assert cur["broken.gz"].status == "failed" and cur["broken.gz"].error_msg == "file is empty or unreadable"
     assert [x.sequence_number for x in spark.read.json(out).collect()] == [1]
+
+
+def test_bucket_job_fails_damaged_files_only(spark, psl, tmp_path):
+    src = tmp_path / "d"
+    src.mkdir()
+    good = lambda s: f"{s} {base64.b64encode(cert([('O', 'Org'), ('CN', f'h{s}.example.com')])).decode()}"
+    whole = gzip.compress(("\n".join(good(s) for s in range(1, 300)) + "\n").encode())
+    (src / "half.gz").write_bytes(whole[: len(whole) // 2])
+    (src / "zero.gz").write_bytes(b"")
+    (src / "nothing.gz").write_bytes(gzip.compress(b""))
+    (src / "a b.gz").write_bytes(gzip.compress((good(1001) + "\n").encode()))
+    (src / "c%20d+e.gz").write_bytes(gzip.compress(good(1002).encode()))
+    (src / "two members.gz").write_bytes(gzip.compress((good(1003) + "\n").encode()) + gzip.compress((good(1004) + "\n").encode()))
+    out, led = str(tmp_path / "out"), str(tmp_path / "ledger")
+    r = process_bucket(spark, str(src), out, led, psl=psl)
+    cur = {x.key.rsplit("/", 1)[-1]: (x.status, x.error_msg) for x in L.ledger_apply(read_ledger(spark, led)).collect()}
+    assert cur == {
+        "half.gz": ("failed", "unexpected end of file"),
+        "zero.gz": ("failed", "file is empty or unreadable"),
+        "nothing.gz": ("failed", "file is empty or unreadable"),
+        "a b.gz": ("processed", ""),
+        "c%20d+e.gz": ("processed", ""),
+        "two members.gz": ("processed", ""),
+    }
+    assert sorted(x.sequence_number for x in spark.read.json(out).collect()) == [1001, 1002, 1003, 1004]
+    assert {x.key.rsplit("/", 1)[-1]: x.status for x in r["status"].collect()} == {k: v[0] for k, v in cur.items()}
+    assert process_bucket(spark, str(src), out, led, psl=psl)["pending_files"] == 3
+
+
+def test_manifest_and_listing_need_not_agree(spark, psl, tmp_path):
+    from ctspark.operators.objects import list_objects
+
+    src = tmp_path / "m"
+    src.mkdir()
+    good = lambda s: f"{s} {base64.b64encode(cert([('O', 'Org'), ('CN', f'h{s}.example.com')])).decode()}\n"
+    (src / "listed.gz").write_bytes(gzip.compress(good(1).encode()))
+    key = list_objects(spark, str(src)).first().key
+    manifest = spark.createDataFrame([(key.replace("listed", "gone"), 10, "x")], "key string, size long, etag string")
+    out, led = str(tmp_path / "out"), str(tmp_path / "ledger")
+    process_bucket(spark, str(src), out, led, psl=psl, manifest=manifest)
+    cur = {x.key.rsplit("/", 1)[-1]: (x.status, x.error_msg) for x in L.ledger_apply(read_ledger(spark, led)).collect()}
+    assert cur == {"listed.gz": ("processed", ""), "gone.gz": ("failed", "failed to stat file")}

@@ -65,8 +65,23 @@ def test_json_document(spark, tmp_path):
     assert doc["stats"]["TotalProcessed"] == 3
     assert "\\u003c\\u0026\\u003e" in text and '\n  "mappings": [\n    {\n      "domain"' in text
     assert sum("organizational_unit" in m for m in doc["mappings"]) == 1
-    with pytest.raises(ValueError):
-        write_json_document(df, str(tmp_path / "big"), max_rows=1)
+    write_json_document(df.limit(0), str(tmp_path / "none"))
+    assert json.loads("".join(open(p).read() for p in sorted((tmp_path / "none").glob("part-*")))) == {"mappings": [], "stats": {}}
+
+
+def test_per_source_outputs_are_idempotent_and_cleared(spark, tmp_path):
+    from ctspark.sinks.writers import write_per_source
+
+    df = spark.createDataFrame(MAPS, SCHEMA).selectExpr("*", "'a b.jsonl' AS output_name")
+    more = df.unionByName(df.selectExpr("* EXCEPT (output_name)", "'x%y.jsonl' AS output_name"))
+    both = more.select("output_name").distinct()
+    for _ in range(2):
+        write_per_source(more, str(tmp_path / "o"), sources=both)
+    valid = 2  # one of the mappings has no name
+    assert spark.read.json(str(tmp_path / "o")).count() == 2 * valid
+    write_per_source(df, str(tmp_path / "o"), sources=both)  # the second source has no rows any more
+    back = spark.read.json(str(tmp_path / "o"))
+    assert back.count() == valid and {r.output_name for r in back.collect()} == {"a b.jsonl"}
 
 
 def test_batches_in_index_order(spark, tmp_path):

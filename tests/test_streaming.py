@@ -1,97 +1,60 @@
-import datetime as dt
-import random
-
-from pyspark.sql import functions as F
-
-from ctspark.streaming.health import health_stream, step
-
-
-def test_health_matches_brute_force(spark, tmp_path):
-    rnd = random.Random(3)
-    t0 = dt.datetime(2024, 1, 1)
-    rows = []
-    for ep in ("a", "b"):
-        for i in range(400):
-            kind = "probe" if i % 7 == 6 else "call"
-            rows.append((ep, t0 + dt.timedelta(seconds=13 * i + (ep == "b")), i, kind, rnd.random() < (0.3 if ep == "a" else 0.6)))
-    df = spark.createDataFrame(rows, "endpoint string, ts timestamp, event_id long, kind string, success boolean")
-    src = str(tmp_path / "src")
-    df.write.parquet(src)
-    stream = spark.readStream.schema(df.schema).parquet(src)
-    q = (
-        health_stream(stream, max_failures=3)
-        .writeStream.format("parquet")
-        .option("path", str(tmp_path / "out"))
-        .option("checkpointLocation", str(tmp_path / "ckpt"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    got = sorted((r.endpoint, r.state, r.failures, r.cooldown_s) for r in spark.read.parquet(str(tmp_path / "out")).collect())
-    want = []
-    for ep in ("a", "b"):
-        ev = sorted((int(r[1].replace(tzinfo=dt.timezone.utc).timestamp() * 1e6), r[2], r[3], r[4]) for r in rows if r[0] == ep)
-        _, out = step((True, 0, 0, 0), [(t, k, s) for t, _, k, s in ev], 3)
-        want += [(ep, o[1], o[2], o[3]) for o in out]
-    assert got == sorted(want)
-    assert any(w[1] == "unhealthy" for w in want) and any(w[1] == "healthy" for w in want)
-
-
-def test_reorder_releases_in_order_with_gaps(spark, tmp_path):
-    import pandas as pd
-
-    from ctspark.streaming.ingest import _release
-
-    class FakeState:
-        def __init__(self):
-            self.exists, self.get = False, None
-
-        def update(self, v):
-            self.exists, self.get = True, v
-
-    st = FakeState()
-    batch1 = pd.DataFrame({"log_index": [2, 0, 3, 3], "line": ["c", "a", "d", "d2"]})
-    out1 = list(_release(("log0", 0), iter([batch1]), st))[0]
-    assert out1["log_index"].tolist() == [0]  # 1 is missing: 2 and 3 are held
-    batch2 = pd.DataFrame({"log_index": [1, 0], "line": ["b", "dup"]})
-    out2 = list(_release(("log0", 0), iter([batch2]), st))[0]
-    assert out2["log_index"].tolist() == [1, 2, 3] and out2["line"].tolist() == ["b", "c", "d2"]
-
-
-def test_ct_source_resumes_from_checkpoint(spark, tmp_path):
-    """A second run after the tree grew reads only the new range, exactly once."""
-    import base64
-    import json
-    import os
+import base64
+import gzip
+import json
+
+from derutil import cert, x509_leaf
+
+def entries(start, n):
+    return [{"leaf_input": base64.b64encode(x509_leaf(cert([("O", "Org"), ("CN", f"h{start + i}.example.com")]))).decode(), "extra_data": ""} for i in range(n)]
+
+
+def put_pages(spark, log, pages, mode="append"):
+    from ctspark.streaming.ct_source import write_log_dir
+
+    rows = [(start, n if isinstance(n, str) else json.dumps({"entries": entries(start, n)})) for start, n in pages]
+    write_log_dir(spark.createDataFrame(rows, "start long, json string"), str(log), mode)
 
-    from derutil import cert, x509_leaf
 
+def test_log_pages_of_any_size_lose_nothing(spark, tmp_path):
+    """Short pages at odd starts, a bad page, a bounded trigger, a restart after growth."""
+    from ctspark.streaming.ct_source import read_log
     from ctspark.streaming.ingest import start_ingest
 
-    log = tmp_path / "log"
-    rows = []
-    for start in range(0, 300, 100):
-        entries = [{"leaf_input": base64.b64encode(x509_leaf(cert([("O", "Org"), ("CN", f"h{start + i}.example.com")]))).decode(), "extra_data": ""} for i in range(100)]
-        rows.append((start, json.dumps({"entries": entries})))
-    # one page is broken JSON: it is skipped whole, its indexes stay missing
-    rows[1] = (100, "{not json")
-    spark.createDataFrame(rows, "start long, json string").write.partitionBy("start").text(str(log / "pages"))
+    log, out, ck = tmp_path / "log", str(tmp_path / "out"), str(tmp_path / "ck")
+    put_pages(spark, log, [(0, 70), (70, 70), (140, 60), (200, "{not json")])
+    assert sorted(r.log_index for r in read_log(spark, str(log)).collect()) == list(range(200))
+    assert [(r.log_index, r.page_error) for r in read_log(spark, str(log), keep_errors=True).where("page_error is not null").collect()] == [(200, "get-entries page cannot be decoded")]
+    start_ingest(spark, str(log), out, ck, max_files_per_trigger=1).awaitTermination()
+    put_pages(spark, log, [(201, 99)])
+    start_ingest(spark, str(log), out, ck, max_files_per_trigger=1).awaitTermination()
+    rows = spark.read.parquet(out).collect()
+    assert sorted(r.log_index for r in rows) == list(range(300))
+    assert [(r.log_index, r.error) for r in rows if r.error] == [(200, "get-entries page cannot be decoded")]
+    assert all(r.line.startswith(f"{r.log_index} ") for r in rows if not r.error)
+
+
+def test_empty_log_has_no_rows(spark, tmp_path):
+    from ctspark.streaming.ct_source import read_log
+    from ctspark.streaming.ingest import start_ingest
 
-    def set_tree(n):
-        with open(log / "sth.json", "w") as fh:
-            json.dump({"tree_size": n}, fh)
+    assert read_log(spark, str(tmp_path / "none")).count() == 0
+    start_ingest(spark, str(tmp_path / "none"), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    put_pages(spark, tmp_path / "none", [(5, 3)])
+    start_ingest(spark, str(tmp_path / "none"), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    assert sorted(r.log_index for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [5, 6, 7]
 
-    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
-    set_tree(150)
-    start_ingest(spark, str(log), out, ck, download_size=64).awaitTermination()
-    first = {r.log_index for r in spark.read.parquet(out).collect()}
-    assert first == set(range(0, 100))
-    set_tree(300)
-    start_ingest(spark, str(log), out, ck, download_size=64).awaitTermination()
-    got = [r.log_index for r in spark.read.parquet(out).collect()]
-    assert sorted(got) == list(range(0, 100)) + list(range(200, 300))
-    assert len(got) == len(set(got))
-    assert os.path.exists(ck)
+
+def test_replayed_micro_batch_changes_nothing(spark, tmp_path):
+    from ctspark.operators.leaf import decode_leaf
+    from ctspark.streaming.ct_source import read_log
+    from ctspark.streaming.ingest import write_epoch
+
+    put_pages(spark, tmp_path / "log", [(0, 10)])
+    df = decode_leaf(read_log(spark, str(tmp_path / "log")))
+    for _ in range(2):
+        write_epoch(df, 0, str(tmp_path / "out"), 4)
+    lines = [x for p in (tmp_path / "out").rglob("*.gz") for x in gzip.open(p, "rt").read().splitlines()]
+    assert sorted(int(x.split(" ")[0]) for x in lines) == list(range(10))
 
 
 def test_extraction_stream_processes_new_files_once(spark, psl, tmp_path):
@@ -124,46 +87,31 @@ def test_extraction_stream_processes_new_files_once(spark, psl, tmp_path):
     assert {r.output_name for r in rows} == {"a.jsonl", "b.GZ.jsonl", "c.jsonl"}
 
 
-def test_reorder_state_removed_when_batch_complete():
-    import pandas as pd
-
-    from ctspark.streaming.ingest import _release
-
-    class FakeState:
-        def __init__(self):
-            self.exists, self.get, self.removed = False, None, False
-
-        def update(self, v):
-            self.exists, self.get = True, v
-
-        def remove(self):
-            self.exists, self.removed = False, True
+def test_extraction_stream_reports_bad_lines(spark, psl, tmp_path):
+    from ctspark.streaming.extract_stream import start_extraction_stream
 
-    st = FakeState()
-    out = list(_release(("log0", 10), iter([pd.DataFrame({"log_index": [12, 11, 10], "line": ["c", "b", "a"]})]), st, batch_size=3))[0]
-    assert out["log_index"].tolist() == [10, 11, 12] and st.removed
+    src = tmp_path / "in"
+    src.mkdir()
+    good = lambda s: f"{s} {base64.b64encode(cert([('O', 'Org'), ('CN', f'h{s}.example.com')])).decode()}"
+    with gzip.open(src / "a b.gz", "wt") as fh:
+        fh.write("\n".join([good(1), "bad", good(2)]) + "\n")
+    out = str(tmp_path / "out")
+    start_extraction_stream(spark, str(src), out, str(tmp_path / "ck"), psl=psl).awaitTermination()
+    assert [r.sequence_number for r in spark.read.json(out).collect()] == [1]
+    errors = spark.read.json(f"{out}_errors").collect()
+    assert len(errors) == 1 and errors[0].file.endswith("/a b.gz") and errors[0].error.startswith("line does not match")
+    assert spark.read.parquet(f"{out}_status").count() == 1
 
 
 def test_ingest_to_batch_files(spark, tmp_path):
-    import base64
-    import gzip
-    import json
-
-    from derutil import cert, x509_leaf
-
     from ctspark.streaming.ingest import start_ingest_to_batches
 
-    log = tmp_path / "log"
-    entries = [{"leaf_input": base64.b64encode(x509_leaf(cert([("O", "Org"), ("CN", f"h{i}.example.com")]))).decode(), "extra_data": ""} for i in range(100)]
-    spark.createDataFrame([(0, json.dumps({"entries": entries}))], "start long, json string").write.partitionBy("start").text(str(log / "pages"))
-    with open(log / "sth.json", "w") as fh:
-        json.dump({"tree_size": 100}, fh)
+    put_pages(spark, tmp_path / "log", [(0, 100)])
     out = tmp_path / "batches"
-    start_ingest_to_batches(spark, str(log), str(out), str(tmp_path / "ck"), batch_size=40, download_size=30).awaitTermination()
-    dirs = sorted(out.glob("batch_start=*"), key=lambda p: int(p.name.split("=")[1]))
+    start_ingest_to_batches(spark, str(tmp_path / "log"), str(out), str(tmp_path / "ck"), batch_size=40).awaitTermination()
+    dirs = sorted(out.glob("epoch=0/batch_start=*"), key=lambda p: int(p.name.split("=")[1]))
     assert [d.name for d in dirs] == ["batch_start=0", "batch_start=40", "batch_start=80"]
     for d in dirs:
-        nums = [int(l.split(" ")[0]) for p in sorted(d.glob("*.gz")) for l in gzip.open(p, "rt").read().splitlines()]
-        assert nums == sorted(nums)
+        nums = [int(x.split(" ")[0]) for p in sorted(d.glob("*.gz")) for x in gzip.open(p, "rt").read().splitlines()]
         start = int(d.name.split("=")[1])
         assert nums == list(range(start, min(start + 40, 100)))
