@@ -31,6 +31,10 @@ CLOSING_ID = 1
 CACHE_ENTRIES = 800_000
 
 
+#: Stands between words that are encoded together.
+_MARK = "|"
+
+
 class WordTokenizer:
     """Ids of a text by a tokenizer whose pre-tokens never span white space; words are remembered."""
 
@@ -44,10 +48,33 @@ class WordTokenizer:
         self.tool.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[str, bytes] = {}
         self.spanning = spanning
-
-    def _learn(self, words: list[str]) -> None:
-        for w, e in zip(words, self.tool.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            self.known[w] = np.asarray(e.ids, "<u4").tobytes()
+        marks = self.tool.encode(_MARK, add_special_tokens=False).ids
+        self.mark = marks[0] if len(marks) == 1 else -1  # a tokenizer without a one-id mark encodes word by word
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """The ids of each word: they are encoded as one text with a mark between them."""
+        raw = np.asarray(self.tool.encode(f" {_MARK} ".join(words), add_special_tokens=False).ids, "<u4")
+        cut = np.flatnonzero(raw == self.mark)
+        if len(cut) != len(words) - 1:
+            return [np.asarray(e.ids, "<u4").tobytes() for e in self.tool.encode_batch_fast(words, add_special_tokens=False)]
+        ids, ends = raw.tobytes(), [*cut.tolist(), len(raw)]
+        return [ids[4 * a : 4 * b] for a, b in zip([0, *(c + 1 for c in ends[:-1])], ends, strict=True)]
+
+    def _learn(self, words: set[str]) -> None:
+        known, stems = self.known, {}
+        for w in words:  # a full stop or comma behind a letter is a pre-token of its own
+            if len(w) > 1 and w[-1] in ".," and w[-2].isalpha():
+                stems[w] = w[:-1]
+        words = (words - stems.keys()) | {x for x in stems.values() if x not in known} | ({".", ","} - known.keys() if stems else set())
+        plain = [w for w in words if _MARK not in w]
+        for at in range(0, len(plain), 4000):
+            part = plain[at : at + 4000]
+            known.update(zip(part, self._ids(part), strict=True))
+        for w in words:
+            if _MARK in w:
+                known[w] = np.asarray(self.tool.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+        for w, stem in stems.items():
+            known[w] = known[stem] + known[w[-1]]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -57,9 +84,9 @@ class WordTokenizer:
         if len(self.known) > CACHE_ENTRIES:
             self.known.clear()
         known = self.known
-        new = {w for words in split for w in words if w not in known}
+        new = set().union(*split).difference(known)
         if new:
-            self._learn(list(new))
+            self._learn(new)
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
