@@ -900,6 +900,48 @@ def q_list_objects(spark, sf_dir):
     return o.select(F.regexp_extract("key", r"file=([^/]+)/", 1).alias("file"), (F.col("size") > 0).alias("has_bytes")).distinct()
 
 
+# ---- incremental bucket job and listing ---------------------------------------------------------
+
+
+def _ct_batch_files(spark, sf_dir):
+    """D1 lines written as ten gzip batch files (file = sequence % 10)."""
+    path = fx.fixture_path(spark, sf_dir, "ct_batch_files")
+    if path not in _WRITTEN:
+        lines = fx.ct_lines(spark, sf_dir)
+        df = lines.select(
+            F.concat(F.lit("ct-"), (F.col("sequence_number") % 10).cast("string"), F.lit(".gz")).alias("file"),
+            F.col("sequence_number"),
+            F.concat(F.col("sequence_number").cast("string"), F.lit(" "), F.col("certificate_data")).alias("line"),
+        )
+        write_batch_fixture(df, path, order_col="sequence_number")
+        _WRITTEN.add(path)
+    return path
+
+
+@query("list_objects", "SELECT DISTINCT 'ct-' || CAST(c_custkey % 10 AS VARCHAR) || '.gz' AS file, true AS has_bytes FROM customer WHERE c_custkey % 12 <> 7")
+def q_list_objects(spark, sf_dir):
+    o = objects.filter_objects(objects.list_objects(spark, _ct_batch_files(spark, sf_dir)), [".gz"])
+    return o.select(F.regexp_extract("key", r"file=([^/]+)/", 1).alias("file"), (F.col("size") > 0).alias("has_bytes")).distinct()
+
+
+_LEDGERS: dict = {}
+
+
+@query(
+    "bucket_ledger",
+    """SELECT 'ct-' || CAST(c_custkey % 10 AS VARCHAR) || '.gz' AS file, 'processed' AS status, '' AS error_msg, c_custkey % 10 < 3 AS earlier FROM customer WHERE c_custkey % 12 <> 7 GROUP BY ALL""",
+)
+def q_bucket_ledger(spark, sf_dir):
+    """The ledger after the run of ``process_bucket``: what was done before, and what it added."""
+    from .bucket_job import read_ledger
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LEDGERS:
+        q_process_bucket(spark, sf_dir)
+    current = ledger.ledger_apply(read_ledger(spark, _LEDGERS[key]))
+    return current.select(F.regexp_extract("key", r"file=([^/]+)/", 1).alias("file"), "status", "error_msg", (F.col("event_ts") == F.lit("2024-01-01 00:00:00").cast("timestamp")).alias("earlier"))
+
+
 @query(
     "process_bucket",
     O.with_(O.CERTS) + "SELECT domain, name, organization, organizational_unit, source, sequence_number FROM mappings WHERE sequence_number % 10 >= 3",
@@ -918,6 +960,7 @@ def q_process_bucket(spark, sf_dir):
     )
     done.write.parquet(f"{run}/ledger")
     process_bucket(spark, src, f"{run}/out", f"{run}/ledger", fmt="jsonl")
+    _LEDGERS[(spark.sparkContext.applicationId, sf_dir)] = f"{run}/ledger"
     back = spark.read.schema("domain string, name string, organization string, organizational_unit string, source string, sequence_number long").json(f"{run}/out")
     return back.select("domain", "name", "organization", F.coalesce("organizational_unit", F.lit("")).alias("organizational_unit"), "source", "sequence_number")
 
