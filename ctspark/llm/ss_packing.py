@@ -18,6 +18,7 @@ An empty table gives an empty result; further columns do not matter.
 from __future__ import annotations
 
 import zlib
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,13 @@ CLOSING_ID = 1
 CACHE_ENTRIES = 800_000
 
 
+def byte_characters() -> dict[int, str]:
+    """The characters that byte-level vocabularies write bytes with: printable ones stand for themselves."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 #: Stands between words that are encoded together.
 _MARK = "|"
 
@@ -48,7 +56,11 @@ class WordTokenizer:
         self.tool.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[str, bytes] = {}
         self.spanning = spanning
+        self.bytes = byte_characters()
         marks = self.tool.encode(_MARK, add_special_tokens=False).ids
+        # whether a word of letters goes to the merges as it is: lower case, byte level, nothing else
+        probe = [w for w in ("the", "caf\u00e9", "\u65e5\u672c", "Uml\u00e4ut") if self._letters(w.lower()) != np.asarray(self.tool.encode(w, add_special_tokens=False).ids, "<u4").tobytes()]
+        self.simple = not probe
         self.mark = marks[0] if len(marks) == 1 else -1  # a tokenizer without a one-id mark encodes word by word
 
     def _ids(self, words: list[str]) -> list[bytes]:
@@ -60,21 +72,34 @@ class WordTokenizer:
         ids, ends = raw.tobytes(), [*cut.tolist(), len(raw)]
         return [ids[4 * a : 4 * b] for a, b in zip([0, *(c + 1 for c in ends[:-1])], ends, strict=True)]
 
+    def _letters(self, word: str) -> bytes:
+        """The ids of a normalised word of letters, which is one pre-token: the merges alone."""
+        mapped = word.encode().decode("latin-1").translate(self.bytes)
+        return np.array([t.id for t in self.tool.model.tokenize(mapped)], "<u4").tobytes()
+
     def _learn(self, words: set[str]) -> None:
-        known, stems = self.known, {}
+        known, stems, rest = self.known, {}, set()
         for w in words:  # a full stop or comma behind a letter is a pre-token of its own
-            if len(w) > 1 and w[-1] in ".," and w[-2].isalpha():
-                stems[w] = w[:-1]
-        words = (words - stems.keys()) | {x for x in stems.values() if x not in known} | ({".", ","} - known.keys() if stems else set())
-        plain = [w for w in words if _MARK not in w]
+            stem, end = (w[:-1], w[-1]) if len(w) > 1 and w[-1] in ".," and w[-2].isalpha() else (w, "")
+            low = stem.lower()
+            if self.simple and low.isalpha() and "\u03a3" not in stem and is_normalized("NFC", stem) and is_normalized("NFC", low):
+                stems[w] = low, end
+            else:
+                rest.add(w)
+        if stems:
+            rest |= {".", ","} - known.keys()
+        plain = [w for w in rest if _MARK not in w]
         for at in range(0, len(plain), 4000):
             part = plain[at : at + 4000]
             known.update(zip(part, self._ids(part), strict=True))
-        for w in words:
+        for w in rest:
             if _MARK in w:
                 known[w] = np.asarray(self.tool.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-        for w, stem in stems.items():
-            known[w] = known[stem] + known[w[-1]]
+        for w, (low, end) in stems.items():
+            ids = known.get(low)
+            if ids is None:
+                ids = known[low] = self._letters(low)
+            known[w] = ids + known[end] if end else ids
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
