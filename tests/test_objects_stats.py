@@ -6,45 +6,45 @@ from ctspark.operators import ledger, objects, stats
 
 T0 = dt.datetime(2024, 1, 1)
 OBJS = [
-    ("data/file1.gz", 1024, "etag1", T0),
-    ("data/file2.gz", 2048, "etag2", T0 + dt.timedelta(hours=1)),
-    ("data/file3.txt", 512, "etag3", T0 + dt.timedelta(hours=2)),
-    ("logs/access.log", 4096, "etag4", T0 + dt.timedelta(hours=3)),
-    ("data/large_file.gz", 10240, "etag5", T0 + dt.timedelta(hours=4)),
+    ("ct/oak-0.gz", 700, "etag1", T0),
+    ("ct/oak-1.gz", 1900, "etag2", T0 + dt.timedelta(hours=1)),
+    ("ct/oak-2.csv", 300, "etag3", T0 + dt.timedelta(hours=2)),
+    ("other/elm.txt", 4500, "etag4", T0 + dt.timedelta(hours=3)),
+    ("ct/oak-3.gz", 9001, "etag5", T0 + dt.timedelta(hours=4)),
 ]
 
 
 def test_filter_and_totals(spark):
     df = spark.createDataFrame(OBJS, "key string, size long, etag string, last_modified timestamp")
     assert objects.filter_objects(df, [".gz"]).count() == 3
-    assert objects.filter_objects(df, (), 1000, 5000).count() == 3
+    assert objects.filter_objects(df, (), 600, 5000).count() == 3
     assert objects.filter_objects(df, [".gz"], 1500).count() == 2
-    assert df.filter(F.col("key").startswith("data/")).count() == 4
+    assert df.filter(F.col("key").startswith("ct/")).count() == 4
     t = objects.object_totals(objects.filter_objects(df, [".gz"])).first()
-    assert (t.object_count, t.total_bytes) == (3, 13312)
+    assert (t.object_count, t.total_bytes) == (3, 11601)
 
 
 def test_pending_skips_processed(spark):
     objs = spark.createDataFrame(OBJS[:2], "key string, size long, etag string, last_modified timestamp")
-    ev = spark.createDataFrame([("data/file1.gz", "etag1", 1024, T0, 1, "processed", "")], ledger.LEDGER_SCHEMA)
+    ev = spark.createDataFrame([("ct/oak-0.gz", "etag1", 1024, T0, 1, "processed", "")], ledger.LEDGER_SCHEMA)
     cur = ledger.ledger_apply(ev)
     pend = ledger.pending_files(objs, cur)
-    assert [r.key for r in pend.collect()] == ["data/file2.gz"]
+    assert [r.key for r in pend.collect()] == ["ct/oak-1.gz"]
     # same key, new etag -> pending again; a later failure replaces the success
     ev2 = spark.createDataFrame(
-        [("data/file1.gz", "old", 1024, T0, 1, "processed", ""), ("data/file2.gz", "etag2", 2048, T0, 1, "processed", ""), ("data/file2.gz", "etag2", 5, T0 + dt.timedelta(hours=1), 2, "failed", "boom")],
+        [("ct/oak-0.gz", "old", 1024, T0, 1, "processed", ""), ("ct/oak-1.gz", "etag2", 2048, T0, 1, "processed", ""), ("ct/oak-1.gz", "etag2", 5, T0 + dt.timedelta(hours=1), 2, "failed", "boom")],
         ledger.LEDGER_SCHEMA,
     )
     cur2 = ledger.ledger_apply(ev2)
-    assert sorted(r.key for r in ledger.pending_files(objs, cur2).collect()) == ["data/file1.gz", "data/file2.gz"]
+    assert sorted(r.key for r in ledger.pending_files(objs, cur2).collect()) == ["ct/oak-0.gz", "ct/oak-1.gz"]
     f = cur2.filter(F.col("status") == "failed").first()
     assert f.size == 0 and f.error_msg == "boom"
 
 
 def test_download_stats(spark):
-    df = spark.createDataFrame([(True, 1024, 1000.0, 0), (False, 512, 2000.0, 2), (True, 2048, 1000.0, 1)], "success boolean, bytes long, duration_ms double, retries int")
+    df = spark.createDataFrame([(True, 700, 1000.0, 0), (False, 300, 2000.0, 2), (True, 1900, 1000.0, 1)], "success boolean, bytes long, duration_ms double, retries int")
     s = stats.download_stats(df).first()
-    assert (s.total_downloads, s.successful_downloads, s.failed_downloads, s.total_bytes, s.retry_count) == (3, 2, 1, 3584, 3)
+    assert (s.total_downloads, s.successful_downloads, s.failed_downloads, s.total_bytes, s.retry_count) == (3, 2, 1, 2900, 3)
     assert abs(s.success_rate - 66.666667) < 1e-6
     empty = stats.download_stats(df.limit(0)).first()
     assert empty.total_downloads == 0 and empty.success_rate == 0.0 and empty.avg_speed_mbps == 0.0
@@ -67,10 +67,10 @@ def test_human_units(spark):
 
 
 def test_list_objects_prefix(spark, tmp_path):
-    for rel in ("data/file1.gz", "data/file2.gz", "data/file3.txt", "logs/access.log", "data/large_file.gz"):
+    for rel in ("ct/oak-0.gz", "ct/oak-1.gz", "data/file3.txt", "logs/access.log", "data/large_file.gz"):
         p = tmp_path / rel
         p.parent.mkdir(parents=True, exist_ok=True)
         p.write_bytes(b"x" * 10)
     assert objects.list_objects(spark, str(tmp_path), prefix="data/").count() == 4
     rel = sorted(r.rel_key for r in objects.list_objects(spark, str(tmp_path)).collect())
-    assert rel[0] == "data/file1.gz" and rel[-1] == "logs/access.log"
+    assert rel[0] == "ct/oak-0.gz" and rel[-1] == "logs/access.log"
