@@ -251,7 +251,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars", **options) -> DataFrame:
-    """``docs`` with repeated strings cut out of their texts, and ``size_col`` set anew where there is one.
+    """``docs`` with repeated strings cut out of their texts, and ``size_col`` of these set anew where there is one.
 
     What remains is decoded again; a character of which only some bytes repeat is dropped.  Rows are
     told apart by number, so ids may be null or repeat.
@@ -266,7 +266,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _replaced(df: DataFrame, columns: list[str], text, text_col: str, size_col: str) -> DataFrame:
     df = df.withColumn("__text", text)
-    return df.select(*(F.col("__text").alias(c) if c == text_col else F.length("__text").cast(df.schema[c].dataType).alias(c) if c == size_col else F.col(c) for c in columns))
+    return df.select(*(F.col("__text").alias(c) if c == text_col else F.when(F.col("__changed").isNotNull(), F.length("__text").cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == size_col else F.col(c) for c in columns))
 
 
 def _sorter(width: int):

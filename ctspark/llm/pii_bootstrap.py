@@ -184,7 +184,7 @@ def masked(text: Column, spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
-    """``docs`` with personal data masked in the texts, and ``size_col`` set anew where there is one."""
+    """``docs`` with personal data masked in the texts, and ``size_col`` of these set anew where there is one."""
     rest = tuple(c for c in docs.columns if c not in (id_col, text_col))
     names = {c: f"c_{i}" for i, c in enumerate(docs.columns)}
     plain = docs.select(*(F.col(c).alias(n) for c, n in names.items()))
@@ -196,7 +196,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
         if c == text_col:
             columns.append(F.col("masked").alias(c))
         elif c == size_col:
-            columns.append(F.length("masked").cast(docs.schema[c].dataType).alias(c))
+            columns.append(F.when(F.size("spans") > 0, F.length("masked").cast(docs.schema[c].dataType)).otherwise(F.col(names[c])).alias(c))
         else:
             columns.append(F.col(names[c]).alias(c))
     return found.select(*columns)
