@@ -35,11 +35,34 @@ def stats_string(successful, errors, duration_s) -> Column:
     ).otherwise(F.format_string("%d Success, Duration: %.3fs", col_(successful), col_(duration_s)))
 
 
-def stats_long_string(total, successful, errors) -> Column:
-    """P15 long form with rates (duration omitted)."""
+def duration_string(seconds) -> Column:
+    """A duration to the microsecond in the largest units that it needs: '1h2m3.5s', '4.25ms', '7µs', '0s'."""
+    us = F.round(col_(seconds) * 1e6).cast("long")
+
+    def short(x):
+        return F.regexp_replace(F.regexp_replace(F.format_string("%.6f", x.cast("double")), "0+$", ""), "\\.$", "")
+
+    hours, minutes = F.floor(us / 3_600_000_000), F.floor(us / 60_000_000) % 60
+    rest = F.concat(short(F.pmod(us, F.lit(60_000_000)) / 1e6), F.lit("s"))
+    return (
+        F.when(us == 0, F.lit("0s"))
+        .when(us < 1_000, F.concat(us.cast("string"), F.lit("µs")))
+        .when(us < 1_000_000, F.concat(short(us / 1e3), F.lit("ms")))
+        .when(hours > 0, F.concat(hours.cast("string"), F.lit("h"), minutes.cast("string"), F.lit("m"), rest))
+        .when(minutes > 0, F.concat(minutes.cast("string"), F.lit("m"), rest))
+        .otherwise(rest)
+    )
+
+
+# Fixed value: the long form of the run statistics.
+LONG_FORM = "Processed: %d, Success: %d (%.2f%%), Errors: %d (%.2f%%), Duration: %s"
+
+
+def stats_long_string(total, successful, errors, duration_s) -> Column:
+    """P15 long form with rates and duration."""
     sr = safe_div(col_(successful), col_(total)) * 100
     er = safe_div(col_(errors), col_(total)) * 100
-    return F.format_string("Processed: %d, Success: %d (%.2f%%), Errors: %d (%.2f%%)", col_(total), col_(successful), sr, col_(errors), er)
+    return F.format_string(LONG_FORM, col_(total), col_(successful), sr, col_(errors), er, duration_string(duration_s))
 
 
 def human_bytes(c) -> Column:

@@ -286,7 +286,10 @@ def q_human_units(spark, sf_dir):
     + """SELECT file,
   CASE WHEN count(error) > 0 THEN printf('%d Success, Errors: %d, Duration: %.3fs', count(*) - count(error), count(error), count(*) / 100000.0 * 3.0)
        ELSE printf('%d Success, Duration: %.3fs', count(*) - count(error), count(*) / 100000.0 * 3.0) END AS compact,
-  printf('Processed: %d, Success: %d (%.2f%%), Errors: %d (%.2f%%)', count(*), count(*) - count(error), 100.0 * (count(*) - count(error)) / count(*), count(error), 100.0 * count(error) / count(*)) AS long_form
+  printf('Processed: %d, Success: %d (%.2f%%), Errors: %d (%.2f%%), Duration: %s', count(*), count(*) - count(error), 100.0 * (count(*) - count(error)) / count(*), count(error), 100.0 * count(error) / count(*),
+    CASE WHEN count(*) * 30 < 1000 THEN CAST(count(*) * 30 AS VARCHAR) || 'µs'
+         WHEN count(*) * 30 < 1000000 THEN regexp_replace(regexp_replace(printf('%.6f', count(*) * 30 / 1000.0), '0+$', ''), '\\.$', '') || 'ms'
+         ELSE regexp_replace(regexp_replace(printf('%.6f', count(*) * 30 / 1000000.0), '0+$', ''), '\\.$', '') || 's' END) AS long_form
 FROM parsed GROUP BY file""",
 )
 def q_stats_string(spark, sf_dir):
@@ -296,7 +299,7 @@ def q_stats_string(spark, sf_dir):
     return g.select(
         "file",
         stats.stats_string(ok, F.col("errors"), F.col("total") / 100000.0 * 3.0).alias("compact"),
-        stats.stats_long_string(F.col("total"), ok, F.col("errors")).alias("long_form"),
+        stats.stats_long_string(F.col("total"), ok, F.col("errors"), F.col("total") / 100000.0 * 3.0).alias("long_form"),
     )
 
 
@@ -565,7 +568,7 @@ def q_classify_s3_error(spark, sf_dir):
 @query(
     "should_retry",
     O.with_(O.ERRORS)
-    + f"SELECT sequence, {O._map_sql(O.ETYPE, E.MAX_RETRIES, 1)} AS max_retries, attempt < {O._map_sql(O.ETYPE, E.MAX_RETRIES, 1)} AS should_retry FROM errs",
+    + f"SELECT sequence, {O._map_sql(O.ETYPE, O.E.MAX_RETRIES, 1)} AS max_retries, attempt < {O._map_sql(O.ETYPE, O.E.MAX_RETRIES, 1)} AS should_retry FROM errs",
 )
 def q_should_retry(spark, sf_dir):
     e = _errs(spark, sf_dir)
@@ -573,7 +576,7 @@ def q_should_retry(spark, sf_dir):
     return e.select("sequence", E.max_retries(t).alias("max_retries"), E.should_retry(F.col("message"), F.col("context"), F.col("attempt")).alias("should_retry"))
 
 
-@query("recovery_action", O.with_(O.ERRORS) + f"SELECT sequence, {O._map_sql(O.ETYPE, E.RECOVERY, 'SKIP')} AS action FROM errs")
+@query("recovery_action", O.with_(O.ERRORS) + f"SELECT sequence, {O._map_sql(O.ETYPE, O.E.RECOVERY, 'SKIP')} AS action FROM errs")
 def q_recovery_action(spark, sf_dir):
     return _errs(spark, sf_dir).select("sequence", E.recovery_action(E.classify_error(F.col("message"), F.col("context"))).alias("action"))
 
@@ -584,7 +587,7 @@ def q_is_retryable(spark, sf_dir):
     return e.select("sequence", E.is_retryable(F.col("message"), E.classify_s3_error(F.col("message"), F.col("context"))).alias("retryable"))
 
 
-@query("error_flags", O.with_(O.ERRORS) + f"SELECT sequence, {O._any(O.EL, E.RATE_LIMIT)} AS rate_limit, {O._any(O.EL, E.AUTH)} AS auth_error FROM errs")
+@query("error_flags", O.with_(O.ERRORS) + f"SELECT sequence, {O._any(O.EL, O.E.RATE_LIMIT)} AS rate_limit, {O._any(O.EL, O.E.AUTH)} AS auth_error FROM errs")
 def q_error_flags(spark, sf_dir):
     e = _errs(spark, sf_dir)
     return e.select("sequence", E.is_rate_limit(F.col("message")).alias("rate_limit"), E.is_auth_error(F.col("message")).alias("auth_error"))
@@ -608,7 +611,7 @@ def q_backoff(spark, sf_dir):
     return e.select("sequence", E.download_backoff(F.col("attempt")).alias("download_backoff_s"), E.fetch_backoff(F.col("attempt")).alias("fetch_backoff_s"))
 
 
-@query("download_retryable", O.with_(O.ERRORS) + f"SELECT sequence, {O._any(O.EL, E.DOWNLOAD_RETRYABLE)} AS retryable FROM errs")
+@query("download_retryable", O.with_(O.ERRORS) + f"SELECT sequence, {O._any(O.EL, O.E.DOWNLOAD_RETRYABLE)} AS retryable FROM errs")
 def q_download_retryable(spark, sf_dir):
     return _errs(spark, sf_dir).select("sequence", E.download_retryable(F.col("message")).alias("retryable"))
 

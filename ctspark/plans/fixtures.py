@@ -272,6 +272,41 @@ ERROR_CASES = [
     ("InvalidAccessKeyId: credential mismatch", "s3 head", "s3"),
     ("NoSuchBucket", "bucket check", "s3"),
     ("state corruption detected", "state load", "state"),
+    ("403 Forbidden", "s3 access", "s3"),
+    ("invalid access key", "s3 head", "s3"),
+    ("no such bucket: ct-logs", "s3 list", "s3"),
+    ("bucket not found", "s3 list", "s3"),
+    ("signature does not match", "s3 get", "s3"),
+    ("credential expired", "s3 get", "s3"),
+    ("ThrottlingException: throttling", "s3 get", "download"),
+    ("too many requests", "s3 get", "download"),
+    ("rate limit exceeded", "s3 get", "download"),
+    ("RequestTimeout", "s3 get", "download"),
+    ("ServiceUnavailable", "s3 get", "download"),
+    ("service unavailable", "fetching entries", "download"),
+    ("InternalError", "s3 put", "s3"),
+    ("500 internal server error", "fetching entries", "download"),
+    ("502 bad gateway", "fetching entries", "download"),
+    ("504 gateway timeout", "fetching entries", "download"),
+    ("connection refused", "fetching entries", "download"),
+    ("temporary failure in name resolution", "fetching entries", "download"),
+    ("lookup ct.example.com: dns failure", "fetching entries", "download"),
+    ("network is unreachable", "fetching entries", "download"),
+    ("resource busy, try again", "state save", "state"),
+    ("allocation failed", "growing buffer", "processing"),
+    ("not enough memory", "growing buffer", "processing"),
+    ("permission denied", "opening input", "processing"),
+    ("file not found", "opening input", "processing"),
+    ("cannot open batch", "opening input", "processing"),
+    ("malformed entry", "line 7", "processing"),
+    ("invalid length", "line 8", "processing"),
+    ("cannot decode leaf", "line 9", "processing"),
+    ("output rejected", "closing", "processing"),
+    ("wrong region", "s3 access", "s3"),
+    ("unexpected", "state load", "state"),
+    ("unexpected", "parse step", "processing"),
+    ("unexpected", "file step", "processing"),
+    ("unexpected", "output step", "processing"),
 ]
 
 

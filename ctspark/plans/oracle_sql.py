@@ -3,7 +3,7 @@ DataFrame code so the driver can compare the two."""
 
 from __future__ import annotations
 
-from ..functions import errors as E
+from . import oracle_lists as E
 from .fixtures import ERROR_CASES, LEDGER_FAILURES
 
 
