@@ -40,6 +40,8 @@ from .common import bitmap, connected_components, pieces, settle, utf8
 CACHE_ENTRIES = 400_000
 #: Bits of the set that spares most texts the second pass; more documents only make it less sharp.
 BITMAP_BITS = 24
+#: Earlier regions that a region's row names; more would only spare more repeats.
+PRIOR = 8
 
 
 class Shingler:
@@ -172,16 +174,19 @@ def _member_sets(src: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def _regions(members: DataFrame, num: int, den: int) -> DataFrame:
-    """(row, n, own, h, pos): a document's regions, and the place of each in its order by frequency.
+    """(row, n, own, h, pos, prior): a document's regions, and the place of each in its order by frequency.
 
-    ``own`` counts the shingles that no other member has; they come first in the order.
+    ``own`` counts the shingles that no other member has; they come first in the order.  ``prior`` has
+    the first few regions before this one, by which most repeats of a pair are seen.
     """
     entries = members.select("row", F.explode("hs").alias("h"))
     shared = entries.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     mine = entries.join(shared, "h").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("xs"))
     mine = mine.join(members.select("row", F.size("hs").cast("long").alias("n")), "row")
     mine = mine.select("row", "n", (F.col("n") - F.size("xs")).alias("own"), F.expr(f"n - ({num} * n + {den - 1}) div {den} + 1").alias("p"), "xs").where("own < p")
-    return mine.select("row", "n", "own", F.posexplode(F.expr("slice(xs, 1, cast(p - own as int))")).alias("k", "x")).select("row", "n", "own", F.col("x.h").alias("h"), (F.col("own") + F.col("k")).alias("pos"))
+    mine = mine.select("row", "n", "own", F.expr("transform(slice(xs, 1, cast(greatest(p - own, 0) as int)), x -> x.h)").alias("hs"))
+    prior = F.slice("hs", F.lit(1), F.least(F.col("k"), F.lit(PRIOR)))
+    return mine.select("row", "n", "own", "hs", F.posexplode("hs").alias("k", "h")).select("row", "n", "own", "h", (F.col("own") + F.col("k")).alias("pos"), prior.alias("prior"))
 
 
 def _distances(pairs: DataFrame, members: DataFrame) -> DataFrame:
@@ -213,7 +218,7 @@ def _links(regions: DataFrame, members: DataFrame, num: int, den: int) -> DataFr
         dist = settle(_distances(near.select("a", "b").where("a <> b").distinct(), members), "dist")
         new = dist.where(linked).select("a", "b")
         links = new if links is None else links.union(new)
-        placed = near.join(dist, ["a", "b"], "left").select(F.col("a").alias("row"), "h", "n", "own", "pos", "b", *([] if turn == 1 else ["d1", "b1"]), F.when(F.col("a") == F.col("b"), 0.0).otherwise(1.0 - F.col("i") / F.col("u")).alias("d"))
+        placed = near.join(dist, ["a", "b"], "left").select(F.col("a").alias("row"), "h", "n", "own", "pos", "prior", "b", *([] if turn == 1 else ["d1", "b1"]), F.when(F.col("a") == F.col("b"), 0.0).otherwise(1.0 - F.col("i") / F.col("u")).alias("d"))
         placed = _with_components(placed, links)
         alive = placed.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min(F.when(F.col("row") == F.col("b"), F.col("c"))).alias(f"c{turn}")).where("lo <> hi").drop("lo", "hi")
         rest = placed.join(alive, "h").withColumnRenamed("d", f"d{turn}").withColumnRenamed("b", f"b{turn}")
@@ -222,8 +227,8 @@ def _links(regions: DataFrame, members: DataFrame, num: int, den: int) -> DataFr
             return links
     # what is left: rings around the first pivot, each document in its own and in the next
     ring = F.floor(F.col("d1") / radius).cast("long")
-    x = rest.select("h", F.col("row").alias("a"), F.col("n").alias("an"), F.col("pos").alias("ap"), F.col("c").alias("ac"), F.col("d1").alias("a1"), F.col("d2").alias("a2"), F.col("b1").alias("ab1"), F.col("b2").alias("ab2"), ring.alias("own_ring"), F.explode(F.array(ring, ring + 1)).alias("ring"))
-    y = rest.select("h", F.col("row").alias("b"), F.col("n").alias("bn"), F.col("pos").alias("bp"), F.col("c").alias("bc"), F.col("d1").alias("e1"), F.col("d2").alias("e2"), ring.alias("ring"))
+    x = rest.select("h", F.col("row").alias("a"), F.col("n").alias("an"), F.col("pos").alias("ap"), F.col("prior").alias("aq"), F.col("c").alias("ac"), F.col("d1").alias("a1"), F.col("d2").alias("a2"), F.col("b1").alias("ab1"), F.col("b2").alias("ab2"), ring.alias("own_ring"), F.explode(F.array(ring, ring + 1)).alias("ring"))
+    y = rest.select("h", F.col("row").alias("b"), F.col("n").alias("bn"), F.col("pos").alias("bp"), F.col("prior").alias("bq"), F.col("c").alias("bc"), F.col("d1").alias("e1"), F.col("d2").alias("e2"), ring.alias("ring"))
     eps = 1e-9
     pairs = x.join(y, ["h", "ring"]).where(
         (F.col("ac") != F.col("bc"))
@@ -231,8 +236,10 @@ def _links(regions: DataFrame, members: DataFrame, num: int, den: int) -> DataFr
         & (F.abs(F.col("a1") - F.col("e1")) <= radius + eps)
         & (F.abs(F.col("a2") - F.col("e2")) <= radius + eps)
         & (F.least("an", "bn") * den >= F.greatest("an", "bn") * num)
-        # |x - y| + |y - x| is at most (1 - t) / (1 + t) of |x| + |y|
-        & ((F.col("ap") + F.col("bp")) * (den + num) <= (F.col("an") + F.col("bn")) * (den - num))
+        # |x - y| + |y - x| is at most |x| + |y| less twice the intersection that a link needs
+        & (F.col("ap") + F.col("bp") <= F.col("an") + F.col("bn") - 2 * F.ceil((F.col("an") + F.col("bn")) * num / (num + den)))
+        # a pair with an earlier region in common has been there
+        & ~F.arrays_overlap("aq", "bq")
         & ~F.col("ab1").isin(F.col("a"), F.col("b"))
         & ~F.col("ab2").isin(F.col("a"), F.col("b"))
     )
