@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from . import byte_bpe, compression_bands, compression_classifier, dc3_dedup, impact_topk, jaccard_join, kd_sharding, nb_toxicity, pii_bootstrap, ss_packing
 from .common import prepare, table
 from .labelled import fold
+from .oracles import ORACLE_SQL  # noqa: F401
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,14 +79,3 @@ def op10_nb_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_compression_bands, op3_pii_bootstrap, op4_ss_packing, op5_compression_classifier, op6_dc3_dedup, op7_jaccard_join, op8_kd_sharding, op9_impact_topk, op10_nb_toxicity)}
-ORACLE_SQL: dict[str, str] = {
-    "op9_impact_topk": """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 64)) AS vec FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (
-  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.vec, v.vec) AS BIGINT) AS score
-  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0),
-r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
-}
