@@ -4,9 +4,9 @@ Vectors of whole numbers are indexed in blocks.  For each dimension a block hold
 the order of the vectors' quantised values, cut into segments of equal value.  A query turns a
 segment's value into an impact (its component times the value) and takes the segments in order of
 falling impact, whatever their dimension, adding to the vectors' sums.  After all segments above a
-limit, a vector's score is at most its sum plus the limit for each dimension not yet met.  The
-exact scores of the best k so far give a floor; vectors whose bound is below the floor are proven
-out.  The limit falls until few vectors are left, and these are scored exactly.
+limit of at most 0, a vector's sum is a bound of its score.  The exact scores of the best so far give a
+floor; vectors whose bound is below the floor are proven out.  The limit falls until few
+enough vectors are left, and these are scored exactly.
 
 Queries and blocks meet in a grid: every block of queries is joined with every block of vectors on
 the pair of block numbers, and a pair is one task's unit.  Each gives k rows a query; a second step
@@ -34,24 +34,35 @@ class ImpactIndex:
     """Posting segments of one block of vectors."""
 
     def __init__(self, vectors: np.ndarray):
-        self.vectors = vectors  # (rows, dimensions), whole numbers
         n, dims = vectors.shape
+        self.vectors = vectors  # (rows, dimensions), whole numbers
+        self.spread = max(1, int(np.abs(vectors).max(initial=1)))
         self.order = [np.argsort(vectors[:, d], kind="stable").astype(np.int32) for d in range(dims)]
         self.values = [vectors[o, d] for d, o in enumerate(self.order)]
-        self.spread = max(1, int(np.abs(vectors).max(initial=1)))
+        #: Floats multiply faster, and are exact while sums stay below 2 ** 53.
+        self.floats = vectors.astype(np.float64)
+
+    def exact(self, rows, query: np.ndarray) -> np.ndarray:
+        if self.spread * max(1, int(np.abs(query).max(initial=1))) * max(1, len(query)) < 1 << 53:
+            return (self.floats[rows] @ query.astype(np.float64)).astype(np.int64)
+        return self.vectors[rows] @ query
+
+    def search(self, query: np.ndarray, k: int, enough: float = 0.3) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and exact scores that hold the k best; rows left out are proven to be worse.
 
-    def search(self, query: np.ndarray, k: int, enough: float = 0.02) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and exact scores that hold the k best; rows left out are proven to be worse."""
-        n, dims = self.vectors.shape
+        Once all impacts above a limit of at most 0 are taken, what a row has not met yet can only
+        lower its sum, so the sum is a bound.
+        """
+        n, _ = self.vectors.shape
         if n <= 4 * k:
-            return np.arange(n), self.vectors @ query
-        total = np.zeros(n, np.int64)
-        met = np.zeros(n, np.int32)
+            return np.arange(n), self.exact(slice(None), query)
         live = np.flatnonzero(query)
+        top = max((abs(int(query[d])) * self.spread for d in live), default=0)
+        small = top * max(1, len(live)) < 1 << 31
+        total = np.zeros(n, np.int32 if small else np.int64)
         done = {d: (0, n) for d in live}  # the part of a list not yet taken
-        top = int(max((abs(int(query[d])) * self.spread for d in live), default=0))
         alive, floor = np.arange(n), None
-        for limit in [top // 4, 0, -(top // 16), -(top // 8), -(top // 4), -(top // 2)]:
+        for limit in (0, -(top // 16), -(top // 8), -(top // 4), -(top // 2)):
             for d in live:
                 q, (lo, hi) = int(query[d]), done[d]
                 values = self.values[d]
@@ -61,17 +72,15 @@ class ImpactIndex:
                 else:  # its head: value < limit / q
                     cut = max(lo, min(hi, int(np.searchsorted(values, -(limit // -q), side="left"))))
                     part, done[d] = slice(lo, cut), (cut, hi)
-                rows = self.order[d][part]
-                total[rows] += q * values[part].astype(np.int64)
-                met[rows] += 1
-            best = alive[np.argpartition(total[alive], len(alive) - k)[-k:]] if len(alive) > k else alive
-            exact = self.vectors[best] @ query
-            floor = int(exact.min()) if floor is None else max(floor, int(exact.min()))
-            bound = total[alive] + (len(live) - met[alive]).astype(np.int64) * limit
-            alive = alive[bound >= floor]
+                total[self.order[d][part]] += (values[part] * q).astype(total.dtype)
+            some = min(len(alive), 4 * k)
+            best = alive[np.argpartition(total[alive], len(alive) - some)[len(alive) - some :]]
+            reached = int(np.partition(self.exact(best, query), some - k)[some - k])
+            floor = reached if floor is None else max(floor, reached)
+            alive = alive[total[alive] >= floor]
             if len(alive) <= max(4 * k, enough * n):
                 break
-        return alive, self.vectors[alive] @ query
+        return alive, self.exact(alive, query)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "vec", block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
