@@ -37,8 +37,9 @@ class ImpactIndex:
         n, dims = vectors.shape
         self.vectors = vectors  # (rows, dimensions), whole numbers
         self.spread = max(1, int(np.abs(vectors).max(initial=1)))
-        self.order = [np.argsort(vectors[:, d], kind="stable").astype(np.int32) for d in range(dims)]
-        self.values = [vectors[o, d] for d, o in enumerate(self.order)]
+        self.order = [np.argsort(vectors[:, d], kind="stable") for d in range(dims)]
+        kind = np.int32 if self.spread < 1 << 31 else np.int64
+        self.values = [vectors[o, d].astype(kind) for d, o in enumerate(self.order)]
         #: Floats multiply faster, and are exact while sums stay below 2 ** 53.
         self.floats = vectors.astype(np.float64)
 
@@ -72,7 +73,7 @@ class ImpactIndex:
                 else:  # its head: value < limit / q
                     cut = max(lo, min(hi, int(np.searchsorted(values, -(limit // -q), side="left"))))
                     part, done[d] = slice(lo, cut), (cut, hi)
-                total[self.order[d][part]] += (values[part] * q).astype(total.dtype)
+                total[self.order[d][part]] += np.multiply(values[part], q, dtype=total.dtype)
             some = min(len(alive), 4 * k)
             best = alive[np.argpartition(total[alive], len(alive) - some)[len(alive) - some :]]
             reached = int(np.partition(self.exact(best, query), some - k)[some - k])
