@@ -202,9 +202,10 @@ def _hit(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every text.
+    """(row, id, n_bytes, n_removed, n_spans, kept_sha256, kept, kept_text) of every text.
 
-    ``kept`` holds the remaining bytes of texts that lost some, and is null for the others.
+    ``kept`` holds the remaining bytes of texts that lost some, and is null for the others;
+    ``kept_text`` is its text, without characters of which only some bytes are left.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -245,8 +246,8 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col
     strings = strings.select("x.h", "x.key", "x.c", "x.n", F.expr(f"substring(raw, cast(x.start + 1 as int), cast(x.n + {width - 1} as int))").alias("s"))
     marked = settle(strings.repartition("h").sortWithinPartitions("h").mapInArrow(_sorter(width), "key binary, spans array<long>"), "marked")
     runs = places.join(marked, "key").groupBy("row").agg(F.flatten(F.collect_list(F.transform("spans", lambda x: x + F.col("start")))).alias("spans"))
-    hurt = rows.where("raw is not null").select("row", "id", "n_bytes", "raw").join(runs, "row", "left").mapInArrow(_cutter, f"row long, id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    whole = rows.where("raw is null").select("row", "id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("sha").alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"))
+    hurt = rows.where("raw is not null").select("row", "id", "n_bytes", "raw").join(runs, "row", "left").mapInArrow(_cutter, f"row long, id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string")
+    whole = rows.where("raw is null").select("row", "id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("sha").alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"), F.lit(None).cast("string").alias("kept_text"))
     return whole.unionByName(hurt).withColumnRenamed("id", id_col)
 
 
@@ -258,9 +259,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     docs = settle(docs.withColumn("__row", F.monotonically_increasing_id()), "docs")
     found = remove_repeats(docs, id_col="__row", text_col=text_col, **options)
-    changed = settle(found.where("n_removed > 0").select(F.col("__row").alias("__changed"), F.decode(F.col("kept"), "UTF-8").alias("__kept")), "kept")
+    changed = settle(found.where("n_removed > 0").select(F.col("__row").alias("__changed"), F.col("kept_text").alias("__kept")), "kept")
     out = docs.join(changed, docs["__row"] == changed["__changed"], "left")
-    text = F.when(F.col("__changed").isNotNull(), F.regexp_replace("__kept", "\ufffd", "")).otherwise(F.col(text_col))
+    text = F.when(F.col("__changed").isNotNull(), F.col("__kept")).otherwise(F.col(text_col))
     return _replaced(out, docs.drop("__row").columns, text, text_col, size_col)
 
 
@@ -306,13 +307,13 @@ def _cutter(batches):
         out = []
         for raw, spans in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
             if not spans:
-                out.append((0, 0, hashlib.sha256(raw).hexdigest(), None))
+                out.append((0, 0, hashlib.sha256(raw).hexdigest(), None, None))
                 continue
             edge = np.zeros(len(raw) + 1, np.int64)
             np.add.at(edge, spans[0::2], 1)
             np.add.at(edge, spans[1::2], -1)
             gone = np.cumsum(edge[:-1]) > 0
             kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-            out.append((int(gone.sum()), int(gone[0]) + int(np.count_nonzero(np.diff(gone.astype(np.int8)) == 1)), hashlib.sha256(kept).hexdigest(), kept))
+            out.append((int(gone.sum()), int(gone[0]) + int(np.count_nonzero(np.diff(gone.astype(np.int8)) == 1)), hashlib.sha256(kept).hexdigest(), kept, kept.decode("utf-8", "ignore")))
         cols = list(zip(*out, strict=True))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.binary())], ["row", "id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.binary()), pa.array(cols[4], pa.string())], ["row", "id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text"])

@@ -112,3 +112,18 @@ def test_empty_tables_and_null_ids(spark):
     rows = spark.createDataFrame([(None, "a b c d", None, 1, 1), (7, "a b c d", None, 1, 1), (None, None, None, 1, 1), (3, "q r s t", None, 1, 1)], SCHEMA)
     assert sorted(map(tuple, jaccard_join.link_components(rows).collect()), key=str) == sorted([(None, 2, 7), (7, 2, 7), (None, 0, None), (3, 2, 3)], key=str)
     assert dc3_dedup.remove_repeats(rows).count() == 4
+
+
+def test_cut_characters_are_dropped_from_the_text(spark):
+    passage = "é" * 120  # cuts fall inside characters of two bytes
+    texts = ["a" + passage + "xyz", "bé" + passage[:-1] + "ü" * 3, None, "clean �"]
+    rows = {r.doc_id: r.text for r in dc3_dedup.without_repeats(frame(spark, texts)).collect()}
+    raws, seen = [(t or "").encode() for t in texts], {}
+    for r in raws:
+        for i in range(len(r) - 199):
+            seen[r[i : i + 200]] = seen.get(r[i : i + 200], 0) + 1
+    for i, r in enumerate(raws):
+        gone = {j for k in range(len(r) - 199) if seen[r[k : k + 200]] > 1 for j in range(k, k + 200)}
+        want = bytes(b for j, b in enumerate(r) if j not in gone).decode("utf-8", "ignore")
+        assert (rows[i] or "") == want
+    assert rows[2] is None and rows[3] == texts[3]
