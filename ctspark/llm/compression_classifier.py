@@ -7,7 +7,8 @@ with the sizes themselves (good dictionary, none) and log length, as short and r
 shift the difference.
 
 The fit uses a bounded sample of labelled rows (``per_class``, ``sample_chars``): one half trains
-the dictionaries, the other the calibration.  Scoring reads whole texts.  Nulls count as empty
+the dictionaries, the other the calibration, where a drawn row counts for as many labels as it stands
+for: the share of good labels that the score learns is the table's at every size.  Scoring reads whole texts.  Nulls count as empty
 texts; an empty text gets the calibrated score of zero sizes.  Without labels of both classes every
 score is 1 (nothing is rejected).  Rows are independent of each other, so repeated rows get equal
 scores; further columns do not matter; an empty table gives an empty result.
@@ -79,18 +80,22 @@ class Meter:
         return (bad - good) / n, good / n, len(self.plain.compress(raw)) / n, float(np.log1p(n))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, steps: int = 40) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-3, steps: int = 40) -> np.ndarray:
     w = np.zeros(x.shape[1])
     ridge = l2 * np.r_[np.ones(x.shape[1] - 1), 0.0]
     for _ in range(steps):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -50, 50)))
-        h = (x * (p * (1 - p))[:, None]).T @ x / len(y) + np.diag(ridge) + 1e-9 * np.eye(len(w))
-        w = w - np.linalg.solve(h, x.T @ (p - y) / len(y) + ridge * w)
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x / weight.sum() + np.diag(ridge) + 1e-9 * np.eye(len(w))
+        w = w - np.linalg.solve(h, x.T @ (weight * (p - y)) / weight.sum() + ridge * w)
     return w
 
 
-def fit(texts: list[bytes], good: list[int], dictionary_bytes: int = DICTIONARY_BYTES, chunk_bytes: int = CHUNK_BYTES, level: int = LEVEL) -> Model | None:
-    """Dictionaries from every other text, calibration on the rest; None without both classes."""
+def fit(texts: list[bytes], good: list[int], stands_for: dict[int, float], dictionary_bytes: int = DICTIONARY_BYTES, chunk_bytes: int = CHUNK_BYTES, level: int = LEVEL) -> Model | None:
+    """Dictionaries from every other text, calibration on the rest; None without both classes.
+
+    A text counts for ``stands_for`` labels of its class, so the calibration keeps the table's
+    share of good labels when the classes are drawn at different rates.
+    """
     if len(set(good)) < 2:
         return None
     sides = {c: [t for t, y in zip(texts, good, strict=True) if y == c] for c in (0, 1)}
@@ -99,14 +104,16 @@ def fit(texts: list[bytes], good: list[int], dictionary_bytes: int = DICTIONARY_
     held = {c: sides[c][1::2] or sides[c] for c in (0, 1)}
     x = np.array([meter.measure(t) for c in (0, 1) for t in held[c]])
     y = np.array([c for c in (0, 1) for _ in held[c]], float)
-    centre, scale = x.mean(0), x.std(0) + 1e-6
-    return Model(*dicts, _logistic(np.c_[(x - centre) / scale, np.ones(len(x))], y), centre, scale, chunk_bytes, level)
+    weight = np.array([stands_for[c] * len(sides[c]) / len(held[c]) for c in (0, 1) for _ in held[c]])
+    centre = np.average(x, 0, weight)
+    scale = np.sqrt(np.average((x - centre) ** 2, 0, weight)) + 1e-6
+    return Model(*dicts, _logistic(np.c_[(x - centre) / scale, np.ones(len(x))], y, weight), centre, scale, chunk_bytes, level)
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_class: int = PER_CLASS, sample_chars: int = SAMPLE_CHARS, **options) -> Model | None:
     """Fit on at most ``per_class`` labelled rows of each class that are not held out."""
-    sample = labelled_sample(docs, labels, label_col, per_class, sample_chars)
-    return fit([t.encode() for t, _ in sample], [y for _, y in sample], **options)
+    sample, stands_for = labelled_sample(docs, labels, label_col, per_class, sample_chars)
+    return fit([t.encode() for t, _ in sample], [y for _, y in sample], stands_for, **options)
 
 
 class Scorer:

@@ -11,13 +11,14 @@ def fold(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 3
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, sample_chars: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
-    """At most ``per_class`` (text, label) of either class, outside fold 1, in an order by hash.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, sample_chars: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[list[tuple[str, int]], dict[int, float]]:
+    """At most ``per_class`` (text, label) of either class, outside fold 1, in an order by hash, and how many usable labels a drawn one stands for, by class.
 
     Ids are drawn from the labels alone, so only the drawn rows' texts travel; a drawn text
     contributes at most ``sample_chars`` characters.  An id with several labels takes the smallest.
     """
     ids = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & (fold(id_col) != 1)).groupBy(F.col(id_col).alias("i")).agg(F.min(label_col).cast("int").alias("y"))
+    total = {r.y: r.n for r in ids.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = F.xxhash64(F.col("i").cast("string"), F.lit("sample"))
     drawn = None
     for y in (0, 1):
@@ -26,4 +27,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_clas
     # at most 2 * per_class ids: a proven bound
     d = docs.select(F.col(id_col).alias("i"), F.substring(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 1, sample_chars).alias("t"))
     rows = d.join(F.broadcast(drawn), "i").groupBy("i", "y").agg(F.min("t").alias("t")).orderBy("i").select("t", "y")
-    return [(r.t, r.y) for r in rows.collect()]
+    return [(r.t, r.y) for r in rows.collect()], {y: n / min(n, per_class) for y, n in total.items()}

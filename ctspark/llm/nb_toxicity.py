@@ -108,7 +108,7 @@ def fit(texts: list[str], toxic: list[int], lengths=LENGTHS, slot_bits: int = SL
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class: int = PER_CLASS, sample_chars: int = SAMPLE_CHARS, **options) -> Model | None:
     """Fit on at most ``per_class`` labelled rows of each class that are not held out."""
-    sample = labelled_sample(docs, labels, label_col, per_class, sample_chars)
+    sample, _ = labelled_sample(docs, labels, label_col, per_class, sample_chars)
     return fit([t for t, _ in sample], [y for _, y in sample], **options)
 
 

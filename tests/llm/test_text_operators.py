@@ -166,6 +166,23 @@ def test_compression_classifier_on_held_out_texts(spark, sentences):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, s in scores.items() if s >= 0.5}
 
 
+def test_score_keeps_the_share_of_good_labels_when_the_sample_is_capped(spark, sentences):
+    rng, prose = sentences
+    texts, marks = [], []
+    for i in range(1400):  # six good to one bad, in classes that overlap
+        good, words = i % 7 != 0, prose(60).split()
+        words = [w + "qx" if rng.random() < (0.08 if good else 0.16) else w for w in words]
+        texts.append(" ".join(words))
+        marks.append(int(good))
+    docs, labels = labelled(spark, texts, marks, "quality")
+    usable = [m for i, m in enumerate(marks) if zlib.crc32(str(i).encode()) % 3 != 1]
+    means = []
+    for cap in (2500, sum(1 - m for m in usable)):
+        model = compression_classifier.train(docs, labels, per_class=cap)
+        means.append(np.mean([r.score for r in compression_classifier.score(docs, model).collect()]))
+    assert abs(means[0] - 6 / 7) < 0.05 and abs(means[1] - 6 / 7) < 0.05
+
+
 def test_toxicity_on_held_out_texts(spark, sentences):
     rng, prose = sentences
     texts, marks = [], []
