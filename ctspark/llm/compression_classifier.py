@@ -6,7 +6,8 @@ sizes over the text's size is calibrated into a probability by a logistic regres
 with the sizes themselves (good dictionary, none) and log length, as short and repetitive texts
 shift the difference.
 
-The fit uses a bounded sample of labelled rows (``per_class``, ``sample_chars``): one half trains
+The fit uses a bounded sample of labelled rows (``per_class``) with whole texts, which stay in Spark
+tasks: one half trains
 the dictionaries, the other the calibration, where a drawn row counts for as many labels as it stands
 for: the share of good labels that the score learns is the table's at every size.  Scoring reads whole texts.  Nulls count as empty
 texts; an empty text gets the calibrated score of zero sizes.  Without labels of both classes every
@@ -17,6 +18,7 @@ scores; further columns do not matter; an empty table gives an empty result.
 from __future__ import annotations
 
 import pickle
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +30,8 @@ from .common import pieces, utf8
 from .labelled import labelled_sample
 
 PER_CLASS = 2500
-SAMPLE_CHARS = 8_000
+#: Chunks that one text gives to a dictionary, from all over it; a dictionary holds 32 KB.
+DICTIONARY_CHUNKS = 8
 DICTIONARY_BYTES = 32 << 10
 CHUNK_BYTES = 1024
 LEVEL = 3
@@ -45,11 +48,20 @@ class Model:
     level: int = LEVEL
 
 
-def build_dictionary(texts: list[bytes], size: int, chunk_bytes: int, level: int) -> bytes:
-    """A trained dictionary of the texts' chunks; their plain bytes when there are too few to train on."""
+def spread_chunks(raw: bytes, chunk_bytes: int, most: int) -> list[bytes]:
+    """The chunks of a text; of more than ``most``, one at a place by hash from each of ``most`` equal stretches."""
+    n = -(-len(raw) // chunk_bytes)
+    at = range(n)
+    if n > most:
+        h, cuts = zlib.crc32(raw), [k * n // most for k in range(most + 1)]
+        at = [a + zlib.crc32(bytes([k % 256]), h) % (b - a) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+    return [raw[i * chunk_bytes : (i + 1) * chunk_bytes] for i in at]
+
+
+def build_dictionary(chunks: list[bytes], size: int, level: int) -> bytes:
+    """A trained dictionary of the chunks; their plain bytes when there are too few to train on."""
     import zstandard
 
-    chunks = [t[i : i + chunk_bytes] for t in texts for i in range(0, len(t), chunk_bytes)]
     try:
         return zstandard.train_dictionary(size, [c for c in chunks if len(c) >= 8], level=level).as_bytes()
     except (zstandard.ZstdError, ValueError):
@@ -90,30 +102,52 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-3
     return w
 
 
-def fit(texts: list[bytes], good: list[int], stands_for: dict[int, float], dictionary_bytes: int = DICTIONARY_BYTES, chunk_bytes: int = CHUNK_BYTES, level: int = LEVEL) -> Model | None:
-    """Dictionaries from every other text, calibration on the rest; None without both classes.
+def calibrate(good: bytes, bad: bytes, x: np.ndarray, y: np.ndarray, weight: np.ndarray, chunk_bytes: int, level: int) -> Model:
+    """The model of two dictionaries and of measured rows; a row counts for ``weight`` labels."""
+    centre = np.average(x, 0, weight)
+    scale = np.sqrt(np.average((x - centre) ** 2, 0, weight)) + 1e-6
+    return Model(good, bad, _logistic(np.c_[(x - centre) / scale, np.ones(len(x))], y, weight), centre, scale, chunk_bytes, level)
+
+
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_class: int = PER_CLASS, dictionary_bytes: int = DICTIONARY_BYTES, chunk_bytes: int = CHUNK_BYTES, level: int = LEVEL) -> Model | None:
+    """Fit on at most ``per_class`` labelled rows of each class that are not held out; None without both classes.
 
-    A text counts for ``stands_for`` labels of its class, so the calibration keeps the table's
-    share of good labels when the classes are drawn at different rates.
+    Dictionaries come from every other text, the calibration from the rest.  A text counts for as
+    many usable labels of its class as it stands for, so the calibration keeps the table's share
+    of good labels when the classes are drawn at different rates.  The driver gets chunks of a
+    fixed size and four numbers a text.
     """
-    if len(set(good)) < 2:
+    rows, stands_for = labelled_sample(docs, labels, label_col, per_class)
+    sides: dict[int, list[str]] = {0: [], 1: []}
+    for r in sorted(rows.select("i", "y").collect()):
+        sides[r.y].append(r.i)
+    if not (sides[0] and sides[1]):
         return None
-    sides = {c: [t for t, y in zip(texts, good, strict=True) if y == c] for c in (0, 1)}
-    dicts = [build_dictionary(sides[c][::2] or sides[c], dictionary_bytes, chunk_bytes, level) for c in (1, 0)]
-    meter = Meter(*dicts, chunk_bytes, level)
-    held = {c: sides[c][1::2] or sides[c] for c in (0, 1)}
-    x = np.array([meter.measure(t) for c in (0, 1) for t in held[c]])
-    y = np.array([c for c in (0, 1) for _ in held[c]], float)
-    weight = np.array([stands_for[c] * len(sides[c]) / len(held[c]) for c in (0, 1) for _ in held[c]])
-    centre = np.average(x, 0, weight)
-    scale = np.sqrt(np.average((x - centre) ** 2, 0, weight)) + 1e-6
-    return Model(*dicts, _logistic(np.c_[(x - centre) / scale, np.ones(len(x))], y, weight), centre, scale, chunk_bytes, level)
+    held = {c: sides[c][1::2] or sides[c] for c in sides}
+    learnt, measured = {i for s in sides.values() for i in s[::2]}, {i for s in held.values() for i in s}
 
+    def draw(batches):
+        for b in pieces(batches):
+            b = b.filter(pa.array([i in learnt for i in b.column(0).to_pylist()]))
+            chunks = [spread_chunks(raw, chunk_bytes, DICTIONARY_CHUNKS) for raw in utf8(b.column(2))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(chunks, pa.list_(pa.binary()))], ["i", "y", "chunks"])
+
+    drawn: dict[int, list[bytes]] = {0: [], 1: []}
+    for r in sorted(rows.mapInArrow(draw, "i string, y int, chunks array<binary>").collect(), key=lambda r: r.i):
+        drawn[r.y] += map(bytes, r.chunks)
+    good, bad = (build_dictionary(drawn[c], dictionary_bytes, level) for c in (1, 0))
+    shared = docs.sparkSession.sparkContext.broadcast((good, bad))  # two dictionaries of fixed size
+
+    def measure(batches):
+        meter = Meter(*shared.value, chunk_bytes, level)
+        for b in pieces(batches):
+            b = b.filter(pa.array([i in measured for i in b.column(0).to_pylist()]))
+            x = [meter.measure(raw) for raw in utf8(b.column(2))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(x, pa.list_(pa.float64()))], ["i", "y", "x"])
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_class: int = PER_CLASS, sample_chars: int = SAMPLE_CHARS, **options) -> Model | None:
-    """Fit on at most ``per_class`` labelled rows of each class that are not held out."""
-    sample, stands_for = labelled_sample(docs, labels, label_col, per_class, sample_chars)
-    return fit([t.encode() for t, _ in sample], [y for _, y in sample], stands_for, **options)
+    found = sorted(rows.mapInArrow(measure, "i string, y int, x array<double>").collect(), key=lambda r: r.i)
+    weight = {c: stands_for[c] * len(sides[c]) / len(held[c]) for c in sides}
+    return calibrate(good, bad, np.array([r.x for r in found]), np.array([r.y for r in found], float), np.array([weight[r.y] for r in found]), chunk_bytes, level)
 
 
 class Scorer:

@@ -5,8 +5,8 @@ slots.  On labelled texts each slot gets the log ratio of its smoothed frequenci
 other texts; a logistic regression with an L2 penalty is fitted on presence times ratio, and two
 further inputs (bias and log length) take up what longer texts collect by chance.
 
-The fit uses a bounded sample of labelled rows (``per_class``, ``sample_chars``); scoring reads
-whole texts.  Null texts count as empty; an empty text gets the score of a text without n-grams.
+The fit uses a bounded sample of labelled rows (``per_class``) with whole texts: Spark tasks count
+their slots, and the driver gets one row a slot and the telling slots of each text.  Scoring reads whole texts.  Null texts count as empty; an empty text gets the score of a text without n-grams.
 Without labels of both classes every score is 0.  Rows are independent of each other: repeated
 rows get equal scores, further columns do not matter, an empty table gives an empty result.
 """
@@ -24,11 +24,10 @@ from pyspark.sql import functions as F
 from .common import pieces
 from .labelled import labelled_sample
 
-#: n-gram lengths, slots of the feature table (a power of two), and the bounds of the fit.
+#: n-gram lengths, slots of the feature table (a power of two), and the bound of the fit.
 LENGTHS = (3, 4, 5)
 SLOT_BITS = 19
 PER_CLASS = 2500
-SAMPLE_CHARS = 8_000
 
 
 def grams(text: str, lengths=LENGTHS, slot_bits: int = SLOT_BITS) -> np.ndarray:
@@ -62,30 +61,26 @@ class Model:
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -500, 500))))
 
 
-def fit(texts: list[str], toxic: list[int], lengths=LENGTHS, slot_bits: int = SLOT_BITS, l2: float = 2e-4, steps: int = 120, smooth: float = 1.0, min_count: int = 3, min_ratio: float = 0.7) -> Model | None:
-    """The classifier of a labelled sample; None without both classes.
+def ratios(count: np.ndarray, n: np.ndarray, smooth: float = 1.0, min_count: int = 3, min_ratio: float = 0.7) -> np.ndarray:
+    """The log ratio of every slot from the texts with it, ``count`` by class of ``n`` texts.
 
     Slots seen in fewer than ``min_count`` texts, or with a log ratio nearer to 0 than
-    ``min_ratio``, tell the classes hardly apart and get no weight.
+    ``min_ratio``, tell the classes hardly apart and get 0.
     """
+    ratio = np.log((count[1] + smooth) / (n[1] + 2 * smooth)) - np.log((count[0] + smooth) / (n[0] + 2 * smooth))
+    ratio[(count.sum(0) < min(min_count, int(n.sum()) // 2)) | (np.abs(ratio) < min_ratio)] = 0.0
+    return ratio
+
+
+def fit(rows: list[np.ndarray], sizes: list[int], toxic: list[int], ratio: np.ndarray, lengths=LENGTHS, slot_bits: int = SLOT_BITS, l2: float = 2e-4, steps: int = 120) -> Model:
+    """The classifier of texts of both classes, given as places among the slots with a ratio and as lengths."""
     y = np.asarray(toxic, np.float64)
-    if not len(y) or y.min() == y.max():
-        return None
-    rows = [np.unique(grams(t, lengths, slot_bits)) for t in texts]
-    count = np.zeros((2, 1 << slot_bits))
-    for slots, label in zip(rows, toxic, strict=True):
-        count[label, slots] += 1
     n = np.array([(y == 0).sum(), (y == 1).sum()], float)
-    ratio = np.log((count[1] + smooth) / (n[1] + 2 * smooth)) - np.log((count[0] + smooth) / (n[0] + 2 * smooth))
-    ratio[(count.sum(0) < min(min_count, len(y) // 2)) | (np.abs(ratio) < min_ratio)] = 0.0
     kept = np.flatnonzero(ratio)
-    place = np.full(1 << slot_bits, -1, np.int64)
-    place[kept] = np.arange(len(kept))
-    rows = [p[p >= 0] for p in (place[x] for x in rows)]
     doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     flat = np.concatenate(rows)
     values = ratio[kept][flat]
-    size = np.log1p([len(t) for t in texts])
+    size = np.log1p(sizes)
     extra = np.c_[np.ones(len(rows)), size - size.mean()]
     weight = np.where(y == 1, 0.5 / n[1], 0.5 / n[0])
     norm = float(np.median(np.sqrt(np.bincount(doc, values**2, len(rows)))) + 1e-9) if len(flat) else 1.0
@@ -106,10 +101,44 @@ def fit(texts: list[str], toxic: list[int], lengths=LENGTHS, slot_bits: int = SL
     return Model(weights, float(u[0] - u[1] * size.mean()), float(u[1]), tuple(lengths), slot_bits)
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class: int = PER_CLASS, sample_chars: int = SAMPLE_CHARS, **options) -> Model | None:
-    """Fit on at most ``per_class`` labelled rows of each class that are not held out."""
-    sample, _ = labelled_sample(docs, labels, label_col, per_class, sample_chars)
-    return fit([t for t, _ in sample], [y for _, y in sample], **options)
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class: int = PER_CLASS, lengths=LENGTHS, slot_bits: int = SLOT_BITS, **options) -> Model | None:
+    """Fit on at most ``per_class`` labelled rows of each class that are not held out; None without both classes."""
+    sample, _ = labelled_sample(docs, labels, label_col, per_class)
+    n = np.zeros(2)
+    for r in sample.groupBy("y").count().collect():
+        n[r["y"]] = r["count"]
+    if not n.all():
+        return None
+
+    def counts(batches):
+        seen = np.zeros((2, 1 << slot_bits), np.int64)
+        for b in pieces(batches):
+            for y, t in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                seen[y, np.unique(grams(t, lengths, slot_bits))] += 1
+        slots = np.flatnonzero(seen.any(0))
+        for at in range(0, len(slots), 1 << 16):
+            part = slots[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(seen[0, part]), pa.array(seen[1, part])], ["slot", "n0", "n1"])
+
+    # one row a slot: a fixed size
+    table = sample.mapInArrow(counts, "slot long, n0 long, n1 long").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
+    count = np.zeros((2, 1 << slot_bits))
+    slots = table.column("slot").to_numpy()
+    count[0, slots], count[1, slots] = table.column("n0").to_numpy(), table.column("n1").to_numpy()
+    ratio = ratios(count, n, **{k: options.pop(k) for k in ("smooth", "min_count", "min_ratio") if k in options})
+    place = np.full(1 << slot_bits, -1, np.int32)
+    place[ratio != 0] = np.arange(np.count_nonzero(ratio))
+    shared = docs.sparkSession.sparkContext.broadcast(place)  # 2 ** slot_bits numbers
+
+    def telling(batches):
+        for b in pieces(batches):
+            texts = b.column(2).to_pylist()
+            found = [shared.value[np.unique(grams(t, lengths, slot_bits))] for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(t) for t in texts], pa.int64()), pa.array([p[p >= 0].astype("<i4").tobytes() for p in found], pa.binary())], ["i", "y", "size", "places"])
+
+    rows = sorted(sample.mapInArrow(telling, "i string, y int, size long, places binary").collect(), key=lambda r: r.i)
+    places = [np.frombuffer(bytes(r.places), "<i4").astype(np.int64) for r in rows]
+    return fit(places, [r["size"] for r in rows], [r.y for r in rows], ratio, lengths, slot_bits, **options)
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

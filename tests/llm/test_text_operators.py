@@ -201,6 +201,25 @@ def test_toxicity_on_held_out_texts(spark, sentences):
     assert {r.score for r in nb_toxicity.score(docs, None).collect()} == {0.0}
 
 
+def test_fits_read_whole_texts(spark, sentences):
+    rng, prose = sentences
+    texts, marks = [], []
+    for i in range(240):  # what tells the classes apart stands behind character 8,000
+        bad = i % 2
+        body = prose(1800)
+        tail = prose(300) if not bad else " ".join(["grumblefax Zorkhead", *(rng.choice(["***", "$$$", "|", "~~"]) + w for w in prose(300).split())])
+        texts.append(body + " " + tail)
+        marks.append(bad)
+    assert min(map(len, texts)) > 9000 and len(prose(1800)) > 8000
+    held = [i for i in range(240) if zlib.crc32(str(i).encode()) % 3 == 1]
+    docs, labels = labelled(spark, texts, marks, "toxic")
+    toxic = {r.doc_id: r.score for r in nb_toxicity.score(docs, nb_toxicity.train(docs, labels)).collect()}
+    assert np.mean([(toxic[i] >= 0.5) == marks[i] for i in held]) >= 0.95
+    docs, labels = labelled(spark, texts, [1 - m for m in marks], "quality")
+    good = {r.doc_id: r.score for r in compression_classifier.score(docs, compression_classifier.train(docs, labels)).collect()}
+    assert np.mean([(good[i] >= 0.5) != marks[i] for i in held]) >= 0.95
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert byte_bpe.encode(none, VOCAB, public_tokenizers.PATTERN).count() == 0
