@@ -3,12 +3,15 @@
 Seeds are e-mail addresses, IPv4 addresses, payment card numbers and international phone numbers
 found by pattern and test.  Around them the corpus is bootstrapped:
 
-* Every blank-delimited token with seven digits or more, or with an at sign, is an instance.  The words
-  next to it are its lexical patterns: two to the left, one on either side, one to the left.
+* Every seed is an instance.  So is every blank-delimited token with five digits or more, or with an at sign,
+  and every run of two to twelve groups of digits or capitals ('017 555 7713', a spaced IBAN) with as many,
+  unless it overlaps a seed.  The words of the text around an instance are its lexical patterns: two to the
+  left, one on either side, one to the left.  A word of digits alone counts as 0.
 * Patterns and instances form a graph over the whole corpus.  In each round a pattern's confidence is the
   smoothed mean of its instances' scores, and an instance's score is the chance that one of its
-  patterns is right (1 for seeds).
-* Patterns that end with a high confidence and have enough different seeds mark their other instances as
+  patterns is right (1 for seeds).  A pattern lends its confidence only while enough of its instances
+  have a high score, so instances found in one round support further patterns in the next.
+* Patterns that end with a high confidence and enough such instances mark their other instances as
   identifiers, kind ``id``.
 
 Only DataFrame operations are used.  The graph is aggregated before every join, so a frequent pattern
@@ -31,9 +34,12 @@ _IP = "[0-9]+\\.[0-9]+\\.[0-9]+\\.[0-9]+"
 _CARD = "[0-9](?:[\\x20-]?[0-9])++"
 _PHONE = "\\+[0-9][\\x20().0-9-]+[0-9]"
 _TOKEN = f"[^{_BLANK}0-9@]*+[0-9@][^{_BLANK}]*+"
-MIN_DIGITS = 7
+#: Groups of a run: digits with capitals or signs, one group of capitals alone between two of them.
+_GROUP = "[+(]{0,2}[A-Z]{0,4}[0-9][0-9A-Z()./-]*+(?!\\p{L})"
+_RUN = f"(?<![^{_BLANK}]){_GROUP}(?:\\x20(?:[A-Z]{{1,4}}\\x20)?{_GROUP}){{1,11}}+"
+MIN_DIGITS = 5
 ROUNDS = 3
-#: What a pattern needs: confidence, different instances, different seeds.
+#: What a pattern needs: confidence, different instances, different instances that score as much.
 CONFIDENCE, MIN_INSTANCES, MIN_SEEDS = 0.7, 4, 3
 
 
@@ -42,18 +48,25 @@ def _none(kind: str) -> Column:
 
 
 def _hits(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, s, before, after>> of the leftmost non-overlapping matches."""
+    """array<struct<start, end, s, before, after>> of the leftmost non-overlapping matches; before and after are the text's."""
     between = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    rows = F.arrays_zip(F.slice(between, F.lit(1), F.size(found)).alias("before"), found.alias("s"), F.slice(between, F.lit(2), F.size(found)).alias("after"))
+
+    def later(parts: Column, by: int) -> Column:
+        return F.slice(parts, F.lit(by), F.size(found))
+
+    rows = F.arrays_zip(F.slice(between, F.lit(1), F.size(found)).alias("before"), found.alias("s"), later(between, 2).alias("a1"), later(found, 2).alias("s1"), later(between, 3).alias("a2"), later(found, 3).alias("s2"))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["before"])
         end = start + F.length(x["s"])
-        row = F.struct(start.alias("start"), end.alias("end"), x["s"].alias("s"), F.substring(x["before"], -80, 80).alias("before"), F.substring(x["after"], 1, 80).alias("after"))
-        return F.struct(end.alias("at"), F.concat(acc["rows"], F.array(row)).alias("rows"))
+        before = F.substring(F.concat(acc["tail"], F.substring(x["before"], -80, 80)), -80, 80)
+        after = F.concat(*(F.substring(F.coalesce(x[c], F.lit("")), 1, 80) for c in ("a1", "s1", "a2", "s2")))
+        row = F.struct(start.alias("start"), end.alias("end"), x["s"].alias("s"), before.alias("before"), F.substring(after, 1, 80).alias("after"))
+        tail = F.substring(F.concat(acc["tail"], F.substring(x["before"], -80, 80), F.substring(x["s"], -80, 80)), -80, 80)
+        return F.struct(end.alias("at"), tail.alias("tail"), F.concat(acc["rows"], F.array(row)).alias("rows"))
 
-    first = F.struct(F.lit(0).alias("at"), _none("struct<start: int, end: int, s: string, before: string, after: string>").alias("rows"))
+    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), _none("struct<start: int, end: int, s: string, before: string, after: string>").alias("rows"))
     return F.aggregate(rows, first, step, lambda acc: acc["rows"])
 
 
@@ -81,7 +94,7 @@ def _passing(good):
 
 
 def _as_span(kind: int):
-    return lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"))
+    return lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"), x["s"].alias("s"), x["before"].alias("before"), x["after"].alias("after"))
 
 
 def _of_kind(kind: int):
@@ -89,7 +102,7 @@ def _of_kind(kind: int):
 
 
 def _seeds(text: Column) -> Column:
-    """array<struct<start, kind, end>> of the seeds, by start, then kind."""
+    """array<struct<start, kind, end, s, before, after>> of the seeds, by start, then kind."""
     digit = text.rlike("[0-9]")
     tests = (
         (text.contains("@"), _EMAIL, lambda s: F.lit(True)),
@@ -100,55 +113,69 @@ def _seeds(text: Column) -> Column:
     parts = []
     for kind, (gate, pattern, good) in enumerate(tests):
         kept = F.transform(F.filter(_hits(text, pattern), _passing(good)), _as_span(kind))
-        parts.append(F.when(gate, kept).otherwise(_none("struct<start: int, kind: int, end: int>")))
+        parts.append(F.when(gate, kept).otherwise(_none("struct<start: int, kind: int, end: int, s: string, before: string, after: string>")))
     return F.array_sort(F.concat(*parts))
 
 
 def _instances(text: Column, seeds: Column) -> Column:
-    """array<struct<start, end, s, seed, patterns>> of the identifier-like tokens."""
+    """array<struct<start, end, s, seed, patterns>> of the seeds and the identifier-like tokens and runs besides them."""
     edge = "^[^\\p{L}\\p{N}@+]+|[^\\p{L}\\p{N}]+$"
 
     def word(s: Column, pattern: str) -> Column:
-        return F.lower(F.regexp_replace(F.regexp_extract(s, pattern, 1), "[^\\p{L}=:#]+", ""))
+        found = F.regexp_extract(s, pattern, 1)
+        letters = F.lower(F.regexp_replace(found, "[^\\p{L}=:#]+", ""))
+        return F.when((letters == "") & found.rlike("[0-9]"), "0").otherwise(letters)
+
+    def patterns(x: Column) -> Column:
+        left1 = word(x["before"], f"([^{_BLANK}]+)[{_BLANK}]+[^{_BLANK}]*$")
+        left2 = word(x["before"], f"([^{_BLANK}]+)[{_BLANK}]+[^{_BLANK}]+[{_BLANK}]+[^{_BLANK}]*$")
+        right = word(x["after"], f"^[^{_BLANK}]*[{_BLANK}]+([^{_BLANK}]+)")
+        return F.array_compact(F.array(
+            F.when((left1 != "") & (left2 != ""), F.concat(F.lit("2 "), left2, F.lit(" "), left1)),
+            F.when((left1 != "") & (right != ""), F.concat(F.lit("r "), left1, F.lit(" _ "), right)),
+            F.when(left1 != "", F.concat(F.lit("1 "), left1)),
+        ))
 
     def one(x: Column) -> Column:
         core = F.regexp_replace(x["s"], edge, "")
         start = x["start"] + F.length(F.regexp_extract(x["s"], "^([^\\p{L}\\p{N}@+]*)", 1))
-        left1 = word(x["before"], f"([^{_BLANK}]+)[{_BLANK}]+$")
-        left2 = word(x["before"], f"([^{_BLANK}]+)[{_BLANK}]+[^{_BLANK}]+[{_BLANK}]+$")
-        right = word(x["after"], f"^[{_BLANK}]+([^{_BLANK}]+)")
-        patterns = F.array(
-            F.when((left1 != "") & (left2 != ""), F.concat(F.lit("2 "), left2, F.lit(" "), left1)),
-            F.when((left1 != "") & (right != ""), F.concat(F.lit("r "), left1, F.lit(" _ "), right)),
-            F.when(left1 != "", F.concat(F.lit("1 "), left1)),
-        )
-        seed = F.exists(seeds, lambda s: (s["start"] < x["end"]) & (s["end"] > x["start"]))
-        return F.struct(start.alias("start"), (start + F.length(core)).alias("end"), core.alias("s"), seed.alias("seed"), F.array_compact(patterns).alias("patterns"))
+        return F.struct(start.alias("start"), (start + F.length(core)).alias("end"), core.alias("s"), F.lit(False).alias("seed"), patterns(x).alias("patterns"))
+
+    def known(x: Column) -> Column:
+        return F.struct(x["start"].alias("start"), x["end"].alias("end"), x["s"].alias("s"), F.lit(True).alias("seed"), patterns(x).alias("patterns"))
+
+    def likely(x: Column) -> Column:
+        return ((F.length(_digits(x["s"])) >= MIN_DIGITS) | x["s"].contains("@")) & ~F.exists(seeds, lambda s: (s["start"] < x["end"]) & (s["end"] > x["start"]))
 
-    likely = F.filter(_hits(text, _TOKEN), lambda x: (F.length(_digits(x["s"])) >= MIN_DIGITS) | x["s"].contains("@"))
-    return F.when(text.rlike("[0-9@]"), F.transform(likely, one)).otherwise(_none("struct<start: int, end: int, s: string, seed: boolean, patterns: array<string>>"))
+    none = _none("struct<start: int, end: int, s: string, seed: boolean, patterns: array<string>>")
+    tokens = F.when(text.rlike("[0-9@]"), F.transform(F.filter(_hits(text, _TOKEN), likely), one)).otherwise(none)
+    runs = F.when(text.rlike("[0-9][^\\x20]*\\x20"), F.transform(F.filter(_hits(text, _RUN), likely), one)).otherwise(none)
+    return F.concat(F.transform(seeds, known), tokens, runs)
 
 
 def confident_patterns(edges: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, min_instances: int = MIN_INSTANCES, min_seeds: int = MIN_SEEDS) -> DataFrame:
     """(pattern, score) of the trusted patterns of a graph (pattern, s, seed)."""
-    wide = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("seed").cast("int")).alias("k")).where((F.col("n") >= min_instances) & (F.col("k") >= min_seeds))
+    wide = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_instances)
     edges = settle(edges.join(wide.select("pattern"), "pattern"), "graph")
     scores = edges.groupBy("s").agg(F.max("seed").cast("double").alias("score"))
     patterns = None
+    supported = F.col("support") >= min_seeds
     for turn in range(rounds):
-        patterns = settle(edges.join(scores, "s").groupBy("pattern").agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("score")), "patterns")
+        support = F.sum((F.col("score") >= confidence).cast("int")).alias("support")
+        patterns = settle(edges.join(scores, "s").groupBy("pattern").agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("score"), support), "patterns")
         if turn + 1 < rounds:
-            missed = F.sum(F.log1p(-F.least(F.col("score"), F.lit(0.99))))
+            missed = F.sum(F.when(supported, F.log1p(-F.least(F.col("score"), F.lit(0.99)))).otherwise(0.0))
             scores = edges.join(patterns, "pattern").groupBy("s").agg(F.greatest(F.max("seed").cast("double"), 1 - F.exp(missed)).alias("score"))
-    return patterns.where(F.col("score") >= confidence)
+    return patterns.where((F.col("score") >= confidence) & supported).select("pattern", "score")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple = ()) -> DataFrame:
     """(row, id, base, spans) of every row, and the ``carry`` columns; spans are array<struct<start, kind, end>>."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text.alias("t"), *carry)
-    rows = rows.withColumn("base", _seeds(F.col("t"))).withColumn("found", _instances(F.col("t"), F.col("base")))
-    rows = settle(rows.drop("t"), "instances")
+    rows = rows.withColumn("seeds", _seeds(F.col("t"))).withColumn("found", _instances(F.col("t"), F.col("seeds")))
+    rows = rows.withColumn("base", F.transform("seeds", lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))))
+    rows = settle(rows.drop("t", "seeds"), "instances")
     places = rows.where("size(found) > 0").select("row", F.explode("found").alias("x")).select("row", "x.*")
     edges = places.select(F.explode("patterns").alias("pattern"), "s", "seed").groupBy("pattern", "s").agg(F.max("seed").alias("seed"))
     trusted = confident_patterns(edges)

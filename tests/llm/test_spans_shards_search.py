@@ -69,6 +69,24 @@ def test_contexts_find_unseen_identifiers(spark):
     assert {r.text for r in clean if r.doc_id in (12, 13)} == {"some words call me at <id> thanks"}
 
 
+def test_seeds_with_blanks_teach_contexts_and_groups_are_found(spark):
+    rng = random.Random(4)
+    own = [f"please ring room 12 desk on +1 (017) 555-{1000 + 37 * i} before noon" for i in range(16)]
+    unseen = ["017 555 7713", "GB29 NWBK 6016 1331 9268 19", "55512"]
+    own += [f"please ring room 12 desk on {x} before noon" for x in unseen]
+    own += [f"the parcel has number {rng.randrange(10**9):09d} inside" for _ in range(12)]
+    rows = {r.doc_id: r for r in pii_bootstrap.find(frame(spark, own)).collect()}
+    for i, t in enumerate(own):
+        found = {t[x["start"] : x["end"]] for x in rows[i].spans}
+        assert (unseen[i - 16] in found) if 16 <= i < 19 else len(found) == (i < 16)
+
+
+def test_found_instances_support_further_patterns(spark):
+    edges = [("a", f"s{i}", True) for i in range(30)] + [(p, f"x{i}", False) for p in ("a", "b") for i in range(4)] + [("c", f"y{i}", False) for i in range(6)]
+    graph = spark.createDataFrame(edges, "pattern string, s string, seed boolean")
+    assert {r.pattern for r in pii_bootstrap.confident_patterns(graph).collect()} == {"a", "b"}
+
+
 def brute_scores(edges, rounds):
     seeds = {s for _, s, k in edges if k}
     score = {s: float(s in seeds) for _, s, _ in edges}
