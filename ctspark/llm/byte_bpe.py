@@ -116,21 +116,22 @@ class Encoder:
 
     def lines(self, w: str) -> bytes:
         """A word with line ends; one between two visible characters is a pre-token of its own."""
-        head, _, tail = w.partition("\n")
-        if not head or not tail or head[-1].isspace() or tail[0].isspace():
-            return self.word(w)
         end = self.known.get("\n")
         if end is None:
             end = self.known["\n"] = self.word("\n")
-        parts = []
-        for x in (head, tail):
+        parts, out = w.split("\n"), []
+        for i, x in enumerate(parts):
+            after = parts[i + 1] if i + 1 < len(parts) else None
+            if after is not None and (not x or not after or x[-1].isspace() or after[0].isspace()):
+                out.append(self.word("\n".join(parts[i:])))
+                break
             ids = self.known.get(x)
             if ids is None:
-                ids = self.lines(x) if "\n" in x else self.word(x)
-                if "\n" not in x and len(self.known) < CACHE_ENTRIES:
+                ids = self.word(x)
+                if len(self.known) < CACHE_ENTRIES:
                     self.known[x] = ids
-            parts.append(ids)
-        return parts[0] + end + parts[1]
+            out.append(ids if after is None else ids + end)
+        return b"".join(out)
 
 
 _ENCODERS: dict = {}

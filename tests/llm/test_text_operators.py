@@ -52,6 +52,17 @@ def test_word_cuts_never_change_ids():
         assert np.frombuffer(enc.encode(s), "<u4").tolist() == tool.encode_ordinary(s), s
 
 
+def test_many_lines_without_blanks():
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(VOCAB, "rb"))}
+    tool = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    enc = byte_bpe.Encoder(open(VOCAB, "rb").read(), public_tokenizers.PATTERN)
+    lines = "\n".join(f"word{i % 977}" for i in range(100_000))
+    for text in (lines, f"first {lines}\n", f"{lines}\n\n{lines} last"):
+        assert np.frombuffer(enc.encode(text), "<u4").tolist() == tool.encode_ordinary(text)
+
+
 def brute_base(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
