@@ -1,7 +1,8 @@
 """Quality rules by compression: zstandard ratios must lie inside bands.
 
 A document's ratio is its UTF-8 size over its compressed size, for the whole text and for fixed
-chunks of it.  Repetitive text compresses too well, noise too badly; what is normal depends on
+chunks of it, the last one shorter.  More than a twentieth of the chunks out of band, or two
+neighbours, reject a text whatever its whole ratio is, as noise and repetition cancel there.  Repetitive text compresses too well, noise too badly; what is normal depends on
 the length, so each length class has its own band.  Simple counting rules come first.
 
 Nulls and texts without words have no words and fail the base rules.  Rows are independent:
@@ -28,8 +29,20 @@ WHOLE_BANDS = (
     (20000, 1.90, 2.53),
     (None, 2.00, 2.66),
 )
-CHUNK_BANDS = ((None, 1.75, 2.42),)
+#: The last chunk is shorter; it starts inside the text, so its bands are somewhat wider than a whole text's.
+CHUNK_BANDS = (
+    (100, 0.00, 1.75),
+    (200, 0.80, 1.75),
+    (500, 1.00, 2.10),
+    (1000, 1.20, 2.18),
+    (1500, 1.40, 2.23),
+    (3000, 1.50, 2.35),
+    (4096, 1.65, 2.42),
+    (None, 1.75, 2.42),
+)
 CHUNK_BYTES = 4096
+#: Chunks out of band that reject a text: more than this share, or two neighbours.
+BAD_SHARE = 0.05
 LEVEL = 3
 _SYMBOLS = b"#*$%&|<>"
 _BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -73,16 +86,19 @@ def band_of(size: int, bands) -> tuple[float, float]:
 
 
 def ratios(raw: bytes, compressor, chunk_bytes: int = CHUNK_BYTES) -> tuple[float, list[tuple[int, float]]]:
-    """The ratio of the whole text, and (size, ratio) of each chunk of a text of several; a short last chunk joins the one before."""
+    """The ratio of the whole text, and (size, ratio) of each chunk of a text of one chunk or more; the last one may be shorter."""
     whole = len(raw) / len(compressor.compress(raw)) if raw else 0.0
-    count = max(1, len(raw) // chunk_bytes)
-    if count == 1:
+    if len(raw) < chunk_bytes:
         return whole, []
-    cuts = [i * chunk_bytes for i in range(count)] + [len(raw)]
-    parts = [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+    parts = [raw[a : a + chunk_bytes] for a in range(0, len(raw), chunk_bytes)]
     return whole, [(len(p), len(p) / len(compressor.compress(p))) for p in parts]
 
 
+def chunks_ok(out: list[bool], share: float = BAD_SHARE) -> bool:
+    """Whether the chunks pass, given which of them are out of band."""
+    return sum(out) <= share * len(out) and not any(a and b for a, b in zip(out, out[1:], strict=False))
+
+
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_bands=WHOLE_BANDS, chunk_bands=CHUNK_BANDS, chunk_bytes: int = CHUNK_BYTES, level: int = LEVEL) -> DataFrame:
     """The counts, the ratios and the two verdicts of every text."""
 
@@ -97,8 +113,8 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", who
                 whole, chunks = ratios(raw, packer, chunk_bytes)
                 lo, hi = band_of(len(raw), whole_bands)
                 whole_ok = lo <= whole <= hi
-                bad = sum(not (band_of(n, chunk_bands)[0] <= r <= band_of(n, chunk_bands)[1]) for n, r in chunks)
-                rows.append((n_words, chars, symbols, lines, again, n_words < 20 or 100 * again > 30 * n_words, whole, min((r for _, r in chunks), default=whole), max((r for _, r in chunks), default=whole), bad, whole_ok and 2 * bad <= len(chunks)))
+                out = [not (band_of(n, chunk_bands)[0] <= r <= band_of(n, chunk_bands)[1]) for n, r in chunks]
+                rows.append((n_words, chars, symbols, lines, again, n_words < 20 or 100 * again > 30 * n_words, whole, min((r for _, r in chunks), default=whole), max((r for _, r in chunks), default=whole), sum(out), whole_ok and chunks_ok(out)))
             cols = list(zip(*rows, strict=True))
             kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["id", *_NAMES])

@@ -93,6 +93,25 @@ def test_bands_reject_repetition_and_noise_only(spark):
     assert [kept[i] for i in range(4)] == [True] * 4 and not kept[4] and not kept[5]
 
 
+def test_chunks_reject_junk_that_cancels_in_the_whole_ratio():
+    import zstandard
+
+    rng, packer = random.Random(3), zstandard.ZstdCompressor(level=compression_bands.LEVEL, write_content_size=False)
+    syllables = ["".join(rng.choice("aeioustrnl") for _ in range(rng.randint(1, 3))) for _ in range(400)]
+    prose = lambda n: " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 3))) for _ in range(n))[:n].encode()
+    noise, phrase = base64.b64encode(rng.randbytes(6144)), b"same thing again and " * 400
+
+    def passes(raw):
+        whole, chunks = compression_bands.ratios(raw, packer)
+        inside = lambda n, r, bands: (lambda b: b[0] <= r <= b[1])(compression_bands.band_of(n, bands))
+        return compression_bands.chunks_ok([not inside(n, r, compression_bands.CHUNK_BANDS) for n, r in chunks])
+
+    assert passes(prose(24_000)) and passes(prose(5000)) and passes(prose(12_288 + 60)) and passes(prose(12_288 + 700))
+    assert not passes(prose(24_000) + noise + phrase[:8192])
+    assert not passes(prose(30_000) + phrase[:4096])
+    assert not passes(prose(4500) + phrase[:2000])
+
+
 def tokens_of(text):
     from tokenizers import Tokenizer
 
