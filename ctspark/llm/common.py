@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import weakref
 
 import numpy as np
 import pyarrow as pa
@@ -22,16 +23,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
+#: Where each settled table lies, for as long as its DataFrame is held.
+_PLACES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def settle(df: DataFrame, name: str, instead_of: tuple = ()) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     This cuts the lineage: values such as row ids are fixed from here on, whatever executor
-    is lost later.
+    is lost later.  ``instead_of`` names settled tables that nothing reads once this one is written; they go.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PLACES[out] = path
+    for old in instead_of:
+        release(old)
+    return out
+
+
+def release(settled: DataFrame) -> None:
+    """Delete the files of a settled table; nothing may read it, or a frame made from it, any more."""
+    path = _PLACES.pop(settled, None)
+    if path is not None:
+        spark = settled.sparkSession
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def utf8(column: pa.Array) -> list[bytes]:

@@ -22,4 +22,47 @@ e AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE
 reach AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT reach.doc_id, e.b FROM reach JOIN e ON e.a = reach.c)
 SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id"""
 
-ORACLE_SQL = {"op7_jaccard_join": COMPONENTS, "op9_impact_topk": TOP_K}
+#: CRC-32 of a string of ASCII letters, bit by bit.
+_CRC = """xor(list_reduce(list_transform(range(1, len({s}) + 1), lambda i: ord({s}[i])::BIGINT),
+  lambda c, b: list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END, xor(c, b)), 4294967295::BIGINT), 4294967295::BIGINT)"""
+
+
+def _leaf(text: str) -> str:
+    fields = (f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END" for c in ("doc_id", "source", "lang", "n_chars", text))
+    return f"sha256({' || '.join(fields)})"
+
+
+MANIFEST = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s, {_leaf("text")} AS leaf,
+    CASE WHEN {_CRC.format(s="doc_id::VARCHAR")} % 5 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS given
+  FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY s) AS n FROM d),
+nodes AS (
+  SELECT s, 0 AS lvl, i, n, leaf AS h FROM l
+  UNION ALL
+  SELECT s, lvl + 1, i // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY s, lvl, n, i // 16),
+sub AS (SELECT s, h, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS lvl, s AS i, n, h FROM sub
+  UNION ALL
+  SELECT lvl + 1, i // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY lvl, n, i // 16),
+sib AS (
+  SELECT l.rid, x.lvl, x.i, x.h FROM l JOIN nodes x ON x.s = l.s AND x.i // 16 = l.i // (16 ** (x.lvl + 1))::BIGINT AND x.i <> l.i // (16 ** x.lvl)::BIGINT
+  UNION ALL
+  SELECT l.rid, 100 + x.lvl, x.i, x.h FROM l JOIN tops x ON x.i // 16 = l.s // (16 ** (x.lvl + 1))::BIGINT AND x.i <> l.s // (16 ** x.lvl)::BIGINT),
+proof AS (SELECT rid, sha256(string_agg(h, '' ORDER BY lvl, i)) AS p FROM sib GROUP BY rid),
+f AS (
+  SELECT rid, s, 0 AS lvl, i, n, coalesce(given, leaf) AS h FROM l
+  UNION ALL
+  SELECT f.rid, f.s, f.lvl + 1, f.i // 16, (f.n + 15) // 16, sha256(string_agg(CASE WHEN x.i = f.i THEN f.h ELSE x.h END, '' ORDER BY x.i))
+  FROM f JOIN nodes x ON x.s = f.s AND x.lvl = f.lvl AND x.i // 16 = f.i // 16 WHERE f.n > 1 GROUP BY f.rid, f.s, f.lvl, f.i, f.n),
+g AS (
+  SELECT f.rid, 0 AS lvl, f.s AS i, (SELECT count(*) FROM sub) AS n, f.h FROM f WHERE f.n = 1
+  UNION ALL
+  SELECT g.rid, g.lvl + 1, g.i // 16, (g.n + 15) // 16, sha256(string_agg(CASE WHEN x.i = g.i THEN g.h ELSE x.h END, '' ORDER BY x.i))
+  FROM g JOIN tops x ON x.lvl = g.lvl AND x.i // 16 = g.i // 16 WHERE g.n > 1 GROUP BY g.rid, g.lvl, g.i, g.n)
+SELECT l.doc_id, l.leaf, sub.h AS subroot, r.h AS root, coalesce(p, sha256('')) AS proof_sha256, g.h AS folded_root, g.h = r.h AS verified
+FROM l JOIN sub ON sub.s = l.s JOIN g ON g.rid = l.rid AND g.n = 1 CROSS JOIN (SELECT h FROM tops WHERE n = 1) r LEFT JOIN proof ON proof.rid = l.rid"""
+
+ORACLE_SQL = {"op7_jaccard_join": COMPONENTS, "op9_impact_topk": TOP_K, "op11_merkle_intervals": MANIFEST}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, compression_bands, compression_classifier, dc3_dedup, impact_topk, jaccard_join, kd_sharding, nb_toxicity, pii_bootstrap, ss_packing
+from . import byte_bpe, compression_bands, compression_classifier, dc3_dedup, impact_topk, jaccard_join, kd_sharding, merkle_manifest, nb_toxicity, pii_bootstrap, ss_packing
 from .common import prepare, table
 from .labelled import fold
 from .oracles import ORACLE_SQL  # noqa: F401
@@ -78,4 +78,24 @@ def op10_nb_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _held_out(nb_toxicity.score(docs, nb_toxicity.train(docs, table(spark, sf_dir, "labels"))), 0.7)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_compression_bands, op3_pii_bootstrap, op4_ss_packing, op5_compression_classifier, op6_dc3_dedup, op7_jaccard_join, op8_kd_sharding, op9_impact_topk, op10_nb_toxicity)}
+def op11_merkle_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    given = merkle_manifest.leaf([F.col(c) if c != "text" else merkle_manifest.lowered(F.col(c)) for c in fields])
+    keep = {"given": F.when(tampered, given)}
+    manifest = merkle_manifest.build(docs, fields, keep=keep)
+    found = merkle_manifest.proofs(manifest)
+    own = F.coalesce("kept_given", "digest")
+    out = found.select(
+        F.col("order").alias("doc_id"),
+        F.col("digest").alias("leaf"),
+        "subroot",
+        F.lit(manifest.root).cast("string").alias("root"),
+        merkle_manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle_manifest.folded(own, F.col("path")).alias("folded_root"),
+    )
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_compression_bands, op3_pii_bootstrap, op4_ss_packing, op5_compression_classifier, op6_dc3_dedup, op7_jaccard_join, op8_kd_sharding, op9_impact_topk, op10_nb_toxicity, op11_merkle_intervals)}
