@@ -35,7 +35,7 @@ def _leaf(text: str) -> str:
 MANIFEST = f"""
 WITH RECURSIVE d AS (
   SELECT row_number() OVER () AS rid, doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s, {_leaf("text")} AS leaf,
-    CASE WHEN {_CRC.format(s="doc_id::VARCHAR")} % 5 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS given
+    CASE WHEN {_CRC.format(s="(doc_id::VARCHAR)")} % 5 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS given
   FROM documents),
 l AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY s) AS n FROM d),
 nodes AS (
@@ -65,4 +65,24 @@ g AS (
 SELECT l.doc_id, l.leaf, sub.h AS subroot, r.h AS root, coalesce(p, sha256('')) AS proof_sha256, g.h AS folded_root, g.h = r.h AS verified
 FROM l JOIN sub ON sub.s = l.s JOIN g ON g.rid = l.rid AND g.n = 1 CROSS JOIN (SELECT h FROM tops WHERE n = 1) r LEFT JOIN proof ON proof.rid = l.rid"""
 
-ORACLE_SQL = {"op7_jaccard_join": COMPONENTS, "op9_impact_topk": TOP_K, "op11_merkle_intervals": MANIFEST}
+_ROUND = """
+d{r} AS (SELECT v.rid, c.c, v.x2 - 2 * list_inner_product(v.e, c.e) + list_inner_product(c.e, c.e) AS d FROM v CROSS JOIN c{r} c),
+a{r} AS (SELECT rid, c, d FROM d{r} QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, c) = 1),
+m{r} AS (
+  SELECT c, list(floor(s / n) ORDER BY p) AS e FROM (
+    SELECT c, p, sum(x) AS s, count(*) AS n FROM (SELECT a.c, unnest(v.e) AS x, unnest(range(64)) AS p FROM a{r} a JOIN v USING (rid)) GROUP BY c, p) GROUP BY c),
+c{s} AS (SELECT c{r}.c, coalesce(m{r}.e, c{r}.e) AS e FROM c{r} LEFT JOIN m{r} USING (c)),"""
+
+CLUSTERS = f"""
+WITH k AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (SELECT row_number() OVER () AS rid, vec_id, e, list_inner_product(e, e) AS x2 FROM k),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR), e) - 1 AS c, e FROM v WHERE vec_id IS NOT NULL QUALIFY c < 40),
+{"".join(_ROUND.format(r=r, s=r + 1) for r in range(6))}
+t AS (SELECT c, CAST(sum(d) AS BIGINT) AS s FROM a5 GROUP BY c)
+SELECT v.vec_id, CAST(a5.c AS INTEGER) AS cluster, CAST(a5.d AS BIGINT) AS distance, t.s AS cluster_inertia, CAST((SELECT sum(s) FROM t) AS BIGINT) AS inertia,
+  sha256(array_to_string(list_transform(c5.e, lambda x: x::BIGINT::VARCHAR), ',')) AS centroid_sha256
+FROM a5 JOIN v USING (rid) JOIN c5 ON c5.c = a5.c JOIN t ON t.c = a5.c"""
+
+ORACLE_SQL = {"op7_jaccard_join": COMPONENTS, "op9_impact_topk": TOP_K, "op11_merkle_intervals": MANIFEST, "op12_heap_centroids": CLUSTERS}

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, compression_bands, compression_classifier, dc3_dedup, impact_topk, jaccard_join, kd_sharding, merkle_manifest, nb_toxicity, pii_bootstrap, ss_packing
+from . import byte_bpe, compression_bands, compression_classifier, dc3_dedup, heap_centroids, impact_topk, jaccard_join, kd_sharding, merkle_manifest, nb_toxicity, pii_bootstrap, ss_packing
 from .common import prepare, table
 from .labelled import fold
 from .oracles import ORACLE_SQL  # noqa: F401
@@ -98,4 +100,20 @@ def op11_merkle_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_compression_bands, op3_pii_bootstrap, op4_ss_packing, op5_compression_classifier, op6_dc3_dedup, op7_jaccard_join, op8_kd_sharding, op9_impact_topk, op10_nb_toxicity, op11_merkle_intervals)}
+def op12_heap_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    usable = table(spark, sf_dir, "embeddings").where(
+        (F.size("embedding") == 64) & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    )
+    vectors = usable.select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("vec"))
+    starts = vectors.where("vec_id is not null").orderBy(F.sha2(F.concat(F.lit("2:"), F.col("vec_id").cast("string")).cast("binary"), 256), "vec").limit(40)
+    found = heap_centroids.cluster(vectors, starts, 64, 5)
+    # one row a centroid, 40 at most
+    sums = {r["cluster"]: r["s"] for r in found.rows.groupBy("cluster").agg(F.sum("distance").alias("s")).collect()}
+    hashes = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in found.centroids]
+    centres = spark.createDataFrame([(c, sums.get(c, 0), sum(sums.values()), h) for c, h in enumerate(hashes)], "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    out = found.rows.join(F.broadcast(centres), "cluster")
+    return out.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_compression_bands, op3_pii_bootstrap, op4_ss_packing, op5_compression_classifier, op6_dc3_dedup, op7_jaccard_join, op8_kd_sharding, op9_impact_topk, op10_nb_toxicity, op11_merkle_intervals, op12_heap_centroids)}
