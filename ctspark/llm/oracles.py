@@ -85,4 +85,59 @@ SELECT v.vec_id, CAST(a5.c AS INTEGER) AS cluster, CAST(a5.d AS BIGINT) AS dista
   sha256(array_to_string(list_transform(c5.e, lambda x: x::BIGINT::VARCHAR), ',')) AS centroid_sha256
 FROM a5 JOIN v USING (rid) JOIN c5 ON c5.c = a5.c JOIN t ON t.c = a5.c"""
 
-ORACLE_SQL = {"op7_jaccard_join": COMPONENTS, "op9_impact_topk": TOP_K, "op11_merkle_intervals": MANIFEST, "op12_heap_centroids": CLUSTERS}
+
+
+def _sql(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _hits(name: str, pattern: str) -> str:
+    """Common table expressions: (rid, s, st) of a pattern's matches in ``d`` (rid, t), st counted from 0."""
+    length = "lambda x: length(x)"
+    return f"""{name}_m AS (SELECT rid, regexp_extract_all(t, {_sql(pattern)}) AS ms, string_split_regex(t, {_sql(pattern)}) AS bs FROM d WHERE regexp_matches(t, {_sql(pattern)})),
+{name} AS (
+  SELECT rid, ms[k] AS s, CAST(list_sum(list_transform(bs[1:k], {length})) + coalesce(list_sum(list_transform(ms[1:k - 1], {length})), 0) AS BIGINT) AS st
+  FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS k FROM {name}_m))"""
+
+
+def _credentials() -> str:
+    from .credential_links import ACCESS, ASSIGN, CANDIDATES, HEX, KINDS, LOGIN_URL, MIXED, PARTS, REACH, SCOPE, SHORT_HEX
+
+    first = " ".join(f"WHEN regexp_matches(s, {_sql(f'^(?:{p})')}) THEN {i}" for i, (_, p) in enumerate(CANDIDATES))
+    last = len(CANDIDATES) - 1
+    mixed = " AND ".join(f"regexp_matches(s, '{p}')" for p in MIXED)
+    opaque = f"(length(s) >= 20 AND {mixed}) OR (regexp_full_match(s, '{SHORT_HEX}') AND regexp_matches(s, '[0-9]') AND regexp_matches(s, '[a-f]'))"
+    roles = "[" + ", ".join(f"'{r}'" for r, _ in CANDIDATES) + "]"
+    names = "[" + ", ".join(f"'{k}'" for k in KINDS) + "]"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+{_hits("assign", ASSIGN)},
+{_hits("access", ACCESS)},
+{_hits("hex", HEX)},
+{_hits("parts", PARTS)},
+base AS (
+  SELECT rid, 0 AS kind, st, st + length(s) AS en FROM assign WHERE length(regexp_extract(s, {_sql(ASSIGN)}, 2)) >= 6
+  UNION ALL SELECT rid, 1, st, st + length(s) FROM access UNION ALL SELECT rid, 2, st, st + length(s) FROM hex),
+c AS (SELECT rid, s, st, st + length(s) AS en, CASE {first} END AS alt FROM parts),
+w AS (
+  SELECT rid, st, en, {roles}[alt + 1] AS role, {roles}[alt + 1] = 'endpoint' AND regexp_matches(s, '{LOGIN_URL}') AS whole FROM c
+  WHERE (alt <> {last} OR {opaque}) AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = c.rid AND b.st < c.en AND b.en > c.st)),
+p AS (
+  SELECT x.*, len(regexp_extract_all(left(d.t, x.st), '{SCOPE}')) AS scope FROM (
+    SELECT rid, st, en, role, whole, true AS weak FROM w
+    UNION ALL SELECT rid, st, en, CASE WHEN kind = 1 THEN 'id' ELSE 'key' END, false, false FROM base) x JOIN d USING (rid)),
+met AS (
+  SELECT a.rid, a.st, a.en, a.role, bool_or(b.role = 'id') AS i, bool_or(b.role = 'key') AS k, bool_or(b.role = 'endpoint') AS e
+  FROM p a JOIN p b ON a.rid = b.rid AND a.scope = b.scope AND a.role <> b.role AND b.st - a.en <= {REACH} AND a.st - b.en <= {REACH}
+  WHERE a.weak GROUP BY a.rid, a.st, a.en, a.role),
+more AS (
+  SELECT rid, st, en, role FROM met WHERE CASE role WHEN 'id' THEN k WHEN 'key' THEN i OR e ELSE i AND k END
+  UNION SELECT rid, st, en, role FROM p WHERE whole),
+spans AS (SELECT rid, kind, st, en FROM base UNION ALL SELECT rid, list_position({names}, role) - 1, st, en FROM more),
+b AS (SELECT rid, string_agg(concat_ws(':', {names}[kind + 1], st, en), ',' ORDER BY st, kind) AS t, count(*) FILTER (kind = 0) AS n0, count(*) FILTER (kind = 1) AS n1, count(*) FILTER (kind = 2) AS n2 FROM base GROUP BY rid),
+a AS (SELECT rid, string_agg(concat_ws(':', {names}[kind + 1], st, en), ',' ORDER BY st, kind) AS t FROM spans GROUP BY rid)
+SELECT d.doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex, sha256(coalesce(b.t, '')) AS base_sha256, coalesce(a.t, '') AS spans
+FROM d LEFT JOIN b USING (rid) LEFT JOIN a USING (rid)"""
+
+
+ORACLE_SQL = {"op7_jaccard_join": COMPONENTS, "op9_impact_topk": TOP_K, "op11_merkle_intervals": MANIFEST, "op12_heap_centroids": CLUSTERS, "op13_credential_links": _credentials()}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, compression_bands, compression_classifier, dc3_dedup, heap_centroids, impact_topk, jaccard_join, kd_sharding, merkle_manifest, nb_toxicity, pii_bootstrap, ss_packing
+from . import byte_bpe, compression_bands, compression_classifier, credential_links, dc3_dedup, heap_centroids, impact_topk, jaccard_join, kd_sharding, merkle_manifest, nb_toxicity, pii_bootstrap, ss_packing
 from .common import prepare, table
 from .labelled import fold
 from .oracles import ORACLE_SQL  # noqa: F401
@@ -116,4 +116,9 @@ def op12_heap_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_compression_bands, op3_pii_bootstrap, op4_ss_packing, op5_compression_classifier, op6_dc3_dedup, op7_jaccard_join, op8_kd_sharding, op9_impact_topk, op10_nb_toxicity, op11_merkle_intervals, op12_heap_centroids)}
+def op13_credential_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return credential_links.digests(credential_links.find(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_compression_bands, op3_pii_bootstrap, op4_ss_packing, op5_compression_classifier, op6_dc3_dedup, op7_jaccard_join, op8_kd_sharding, op9_impact_topk, op10_nb_toxicity, op11_merkle_intervals, op12_heap_centroids, op13_credential_links)}
