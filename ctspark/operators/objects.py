@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
+from ..sources.remote import file_facts, list_files
 
 
 def validate_filter_criteria(extensions=(), min_size: int = 0, max_size: int = 0) -> None:
@@ -95,31 +96,20 @@ def list_objects(spark, path: str, prefix: str = "", recursive: bool = True) ->
     """Listing rows (key, rel_key, size, etag, last_modified) of the files under ``path``.
 
     ``rel_key`` is the key relative to ``path`` (what an object-store prefix is matched
-    against); ``prefix`` keeps the keys whose relative form starts with it.  Uses the
-    binaryFile source with only metadata columns selected, so file contents are not read.
-    Hadoop listings carry no ETag; a content MD5 can be added with ``with_content_md5``.
+    against); ``prefix`` keeps the keys whose relative form starts with it.  The listing is made by
+    tasks, folder level by folder level, and contents are not read.  Listings carry no ETag; a content
+    MD5 can be added with ``with_content_md5``.
     """
     import re
 
     scheme = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
     root = re.sub(scheme, "", path).rstrip("/")
-    df = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", str(recursive).lower())
-        .load(path)
-        .select(F.col("path").alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("last_modified"))
-    )
-    df = df.withColumn("rel_key", F.regexp_replace(F.regexp_replace("key", scheme, ""), "^" + re.escape(root) + "/?", ""))
+    df = list_files(spark, path, recursive).withColumn("rel_key", F.regexp_replace(F.regexp_replace("key", scheme, ""), "^" + re.escape(root) + "/?", ""))
     if prefix:
         df = df.filter(F.col("rel_key").startswith(prefix))
     return df.withColumn("etag", F.lit(None).cast("string"))
 
 
 def with_content_md5(spark, path: str, recursive: bool = True) -> DataFrame:
-    """(key, actual_size, actual_md5) computed from file contents (reads the bytes)."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", str(recursive).lower())
-        .load(path)
-        .select(F.col("path").alias("key"), F.col("length").alias("actual_size"), F.md5("content").alias("actual_md5"))
-    )
+    """(key, actual_size, actual_md5) computed from file contents, piece by piece."""
+    return file_facts(list_files(spark, path, recursive).select(F.col("key").alias("file")))

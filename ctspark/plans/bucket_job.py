@@ -1,7 +1,7 @@
 """The incremental bucket job, as one Spark plan per run.
 
-listing (metadata only) -> F7 filter -> J1 pending against the ledger -> read only the pending
-files -> S2 parse (abort-file semantics) -> P10 extraction -> K6 per-source outputs -> T5
+listing (metadata only) -> F7 filter -> J1 pending against the ledger, by the plan of E12 if wanted ->
+read only the pending files -> S2 parse (abort-file semantics) -> P10 extraction -> K6 per-source outputs -> T5
 ledger events appended.  A failed file is recorded as failed and the others go on; a re-run
 skips files whose (key, fingerprint) is already processed and overwrites only the outputs it
 produces.
@@ -18,18 +18,16 @@ from ..operators import ledger as L
 from ..operators.hosts import OUTPUT_EXT, PublicSuffixTable, default_psl
 from ..operators.mappings import extract
 from ..operators.objects import filter_objects, list_objects, verify_integrity
+from ..session import keep
 from ..sinks.writers import write_per_source
 from ..sources.batch_files import damaged_files, parse_lines, read_batch_lines
+from ..sources.remote import UNREADABLE, file_facts
 
 
 def listing_with_fingerprint(spark: SparkSession, path: str) -> DataFrame:
     """S6 listing plus an ETag stand-in from metadata (size and modification time), so that
-    a changed file is pending again without reading any content.  Files without any bytes, which
-    a scan leaves out, are listed with size 0."""
-    o = list_objects(spark, path)
-    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).inputFiles()
-    every = spark.createDataFrame([(n,) for n in names], "name string").select(F.url_decode(F.regexp_replace(F.regexp_replace("name", "^file:///", "file:/"), r"\+", "%2B")).alias("key"))
-    o = o.select("key", "size", "last_modified").join(every, "key", "full_outer").withColumn("size", F.coalesce("size", F.lit(0).cast("long"))).withColumn("last_modified", F.coalesce("last_modified", F.timestamp_seconds(F.lit(0))))
+    a changed file is pending again without reading any content."""
+    o = list_objects(spark, path).select("key", "size", "last_modified")
     return o.withColumn("etag", F.concat(F.col("size").cast("string"), F.lit("-"), F.unix_micros(F.col("last_modified")).cast("string")))
 
 
@@ -38,7 +36,7 @@ def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     from ..session import path_exists
 
     if path_exists(spark, ledger_path):
-        return spark.read.schema(L.LEDGER_SCHEMA).parquet(ledger_path)
+        return spark.read.schema(L.LEDGER_SCHEMA).option("recursiveFileLookup", "true").parquet(ledger_path)
     return spark.createDataFrame([], L.LEDGER_SCHEMA)
 
 
@@ -69,6 +67,7 @@ def process_bucket(
     psl: PublicSuffixTable | None = None,
     now: datetime | None = None,
     manifest: DataFrame | None = None,
+    follow_retry_plan: bool = False,
 ) -> dict:
     """Run one incremental pass.
 
@@ -78,6 +77,9 @@ def process_bucket(
     fingerprint and is read unchecked.  A file whose gzip data end early, are damaged or are empty is
     recorded as failed with its reason, and none of its rows are published.
 
+    With ``follow_retry_plan`` a failed file waits for its next attempt by the plan of E12, and one that
+    the plan gives up is left until its ETag changes; without it every run tries failed files again.
+
     Every pending file is decompressed once: its parsed lines are written to the shared checkpoint folder,
     and the outputs and the ledger both come from there.
     """
@@ -95,29 +97,49 @@ def process_bucket(
             F.coalesce("void", F.lit(False)).alias("void"),
             F.col("m_etag").isNotNull().alias("checked"),
         )
-    listing = filter_objects(listing, list(extensions), min_size, max_size)
-    current = L.ledger_apply(read_ledger(spark, ledger_path))
-    pending = _keep(L.pending_files(listing, current), "pending")
-    total = listing.count()
-    # a file source takes its files as a list, which its index holds on the driver in any case
-    paths = [r.key for r in pending.filter("present").select("key").collect()]
-    bad = spark.createDataFrame([], "file string, file_error string")
-    if manifest is not None:
-        facts = spark.createDataFrame([], "key string, actual_size long, actual_md5 string")
-        if paths:
-            facts = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("key"), F.col("length").alias("actual_size"), F.md5("content").alias("actual_md5"))
-        checked = verify_integrity(pending.filter("checked and not void").select("key", "size", "etag"), facts)
-        bad = _keep(checked.filter(~F.col("ok")).select(F.col("key").alias("file"), F.col("integrity_error").alias("file_error")), "bad")
-    n_pending = pending.count()
+    listing = keep(filter_objects(listing, list(extensions), min_size, max_size), "listing")
+    events = read_ledger(spark, ledger_path)
+    pending = L.pending_files(listing, L.ledger_apply(events))
+    if follow_retry_plan:
+        pending = due_files(pending, L.plan_retries(events), now)
+    pending = keep(pending, "pending")
+    total, n_pending = listing.count(), pending.count()
     if not n_pending:
         return {"total_files": total, "pending_files": 0, "status": None}
-    void = pending.filter("void").select(F.col("key").alias("file"), F.lit("file is empty or unreadable").alias("file_error"))
+    bad = None
+    if manifest is not None:
+        facts = file_facts(pending.filter("present and checked").select(F.col("key").alias("file")))
+        checked = verify_integrity(pending.filter("checked and not void").select("key", "size", "etag"), facts)
+        bad = keep(checked.filter(~F.col("ok")).select(F.col("key").alias("file"), F.col("integrity_error").alias("file_error")), "bad")
+    done = keep(run_files(spark, pending, input_path, output_path, psl, fmt, now, bad), "events")
+    done.write.mode("append").parquet(ledger_path)
+    return {"total_files": total, "pending_files": n_pending, "status": done}
+
+
+def due_files(pending: DataFrame, plan: DataFrame, now: datetime) -> DataFrame:
+    """J1 pending files without those that failed at the same ETag and wait for a later attempt, or get none any more."""
+    waits = F.col("action").isin("FAIL", "SKIP") | (F.col("next_attempt_ts") > F.lit(now).cast("timestamp"))
+    return pending.join(plan.filter(waits).select("key", "etag"), ["key", "etag"], "left_anti")
+
+
+def run_files(spark: SparkSession, pending: DataFrame, input_path: str, output_path: str, psl: PublicSuffixTable, fmt: str, now: datetime, bad: DataFrame | None = None, status_path: str | None = None) -> DataFrame:
+    """Extract the files of ``pending`` (key, size, etag, present, void) to per-source outputs; their ledger events.
+
+    ``bad`` (file, file_error) has files that are not to be read.  No failure of a file stops the others.
+    With ``status_path`` every entry's status is written there.
+    """
+    if bad is None:
+        bad = spark.createDataFrame([], "file string, file_error string")
+    void = pending.filter("void").select(F.col("key").alias("file"), F.lit(UNREADABLE).alias("file_error"))
     errs = bad.unionByName(void)
+    files = pending.filter("present").select(F.col("key").alias("file")).join(bad.select("file"), "file", "left_anti")
+    # a file source takes its files as a list, which its index holds on the driver in any case
+    paths = [r.file for r in files.collect()]
     if paths:
-        lines = read_batch_lines(spark, paths, ignore_corrupt=True, with_size=True).join(bad.select("file"), "file", "left_anti")
-        parsed = _keep(parse_lines(lines).select("file", "line_id", "n_bytes", "error", "sequence_number", "certificate_data"), "lines")
+        lines = read_batch_lines(spark, paths, ignore_corrupt=True, with_size=True)
+        parsed = keep(parse_lines(lines).select("file", "line_id", "n_bytes", "error", "sequence_number", "certificate_data"), "lines")
         per_file = parsed.groupBy("file").agg(F.sum("n_bytes").alias("n_bytes"), F.min(F.when(F.col("error").isNotNull(), F.struct("line_id", "error"))).alias("first"))
-        damaged = _keep(damaged_files(spark, paths, per_file.select("file", "n_bytes")).join(bad.select("file"), "file", "left_anti"), "damaged")
+        damaged = keep(damaged_files(files, per_file.select("file", "n_bytes")), "damaged")
         file_err = per_file.select("file", F.col("first.error").alias("file_error"), F.col("first.line_id").alias("first_bad")).filter(F.col("file_error").isNotNull())
         # a file fails at its first bad line: the lines before it are still processed
         ok = (
@@ -127,24 +149,13 @@ def process_bucket(
             .select("file", "sequence_number", "certificate_data")
         )
         errs = errs.unionByName(damaged).unionByName(file_err.select("file", "file_error").join(damaged.select("file"), "file", "left_anti"))
-        mappings, _status = extract(ok, psl, keep=("file",))
+        mappings, status = extract(ok, psl, keep=("file",))
         out = mappings.withColumn("output_name", relative_output_name(F.col("file"), input_path, fmt)).drop("file", "position")
         done = pending.filter("present").select(relative_output_name(F.col("key"), input_path, fmt).alias("output_name"))
         write_per_source(out, output_path, fmt, sources=done)
-    events = _keep(_events(pending, errs, now), "events")
-    events.write.mode("append").parquet(ledger_path)
-    return {"total_files": total, "pending_files": n_pending, "status": events}
-
-
-def _keep(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back, so that later steps see the same rows."""
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
-
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/bucket-{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        if status_path:
+            status.write.mode("overwrite").parquet(status_path)
+    return _events(pending, errs, now)
 
 
 def _events(pending: DataFrame, file_err: DataFrame, now) -> DataFrame:

@@ -68,6 +68,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def keep(df, name: str):
+    """Write ``df`` to the shared checkpoint folder and read it back, so that later steps see the same rows."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kept-{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def make_dirs(spark: SparkSession, path: str) -> None:
     """Create a folder through the Hadoop file system of ``path``."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -100,13 +100,13 @@ def write_batches(entries: DataFrame, path: str, batch_size: int = 100_000, idx:
     )
 
 
-def write_per_source(df: DataFrame, path: str, fmt: str = "jsonl", source_col: str = "output_name", sources: DataFrame | None = None, files_per_source: int = 1) -> None:
+def write_per_source(df: DataFrame, path: str, fmt: str = "jsonl", source_col: str = "output_name", sources: DataFrame | None = None) -> None:
     """K6: one output per input file, partitioned by its output name; a re-run overwrites only
     the partitions it produces (dynamic partition overwrite), so it is idempotent.
 
     ``sources`` names the outputs this run stands for: one that gets no rows now is cleared.  Rows
-    are shuffled by source first, so that a source has ``files_per_source`` files at most; give
-    more for sources too large for one task.
+    are rebalanced by source: a source below the session's advisory partition size is one file, and a
+    larger one is cut into several tasks by its size at run time.
     """
     f = fmt.lower()
     if f in ("txt", "text"):
@@ -117,9 +117,7 @@ def write_per_source(df: DataFrame, path: str, fmt: str = "jsonl", source_col: s
         out = _omit_empty_ou(_valid(df))
     if sources is not None:
         _clear(sources.select(source_col).join(out.select(source_col).distinct(), source_col, "left_anti"), path, source_col)
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_source))
-    out = out.repartition(F.col(source_col), salt) if files_per_source > 1 else out.repartition(F.col(source_col))
-    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(source_col)
+    w = out.hint("rebalance", F.col(source_col)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(source_col)
     if f == "csv":
         (
             w.option("header", "true")

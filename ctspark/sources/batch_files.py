@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import go_trim, is_blank
+from ..session import keep
+from . import remote
 
 # The line grammar and its failure reasons.
 LINE_RE = r"(?s)^([0-9]+)[\t\n\f\r ]+(.+)\z"
@@ -26,14 +28,19 @@ def file_path() -> Column:
     return F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
 
 
-def read_batch_lines(spark: SparkSession, path, recursive: bool = False, min_partitions: int | None = None, ignore_corrupt: bool = False, with_size: bool = False) -> DataFrame:
+def read_batch_lines(spark: SparkSession, path, recursive: bool = False, min_partitions: int | None = None, ignore_corrupt: bool = False, with_size: bool = False, fail_on_empty: bool = False) -> DataFrame:
     """(file, line_id, value) for every line of every *.gz (any case) under ``path``.
 
     Lines are split on LF only and one trailing CR is dropped.  ``path`` may be a directory or a
     list of files; files that hold fewer lines than cores are spread with a repartition.  With
     ``ignore_corrupt`` a file that cannot be decompressed yields the lines read before the fault
-    instead of failing the job; the caller finds such files with ``damaged_files``.
+    instead of failing the job; the caller finds such files with ``damaged_files``.  With ``fail_on_empty``
+    a folder with a file that holds nothing is an error, found by the files' last bytes before any is read.
     """
+    if fail_on_empty and not isinstance(path, (list, tuple)):
+        first = empty_files(spark, path, recursive).orderBy("file").first()
+        if first:
+            raise ValueError(f"{first.file}: {first.file_error}")
     reader = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.[gG][zZ]").option("recursiveFileLookup", str(recursive).lower())
     if ignore_corrupt:
         reader = reader.option("ignoreCorruptFiles", "true")
@@ -94,50 +101,43 @@ def parse_lines(df: DataFrame, col: str = "value", mode: str = "quarantine", fil
     return out
 
 
-def damaged_files(spark: SparkSession, paths: list[str], read_bytes: DataFrame) -> DataFrame:
-    """(file, file_error) of the gzip files among ``paths`` that did not decompress to their end.
+def damaged_files(files: DataFrame, read_bytes: DataFrame) -> DataFrame:
+    """(file, file_error) of the gzip files in ``files`` (file) that did not decompress to their end.
 
     ``read_bytes`` has (file, n_bytes), the size of the lines read from each file.  A gzip file ends with
-    the size of its content modulo 2 ** 32, so an intact file needs no second decompression.
-    Where both differ (damage, or several gzip members in one file), the file is decompressed
-    in full on an executor, piece by piece, and nothing of its content is kept.
+    the size of its content modulo 2 ** 32; these four bytes are read by tasks, and an intact file needs
+    nothing more.  Where both differ (damage, or several gzip members in one file), the file is
+    decompressed by a task, piece by piece, and nothing of its content is kept.  Files may be of any size.
+    On stores that Arrow does not know, a file is read as one value of at most 2 GB.
     """
-    raw = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"), "length", "content")
-    tail = F.hex(F.substring("content", -4, 4))
-    size = F.conv(F.concat(*(F.substring(tail, i, 2) for i in (7, 5, 3, 1))), 16, 10).cast("long")
-    told = raw.select("file", "length", size.alias("told")).join(read_bytes, "file", "left")
+    here, other = remote.of_known_stores(files)
+    told = remote.gzip_sizes(here).unionByName(remote.values(other).mapInPandas(_sizes, "file string, length long, told long"))
+    told = told.join(read_bytes, "file", "left")
     short = F.pmod(F.col("n_bytes") - F.col("told"), F.lit(1 << 32))
-    doubt = told.filter((F.col("length") < 18) | F.col("n_bytes").isNull() | ~short.isin(0, 1)).select("file")
-    found = raw.join(doubt, "file").select("file", "content").mapInPandas(_inflate, "file string, file_error string")
+    doubt = keep(told.filter(F.col("told").isNull() | F.col("n_bytes").isNull() | ~short.isin(0, 1)).select("file"), "doubt")
+    here, other = remote.of_known_stores(doubt)
+    found = remote.gzip_errors(here).unionByName(remote.values(other).mapInPandas(_inflate, "file string, file_error string"))
     return found.filter(F.col("file_error").isNotNull())
 
 
-def _inflate(frames):
-    import zlib
+def empty_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """(file, file_error) of the *.gz files under ``path`` that hold nothing, told by their size and last bytes."""
+    files = remote.list_files(spark, path, recursive).where(F.lower("key").endswith(".gz")).select(F.col("key").alias("file"))
+    told = remote.gzip_sizes(remote.of_known_stores(files)[0]).where("told is null or told = 0")
+    return told.select("file", F.lit(remote.UNREADABLE).alias("file_error"))
+
+
+def _sizes(frames):
+    for f in frames:
+        told = [int.from_bytes(c[-4:], "little") if len(c) >= remote.GZIP_LEAST else None for c in f["content"]]
+        yield f[["file", "length"]].assign(told=told).astype({"told": "Int64"})
+
 
-    import pandas as pd
+def _inflate(frames):
+    import io
 
     for f in frames:
-        errors = []
-        for data in f["content"]:
-            error, at, empty = None, 0, True
-            try:
-                while at < len(data) and error is None:
-                    member, before = zlib.decompressobj(31), at
-                    while not member.eof and at < len(data):
-                        empty = not member.decompress(data[at : at + (1 << 20)]) and empty
-                        at += min(1 << 20, len(data) - at)
-                    if not member.eof:
-                        error = "unexpected end of file"
-                    at -= len(member.unused_data)
-                    if at <= before:
-                        break
-                    if member.eof and not data[at:].strip(b"\x00"):
-                        break  # padding after the last member
-            except zlib.error:
-                error = "file is empty or unreadable"
-            errors.append(error or ("file is empty or unreadable" if empty else None))
-        yield pd.DataFrame({"file": f["file"], "file_error": errors})
+        yield f[["file"]].assign(file_error=[remote.inflate(io.BytesIO(c).read) for c in f["content"]])
 
 
 def file_profile(lines: DataFrame, files: DataFrame | None = None, file_col: str = "file") -> DataFrame:

@@ -123,3 +123,84 @@ def test_manifest_and_listing_need_not_agree(spark, psl, tmp_path):
     process_bucket(spark, str(src), out, led, psl=psl, manifest=manifest)
     cur = {x.key.rsplit("/", 1)[-1]: (x.status, x.error_msg) for x in L.ledger_apply(read_ledger(spark, led)).collect()}
     assert cur == {"listed.gz": ("processed", ""), "gone.gz": ("failed", "failed to stat file")}
+
+
+def test_retry_plan_decides_what_is_tried_again(spark, psl, tmp_path):
+    """E12 in T7: three runs at three times take three sets of files."""
+    from datetime import datetime, timedelta
+
+    from ctspark.operators.objects import list_objects
+    from ctspark.plans.bucket_job import listing_with_fingerprint
+
+    src, led = tmp_path / "r", str(tmp_path / "ledger")
+    src.mkdir()
+    good = lambda s: f"{s} {base64.b64encode(cert([('O', 'Org'), ('CN', f'h{s}.example.com')])).decode()}\n"
+    for name, s in (("new", 1), ("slow", 2), ("denied", 3), ("spent", 4)):
+        (src / f"{name}.gz").write_bytes(gzip.compress(good(s).encode()))
+    t0 = datetime(2024, 1, 1)
+    names = {r.key.rsplit("/", 1)[-1][:-3]: r for r in listing_with_fingerprint(spark, str(src)).collect()}
+    past = [(names["slow"].key, names["slow"].etag, 0, t0, 1, "failed", "connection timeout"), (names["denied"].key, names["denied"].etag, 0, t0, 1, "failed", "AccessDenied: no permission")]
+    past += [(names["spent"].key, names["spent"].etag, 0, t0 - timedelta(hours=20 - i), 1, "failed", "connection timeout") for i in range(20)]
+    spark.createDataFrame(past, L.LEDGER_SCHEMA).write.parquet(led)
+    plan = {r.key.rsplit("/", 1)[-1][:-3]: r for r in L.plan_retries(read_ledger(spark, led)).collect()}
+    assert plan["slow"].action in ("RETRY", "WAIT") and plan["slow"].next_attempt_ts > t0 and plan["denied"].action in ("SKIP", "FAIL") and plan["spent"].action == "FAIL"
+
+    def run(now):
+        before = {(r.key, r.event_ts) for r in read_ledger(spark, led).collect()}
+        process_bucket(spark, str(src), str(tmp_path / "out"), led, psl=psl, now=now, follow_retry_plan=True)
+        return sorted(r.key.rsplit("/", 1)[-1][:-3] for r in read_ledger(spark, led).collect() if (r.key, r.event_ts) not in before)
+
+    assert run(t0 + timedelta(milliseconds=1)) == ["new"]
+    assert run(plan["slow"].next_attempt_ts) == ["slow"]
+    (src / "denied.gz").write_bytes(gzip.compress((good(3) + good(5)).encode()))  # another file under the same key
+    assert run(t0 + timedelta(days=1)) == ["denied"]
+    assert run(t0 + timedelta(days=2)) == []
+    assert list_objects(spark, str(src)).count() == 4
+
+
+def test_listing_is_made_by_tasks_and_names_everything(spark, tmp_path):
+    from ctspark.sources.remote import list_files
+
+    root = tmp_path / "l"
+    for rel, n in (("a.gz", 3), ("x/b c+%20é.gz", 0), ("x/y/z/d.gz", 5), ("_tmp/no.gz", 1), (".hid", 1), ("k=v/e.gz", 2)):
+        (root / rel).parent.mkdir(parents=True, exist_ok=True)
+        (root / rel).write_bytes(b"z" * n)
+    got = {r.key: r.size for r in list_files(spark, str(root)).collect()}
+    assert got == {f"file:{root}/{rel}": n for rel, n in (("a.gz", 3), ("x/b c+%20é.gz", 0), ("x/y/z/d.gz", 5), ("k=v/e.gz", 2))}
+    scan = {r.path: r.modificationTime for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(root)).select("path", "modificationTime").collect()}
+    assert {r.key: r.last_modified for r in list_files(spark, str(root)).where("size > 0").collect()} == scan
+    assert [r.size for r in list_files(spark, str(root), recursive=False).collect()] == [3]
+
+
+def test_gzip_ends_and_whole_reads(spark, tmp_path):
+    """Intact files are told by four bytes; others are decompressed in pieces."""
+    import io
+    import os
+    import random
+
+    import pytest
+
+    from ctspark.sources import batch_files, remote
+
+    body = random.Random(1).randbytes(3_000_000) + b"\0" * 5_000_000
+    whole = gzip.compress(body)
+    cases = {
+        "whole": (whole, None), "members": (whole + gzip.compress(b"x"), None), "padded": (whole + b"\0" * 700, None), "cut": (whole[:-1], "unexpected end of file"), "half": (whole[: len(whole) // 2], "unexpected end of file"),
+        "flipped": (whole[:1000] + bytes([whole[1000] ^ 1]) + whole[1001:], "any"), "tail": (whole + b"garbage", "file is empty or unreadable"), "empty": (gzip.compress(b""), "file is empty or unreadable"), "zero": (b"", "file is empty or unreadable"),
+        "cut second": (whole + gzip.compress(b"x" * 99)[:-3], "unexpected end of file"), "noise": (os.urandom(50), "file is empty or unreadable"),
+    }
+    for name, (data, error) in cases.items():
+        found = remote.inflate(io.BytesIO(data).read)
+        assert found is not None if error == "any" else found == error, name
+        (tmp_path / f"{name}.gz").write_bytes(data)
+    files = remote.list_files(spark, str(tmp_path)).selectExpr("key AS file")
+    told = {r.file.rsplit("/", 1)[-1]: (r.length, r.told) for r in remote.gzip_sizes(files).collect()}
+    assert told["whole.gz"] == (len(whole), len(body)) and told["zero.gz"] == (0, None)
+    by_task = {r.file.rsplit("/", 1)[-1][:-3]: r.file_error for r in remote.gzip_errors(files).collect()}
+    assert by_task == {n: remote.inflate(io.BytesIO(d).read) for n, (d, _) in cases.items()}
+    with pytest.raises(ValueError, match="empty.gz: file is empty or unreadable"):
+        batch_files.read_batch_lines(spark, str(tmp_path), fail_on_empty=True)
+    facts = {r.key.rsplit("/", 1)[-1]: r for r in remote.file_facts(files).collect()}
+    import hashlib
+
+    assert (facts["whole.gz"].actual_size, facts["whole.gz"].actual_md5) == (len(whole), hashlib.md5(whole).hexdigest())

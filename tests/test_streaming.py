@@ -4,6 +4,9 @@ import json
 
 from derutil import cert, x509_leaf
 
+from ctspark.plans.bucket_job import read_ledger
+
+
 def entries(start, n):
     return [{"leaf_input": base64.b64encode(x509_leaf(cert([("O", "Org"), ("CN", f"h{start + i}.example.com")]))).decode(), "extra_data": ""} for i in range(n)]
 
@@ -98,11 +101,63 @@ def test_extraction_stream_reports_bad_lines(spark, psl, tmp_path):
     out = str(tmp_path / "out")
     start_extraction_stream(spark, str(src), out, str(tmp_path / "ck"), psl=psl).awaitTermination()
     assert [r.sequence_number for r in spark.read.json(out).collect()] == [1]
-    errors = spark.read.json(f"{out}_errors").collect()
-    assert len(errors) == 1 and errors[0].file.endswith("/a b.gz") and errors[0].error.startswith("line does not match")
+    events = read_ledger(spark, f"{out}_ledger").collect()
+    assert len(events) == 1 and events[0].key.endswith("/a b.gz") and events[0].status == "failed" and events[0].error_msg.startswith("line does not match")
     assert spark.read.parquet(f"{out}_status").count() == 1
 
 
+def test_extraction_stream_records_damaged_files_and_goes_on(spark, psl, tmp_path):
+    """T7 as a stream: damaged files among good ones, one file a trigger; a restart adds nothing; an arrival is taken."""
+    from ctspark.streaming.extract_stream import start_extraction_stream
+
+    src, out, ck = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ck")
+    src.mkdir()
+    good = lambda s: f"{s} {base64.b64encode(cert([('O', 'Org'), ('CN', f'h{s}.example.com')])).decode()}\n"
+    whole = gzip.compress("".join(good(s) for s in range(1, 300)).encode())
+    (src / "half.gz").write_bytes(whole[: len(whole) // 2])
+    (src / "zero.gz").write_bytes(b"")
+    (src / "nothing.gz").write_bytes(gzip.compress(b""))
+    (src / "fine.gz").write_bytes(gzip.compress(good(1001).encode()))
+    (src / "noise.gz").write_bytes(b"no gzip data")
+
+    def run():
+        start_extraction_stream(spark, str(src), out, ck, psl=psl, max_files_per_trigger=1).awaitTermination()
+        return sorted((r.key.rsplit("/", 1)[-1], r.status, r.error_msg) for r in read_ledger(spark, f"{out}_ledger").collect())
+
+    first = run()
+    assert first == [
+        ("fine.gz", "processed", ""),
+        ("half.gz", "failed", "unexpected end of file"),
+        ("noise.gz", "failed", "file is empty or unreadable"),
+        ("nothing.gz", "failed", "file is empty or unreadable"),
+        ("zero.gz", "failed", "file is empty or unreadable"),
+    ]
+    assert run() == first
+    (src / "more.gz").write_bytes(gzip.compress(good(1002).encode()))
+    assert run() == sorted([*first, ("more.gz", "processed", "")])
+    assert sorted(r.sequence_number for r in spark.read.json(out).collect()) == [1001, 1002]
+
+
+def test_replayed_epoch_writes_the_same_events(spark, psl, tmp_path):
+    from pyspark.sql import functions as F
+
+    from ctspark.sources.remote import list_files
+    from ctspark.streaming.extract_stream import write_epoch
+
+    src, out, ledger = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ledger")
+    src.mkdir()
+    line = f"7 {base64.b64encode(cert([('O', 'Org'), ('CN', 'h7.example.com')])).decode()}\n"
+    (src / "a.gz").write_bytes(gzip.compress(line.encode()))
+    (src / "b.gz").write_bytes(gzip.compress(line.encode())[:-9])
+    seen = []
+    for _ in range(3):
+        files = list_files(spark, str(src)).where(F.lower("key").endswith(".gz"))
+        write_epoch(files, 4, str(src), out, ledger, "jsonl", psl)
+        seen.append(sorted(tuple(r) for r in read_ledger(spark, ledger).collect()))
+    assert len(seen[0]) == 2 and seen[0] == seen[1] == seen[2]
+    assert [r.sequence_number for r in spark.read.json(out).collect()] == [7]
+
+
 def test_ingest_to_batch_files(spark, tmp_path):
     from ctspark.streaming.ingest import start_ingest_to_batches
 
