@@ -8,7 +8,7 @@ windows, a small per-bucket table for running state).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import wall_micros
@@ -43,6 +43,82 @@ def endpoint_latency(fetch_log: DataFrame, accuracy: int = 10_000, exact: bool =
     )
 
 
+#: Sub-buckets of a power of two in latency histograms: three significant digits.
+SUB_BUCKETS = 1024
+
+
+def _histogram_code(ns: Column) -> Column:
+    """Log-linear bucket of a whole number: its 11 leading bits, and how many more there are."""
+    more = F.greatest(F.length(F.bin(ns)) - 11, F.lit(0))
+    return (more * (2 * SUB_BUCKETS) + F.call_function("shiftright", ns, more)).cast("int")
+
+
+def _histogram_value(code: Column) -> Column:
+    """The middle of a bucket."""
+    more = F.floor(code / (2 * SUB_BUCKETS)).cast("int")
+    low = F.call_function("shiftleft", F.pmod(code, F.lit(2 * SUB_BUCKETS)).cast("long"), more)
+    return low + (F.call_function("shiftleft", F.lit(1).cast("long"), more) - 1) / 2.0
+
+
+def latency_histogram(fetch_log: DataFrame, by: tuple = ("endpoint",), slot_s: int | None = None) -> DataFrame:
+    """A5, mergeable: (by..., [slot,] code, calls), the recorded durations in log-linear buckets of nanoseconds.
+
+    A bucket holds its values to within a thousandth.  With ``slot_s`` histograms are also cut by time, so that those of
+    any span are the sum of its slots; the raw rows are not needed again.
+    """
+    d = fetch_log.where("duration_ms > 0").withColumn("code", _histogram_code(F.round(F.col("duration_ms") * 1e6).cast("long")))
+    keys = [*by]
+    if slot_s:
+        d = d.withColumn("slot", F.floor(wall_micros("ts") / (slot_s * 1_000_000)).cast("long"))
+        keys.append("slot")
+    return d.groupBy(*keys, "code").agg(F.count(F.lit(1)).alias("calls"))
+
+
+def merge_histograms(*histograms: DataFrame, by: tuple = ("endpoint",)) -> DataFrame:
+    """The histogram of all that several were made of, whatever their slots."""
+    every = None
+    for h in histograms:
+        h = h.select(*by, "code", "calls")
+        every = h if every is None else every.unionByName(h)
+    return every.groupBy(*by, "code").agg(F.sum("calls").alias("calls"))
+
+
+def histogram_latency(histogram: DataFrame, by: tuple = ("endpoint",)) -> DataFrame:
+    """Per key mean, p95, p99 and max in milliseconds and the recorded calls, from a merged histogram.
+
+    The ordered pass has at most one row a bucket and key, some ten thousands whatever the calls.
+    """
+    w = Window.partitionBy(*by).orderBy("code")
+    whole = Window.partitionBy(*by)
+    ms = _histogram_value(F.col("code")) / 1e6
+    d = histogram.select(*by, "calls", ms.alias("ms"), F.sum("calls").over(w).alias("upto"), F.sum("calls").over(whole).alias("n"))
+    reached = lambda p: F.min(F.when(F.col("upto") >= F.ceil(F.col("n") * p), F.col("ms")))
+    return d.groupBy(*by).agg(
+        F.round(F.sum(F.col("ms") * F.col("calls")) / F.sum("calls"), 3).alias("mean_ms"),
+        F.round(reached(0.95), 3).alias("p95_ms"),
+        F.round(reached(0.99), 3).alias("p99_ms"),
+        F.round(F.max("ms"), 3).alias("max_ms"),
+        F.sum("calls").alias("recorded_calls"),
+    )
+
+
+def windowed_rate(samples: DataFrame, window_s: int = 60, slide_s: int = 10, part: tuple = (), watermark: str | None = None, per_minute: bool = False) -> DataFrame:
+    """W5 / W6 by sliding windows: (part..., window_end, samples, rate) for samples (ts, value), batch or streaming.
+
+    The rate of a window is (last - first) / elapsed seconds, 0 with fewer than two samples or under a second, that
+    is the rolling rate asked at the window's end.  As a stream the state is the first and last sample of each open window;
+    with ``watermark`` ("5 minutes") windows older than that are closed and rows for them are late and dropped.
+    """
+    d = samples.withColumn("ts", F.col("ts").cast("timestamp"))
+    d = d.withWatermark("ts", watermark) if watermark else d
+    w = F.window("ts", f"{window_s} seconds", f"{slide_s} seconds").alias("w")
+    at = F.struct("ts", "value")
+    g = d.groupBy(w, *part).agg(F.min(at).alias("a"), F.max(at).alias("z"), F.count(F.lit(1)).alias("samples"))
+    elapsed = (F.unix_micros("z.ts") - F.unix_micros("a.ts")) / 1e6
+    rate = F.when((F.col("samples") < 2) | (elapsed < 1), F.lit(0.0)).otherwise((F.col("z.value") - F.col("a.value")) / elapsed)
+    return g.select(*part, F.col("w.end").alias("window_end"), "samples", F.round(rate * 60 if per_minute else rate, 6).alias("rate"))
+
+
 def _with_overlap(df: DataFrame, ts_us, window_us: int, bucket_us: int) -> DataFrame:
     """Assign each row to its time bucket and, as context, to the next bucket when it lies
     within ``window_us`` of that bucket's start.  bucket_us must be >= window_us."""

@@ -51,22 +51,73 @@ def _is_set(bm, pos):
     return F.pmod(F.floor(byte / F.pow(F.lit(2.0), F.pmod(pos, F.lit(8)).cast("double"))).cast("int"), F.lit(2)) == 1
 
 
+#: Runs of indexes that one task orders together.
+CHUNK = 4096
+
+
+def _runs(per: DataFrame, batch_size: int) -> DataFrame:
+    """(b, n, lo, hi) of each present run of indexes: how many, and the first and last place in it."""
+    # full runs need no look at their bits
+    ends = [F.when(F.col("n") == batch_size, F.lit(whole).cast("long")).otherwise(place) for whole, place in ((0, _first_bit("bm")), (batch_size - 1, _last_bit("bm")))]
+    return per.select("b", "n", ends[0].alias("lo"), ends[1].alias("hi"))
+
+
+def _nonzero_hex(bm: str, keep_tail: bool):
+    """The bitmap's hex text without the zeros before its first (or behind its last) digit, and the whole text's length."""
+    text = F.hex(bm)
+    return F.regexp_replace(text, "^0+" if keep_tail else "0+$", ""), F.length(text)
+
+
+def _first_bit(bm: str):
+    """The lowest bit set in a bitmap whose bytes rise."""
+    rest, size = _nonzero_hex(bm, True)
+    at = F.floor((size - F.length(rest)) / 2)
+    byte = F.conv(F.substring(F.hex(bm), (at * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("int")
+    low = F.bit_count(byte.bitwiseXOR(byte - 1)) - 1
+    return (at * 8 + low).cast("long")
+
+
+def _last_bit(bm: str):
+    """The highest bit set."""
+    rest, _ = _nonzero_hex(bm, False)
+    at = F.ceil(F.length(rest) / 2) - 1
+    byte = F.conv(F.substring(F.hex(bm), (at * 2 + 1).cast("int"), F.lit(2)), 16, 10)
+    return (at * 8 + F.length(F.bin(byte.cast("long"))) - 1).cast("long")
+
+
+def _with_before(runs: DataFrame) -> DataFrame:
+    """Adds what lies before each run: ``prev``, the number of the run before (-1 for none), ``prev_hi``, its last place, and ``before``, the indexes in all earlier runs.
+
+    Two levels: runs are ordered inside chunks of ``CHUNK`` run numbers, and only one row a chunk enters the pass without a key.
+    """
+    d = runs.withColumn("chunk", F.floor(F.col("b") / CHUNK))
+    tail = F.struct(F.col("b").alias("b"), F.col("hi").alias("hi"))
+    per = d.groupBy("chunk").agg(F.sum("n").alias("n"), F.max_by(tail, "b").alias("tail"))
+    over = Window.orderBy("chunk")
+    per = per.select("chunk", F.lag("tail").over(over).alias("carry"), F.coalesce(F.sum("n").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    w = Window.partitionBy("chunk").orderBy("b")
+    d = d.withColumn("own", F.lag(tail).over(w)).withColumn("sofar", F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    d = d.join(per, "chunk").withColumn("last", F.coalesce("own", "carry"))
+    return d.select(*runs.columns, F.coalesce("last.b", F.lit(-1)).alias("prev"), F.col("last.hi").alias("prev_hi"), (F.col("sofar") + F.col("base")).alias("before"))
+
+
 def contiguous_prefix(df: DataFrame, idx: str = "log_index", start: int = 0, batch_size: int = BITMAP_BITS) -> DataFrame:
     """One row (start, committed_through, committed_entries, next_index) for the longest
     run start, start+1, ... of present indexes.
 
-    The first run of ``batch_size`` indexes that is incomplete, or absent, is found by one ordered
-    pass over the table of bitmaps; the first missing index is the first bit not set in its bitmap.
+    Presence is one bitmap per run of ``batch_size`` indexes.  (number, count, first, last) of the runs alone are ordered,
+    in chunks; the first run that is incomplete, or absent, is joined back to its bitmap, whose first bit not set is the answer.
     """
     per = _presence(df, idx, start, batch_size)
-    prev = F.coalesce(F.lag("b").over(Window.orderBy("b")), F.lit(-1))
-    # a run of indexes absent between prev and b makes prev + 1 the first bad one
-    bad = F.when(F.col("b") != prev + 1, F.struct((prev + 1).alias("c"), F.lit(None).cast("binary").alias("m"))).when(F.col("n") < batch_size, F.struct(F.col("b").alias("c"), F.col("bm").alias("m")))
-    first = per.select("b", bad.alias("bad")).agg(F.min_by("bad", "bad.c").alias("bad"), F.max("b").alias("top"))
-    offset = F.filter(F.sequence(F.lit(0), F.lit(batch_size - 1)), lambda p: ~_is_set(F.col("bad.m"), p))[0]
+    runs = _with_before(_runs(per, batch_size))
+    # runs absent between prev and b make prev + 1 the first bad one, without a bitmap
+    bad = F.when(F.col("b") != F.col("prev") + 1, F.col("prev") + 1).when(F.col("n") < batch_size, F.col("b"))
+    first = runs.agg(F.min(bad).alias("bad"), F.max("b").alias("top"))
+    first = first.join(per.where(F.col("n") < batch_size).select("b", "bm"), F.col("bad") == F.col("b"), "left")
+    offset = F.filter(F.sequence(F.lit(0), F.lit(batch_size - 1)), lambda p: ~_is_set(F.col("bm"), p))[0]
     res = first.select(
         F.lit(start).cast("long").alias("start"),
-        (F.lit(start) + F.coalesce(F.col("bad.c"), F.col("top") + 1, F.lit(0)) * batch_size + F.when(F.col("bad.m").isNotNull(), offset).otherwise(0)).cast("long").alias("next_index"),
+        (F.lit(start) + F.coalesce("bad", F.col("top") + 1, F.lit(0)) * batch_size + F.when(F.col("bm").isNotNull(), offset).otherwise(0)).cast("long").alias("next_index"),
     )
     return res.select(
         "start",
@@ -80,9 +131,9 @@ def gap_report(df: DataFrame, idx: str = "log_index", start: int = 0, tree_size:
     """Missing index ranges [gap_start, gap_end] in [start, tree_size) with the number of
     present entries stuck behind each gap (present indexes above gap_end).
 
-    Presence is kept as one bitmap per run of ``batch_size`` indexes.  An ordered pass over that table
-    finds the gaps between runs and the counts before them; gaps inside a run are read from its
-    bitmap, and only incomplete runs are looked at.
+    Presence is one bitmap per run of ``batch_size`` indexes.  (number, count, first, last) of the runs alone are
+    ordered, in chunks, which gives the gaps between runs and the counts before them; incomplete runs are joined
+    back to their bitmaps for the gaps inside.
     """
     d = df.select(F.col(idx).cast("long").alias("i"))
     if tree_size is not None:
@@ -90,37 +141,25 @@ def gap_report(df: DataFrame, idx: str = "log_index", start: int = 0, tree_size:
         d = d.filter(F.col("i") < tree_size).unionByName(df.sparkSession.range(tree_size, tree_size + 1).select(F.col("id").alias("i")))
     extra = 0 if tree_size is None else 1
     per = _presence(d, "i", start, batch_size)
+    runs = _with_before(_runs(per, batch_size))
+    total = runs.agg((F.sum("n") - extra).alias("total"))
+    origin = F.lit(start).cast("long")
+    runs = runs.withColumn("base", origin + F.col("b") * batch_size)
+    since = F.coalesce(origin + F.col("prev") * batch_size + F.col("prev_hi") + 1, origin)
+    between = runs.select("before", since.alias("s"), (F.col("base") + F.col("lo") - 1).alias("e"), F.lit(0).cast("long").alias("k")).where("e >= s")
+    partial = runs.where((F.col("n") < batch_size) & (F.col("hi") - F.col("lo") + 1 > F.col("n"))).join(per.select("b", "bm"), "b").repartition("b")
     every = F.sequence(F.lit(0), F.lit(batch_size - 1))
-    partial = F.col("n") < batch_size
-    per = per.select("b", "n", F.when(partial, F.filter(every, lambda p: _is_set(F.col("bm"), p))).alias("at"))
-    base = F.lit(start) + F.col("b") * batch_size
-    lo = base + F.coalesce(F.element_at("at", 1), F.lit(0))
-    hi = base + F.coalesce(F.element_at("at", -1), F.lit(batch_size - 1))
-    per = per.select("b", "n", "at", base.alias("base"), lo.alias("lo"), hi.alias("hi"))
-    w = Window.orderBy("b")
-    per = per.select(
-        "b",
-        "at",
-        "base",
-        "lo",
-        F.coalesce(F.lag("hi").over(w) + 1, F.lit(start).cast("long")).alias("from"),
-        F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
-        (F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) - extra).alias("total"),
-    )
-    per = per.filter(F.col("at").isNotNull() | (F.col("lo") > F.col("from"))).repartition("b")
-    cross = F.struct(F.col("from").alias("s"), (F.col("lo") - 1).alias("e"), F.lit(0).cast("long").alias("k"))
+    partial = partial.select("before", "base", F.filter(every, lambda p: _is_set(F.col("bm"), p)).alias("at"))
     inside = F.transform(
         F.filter(F.sequence(F.lit(1), F.size("at") - 1), lambda k: F.col("at")[k] - F.col("at")[k - 1] > 1),
         lambda k: F.struct((F.col("base") + F.col("at")[k - 1] + 1).alias("s"), (F.col("base") + F.col("at")[k] - 1).alias("e"), k.cast("long").alias("k")),
     )
-    none = F.array().cast("array<struct<s:bigint,e:bigint,k:bigint>>")
-    found = F.concat(F.when(F.col("lo") > F.col("from"), F.array(cross)).otherwise(none), F.when(F.size("at") > 1, inside).otherwise(none))
-    gaps = per.select("before", "total", F.explode(found).alias("g"))
+    gaps = between.unionByName(partial.select("before", F.explode(inside).alias("g")).select("before", "g.*")).join(F.broadcast(total))
     return gaps.select(
-        F.col("g.s").alias("gap_start"),
-        F.col("g.e").alias("gap_end"),
-        (F.col("g.e") - F.col("g.s") + 1).alias("missing"),
-        (F.col("total") - F.col("before") - F.col("g.k")).cast("long").alias("entries_behind"),
+        F.col("s").alias("gap_start"),
+        F.col("e").alias("gap_end"),
+        (F.col("e") - F.col("s") + 1).alias("missing"),
+        (F.col("total") - F.col("before") - F.col("k")).cast("long").alias("entries_behind"),
     )
 
 
@@ -137,6 +176,15 @@ def dedupe_index(df: DataFrame, keys=("log", "log_index")) -> DataFrame:
     return df.dropDuplicates(list(keys))
 
 
+def dedupe_stream(stream: DataFrame, delay: str, keys=("log", "log_index"), time_col: str = "event_ts") -> DataFrame:
+    """T4 as a stream: the first row of each key; state is kept per key until the watermark, ``delay`` behind the newest time, has passed it.
+
+    A replay within ``delay`` of event time is dropped, across triggers and restarts from the checkpoint; a row
+    older than the watermark is late and dropped too, so ``delay`` must cover how far replays reach back.
+    """
+    return stream.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
 def positions(df: DataFrame, part: list[str], order: list[str], bucket) -> DataFrame:
     """1-based row number within ``part`` ordered by ``order`` without a per-part window.
 
@@ -174,6 +222,6 @@ def progress_marks(df: DataFrame, part: str, order: str, bucket, interval: int =
     return positions(df, [part], [order], bucket).filter(F.col("position") % interval == 0)
 
 
-def next_index(df: DataFrame, idx: str = "log_index", start: int = 0, batch_size: int = DEFAULT_BATCH) -> DataFrame:
+def next_index(df: DataFrame, idx: str = "log_index", start: int = 0, batch_size: int = BITMAP_BITS) -> DataFrame:
     """T2 for batch runs: the next index to fetch = end of the committed contiguous prefix + 1."""
     return contiguous_prefix(df, idx, start, batch_size).select("next_index")

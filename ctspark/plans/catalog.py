@@ -13,7 +13,7 @@ from ..functions.encoding import base64_error, decode_base64_strict
 from ..operators import errlog, ledger, monitor, objects, ordering, stats
 from ..operators.hosts import clean_log_name, default_psl, file_ext, is_gzip, normalize_host, output_name, registered_domain
 from ..operators.leaf import decode_leaf, leaf_payload
-from ..operators.mappings import certificates, explode_names, extract, format_mapping, validate_certificate, validate_entry, validate_mapping
+from ..operators.mappings import certificates, drop_self_referential, explode_names, extract, filter_org, format_mapping, validate_certificate, validate_entry, validate_mapping
 from ..session import read_table
 from ..sources.batch_files import file_profile, parse_lines, read_batch_lines, write_batch_fixture
 from ..sources.pages import explode_entries
@@ -74,27 +74,24 @@ def q_processing_stats(spark, sf_dir):
 
 @query(
     "decode_leaf",
-    """SELECT c_custkey AS log_index, 1700000000000 + c_custkey * 1000 AS timestamp_ms,
-  CAST(CASE c_custkey % 12 WHEN 6 THEN 1 WHEN 7 THEN 2 ELSE 0 END AS BIGINT) AS entry_type,
-  c_custkey % 12 <> 7 AS der_present,
-  CASE WHEN c_custkey % 12 = 7 THEN 'unsupported log entry type' END AS error
-FROM customer""",
+    O.with_(O.DER)
+    + """SELECT k AS log_index, 1700000000000 + k * 1000 AS timestamp_ms, CAST(CASE cls WHEN 6 THEN 1 WHEN 7 THEN 2 ELSE 0 END AS BIGINT) AS entry_type,
+  CASE WHEN cls <> 7 THEN lower(cert) END AS der, CASE WHEN cls = 7 THEN 'unsupported log entry type' END AS error FROM entries""",
 )
 def q_decode_leaf(spark, sf_dir):
     d = decode_leaf(fx.ct_entries(spark, sf_dir))
-    return d.select("log_index", "timestamp_ms", "entry_type", F.col("der").isNotNull().alias("der_present"), "error")
+    return d.select("log_index", "timestamp_ms", "entry_type", F.lower(F.hex("der")).alias("der"), "error")
 
 
 @query(
     "leaf_payload",
-    """SELECT c_custkey AS log_index, CAST(CASE WHEN c_custkey % 12 = 7 THEN NULL WHEN c_custkey % 12 = 6 THEN 1 ELSE 0 END AS BIGINT) AS entry_type,
-  c_custkey % 12 <> 7 AS payload_present,
-  CASE WHEN c_custkey % 12 = 7 THEN 'unsupported log entry type' END AS error
-FROM customer""",
+    O.with_(O.DER)
+    + """SELECT k AS log_index, CAST(CASE WHEN cls = 7 THEN NULL WHEN cls = 6 THEN 1 ELSE 0 END AS BIGINT) AS entry_type,
+  CASE WHEN cls = 6 THEN lower(tbs) WHEN cls <> 7 THEN lower(cert) END AS payload, CASE WHEN cls = 7 THEN 'unsupported log entry type' END AS error FROM entries""",
 )
 def q_leaf_payload(spark, sf_dir):
     d = leaf_payload(fx.ct_entries(spark, sf_dir).drop("extra_data"))
-    return d.select("log_index", "entry_type", F.col("payload").isNotNull().alias("payload_present"), "error")
+    return d.select("log_index", "entry_type", F.lower(F.hex("payload")).alias("payload"), "error")
 
 
 _B64_SRC = """SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN md5(text) WHEN 1 THEN md5(text) || '='
@@ -134,7 +131,9 @@ def _certs(spark, sf_dir):
 @query(
     "cert_fields",
     O.with_(O.CERTS)
-    + "SELECT k AS sequence_number, cls NOT IN (8, 9) AS parse_ok, common_name, organization, organizational_unit, CAST(dns_count AS INTEGER) AS dns_count FROM certs",
+    + """, sans AS (SELECT k, cls, CASE cls WHEN 3 THEN 'c' || k::VARCHAR || '.example.net,api.c' || k::VARCHAR || '.example.net' WHEN 4 THEN 'api.c' || k::VARCHAR || '.example.org' WHEN 5 THEN '*.c' || k::VARCHAR || '.example.com'
+  WHEN 6 THEN 'api.c' || k::VARCHAR || '.example.com' WHEN 10 THEN '' WHEN 11 THEN ' ' ELSE 'api.c' || k::VARCHAR || '.example.com,www.c' || k::VARCHAR || '.example.com' END AS dns_names FROM c)
+SELECT k AS sequence_number, cls NOT IN (8, 9) AS parse_ok, common_name, organization, organizational_unit, CASE WHEN cls NOT IN (8, 9) THEN dns_names END AS dns_names FROM certs JOIN sans USING (k, cls)""",
 )
 def q_cert_fields(spark, sf_dir):
     c = _certs(spark, sf_dir)
@@ -145,7 +144,7 @@ def q_cert_fields(spark, sf_dir):
         "common_name",
         F.when(ok, F.col("organization")).alias("organization"),
         F.when(ok, F.col("organizational_unit")).alias("organizational_unit"),
-        F.when(ok, F.size("dns_names")).alias("dns_count"),
+        F.when(ok, F.array_join("dns_names", ",")).alias("dns_names"),
     )
 
 
@@ -164,12 +163,14 @@ def q_explode_names(spark, sf_dir):
 @query("filter_org", O.with_(O.CERTS) + "SELECT k AS sequence_number FROM certs WHERE cls NOT IN (1, 2, 8, 9)")
 def q_filter_org(spark, sf_dir):
     c = _certs(spark, sf_dir).filter(F.col("parse_error").isNull() & F.col("decode_error").isNull())
-    return c.filter((F.col("organization") != "") & (F.col("organization") != "Domain Control Validated")).select("sequence_number")
+    return filter_org(c).select("sequence_number")
 
 
-@query("self_referential", O.with_(O.CERTS) + "SELECT k AS sequence_number FROM certs WHERE cls = 3")
+@query("self_referential", O.with_(O.CERTS) + "SELECT k AS sequence_number FROM certs WHERE cls NOT IN (1, 2, 3, 8, 9)")
 def q_self_referential(spark, sf_dir):
-    return _extract(spark, sf_dir)[1].filter(F.col("skip_reason") == "self_referential").select("sequence_number")
+    """F2 after F1: the certificates whose organisation is not one of their own hosts."""
+    c = _certs(spark, sf_dir).filter(F.col("parse_error").isNull() & F.col("decode_error").isNull())
+    return drop_self_referential(filter_org(c), default_psl(spark)).select("sequence_number")
 
 
 @query(
@@ -375,11 +376,19 @@ def q_batch_scan(spark, sf_dir):
     return df.select(F.regexp_extract("file", r"file=([^/]+)/", 1).alias("file"), "value")
 
 
-@query("file_profile", O.with_(O.BATCH_LINES) + "SELECT file, count(*) AS line_count FROM bl GROUP BY file")
+@query(
+    "file_profile",
+    O.with_(O.BATCH_LINES)
+    + """SELECT file, count(*) AS line_count, true AS has_size, round(count(*) / 100000.0 * 3.0, 6) AS estimated_seconds, CAST(NULL AS VARCHAR) AS error FROM bl GROUP BY file
+UNION ALL SELECT 'gone.gz', 0, true, 0.0, 'file is empty or unreadable'""",
+)
 def q_file_profile(spark, sf_dir):
     path = _written_batches(spark, sf_dir)
-    df = read_batch_lines(spark, path, recursive=True).withColumn("file", F.regexp_extract("file", r"file=([^/]+)/", 1))
-    return file_profile(df).select("file", "line_count")
+    df = read_batch_lines(spark, path, recursive=True)
+    listing = objects.filter_objects(objects.list_objects(spark, path), [".gz"]).select("key", "size")
+    listing = listing.unionByName(spark.createDataFrame([("/file=gone.gz/x.gz", 0)], "key string, size long"))
+    p = file_profile(df, listing)
+    return p.select(F.regexp_extract("file", r"file=([^/]+)/", 1).alias("file"), "line_count", F.col("size").isNotNull().alias("has_size"), "estimated_seconds", "error")
 
 
 @query(
@@ -403,10 +412,10 @@ def q_progress_marks(spark, sf_dir):
     return ordering.progress_marks(b, "file", "doc_id", F.floor(F.col("doc_id") / 1000), interval=10).select("file", "doc_id", "position")
 
 
-@query("explode_entries", "SELECT c_custkey AS log_index, true AS has_extra FROM customer")
+@query("explode_entries", O.with_(O.DER) + "SELECT k AS log_index, base64(from_hex(leaf)) AS leaf_input, base64(from_hex(extra)) AS extra_data FROM entries")
 def q_explode_entries(spark, sf_dir):
     e = explode_entries(fx.ct_pages(spark, sf_dir))
-    return e.select("log_index", F.col("extra_data").isNotNull().alias("has_extra"))
+    return e.select("log_index", "leaf_input", "extra_data")
 
 
 # ---- objects and ledger ------------------------------------------------------------------------
@@ -517,17 +526,18 @@ def q_download_stats(spark, sf_dir):
     return stats.download_stats(fx.fetch_log(spark, sf_dir))
 
 
-@query(
-    "plan_retries",
-    O.with_(O.OBJECTS)
-    + f""", ok AS (SELECT key, max(event_ts) AS done FROM ledger WHERE status = 'processed' GROUP BY key),
+_PLAN = f""", ok AS (SELECT key, max(event_ts) AS done FROM ledger WHERE status = 'processed' GROUP BY key),
 att AS (SELECT l.key, count(*) AS attempt FROM ledger l LEFT JOIN ok USING (key) WHERE status = 'failed' AND (done IS NULL OR l.event_ts > done) GROUP BY l.key),
-f AS (SELECT cur.*, CAST(att.attempt AS INTEGER) AS attempt, {O.classify_s3_sql('lower(error_msg)', "'download'")} AS error_type FROM cur JOIN att USING (key) WHERE status = 'failed')
-SELECT key, etag, error_msg, error_type, attempt, {O.retryable_sql('lower(error_msg)', 'error_type')} AS retryable,
-  {O.action_sql('lower(error_msg)', "'download'", "'download'", 'attempt')} AS action,
-  {O.delay_sql('attempt', 'error_type')} AS delay_s,
-  event_ts + to_microseconds(CAST(round(1000000 * ({O.delay_sql('attempt', 'error_type')})) AS BIGINT)) AS next_attempt_ts FROM f""",
-)
+f AS (SELECT cur.*, CAST(att.attempt AS INTEGER) AS attempt, {O.classify_s3_sql('lower(error_msg)', "'download'")} AS error_type FROM cur JOIN att USING (key) WHERE status = 'failed'),
+plan AS (
+  SELECT key, etag, error_msg, error_type, attempt, {O.retryable_sql('lower(error_msg)', 'error_type')} AS retryable,
+    {O.action_sql('lower(error_msg)', "'download'", "'download'", 'attempt')} AS action,
+    {O.delay_sql('attempt', 'error_type')} AS delay_s,
+    event_ts + to_microseconds(CAST(round(1000000 * ({O.delay_sql('attempt', 'error_type')})) AS BIGINT)) AS next_attempt_ts FROM f)
+"""
+
+
+@query("plan_retries", O.with_(O.OBJECTS) + _PLAN + "SELECT * FROM plan")
 def q_plan_retries(spark, sf_dir):
     return ledger.plan_retries(fx.ledger_events(spark, sf_dir))
 
@@ -543,9 +553,9 @@ def _recover_docs(spark, sf_dir):
     return g.select(F.to_json(F.struct("processed_files", "failed_files", F.lit("1.0").alias("version"))).alias("value"))
 
 
-@query("ledger_recover", O.with_(O.OBJECTS) + "SELECT key, etag, status FROM ledger")
+@query("ledger_recover", O.with_(O.OBJECTS) + "SELECT key, etag, CAST(size AS BIGINT) AS size, event_ts, status, error_msg FROM ledger")
 def q_ledger_recover(spark, sf_dir):
-    return ledger.ledger_recover(_recover_docs(spark, sf_dir)).select("key", "etag", "status")
+    return ledger.ledger_recover(_recover_docs(spark, sf_dir)).select("key", "etag", "size", "event_ts", "status", "error_msg")
 
 
 # ---- errors ------------------------------------------------------------------------------------
@@ -685,7 +695,27 @@ def q_contiguous_prefix(spark, sf_dir):
     O.with_(_ORD) + "SELECT min(m) AS next_index FROM (SELECT i + 1 AS m FROM kept WHERE i + 1 NOT IN (SELECT i FROM kept) UNION ALL SELECT 0 WHERE 0 NOT IN (SELECT i FROM kept))",
 )
 def q_next_index(spark, sf_dir):
-    return ordering.contiguous_prefix(_kept(spark, sf_dir), start=0, batch_size=64).select("next_index")
+    return ordering.next_index(_kept(spark, sf_dir))
+
+
+@query(
+    "saved_index",
+    O.with_(_ORD)
+    + """, nx AS (SELECT min(m) AS n FROM (SELECT i + 1 AS m FROM kept WHERE i + 1 NOT IN (SELECT i FROM kept) UNION ALL SELECT 0 WHERE 0 NOT IN (SELECT i FROM kept)))
+SELECT CAST(0 AS BIGINT) AS before, least(n, 501) AS early, n AS reached, n AS reloaded FROM nx""",
+)
+def q_saved_index(spark, sf_dir):
+    """The checkpoint of an ingest, moved on twice and read again."""
+    import uuid
+
+    from ..streaming.checkpoint import commit_progress, load_index
+
+    path = fx.fixture_path(spark, sf_dir, f"state_{uuid.uuid4().hex}/state")
+    have = _kept(spark, sf_dir)
+    before = load_index(spark, path)
+    early = commit_progress(spark, have.where("log_index <= 500"), path)
+    reached = commit_progress(spark, have, path)
+    return spark.createDataFrame([(before, early, reached, load_index(spark, path))], "before long, early long, reached long, reloaded long")
 
 
 @query(
@@ -735,6 +765,53 @@ def q_endpoint_latency(spark, sf_dir):
     return monitor.endpoint_latency(fx.fetch_log(spark, sf_dir), exact=True)
 
 
+_SAMPLES_SQL = O.FETCH.strip() + """,
+samples AS (SELECT endpoint, ts, event_id, count(*) OVER (PARTITION BY endpoint ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS value FROM flog),
+gsamples AS (SELECT ts, event_id, count(*) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS value FROM events)"""
+
+_CODE = "greatest(length(bin(v)) - 11, 0)"
+
+
+@query(
+    "endpoint_latency_histogram",
+    O.with_(O.FETCH)
+    + f""", v AS (SELECT endpoint, duration_ms, CAST(round(duration_ms * 1e6) AS BIGINT) AS v FROM flog WHERE duration_ms > 0),
+m AS (SELECT endpoint, duration_ms, (((v >> {_CODE}) << {_CODE}) + ((1::BIGINT << {_CODE}) - 1) / 2.0) / 1e6 AS ms FROM v)
+SELECT endpoint, round(avg(ms), 3) AS mean_ms, round(quantile_disc(ms, 0.95), 3) AS p95_ms, round(quantile_disc(ms, 0.99), 3) AS p99_ms, round(max(ms), 3) AS max_ms, count(*) AS recorded_calls,
+  abs(quantile_disc(ms, 0.95) / quantile_disc(duration_ms, 0.95) - 1) <= 0.001 AND abs(quantile_disc(ms, 0.99) / quantile_disc(duration_ms, 0.99) - 1) <= 0.001 AS within_a_thousandth
+FROM m GROUP BY endpoint""",
+)
+def q_endpoint_latency_histogram(spark, sf_dir):
+    """A5 by histograms of a day each, merged; beside the exact percentiles."""
+    log = fx.fetch_log(spark, sf_dir)
+    days = monitor.latency_histogram(log, slot_s=86_400)
+    h = monitor.histogram_latency(monitor.merge_histograms(days.where("slot % 2 = 0"), days.where("slot % 2 <> 0")))
+    exact = monitor.endpoint_latency(log, exact=True).select("endpoint", F.col("p95_ms").alias("x95"), F.col("p99_ms").alias("x99"))
+    near = lambda a, b: F.abs(F.col(a) / F.col(b) - 1) <= 0.0011  # noqa: E731  both are rounded to microseconds
+    return h.join(exact, "endpoint").withColumn("within_a_thousandth", near("p95_ms", "x95") & near("p99_ms", "x99")).drop("x95", "x99")
+
+
+_WINDOWS = """, o AS (SELECT *, unnest(range(24)) AS back FROM samples),
+b AS (SELECT endpoint, ts, event_id, value, time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') + (back + 1) * INTERVAL 1 HOUR AS window_end FROM o),
+g AS (SELECT endpoint, window_end, count(*) AS samples, min(ts) AS t0, max(ts) AS t1, min(value) AS v0, max(value) AS v1 FROM b GROUP BY ALL)
+SELECT endpoint, window_end, samples, round(CASE WHEN samples < 2 OR (epoch_us(t1) - epoch_us(t0)) / 1e6 < 1 THEN 0.0 ELSE (v1 - v0) / ((epoch_us(t1) - epoch_us(t0)) / 1e6) * 60 END, 6) AS rate FROM g"""
+
+
+@query("stream_rate", "WITH " + _SAMPLES_SQL + _WINDOWS)
+def q_stream_rate(spark, sf_dir):
+    """W6 as a stream: rates of the last day at every hour, by endpoint, over samples that arrive in several triggers."""
+    import uuid
+
+    from ..streaming.rates import current_rates, start_rate_stream
+
+    base = fx.fixture_path(spark, sf_dir, f"rates_{uuid.uuid4().hex}")
+    s = fx.samples(spark, sf_dir).select("endpoint", "ts", "value")
+    s.repartition(4).write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", "2").parquet(f"{base}/in")
+    start_rate_stream(stream, f"{base}/out", f"{base}/ckpt", window_s=86_400, slide_s=3600, part=("endpoint",), watermark="3650 days", per_minute=True).awaitTermination()
+    return current_rates(spark, f"{base}/out", ("endpoint",))
+
+
 @query(
     "endpoint_health",
     O.with_(O.FETCH)
@@ -746,10 +823,6 @@ def q_endpoint_health(spark, sf_dir):
     return monitor.endpoint_health(fx.fetch_log(spark, sf_dir)).select("endpoint", "event_id", "consecutive_failures", "healthy")
 
 
-_SAMPLES_SQL = O.FETCH.strip() + """,
-samples AS (SELECT endpoint, ts, event_id, count(*) OVER (PARTITION BY endpoint ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS value FROM flog),
-gsamples AS (SELECT ts, event_id, count(*) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS value FROM events)"""
-
 _RATE = """(CASE WHEN count(*) OVER w < 2 OR (epoch_us(ts) - epoch_us(min(ts) OVER w)) / 1e6 < 1 THEN 0.0
   ELSE (value - arg_min(value, ts) OVER w) / ((epoch_us(ts) - epoch_us(min(ts) OVER w)) / 1e6) END)"""
 
@@ -771,7 +844,7 @@ def q_rolling_rate(spark, sf_dir):
     "WITH " + _SAMPLES_SQL + f"\nSELECT endpoint, event_id, value, round({_RATE} * 60, 6) AS rate FROM samples WINDOW w AS (PARTITION BY endpoint ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)",
 )
 def q_endpoint_rate(spark, sf_dir):
-    return monitor.rolling_rate(fx.samples(spark, sf_dir), window_s=3600, part=["endpoint"], per_minute=True).select("endpoint", "event_id", "value", "rate")
+    return monitor.endpoint_rate(fx.samples(spark, sf_dir), window_s=3600).select("endpoint", "event_id", "value", "rate")
 
 
 @query(
@@ -842,7 +915,7 @@ def q_sink_jsonl(spark, sf_dir):
     return spark.read.schema("domain string, name string, organization string, organizational_unit string, source string, sequence_number long").json(path)
 
 
-@query("sink_batches", "SELECT c_custkey AS log_index, c_custkey - c_custkey % 100 AS batch_start FROM customer WHERE c_custkey % 12 <> 7")
+@query("sink_batches", O.with_(O.DER) + "SELECT k AS log_index, k - k % 100 AS batch_start, k::VARCHAR || ' ' || base64(from_hex(cert)) AS line FROM entries WHERE cls <> 7")
 def q_sink_batches(spark, sf_dir):
     from ..sinks.writers import write_batches
     from ..sources.batch_files import parse_lines, read_batch_lines
@@ -851,7 +924,7 @@ def q_sink_batches(spark, sf_dir):
     d = decode_leaf(fx.ct_entries(spark, sf_dir)).filter(F.col("error").isNull())
     write_batches(d, path, batch_size=100, mode="overwrite")
     back = parse_lines(read_batch_lines(spark, path, recursive=True))
-    return back.select(F.col("sequence_number").alias("log_index"), F.regexp_extract("file", r"batch_start=(\d+)", 1).cast("long").alias("batch_start"))
+    return back.select(F.col("sequence_number").alias("log_index"), F.regexp_extract("file", r"batch_start=(\d+)", 1).cast("long").alias("batch_start"), F.col("value").alias("line"))
 
 
 # ---- CT log source and streaming ingest -------------------------------------------------------
@@ -882,9 +955,9 @@ def q_ct_source_batch(spark, sf_dir):
 
 @query(
     "stream_ingest",
-    """SELECT 'log0' AS log, c_custkey AS log_index, 1700000000000 + c_custkey * 1000 AS timestamp_ms, c_custkey % 12 <> 7 AS has_line,
-  CASE WHEN c_custkey % 12 <> 7 THEN CAST(c_custkey AS VARCHAR) END AS line_index,
-  CASE WHEN c_custkey % 12 = 7 THEN 'unsupported log entry type' END AS error FROM customer""",
+    O.with_(O.DER)
+    + """SELECT 'log0' AS log, k AS log_index, 1700000000000 + k * 1000 AS timestamp_ms, CASE WHEN cls <> 7 THEN k::VARCHAR || ' ' || base64(from_hex(cert)) END AS line,
+  CASE WHEN cls = 7 THEN 'unsupported log entry type' END AS error FROM entries""",
 )
 def q_stream_ingest(spark, sf_dir):
     import uuid
@@ -894,13 +967,43 @@ def q_stream_ingest(spark, sf_dir):
     base = fx.fixture_path(spark, sf_dir, f"stream_{uuid.uuid4().hex}")
     start_ingest(spark, _log_dir(spark, sf_dir), f"{base}/out", f"{base}/ckpt").awaitTermination()
     out = spark.read.parquet(f"{base}/out")
-    return out.select("log", "log_index", "timestamp_ms", F.col("line").isNotNull().alias("has_line"), F.split("line", " ")[0].alias("line_index"), "error")
+    return out.select("log", "log_index", "timestamp_ms", "line", "error")
 
 
-@query("list_objects", "SELECT DISTINCT 'ct-' || CAST(c_custkey % 10 AS VARCHAR) || '.gz' AS file, true AS has_bytes FROM customer WHERE c_custkey % 12 <> 7")
-def q_list_objects(spark, sf_dir):
-    o = objects.filter_objects(objects.list_objects(spark, _ct_batch_files(spark, sf_dir)), [".gz"])
-    return o.select(F.regexp_extract("key", r"file=([^/]+)/", 1).alias("file"), (F.col("size") > 0).alias("has_bytes")).distinct()
+@query(
+    "stream_dedupe",
+    O.with_(O.DER) + "SELECT k AS log_index, CASE WHEN cls <> 7 THEN sha256(k::VARCHAR || ' ' || base64(from_hex(cert))) END AS line_sha256, CAST(1 AS BIGINT) AS times FROM entries",
+)
+def q_stream_dedupe(spark, sf_dir):
+    """T4 as a stream: a log whose pages are all served again later, read a few pages a trigger and restarted between."""
+    import uuid
+
+    from ..streaming.ct_source import write_log_dir
+    from ..streaming.ingest import start_ingest
+
+    base = fx.fixture_path(spark, sf_dir, f"replay_{uuid.uuid4().hex}")
+    for _ in range(2):
+        write_log_dir(fx.ct_pages(spark, sf_dir).repartition(4), f"{base}/log", mode="append")
+        start_ingest(spark, f"{base}/log", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=40, dedupe="30 days").awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    return out.groupBy("log_index").agg(F.sha2(F.max("line"), 256).alias("line_sha256"), F.count(F.lit(1)).alias("times"))
+
+
+@query("tree_head", "SELECT c_custkey AS log_index, (SELECT max(c_custkey) - max(c_custkey) % 3 - 50 FROM customer) AS tree_size FROM customer WHERE c_custkey < (SELECT max(c_custkey) - max(c_custkey) % 3 - 50 FROM customer)")
+def q_tree_head(spark, sf_dir):
+    """The log read up to its tree head, which a smaller one told later does not move back."""
+    import uuid
+
+    from ..streaming.ct_source import read_log, tree_head, write_log_dir, write_tree_head
+
+    path = fx.fixture_path(spark, sf_dir, f"headed_{uuid.uuid4().hex}")
+    write_log_dir(fx.ct_pages(spark, sf_dir), path)
+    last = read_table(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0]
+    top = last - last % 3 - 50
+    for size, at in ((10, 1), (top, 2), (top - 7, 3)):
+        write_tree_head(spark, path, size, at)
+    head = tree_head(spark, path)
+    return read_log(spark, path, tree_size=head).select("log_index", F.lit(head).cast("long").alias("tree_size"))
 
 
 # ---- incremental bucket job and listing ---------------------------------------------------------
@@ -908,7 +1011,19 @@ def q_list_objects(spark, sf_dir):
 
 def _ct_batch_files(spark, sf_dir):
     """D1 lines written as ten gzip batch files (file = sequence % 10)."""
-    path = fx.fixture_path(spark, sf_dir, "ct_batch_files")
+    return _batch_files(spark, sf_dir, fx.fixture_path(spark, sf_dir, "ct_batch_files"))
+
+
+def _bucket_files(spark, sf_dir):
+    """The same with odd files beside them."""
+    path = fx.fixture_path(spark, sf_dir, "ct_bucket")
+    if path not in _WRITTEN:
+        _batch_files(spark, sf_dir, path)
+        _put_files(spark, _odd_files(spark, path))
+    return path
+
+
+def _batch_files(spark, sf_dir, path):
     if path not in _WRITTEN:
         lines = fx.ct_lines(spark, sf_dir)
         df = lines.select(
@@ -921,10 +1036,48 @@ def _ct_batch_files(spark, sf_dir):
     return path
 
 
-@query("list_objects", "SELECT DISTINCT 'ct-' || CAST(c_custkey % 10 AS VARCHAR) || '.gz' AS file, true AS has_bytes FROM customer WHERE c_custkey % 12 <> 7")
+@query(
+    "list_objects",
+    """SELECT DISTINCT 'f' || CAST(c_custkey % 10 AS VARCHAR) || '/part ' || CAST(c_custkey % 100 AS VARCHAR) || '+%.txt' AS rel_key,
+  CAST(sum(length(c_name) + 1) OVER (PARTITION BY c_custkey % 100) AS BIGINT) AS size FROM customer
+UNION ALL SELECT 'f0/zero.txt', 0""",
+)
 def q_list_objects(spark, sf_dir):
-    o = objects.filter_objects(objects.list_objects(spark, _ct_batch_files(spark, sf_dir)), [".gz"])
-    return o.select(F.regexp_extract("key", r"file=([^/]+)/", 1).alias("file"), (F.col("size") > 0).alias("has_bytes")).distinct()
+    """A tree of files, listed by tasks: names as they are, sizes in bytes, empty files too."""
+    o = objects.list_objects(spark, _object_tree(spark, sf_dir))
+    return objects.filter_objects(o, [".TXT"]).select("rel_key", "size")
+
+
+def _object_tree(spark, sf_dir):
+    """A folder per last digit with a file per last two digits of customers, holding their names, and an empty file."""
+    path = fx.fixture_path(spark, sf_dir, "object_tree")
+    if path not in _WRITTEN:
+        c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+        name = F.concat(F.lit(f"{path}/f"), (F.col("c_custkey") % 10).cast("string"), F.lit("/part "), (F.col("c_custkey") % 100).cast("string"), F.lit("+%.txt"))
+        per = c.groupBy(name.alias("name")).agg(F.array_join(F.array_sort(F.collect_list(F.concat("c_name", F.lit("\n")))), "").alias("body"))
+        per = per.unionByName(spark.createDataFrame([(f"{path}/f0/zero.txt", "")], "name string, body string"))
+        _put_files(spark, per)
+        _WRITTEN.add(path)
+    return path
+
+
+def _put_files(spark, files):
+    """Write (name, body) rows as files of exactly these names; a handful of small fixture files."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for r in files.toLocalIterator():
+        p = jvm.org.apache.hadoop.fs.Path(r["name"])
+        out = p.getFileSystem(conf).create(p, True)
+        out.write(bytearray(r["body"] if isinstance(r["body"], (bytes, bytearray)) else r["body"].encode()))
+        out.close()
+
+
+def _odd_files(spark, src):
+    """(name, body): a gzip file cut short, an empty one, one of no bytes, and one of several members, of unparsable but well-formed lines."""
+    import gzip
+
+    line = f"{2**40} !\n".encode()
+    bodies = {"damaged": gzip.compress(line * 500)[:-11], "empty": gzip.compress(b""), "zero": b"", "members": gzip.compress(line) + gzip.compress(line * 3)}
+    return spark.createDataFrame([(f"{src}/odd/{n}.gz", bytearray(b)) for n, b in bodies.items()], "name string, body binary")
 
 
 _LEDGERS: dict = {}
@@ -932,17 +1085,44 @@ _LEDGERS: dict = {}
 
 @query(
     "bucket_ledger",
-    """SELECT 'ct-' || CAST(c_custkey % 10 AS VARCHAR) || '.gz' AS file, 'processed' AS status, '' AS error_msg, c_custkey % 10 < 3 AS earlier FROM customer WHERE c_custkey % 12 <> 7 GROUP BY ALL""",
+    """SELECT 'ct-' || CAST(c_custkey % 10 AS VARCHAR) || '.gz' AS file, 'processed' AS status, '' AS error_msg, c_custkey % 10 < 3 AS earlier FROM customer WHERE c_custkey % 12 <> 7 GROUP BY ALL
+UNION ALL SELECT unnest(['damaged.gz', 'empty.gz', 'zero.gz', 'members.gz']), unnest(['failed', 'failed', 'failed', 'processed']),
+  unnest(['unexpected end of file', 'file is empty or unreadable', 'file is empty or unreadable', '']), false""",
 )
 def q_bucket_ledger(spark, sf_dir):
-    """The ledger after the run of ``process_bucket``: what was done before, and what it added."""
+    """The ledger after a run of ``process_bucket`` over good files, a damaged one, two empty ones and one of several gzip members."""
     from .bucket_job import read_ledger
 
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LEDGERS:
         q_process_bucket(spark, sf_dir)
     current = ledger.ledger_apply(read_ledger(spark, _LEDGERS[key]))
-    return current.select(F.regexp_extract("key", r"file=([^/]+)/", 1).alias("file"), "status", "error_msg", (F.col("event_ts") == F.lit("2024-01-01 00:00:00").cast("timestamp")).alias("earlier"))
+    file = F.regexp_extract("key", r"(?:file=|odd/)([^/]+)", 1)
+    return current.select(file.alias("file"), "status", "error_msg", (F.col("event_ts") == F.lit("2024-01-01 00:00:00").cast("timestamp")).alias("earlier"))
+
+
+@query(
+    "bucket_retries",
+    O.with_(O.OBJECTS)
+    + _PLAN
+    + """, pend AS (SELECT o.key, o.etag FROM objects o WHERE NOT EXISTS (SELECT 1 FROM cur WHERE cur.key = o.key AND cur.etag = o.etag AND cur.status = 'processed')),
+t AS (SELECT unnest([TIMESTAMP '2024-01-01 02:00:00', TIMESTAMP '2024-01-01 02:15:00', TIMESTAMP '2025-01-01 00:00:00']) AS now)
+SELECT t.now, p.key FROM t, pend p WHERE NOT EXISTS (SELECT 1 FROM plan r WHERE r.key = p.key AND r.etag = p.etag AND (r.action IN ('FAIL', 'SKIP') OR r.next_attempt_ts > t.now))""",
+)
+def q_bucket_retries(spark, sf_dir):
+    """E12 in T7: which pending files a run takes at three times."""
+    from datetime import datetime
+
+    from .bucket_job import due_files
+
+    events = fx.ledger_events(spark, sf_dir)
+    pending = ledger.pending_files(fx.objects(spark, sf_dir), ledger.ledger_apply(events))
+    plan = ledger.plan_retries(events)
+    out = None
+    for now in (datetime(2024, 1, 1, 2, 0), datetime(2024, 1, 1, 2, 15), datetime(2025, 1, 1)):
+        due = due_files(pending, plan, now).select(F.lit(now).cast("timestamp").alias("now"), "key")
+        out = due if out is None else out.unionByName(due)
+    return out
 
 
 @query(
@@ -954,7 +1134,7 @@ def q_process_bucket(spark, sf_dir):
 
     from .bucket_job import listing_with_fingerprint, process_bucket
 
-    src = _ct_batch_files(spark, sf_dir)
+    src = _bucket_files(spark, sf_dir)
     run = fx.fixture_path(spark, sf_dir, f"bucket_{uuid.uuid4().hex}")
     # an earlier run already processed the files of ct-0, ct-1 and ct-2
     done = listing_with_fingerprint(spark, src).filter(F.col("key").rlike(r"file=ct-[012]\.gz/")).select(
@@ -1008,22 +1188,29 @@ def q_sink_json(spark, sf_dir):
     return spark.read.schema("domain string, name string, organization string, organizational_unit string, source string, sequence_number long").json(f"{path}/mappings")
 
 
-@query("stream_batches", "SELECT c_custkey AS log_index, c_custkey - c_custkey % 100 AS batch_start, true AS in_order FROM customer WHERE c_custkey % 12 <> 7")
+@query(
+    "stream_batches",
+    O.with_(O.DER) + "SELECT k AS log_index, k - k % 100 AS batch_start, true AS in_order, CAST(1 AS BIGINT) AS files, sha256(k::VARCHAR || ' ' || base64(from_hex(cert))) AS line_sha256 FROM entries WHERE cls <> 7",
+)
 def q_stream_batches(spark, sf_dir):
-    """T1 + K5: the CT log streamed into gzip batch files, read back with S1/S2; a file's lines rise by index."""
+    """T1 + K5: the CT log streamed two pages a trigger into gzip batch files, each written when complete, the last one by the final flush; read back with S1/S2."""
     import uuid
 
-    from ..streaming.ingest import start_ingest_to_batches
+    from ..streaming.ingest import flush_incomplete, start_ingest_to_batches
 
     base = fx.fixture_path(spark, sf_dir, f"stream_batches_{uuid.uuid4().hex}")
-    start_ingest_to_batches(spark, _log_dir(spark, sf_dir), f"{base}/out", f"{base}/ckpt", batch_size=100).awaitTermination()
-    back = parse_lines(read_batch_lines(spark, f"{base}/out", recursive=True))
+    start_ingest_to_batches(spark, _log_dir(spark, sf_dir), f"{base}/out", f"{base}/ckpt", batch_size=100, max_files_per_trigger=2).awaitTermination()
+    flush_incomplete(spark, f"{base}/out", batch_size=100)
+    lines = read_batch_lines(spark, f"{base}/out", recursive=True)
+    back = parse_lines(lines).withColumn("batch_start", F.regexp_extract("file", r"batch_start=(\d+)", 1).cast("long"))
+    files = back.groupBy("batch_start").agg(F.count_distinct("file").alias("files"))
     before = F.lag("sequence_number").over(Window.partitionBy("file").orderBy("line_id"))  # a batch file holds 100 lines at most
     return back.select(
         F.col("sequence_number").alias("log_index"),
-        F.regexp_extract("file", r"batch_start=(\d+)", 1).cast("long").alias("batch_start"),
+        "batch_start",
         (before.isNull() | (before < F.col("sequence_number"))).alias("in_order"),
-    )
+        F.sha2("value", 256).alias("line_sha256"),
+    ).join(files, "batch_start")
 
 
 @query(

@@ -47,6 +47,71 @@ mappings AS (
   WHERE n.cls IN (0, 4, 5, 6, 10))
 """
 
+# ---- certificate bytes: DER and TLS records as hex text, built in SQL ------------------------
+_N = iter(range(1_000_000))
+
+
+def _bound(value: str, body) -> str:
+    """``body`` of a variable bound to ``value``, which is then written once."""
+    v = f"v{next(_N)}"
+    return f"list_transform([{value}], lambda {v}: {body(v)})[1]"
+
+
+def _der_length(n: str) -> str:
+    return f"CASE WHEN {n} < 128 THEN printf('%02X', {n}) WHEN {n} < 256 THEN printf('81%02X', {n}) WHEN {n} < 65536 THEN printf('82%04X', {n}) ELSE printf('83%06X', {n}) END"
+
+
+def _tlv(tag: str, content: str) -> str:
+    return _bound(content, lambda v: f"'{tag}' || {_der_length(f'(length({v}) // 2)')} || {v}")
+
+
+def _u24(content: str) -> str:
+    return _bound(content, lambda v: f"printf('%06X', length({v}) // 2) || {v}")
+
+
+def _name(*pairs: tuple[str, str]) -> str:
+    """A Name of (OID, SQL value); a null value has no part."""
+    parts = [f"CASE WHEN {value} IS NULL THEN '' ELSE {_tlv('31', _tlv('30', f"{_q(oid)} || {_tlv('0C', f'hex({value})')}"))} END" for oid, value in pairs]
+    return _tlv("30", " || ".join(parts))
+
+
+# Object identifiers and constant parts of the fixture certificates.
+_O, _OU, _CN, _SAN = "060355040A", "060355040B", "0603550403", "0603551D11"
+_ALGORITHM, _VERSION, _KEY, _SIGNATURE = "300D06092A864886F70D01010B0500", "A003020102", "302A300506032B6570032100" + "00" * 32, "030100"
+
+
+def _certificate(o: str, ou: str, cn: str, sans: str, serial: str) -> str:
+    dates = _tlv("30", f"'17' || printf('%02X', 13) || hex('240101000000Z') || '17' || printf('%02X', 13) || hex('340101000000Z')")
+    names = f"array_to_string(list_transform({sans}, lambda s: '82' || {_der_length('length(s)')} || hex(s)), '')"
+    extensions = f"CASE WHEN len({sans}) = 0 THEN '' ELSE {_tlv('A3', _tlv('30', _tlv('30', f"{_q(_SAN)} || {_tlv('04', _tlv('30', names))}")))} END"
+    issuer = _name((_O, "'Fixture CA'"), (_CN, "'Fixture Root'"))
+    number = f"'020901' || printf('%016X', {serial})"
+    tbs = _tlv("30", f"'{_VERSION}' || {number} || '{_ALGORITHM}' || {issuer} || {dates} || {_name((_O, o), (_OU, ou), (_CN, cn))} || '{_KEY}' || {extensions}")
+    return _tlv("30", f"{tbs} || '{_ALGORITHM}{_SIGNATURE}'")
+
+
+DER = f"""
+df AS (
+  SELECT c_custkey AS k, c_custkey % 12 AS cls,
+    CASE c_custkey % 12 WHEN 1 THEN NULL WHEN 2 THEN 'Domain Control Validated' WHEN 3 THEN 'c' || c_custkey::VARCHAR || '.example.net' WHEN 4 THEN 'c' || c_custkey::VARCHAR || 'corp' ELSE c_name END AS o,
+    CASE WHEN c_custkey % 12 IN (4, 10, 11) THEN NULL ELSE c_mktsegment END AS ou,
+    CASE c_custkey % 12 WHEN 3 THEN 'www.c' || c_custkey::VARCHAR || '.example.net' WHEN 4 THEN 'www.c' || c_custkey::VARCHAR || '.example.org' WHEN 5 THEN 'WWW.C' || c_custkey::VARCHAR || '.EXAMPLE.COM'
+      WHEN 10 THEN 'com' WHEN 11 THEN NULL ELSE 'www.c' || c_custkey::VARCHAR || '.example.com' END AS cn,
+    CASE c_custkey % 12 WHEN 3 THEN ['c' || c_custkey::VARCHAR || '.example.net', 'api.c' || c_custkey::VARCHAR || '.example.net'] WHEN 4 THEN ['api.c' || c_custkey::VARCHAR || '.example.org'] WHEN 5 THEN ['*.c' || c_custkey::VARCHAR || '.example.com']
+      WHEN 6 THEN ['api.c' || c_custkey::VARCHAR || '.example.com'] WHEN 10 THEN [] WHEN 11 THEN [' '] ELSE ['api.c' || c_custkey::VARCHAR || '.example.com', 'www.c' || c_custkey::VARCHAR || '.example.com'] END AS sans
+  FROM customer),
+dc AS (
+  SELECT k, cls, {_certificate("o", "ou", "cn", "sans", "k")} AS whole, {_certificate("'Leaf TBS Organization'", "NULL::VARCHAR", "cn", "sans", "k")} AS tbs,
+    {_certificate("'Fixture CA'", "NULL::VARCHAR", "'Fixture Root'", "[]::VARCHAR[]", "1")} AS issuer FROM df),
+de AS (SELECT k, cls, tbs, issuer, CASE WHEN cls = 8 THEN substr(whole, 1, 40) ELSE whole END AS cert FROM dc),
+entries AS (
+  SELECT k, cls, cert, tbs,
+    '0000' || printf('%016X', 1700000000000 + k * 1000) || CASE cls WHEN 6 THEN '0001' || upper(sha256('fixture issuer key')) || {_u24("tbs")} WHEN 7 THEN '0002' || {_u24("cert")} ELSE '0000' || {_u24("cert")} END || '0000' AS leaf,
+    CASE WHEN cls = 6 THEN {_u24("cert")} || {_u24(_u24("issuer"))} ELSE {_u24(_u24("issuer"))} END AS extra
+  FROM de)
+"""
+
+
 BATCH_LINES = """
 bl AS (
   SELECT 'batch-' || CAST(doc_id % 10 AS VARCHAR) || '.gz' AS file, doc_id,

@@ -47,17 +47,149 @@ def test_empty_log_has_no_rows(spark, tmp_path):
     assert sorted(r.log_index for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [5, 6, 7]
 
 
+def batch_files(out):
+    """Lines of each batch by its start; a batch is one file."""
+    found = {}
+    for d in out.glob("batch_start=*"):
+        files = sorted(d.glob("*.gz"))
+        assert len(files) == 1, d
+        found[int(d.name.split("=")[1])] = [int(x.split(" ")[0]) for x in gzip.open(files[0], "rt").read().splitlines()]
+    return found
+
+
 def test_replayed_micro_batch_changes_nothing(spark, tmp_path):
     from ctspark.operators.leaf import decode_leaf
     from ctspark.streaming.ct_source import read_log
     from ctspark.streaming.ingest import write_epoch
 
+    out = tmp_path / "out"
     put_pages(spark, tmp_path / "log", [(0, 10)])
     df = decode_leaf(read_log(spark, str(tmp_path / "log")))
-    for _ in range(2):
-        write_epoch(df, 0, str(tmp_path / "out"), 4)
-    lines = [x for p in (tmp_path / "out").rglob("*.gz") for x in gzip.open(p, "rt").read().splitlines()]
-    assert sorted(int(x.split(" ")[0]) for x in lines) == list(range(10))
+    for epoch, rows in ((0, "log_index < 6"), (0, "log_index < 6"), (1, "log_index >= 6"), (1, "log_index >= 6")):
+        write_epoch(df.where(rows), epoch, str(out), 4)
+        assert batch_files(out) == ({0: [0, 1, 2, 3]} if epoch == 0 else {0: [0, 1, 2, 3], 4: [4, 5, 6, 7]})
+
+
+def test_batches_are_written_when_complete(spark, tmp_path):
+    """K5: pages out of order and served twice, one a trigger; an unsupported entry counts; the rest waits for a flush."""
+    from ctspark.streaming.ingest import flush_incomplete, start_ingest_to_batches
+
+    log, out, ck = tmp_path / "log", tmp_path / "batches", str(tmp_path / "ck")
+    bad = json.dumps({"entries": [{"leaf_input": base64.b64encode(b"\0\0" + b"\0" * 8 + b"\0\7" + b"\0" * 9).decode(), "extra_data": ""}]})
+
+    def run():
+        start_ingest_to_batches(spark, str(log), str(out), ck, batch_size=40, max_files_per_trigger=1).awaitTermination()
+        return batch_files(out)
+
+    put_pages(spark, log, [(70, 30), (0, 33)])
+    assert run() == {}
+    put_pages(spark, log, [(33, 6), (40, 30), (0, 33)])
+    assert run() == {40: list(range(40, 80))}
+    put_pages(spark, log, [(39, bad)])
+    full = {0: list(range(39)), 40: list(range(40, 80))}
+    assert run() == full
+    flush_incomplete(spark, str(out), 40)
+    assert batch_files(out) == full | {80: list(range(80, 100))}
+    put_pages(spark, log, [(100, 20)])
+    assert run() == full | {80: list(range(80, 120))}
+    states = sorted(int(p.name.split("=")[1]) for p in (tmp_path / "batches_state").glob("epoch=*"))
+    assert len(states) == 2 and states[1] == states[0] + 1  # older ones are gone
+
+
+def test_entries_past_the_tree_head_wait(spark, tmp_path):
+    """The head clips the range, never falls, and lets go when it has grown."""
+    from ctspark.streaming.ct_source import read_log, tree_head, write_tree_head
+    from ctspark.streaming.ingest import start_ingest_to_batches
+
+    log, out, ck = tmp_path / "log", tmp_path / "out", str(tmp_path / "ck")
+    put_pages(spark, log, [(0, 30), (30, 30)])
+    assert tree_head(spark, str(log)) is None and read_log(spark, str(log), tree_size=None).count() == 60
+    write_tree_head(spark, str(log), 25, 1)
+    write_tree_head(spark, str(log), 7, 2)
+    assert tree_head(spark, str(log)) == 25 and tree_head(spark, str(log), least=40) == 40
+    assert sorted(r.log_index for r in read_log(spark, str(log), tree_size=25).collect()) == list(range(25))
+    start_ingest_to_batches(spark, str(log), str(out), ck, batch_size=20).awaitTermination()
+    assert batch_files(out) == {0: list(range(20))}
+    write_tree_head(spark, str(log), 45, 3)
+    put_pages(spark, log, [(60, 1)])  # an arrival starts a micro-batch
+    start_ingest_to_batches(spark, str(log), str(out), ck, batch_size=20).awaitTermination()
+    assert batch_files(out) == {0: list(range(20)), 20: list(range(20, 40))}
+
+
+def test_replays_are_dropped_across_triggers_and_restarts(spark, tmp_path):
+    """T4 as a stream: state by key in the checkpoint; an entry older than the watermark is late."""
+    from ctspark.streaming.ingest import start_ingest
+
+    log, out, ck = tmp_path / "log", str(tmp_path / "out"), str(tmp_path / "ck")
+    for pages in ([(0, 20), (10, 20)], [(5, 30)]):
+        put_pages(spark, log, pages)
+        start_ingest(spark, str(log), out, ck, max_files_per_trigger=1, dedupe="10 days").awaitTermination()
+    assert sorted(r.log_index for r in spark.read.parquet(out).collect()) == list(range(35))
+
+
+def test_sliding_rates_equal_the_rolling_rate_at_window_ends(spark, tmp_path):
+    """W5/W6 as a stream: out-of-order samples in several triggers against the batch form asked at the window ends."""
+    import random
+    from datetime import datetime, timedelta
+
+    from ctspark.operators.monitor import rolling_rate, windowed_rate
+    from ctspark.streaming.rates import current_rates, start_rate_stream
+
+    rng, t0 = random.Random(4), datetime(2024, 1, 1)
+    rows, value = [], {"a": 0, "b": 0}
+    for i in range(300):
+        key = rng.choice("ab")
+        value[key] += rng.randint(0, 50)
+        rows.append((key, t0 + timedelta(seconds=i * 7 + 0.5), value[key], i))
+    schema = "endpoint string, ts timestamp, value long, event_id long"
+    for at in range(0, 300, 100):
+        part = rows[at : at + 100]
+        rng.shuffle(part)
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(str(tmp_path / "in")).drop("event_id")
+    start_rate_stream(stream, str(tmp_path / "out"), str(tmp_path / "ck"), 120, 30, ("endpoint",), "1 hour").awaitTermination()
+    got = {(r.endpoint, r.window_end): (r.samples, r.rate) for r in current_rates(spark, str(tmp_path / "out"), ("endpoint",)).collect()}
+    batch = windowed_rate(spark.createDataFrame(rows, schema), 120, 30, ("endpoint",)).collect()
+    assert got == {(r.endpoint, r.window_end): (r.samples, r.rate) for r in batch}
+    # the rolling rate asked at a window's end, where the counter still has its last value
+    for (endpoint, end), (samples, rate) in list(got.items())[::17]:
+        mine = [r for r in rows if r[0] == endpoint and end - timedelta(seconds=120) <= r[1] < end]
+        last = mine[-1]
+        rolled = rolling_rate(spark.createDataFrame(mine, schema), 120, part=["endpoint"]).where(f"event_id = {last[3]}").first().rate
+        assert (len(mine), rolled) == (samples, rate)
+
+
+def test_saved_index(spark, tmp_path):
+    """Replaced at once, 0 when missing or blank, an error when damaged, and never backwards."""
+    import pytest
+
+    from ctspark.operators.ordering import next_index
+    from ctspark.streaming.checkpoint import commit_progress, load_index, save_index
+
+    path = str(tmp_path / "state" / "index")
+    assert load_index(spark, path) == 0
+    for value in (0, 5, 1 << 40, (1 << 64) - 1):
+        save_index(spark, path, value)
+        assert load_index(spark, path) == value and (tmp_path / "state" / "index").read_text() == str(value)
+    assert [p.name for p in (tmp_path / "state").iterdir() if not p.name.endswith(".crc")] == ["index"]
+    for wrong in (-1, 1 << 64, "7", True):
+        with pytest.raises(ValueError):
+            save_index(spark, path, wrong)
+    raw = tmp_path / "raw"
+    for text, expected in (("", 0), (" \n", 0), ("12\n", 12)):
+        raw.write_text(text)
+        assert load_index(spark, str(raw)) == expected
+    for text in ("x", "-1", "1.5", "1 2", str(1 << 64), "٣"):
+        raw.write_text(text)
+        with pytest.raises(ValueError, match="could not parse state file"):
+            load_index(spark, str(raw))
+    # a crash between writing and moving leaves the old value
+    (tmp_path / "state" / "state-left.tmp").write_text("99")
+    save_index(spark, path, 10)
+    entries = spark.createDataFrame([(i,) for i in [*range(50), 60]], "log_index long")
+    assert commit_progress(spark, entries, path) == 50 and load_index(spark, path) == 50
+    assert commit_progress(spark, entries.where("log_index < 20"), path) == 50
+    assert next_index(entries).first()[0] == 50
 
 
 def test_extraction_stream_processes_new_files_once(spark, psl, tmp_path):
@@ -156,17 +288,3 @@ def test_replayed_epoch_writes_the_same_events(spark, psl, tmp_path):
         seen.append(sorted(tuple(r) for r in read_ledger(spark, ledger).collect()))
     assert len(seen[0]) == 2 and seen[0] == seen[1] == seen[2]
     assert [r.sequence_number for r in spark.read.json(out).collect()] == [7]
-
-
-def test_ingest_to_batch_files(spark, tmp_path):
-    from ctspark.streaming.ingest import start_ingest_to_batches
-
-    put_pages(spark, tmp_path / "log", [(0, 100)])
-    out = tmp_path / "batches"
-    start_ingest_to_batches(spark, str(tmp_path / "log"), str(out), str(tmp_path / "ck"), batch_size=40).awaitTermination()
-    dirs = sorted(out.glob("epoch=0/batch_start=*"), key=lambda p: int(p.name.split("=")[1]))
-    assert [d.name for d in dirs] == ["batch_start=0", "batch_start=40", "batch_start=80"]
-    for d in dirs:
-        nums = [int(x.split(" ")[0]) for p in sorted(d.glob("*.gz")) for x in gzip.open(p, "rt").read().splitlines()]
-        start = int(d.name.split("=")[1])
-        assert nums == list(range(start, min(start + 40, 100)))
