@@ -96,17 +96,18 @@ def default_psl(spark: SparkSession) -> PublicSuffixTable:
 
 
 def normalize_host_ascii(c) -> Column:
-    """lower -> drop one leading '*.' -> trim all leading/trailing dots (ASCII fast path)."""
+    """lower -> drop one leading '*.' -> trim all leading/trailing dots; '' with a hyphen at a label's end (ASCII fast path)."""
     h = F.lower(col_(c))
     h = F.regexp_replace(h, r"^\*\.", "")
-    return F.regexp_replace(h, r"^\.+|\.+\z", "")
+    h = F.regexp_replace(h, r"^\.+|\.+\z", "")
+    return F.when(h.contains("-") & h.rlike(r"(^|\.)-|-(\.|\z)"), F.lit("")).otherwise(h)
 
 
 def normalize_host(c) -> Column:
-    """Full normalisation; non-ASCII values go through the Arrow-batched IDNA helper."""
+    """Full normalisation; names with a non-ASCII character or ``--`` go through the Arrow-batched IDNA helper."""
     c = col_(c)
-    non_ascii = c.rlike(r"[^\x00-\x7F]")
-    return F.when(non_ascii, idna_to_ascii_udf(F.when(non_ascii, c))).otherwise(normalize_host_ascii(c))
+    odd = c.rlike(r"[^\x00-\x7F]") | c.contains("--")
+    return F.when(odd, idna_to_ascii_udf(F.when(odd, c))).otherwise(normalize_host_ascii(c))
 
 
 def registered_domain(df: DataFrame, host_col: str, psl: PublicSuffixTable, out: str = "domain") -> DataFrame:

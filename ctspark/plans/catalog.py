@@ -194,36 +194,49 @@ def q_format_mapping(spark, sf_dir):
 
 # ---- hosts -----------------------------------------------------------------------------------
 
-_HOST_SQL = """h AS (SELECT page_id, regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1) AS host0 FROM pages),
-hv AS (SELECT page_id, CASE page_id % 4 WHEN 1 THEN '*.' || upper(host0) WHEN 2 THEN '.' || host0 || '..' ELSE host0 END AS raw FROM h)"""
+# xn--bcher-kva and xn--ls8h are valid; the others break a label rule, and have no host
+_LABELS = ["xn--bcher-kva", "xn--ls8h", "ab--cd", "-a", "a-", "xn--99999999", "XN--Bcher-KVA", "xn--0"]
+_HOST_SQL = f"""h AS (SELECT page_id, regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1) AS host0 FROM pages),
+hv AS (SELECT page_id, CASE page_id % 4 WHEN 1 THEN '*.' || upper(host0) WHEN 2 THEN '.' || host0 || '..' WHEN 3 THEN ({_LABELS})[page_id // 4 % 8 + 1] || '.' || host0 ELSE host0 END AS raw,
+  page_id % 4 = 3 AND page_id // 4 % 8 IN (2, 3, 4, 5, 7) AS broken FROM h),
+hn AS (SELECT page_id, raw, CASE WHEN broken THEN '' ELSE trim(regexp_replace(lower(raw), '^\\*\\.', ''), '.') END AS host FROM hv)"""
 
 
 def _hosts(spark, sf_dir):
     p = read_table(spark, sf_dir, "pages").select("page_id", "url")
     h0 = F.regexp_extract("url", r"^[a-zA-Z]+://([^/?#:]+)", 1)
     i = F.col("page_id")
-    raw = F.when(i % 4 == 1, F.concat(F.lit("*."), F.upper(h0))).when(i % 4 == 2, F.concat(F.lit("."), h0, F.lit(".."))).otherwise(h0)
+    label = F.element_at(F.array(*map(F.lit, _LABELS)), (F.floor(i / 4) % 8 + 1).cast("int"))
+    raw = F.when(i % 4 == 1, F.concat(F.lit("*."), F.upper(h0))).when(i % 4 == 2, F.concat(F.lit("."), h0, F.lit(".."))).when(i % 4 == 3, F.concat(label, F.lit("."), h0)).otherwise(h0)
     return p.select("page_id", raw.alias("raw"))
 
 
-@query("normalize_host", O.with_(_HOST_SQL) + "SELECT page_id, trim(regexp_replace(lower(raw), '^\\*\\.', ''), '.') AS host FROM hv")
+@query("normalize_host", O.with_(_HOST_SQL) + "SELECT page_id, raw, host FROM hn")
 def q_normalize_host(spark, sf_dir):
     from ..shipping import ensure_shipped
 
     ensure_shipped(spark)
-    return _hosts(spark, sf_dir).select("page_id", normalize_host(F.col("raw")).alias("host"))
+    return _hosts(spark, sf_dir).select("page_id", "raw", normalize_host(F.col("raw")).alias("host"))
+
+
+# a host of every kind of rule, and its registered domain
+_SUFFIX_SQL = """sx AS (SELECT page_id, unnest(['www.p' || page_id || '.co.uk', 'a.x.p' || page_id || '.ck', 'a.www.ck', 'x.y.p' || page_id || '.kawasaki.jp', 'a.city.kawasaki.jp', 'a.p' || page_id || '.nosuchsuffix', 'co.uk', 'p' || page_id || '..com']) AS host,
+  unnest(['p' || page_id || '.co.uk', 'x.p' || page_id || '.ck', 'www.ck', 'y.p' || page_id || '.kawasaki.jp', 'city.kawasaki.jp', 'p' || page_id || '.nosuchsuffix', '', '']) AS domain FROM pages)"""
 
 
 @query(
     "registered_domain",
-    O.with_(_HOST_SQL)
-    + "SELECT page_id, trim(regexp_replace(lower(raw), '^\\*\\.', ''), '.') AS host, regexp_extract(trim(regexp_replace(lower(raw), '^\\*\\.', ''), '.'), '([^.]+\\.[^.]+)$', 1) AS domain FROM hv",
+    O.with_(_HOST_SQL + ", " + _SUFFIX_SQL) + "SELECT page_id, host, regexp_extract(host, '([^.]+\\.[^.]+)$', 1) AS domain FROM hn UNION ALL SELECT page_id, host, domain FROM sx",
 )
 def q_registered_domain(spark, sf_dir):
     from ..shipping import ensure_shipped
 
     ensure_shipped(spark)
     h = _hosts(spark, sf_dir).select("page_id", normalize_host(F.col("raw")).alias("host"))
+    p = F.concat(F.lit("p"), F.col("page_id").cast("string"))
+    parts = (("www.", p, ".co.uk"), ("a.x.", p, ".ck"), ("a.www.ck",), ("x.y.", p, ".kawasaki.jp"), ("a.city.kawasaki.jp",), ("a.", p, ".nosuchsuffix"), ("co.uk",), (p, "..com"))
+    more = F.array(*(F.concat(*(x if not isinstance(x, str) else F.lit(x) for x in xs)) for xs in parts))
+    h = h.unionByName(read_table(spark, sf_dir, "pages").select("page_id", F.explode(more).alias("host")))
     return registered_domain(h, "host", default_psl(spark)).select("page_id", "host", "domain")
 
 

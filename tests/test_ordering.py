@@ -118,3 +118,57 @@ def test_running_total_and_health_two_level(spark):
     for ep, _ts, i, ok, _b in rows:
         streak[ep] = 0 if ok else streak.get(ep, 0) + 1
         assert health[i] == streak[ep], i
+
+
+def test_histograms_are_mergeable_and_within_a_thousandth(spark):
+    import math
+    import random
+    from datetime import datetime, timedelta
+
+    from ctspark.operators.monitor import histogram_latency, latency_histogram, merge_histograms
+
+    rng = random.Random(5)
+    rows = [(f"e{rng.randint(0, 2)}", datetime(2024, 1, 1) + timedelta(minutes=i), math.exp(rng.uniform(-3, 11))) for i in range(3000)] + [("e0", datetime(2024, 1, 1), 0.0)]
+    df = spark.createDataFrame(rows, "endpoint string, ts timestamp, duration_ms double")
+    slots = latency_histogram(df, slot_s=3600)
+    whole = {tuple(r) for r in latency_histogram(df).collect()}
+    assert {tuple(r) for r in merge_histograms(slots.where("slot % 3 = 0"), slots.where("slot % 3 = 1"), slots.where("slot % 3 = 2")).select("endpoint", "code", "calls").collect()} == whole
+    for r in histogram_latency(merge_histograms(slots)).collect():
+        mine = sorted(d for e, _, d in rows if e == r.endpoint and d > 0)
+        for p, got in ((0.95, r.p95_ms), (0.99, r.p99_ms), (1.0, r.max_ms)):
+            exact = mine[math.ceil(len(mine) * p) - 1]
+            assert abs(got / exact - 1) <= 0.001, (p, got, exact)
+        assert r.recorded_calls == len(mine) and abs(r.mean_ms / (sum(mine) / len(mine)) - 1) < 0.001
+
+
+def test_gaps_and_prefix_across_chunks(spark, monkeypatch):
+    """Runs and chunks of a few indexes: the two-level pass against brute force."""
+    import random
+
+    from ctspark.operators import ordering
+
+    monkeypatch.setattr(ordering, "CHUNK", 3)
+    rng = random.Random(9)
+    for share, start in ((0.5, 0), (0.97, 7), (1.0, 0), (0.05, 3)):
+        have = sorted(i for i in range(start, 900) if rng.random() < share and not 300 <= i < 420) or [start]
+        df = spark.createDataFrame([(i,) for i in have for _ in range(1 + i % 2)], "log_index long")
+        present, gaps, at = set(have), [], start
+        for i in have:
+            if i > at:
+                gaps.append((at, i - 1, i - at, sum(j > i - 1 for j in have)))
+            at = i + 1
+        got = ordering.gap_report(df, start=start, batch_size=8).collect()
+        assert sorted(tuple(r) for r in got) == gaps
+        nxt = next(i for i in range(start, 1000) if i not in present)
+        assert ordering.contiguous_prefix(df, start=start, batch_size=8).first().next_index == nxt
+        assert ordering.next_index(df, start=start).first()[0] == nxt
+
+
+def test_no_window_over_bitmaps(spark):
+    from ctspark.operators import ordering
+
+    df = spark.range(100).selectExpr("id AS log_index")
+    for d in (ordering.gap_report(df), ordering.contiguous_prefix(df)):
+        plan = d._jdf.queryExecution().optimizedPlan().toString()
+        windows = [line for line in plan.splitlines() if "Window [" in line]
+        assert windows and not any("bm" in line or "bitmap" in line for line in windows)
