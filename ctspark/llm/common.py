@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 import weakref
 
@@ -38,11 +40,39 @@ def settle(df: DataFrame, name: str, instead_of: tuple = ()) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _PLACES[out] = path
+    if Temporary._open:
+        Temporary._open[-1].tables.append(out)
     for old in instead_of:
         release(old)
     return out
 
 
+class Temporary:
+    """Tables settled inside a ``with`` block; at its end all go but those kept."""
+
+    _open: list = []
+
+    def __init__(self):
+        self.tables, self.kept = [], []
+
+    def __enter__(self):
+        Temporary._open.append(self)
+        return self
+
+    def keep(self, settled: DataFrame) -> DataFrame:
+        self.kept.append(settled)
+        return settled
+
+    def __exit__(self, *_):
+        Temporary._open.remove(self)
+        for t in self.tables:
+            if any(t is k for k in self.kept):
+                if Temporary._open:  # a surrounding block has it next
+                    Temporary._open[-1].tables.append(t)
+            else:
+                release(t)
+
+
 def release(settled: DataFrame) -> None:
     """Delete the files of a settled table; nothing may read it, or a frame made from it, any more."""
     path = _PLACES.pop(settled, None)
@@ -52,6 +82,26 @@ def release(settled: DataFrame) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def released(run):
+    """``run`` (Arrow batches to Arrow batches) that gives its memory back to the system at its end.
+
+    Python workers are reused; without this a worker keeps the most that any of its tasks has needed.
+    """
+
+    def tidy(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return tidy
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column; a null counts as the empty text."""
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]
@@ -81,12 +131,13 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
     e = settle(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
     before = None
     for _ in range(rounds):
+        e_before = e
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         e = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = e.groupBy("u").agg(F.min("v").alias("m"))
         small = e.join(low, "u")
-        e = settle(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
+        e = settle(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct(), "cc", instead_of=(e_before,))
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         # a star forest is a fixed point: no node that is a centre points elsewhere
         if now == before:
@@ -99,6 +150,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
     return nodes.union(centres)
 
 
+def filter_bits(keys: int) -> int:
+    """Bits (as a power of two) of a bitmap that ``keys`` hashes fill to an eighth at most, between 8 KB and 128 MB."""
+    return min(30, max(16, (8 * max(1, keys) - 1).bit_length()))
+
+
 def bitmap(spots: DataFrame, bits: int) -> np.ndarray:
     """A bitmap of 2 ** ``bits`` bits, as 32-bit words, with the long column ``b``'s values set.
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, utf8
+from .common import pieces, released, utf8
 from .labelled import labelled_sample
 
 PER_CLASS = 2500
@@ -133,7 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_cl
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(chunks, pa.list_(pa.binary()))], ["i", "y", "chunks"])
 
     drawn: dict[int, list[bytes]] = {0: [], 1: []}
-    for r in sorted(rows.mapInArrow(draw, "i string, y int, chunks array<binary>").collect(), key=lambda r: r.i):
+    for r in sorted(rows.mapInArrow(released(draw), "i string, y int, chunks array<binary>").collect(), key=lambda r: r.i):
         drawn[r.y] += map(bytes, r.chunks)
     good, bad = (build_dictionary(drawn[c], dictionary_bytes, level) for c in (1, 0))
     shared = docs.sparkSession.sparkContext.broadcast((good, bad))  # two dictionaries of fixed size
@@ -145,7 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_cl
             x = [meter.measure(raw) for raw in utf8(b.column(2))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(x, pa.list_(pa.float64()))], ["i", "y", "x"])
 
-    found = sorted(rows.mapInArrow(measure, "i string, y int, x array<double>").collect(), key=lambda r: r.i)
+    found = sorted(rows.mapInArrow(released(measure), "i string, y int, x array<double>").collect(), key=lambda r: r.i)
     weight = {c: stands_for[c] * len(sides[c]) / len(held[c]) for c in sides}
     return calibrate(good, bad, np.array([r.x for r in found]), np.array([r.y for r in found], float), np.array([weight[r.y] for r in found]), chunk_bytes, level)
 
@@ -173,7 +173,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scorer(utf8(b.column(1))), pa.float64())], ["id", "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(released(run), f"id {kind}, score double").withColumnRenamed("id", id_col)
 
 
 def keep(docs: DataFrame, model: Model | None, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
@@ -186,4 +186,4 @@ def keep(docs: DataFrame, model: Model | None, threshold: float = 0.5, text_col:
         for b in pieces(batches):
             yield b.filter(pa.array(scorer(utf8(b.column(spot))) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, settle
+from .common import pieces, released, settle
 
 KINDS = ("assign", "access", "hex", "id", "key", "endpoint")
 REACH = 300
@@ -148,7 +148,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text.alias("text"))
     spans, parts = (f"array<struct<{x}>>" for x in ("start: int, kind: int, end: int", "scope: int, start: int, kind: int, end: int, role: string, weak: boolean, whole: boolean"))
-    return rows.mapInArrow(run, f"row long, id {kind}, base {spans}, parts {parts}")
+    return rows.mapInArrow(released(run), f"row long, id {kind}, base {spans}, parts {parts}")
 
 
 def pairs(parts: DataFrame, reach: int = REACH) -> DataFrame:

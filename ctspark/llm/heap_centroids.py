@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, settle
+from .common import release, released, settle
 
 BLOCK = 4096
 _LIMIT = 1 << 27
@@ -205,11 +205,11 @@ def cluster(vectors: DataFrame, starts: DataFrame, dims: int, rounds: int, id_co
     usable = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<long>").alias("vec")).where((F.size("vec") == dims) & ~F.exists("vec", lambda x: x.isNull()))
     if not len(points):
         return Clustering(usable.limit(0).select("id", F.lit(0).alias("cluster"), F.lit(0).cast("long").alias("distance")), [], [])
-    table = settle(usable.mapInArrow(_blocked(dims, block, arrow), f"ids array<{kind}>, data binary, width int, {_STATE}"), "blocks")
+    table = settle(usable.mapInArrow(released(_blocked(dims, block, arrow)), f"ids array<{kind}>, data binary, width int, {_STATE}"), "blocks")
     centres, totals, counts, scanned = _Centres(points), np.zeros(points.shape, object), np.zeros(len(points), object), []
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(centres)
-        table = settle(table.mapInArrow(_round(shared, dims), table.schema), "heaps", instead_of=(table,))
+        table = settle(table.mapInArrow(released(_round(shared, dims)), table.schema), "heaps", instead_of=(table,))
         moved = table.select(F.explode("moved").alias("m")).select("m.*")
         whole = moved.select("cluster", F.posexplode("sums").alias("d", "s")).groupBy("cluster", "d").agg(F.sum(F.col("s").cast("decimal(38,0)")).alias("s"))
         for r in whole.collect():  # at most one row a centroid and dimension
@@ -220,7 +220,7 @@ def cluster(vectors: DataFrame, starts: DataFrame, dims: int, rounds: int, id_co
         after = [[t // n for t in row] if n else old.tolist() for row, n, old in zip(totals, counts, centres.points, strict=True)]
         centres = centres.moved(np.array(after, np.int64))
     shared = spark.sparkContext.broadcast(centres)
-    rows = settle(table.mapInArrow(_last(shared, dims, arrow), f"id {kind}, cluster int, distance long, again boolean"), "clusters")
+    rows = settle(table.mapInArrow(released(_last(shared, dims, arrow)), f"id {kind}, cluster int, distance long, again boolean"), "clusters")
     release(table)
     scanned.append(rows.where("again").count())
     return Clustering(rows.drop("again"), centres.points.tolist(), scanned)
