@@ -1,45 +1,51 @@
 """Quality rules by compression: zstandard ratios must lie inside bands.
 
 A document's ratio is its UTF-8 size over its compressed size, for the whole text and for fixed
-chunks of it, the last one shorter.  More than a twentieth of the chunks out of band, or two
-neighbours, reject a text whatever its whole ratio is, as noise and repetition cancel there.  Repetitive text compresses too well, noise too badly; what is normal depends on
-the length, so each length class has its own band.  Simple counting rules come first.
+chunks of it, the last one shorter.  Repetitive text compresses too well, noise too badly; what is normal rises with
+the length, so a band is given at some lengths, and its limits in between follow the logarithm of the length.  More than a
+twentieth of the chunks out of band, two neighbours, or whole chunks that differ by more than ``SPREAD``, reject a text
+whatever its whole ratio is, as noise and repetition cancel there.  Simple counting rules come first.
 
+Texts of any length are read whole, a chunk at a time; a ratio on a limit is inside, so ties are kept.
 Nulls and texts without words have no words and fail the base rules.  Rows are independent:
 repeated rows give equal rows, further columns do not matter, an empty table gives none.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, utf8
+from .common import pieces, released, utf8
 
-#: Bands: (UTF-8 bytes below which the band holds, lowest ratio, highest ratio).
+#: Bands: (UTF-8 bytes, lowest ratio, highest ratio) of prose; the first and the last hold beyond their lengths.
 WHOLE_BANDS = (
-    (200, 0.90, 1.65),
-    (500, 1.10, 2.00),
-    (1000, 1.30, 2.08),
-    (1500, 1.50, 2.13),
-    (3000, 1.60, 2.25),
-    (6000, 1.75, 2.38),
-    (20000, 1.90, 2.53),
-    (None, 2.00, 2.66),
-)
-#: The last chunk is shorter; it starts inside the text, so its bands are somewhat wider than a whole text's.
-CHUNK_BANDS = (
-    (100, 0.00, 1.75),
-    (200, 0.80, 1.75),
-    (500, 1.00, 2.10),
-    (1000, 1.20, 2.18),
-    (1500, 1.40, 2.23),
-    (3000, 1.50, 2.35),
-    (4096, 1.65, 2.42),
-    (None, 1.75, 2.42),
+    (64, 0.55, 1.62),
+    (100, 0.85, 1.72),
+    (200, 1.10, 1.85),
+    (300, 1.22, 1.92),
+    (500, 1.32, 1.97),
+    (700, 1.38, 2.00),
+    (1000, 1.50, 2.05),
+    (1400, 1.62, 2.11),
+    (2000, 1.72, 2.16),
+    (2800, 1.82, 2.21),
+    (4000, 1.92, 2.28),
+    (5600, 2.02, 2.33),
+    (8000, 2.06, 2.38),
+    (12000, 2.10, 2.43),
+    (20000, 2.14, 2.48),
+    (40000, 2.20, 2.55),
+    (100000, 2.25, 2.65),
 )
+#: A chunk starts and ends inside the text, so its bands are somewhat wider; of the shortest ones nothing is asked.
+CHUNK_BANDS = ((99, 0.0, 99.0), *((n, lo - 0.1, hi + 0.04) for n, lo, hi in WHOLE_BANDS if 100 <= n <= 5600))
+#: How far the ratios of a text's whole chunks may lie apart.
+SPREAD = 0.25
 CHUNK_BYTES = 4096
 #: Chunks out of band that reject a text: more than this share, or two neighbours.
 BAD_SHARE = 0.05
@@ -82,7 +88,14 @@ def base_counts(raw: bytes) -> tuple[int, int, int, int, int]:
 
 
 def band_of(size: int, bands) -> tuple[float, float]:
-    return next((lo, hi) for top, lo, hi in bands if top is None or size < top)
+    """The limits at a length: between two given lengths they follow its logarithm."""
+    at = math.log(max(1, size))
+    after = next((i for i, b in enumerate(bands) if size <= b[0]), len(bands))
+    if after in (0, len(bands)):
+        return bands[min(after, len(bands) - 1)][1:]
+    (n0, lo0, hi0), (n1, lo1, hi1) = bands[after - 1], bands[after]
+    part = (at - math.log(n0)) / (math.log(n1) - math.log(n0))
+    return lo0 + part * (lo1 - lo0), hi0 + part * (hi1 - hi0)
 
 
 def ratios(raw: bytes, compressor, chunk_bytes: int = CHUNK_BYTES) -> tuple[float, list[tuple[int, float]]]:
@@ -99,6 +112,24 @@ def chunks_ok(out: list[bool], share: float = BAD_SHARE) -> bool:
     return sum(out) <= share * len(out) and not any(a and b for a, b in zip(out, out[1:], strict=False))
 
 
+def even(chunks: list[tuple[int, float]], chunk_bytes: int = CHUNK_BYTES, spread: float = SPREAD) -> bool:
+    """Whether the ratios of whole chunks lie near each other."""
+    full = [r for n, r in chunks if n == chunk_bytes]
+    return not full or max(full) - min(full) <= spread
+
+
+def verdict(raw: bytes, compressor, whole_bands=WHOLE_BANDS, chunk_bands=CHUNK_BANDS, chunk_bytes: int = CHUNK_BYTES) -> tuple[float, list[tuple[int, float]], list[bool], bool]:
+    """(ratio, chunks, which of them are out of band, whether the text is inside all bands)."""
+
+    def outside(n: int, r: float, bands) -> bool:
+        lo, hi = band_of(n, bands)
+        return not lo <= r <= hi
+
+    whole, chunks = ratios(raw, compressor, chunk_bytes)
+    out = [outside(n, r, chunk_bands) for n, r in chunks]
+    return whole, chunks, out, not outside(len(raw), whole, whole_bands) and chunks_ok(out) and even(chunks, chunk_bytes)
+
+
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_bands=WHOLE_BANDS, chunk_bands=CHUNK_BANDS, chunk_bytes: int = CHUNK_BYTES, level: int = LEVEL) -> DataFrame:
     """The counts, the ratios and the two verdicts of every text."""
 
@@ -110,18 +141,15 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", who
             rows = []
             for raw in utf8(b.column(1)):
                 n_words, chars, symbols, lines, again = base_counts(raw)
-                whole, chunks = ratios(raw, packer, chunk_bytes)
-                lo, hi = band_of(len(raw), whole_bands)
-                whole_ok = lo <= whole <= hi
-                out = [not (band_of(n, chunk_bands)[0] <= r <= band_of(n, chunk_bands)[1]) for n, r in chunks]
-                rows.append((n_words, chars, symbols, lines, again, n_words < 20 or 100 * again > 30 * n_words, whole, min((r for _, r in chunks), default=whole), max((r for _, r in chunks), default=whole), sum(out), whole_ok and chunks_ok(out)))
+                whole, chunks, out, inside = verdict(raw, packer, whole_bands, chunk_bands, chunk_bytes)
+                rows.append((n_words, chars, symbols, lines, again, n_words < 20 or 100 * again > 30 * n_words, whole, min((r for _, r in chunks), default=whole), max((r for _, r in chunks), default=whole), sum(out), inside))
             cols = list(zip(*rows, strict=True))
             kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["id", *_NAMES])
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, ratio double, chunk_ratio_min double, chunk_ratio_max double, n_bad_chunks long, in_band boolean"
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(released(run), schema)
     return out.withColumn("kept", ~F.col("base_failed") & F.col("in_band")).withColumnRenamed("id", id_col)
 
 
