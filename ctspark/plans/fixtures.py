@@ -1,7 +1,7 @@
 """Inputs derived from the driver tables (D1-D6), written as DataFrame code.
 
 Every derivation is a narrow projection of one driver table, so its work grows with the table.
-The same rules are written independently as SQL in ``plans/oracle.py``.
+The same rules are written independently as SQL in ``plans/oracle_sql.py``.
 """
 
 from __future__ import annotations
@@ -17,13 +17,25 @@ from ..session import ensure_checkpoint_dir, path_exists, read_table
 _MATERIALIZED: dict = {}
 
 
-def fixture_path(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Location of a derived table under the shared checkpoint folder (one per input folder)."""
+_STAMPS: dict = {}
+
+
+def _stamp(spark: SparkSession, sf_dir: str) -> str:
+    """A hash of the input folder's tables: names, sizes and times, so that other inputs at the same place give other fixtures."""
     import hashlib
-    import os
 
-    tag = hashlib.md5(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ctspark-fixtures/{tag}/{name}"
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STAMPS:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found = sorted(f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}" for s in fs.listStatus(p))
+        _STAMPS[key] = hashlib.md5("\n".join([fs.makeQualified(p).toString(), *found]).encode()).hexdigest()[:12]
+    return _STAMPS[key]
+
+
+def fixture_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Location of a derived table under the shared checkpoint folder (one per state of the input folder)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ctspark-fixtures/{_stamp(spark, sf_dir)}/{name}"
 
 
 def materialize(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
