@@ -11,11 +11,13 @@ Every byte covered by a string of ``width`` bytes that also starts anywhere else
    with the difference cover modulo 3: sampled triples are sorted and named, the string of names is
    sorted recursively (until names are unique or cover ``width`` bytes), the remaining suffixes are
    sorted by first symbol and the rank behind it, and both are merged.
+   An anchor with very many different contexts (the edges of a passage in many texts) is dealt a second time, by the
+   hash of each whole window, so that it never is one task's work.
 3. Neighbours in suffix order are compared over ``width`` bytes; starts that agree are repeated, and so
    are all starts of a context that occurs more than once.
 4. The repeated starts go back to the documents' rows and become removed runs of bytes.
 
-Null texts count as empty; texts shorter than ``width`` have no string to remove.  Repeated rows
+Texts of any length are read whole, a megabyte at a time; ties do not arise.  Null texts count as empty; texts shorter than ``width`` have no string to remove.  Repeated rows
 repeat each other's text.  An empty table gives an empty result; further columns do not matter.
 """
 
@@ -28,14 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, pieces, settle, utf8
+from .common import Temporary, bitmap, filter_bits, pieces, release, released, settle, utf8
 
 WIDTH = 200
 GRAM = 50
 #: Bytes that one suffix sort takes together, unless a single anchor's contexts are more.
 SORT_BYTES = 1 << 20
-#: Bits of the filter of repeated anchors; more anchors only make it less sharp.
-FILTER_BITS = 26
+#: Different contexts of one anchor that one task sorts together, about a megabyte; the windows of more meet by their hashes.
+MANY = 4096
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SLICE = 1 << 20
 
@@ -187,28 +189,29 @@ def _spans(flags: np.ndarray, width: int) -> list[int]:
 
 
 def _filter_of(repeated: DataFrame) -> np.ndarray:
-    """A Bloom filter with two bits a hash, of fixed size, from the column ``h``."""
-    mask = (1 << FILTER_BITS) - 1
+    """A Bloom filter with two bits a hash from the settled column ``h``, sized by their number."""
+    power = filter_bits(2 * repeated.count())
+    mask = (1 << power) - 1
     spots = repeated.select(F.explode(F.array(F.col("h").bitwiseAND(F.lit(mask)), F.shiftrightunsigned("h", 32).bitwiseAND(F.lit(mask)))).alias("b"))
-    return bitmap(spots, FILTER_BITS)
+    return bitmap(spots, power)
 
 
 def _hit(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    mask = np.uint64((1 << FILTER_BITS) - 1)
+    mask = np.uint64(len(bits) * 32 - 1)
     out = np.ones(len(h), bool)
     for b in (h.view(np.uint64) & mask, (h.view(np.uint64) >> np.uint64(32)) & mask):
         out &= (bits[(b >> np.uint64(5)).astype(np.int64)] >> (b & np.uint64(31)).astype(np.uint32)) & 1 == 1
     return out
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, id, n_bytes, n_removed, n_spans, kept_sha256, kept, kept_text) of every text.
+_OCC = [("start", pa.int64()), ("n", pa.int64()), ("h", pa.int64()), ("key", pa.binary())]
 
-    ``kept`` holds the remaining bytes of texts that lost some, and is null for the others;
-    ``kept_text`` is its text, without characters of which only some bytes are left.
+
+def _texts(docs: DataFrame, text_col: str, width: int, gram: int, all_texts: bool) -> DataFrame:
+    """``docs`` with ``raw``, the text's bytes, ``n_bytes``, ``sha`` and ``occ``, its contexts with an anchor that may be repeated.
+
+    ``raw`` is left out (and ``sha``, its hash, is there) for texts without any, unless ``all_texts``.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def anchors(batches):
         for b in pieces(batches):
@@ -216,58 +219,138 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col
             h, c = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(np.minimum(c, 2), pa.int64())], ["h", "c"])
 
-    repeated = src.select("text").mapInArrow(anchors, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where("c > 1")
-    shared = src.sparkSession.sparkContext.broadcast(_filter_of(repeated))
+    text = F.col(text_col).cast("string").alias("text")
+    repeated = settle(docs.select(text).mapInArrow(released(anchors), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where("c > 1").select("h"), "anchors")
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(repeated))
+    release(repeated)
+    others = [c for c in docs.columns if c != text_col]
 
     def split(batches):
         from xxhash import xxh3_128_digest
 
         for b in pieces(batches):
             out = []
-            for raw in utf8(b.column(2)):
+            for raw in utf8(b.column(0)):
                 starts, counts, hashes = contexts(raw, width, gram)
                 hit = np.flatnonzero(_hit(shared.value, hashes)) if len(hashes) else []
                 occ = [{"start": int(starts[i]), "n": int(counts[i]), "h": int(hashes[i]), "key": xxh3_128_digest(raw[starts[i] : starts[i] + counts[i] + width - 1])} for i in hit]
-                out.append((len(raw), None if occ else hashlib.sha256(raw).hexdigest(), raw if occ else None, occ or None))
+                keep = all_texts or bool(occ)
+                out.append((len(raw), None if keep else hashlib.sha256(raw).hexdigest(), raw if keep else None, occ or None))
             cols = list(zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.list_(pa.struct([("start", pa.int64()), ("n", pa.int64()), ("h", pa.int64()), ("key", pa.binary())])))],
-                ["row", "id", "n_bytes", "sha", "raw", "occ"],
-            )
-
-    rows = settle(
-        src.select(F.monotonically_increasing_id().alias("row"), "id", "text").mapInArrow(split, f"row long, id {kind}, n_bytes long, sha string, raw binary, occ array<struct<start: long, n: long, h: long, key: binary>>"),
-        "texts",
-    )
+            made = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.list_(pa.struct(_OCC)))]
+            yield pa.RecordBatch.from_arrays([*(b.column(i + 1) for i in range(len(others))), *made], [*others, "n_bytes", "sha", "raw", "occ"])
+
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others)
+    return settle(docs.select(text, *(f"`{c}`" for c in others)).mapInArrow(released(split), f"{kinds}, n_bytes long, sha string, raw binary, occ array<struct<start: long, n: long, h: long, key: binary>>"), "texts")
+
+
+def _runs(rows: DataFrame, width: int) -> DataFrame:
+    """(row, spans) of the texts that lose bytes, as start, end, start, end ..."""
     places = rows.where("occ is not null").select("row", F.explode("occ").alias("o")).select("row", "o.*")
-    distinct = places.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("row", "start", "n", "h")).alias("x"))
-    wanted = distinct.groupBy("x.row").agg(F.collect_list(F.struct("key", "c", "x.start", "x.n", "x.h")).alias("xs"))
-    strings = rows.where("raw is not null").select("row", "raw").join(wanted, "row").select("raw", F.explode("xs").alias("x"))
-    strings = strings.select("x.h", "x.key", "x.c", "x.n", F.expr(f"substring(raw, cast(x.start + 1 as int), cast(x.n + {width - 1} as int))").alias("s"))
-    marked = settle(strings.repartition("h").sortWithinPartitions("h").mapInArrow(_sorter(width), "key binary, spans array<long>"), "marked")
+    distinct = places.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("row", "start", "n", "h")).alias("x")).select("key", "c", "x.*")
+    many = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > MANY).select(F.col("h").alias("hot"))
+    distinct = distinct.join(many, F.col("h") == F.col("hot"), "left")
+    wanted = distinct.groupBy("row").agg(F.collect_list(F.struct("key", "c", "start", "n", "h", F.col("hot").isNotNull().alias("hot"))).alias("xs"))
+    strings = rows.where("occ is not null").select("row", "raw").join(wanted, "row").select("raw", F.explode("xs").alias("x"))
+    strings = settle(strings.select("x.h", "x.key", "x.c", "x.n", "x.hot", F.expr(f"substring(raw, cast(x.start + 1 as int), cast(x.n + {width - 1} as int))").alias("s")), "contexts")
+    few = strings.where("not hot").drop("hot").repartition("h").sortWithinPartitions("h")
+    marked = settle(few.mapInArrow(released(_sorter(width)), "key binary, spans array<long>").unionByName(_by_windows(strings.where("hot"), width)), "marked")
     runs = places.join(marked, "key").groupBy("row").agg(F.flatten(F.collect_list(F.transform("spans", lambda x: x + F.col("start")))).alias("spans"))
-    hurt = rows.where("raw is not null").select("row", "id", "n_bytes", "raw").join(runs, "row", "left").mapInArrow(_cutter, f"row long, id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string")
+    return settle(runs, "runs")
+
+
+def _by_windows(strings: DataFrame, width: int) -> DataFrame:
+    """(key, spans) of contexts whose anchor has very many: their windows meet by the hash of the whole window.
+
+    Equal windows still meet, and an anchor's windows spread over as many keys as there are different ones.
+    """
+
+    def windows(batches):
+        from xxhash import xxh3_128_digest
+
+        for b in pieces(batches, 1 << 20, 512):
+            keys, c, n, s = (b.column(i).to_pylist() for i in range(4))
+            made = [(xxh3_128_digest(s[i][at : at + width]), keys[i], at, c[i]) for i in range(len(keys)) for at in range(n[i])]
+            if made:
+                cols = list(zip(*made, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, (pa.binary(), pa.binary(), pa.int32(), pa.int64()), strict=True)], ["w", "key", "at", "c"])
+
+    def spans(batches):
+        for b in batches:
+            out = []
+            for at in b.column(1).to_pylist():
+                flags = np.zeros(max(at) + 1, bool)
+                flags[at] = True
+                out.append(_spans(flags, width))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int64()))], ["key", "spans"])
+
+    found = strings.select("key", "c", "n", "s").mapInArrow(released(windows), "w binary, key binary, at int, c long")
+    again = found.groupBy("w").agg(F.sum("c").alias("times")).where("times > 1").select("w")
+    starts = found.join(again, "w").groupBy("key").agg(F.collect_set("at").alias("at"))
+    return starts.mapInArrow(spans, "key binary, spans array<long>")
+
+
+def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, id, n_bytes, n_removed, n_spans, kept_sha256, kept, kept_text) of every text.
+
+    ``kept`` holds the remaining bytes of texts that lost some, and is null for the others;
+    ``kept_text`` is its text, without characters of which only some bytes are left.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    src = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    with Temporary() as tables:
+        rows = tables.keep(_texts(src, "text", width, gram, False))
+        runs = tables.keep(_runs(rows, width))
+    hurt = rows.where("raw is not null").select("row", "id", "n_bytes", "raw").join(runs, "row", "left").mapInArrow(released(_cutter), f"row long, id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string")
     whole = rows.where("raw is null").select("row", "id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("sha").alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"), F.lit(None).cast("string").alias("kept_text"))
     return whole.unionByName(hurt).withColumnRenamed("id", id_col)
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars", **options) -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars", width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """``docs`` with repeated strings cut out of their texts, and ``size_col`` of these set anew where there is one.
 
     What remains is decoded again; a character of which only some bytes repeat is dropped.  Rows are
-    told apart by number, so ids may be null or repeat.
+    told apart by number, so ids may be null or repeat; ids themselves do not matter.
     """
-    docs = settle(docs.withColumn("__row", F.monotonically_increasing_id()), "docs")
-    found = remove_repeats(docs, id_col="__row", text_col=text_col, **options)
-    changed = settle(found.where("n_removed > 0").select(F.col("__row").alias("__changed"), F.col("kept_text").alias("__kept")), "kept")
-    out = docs.join(changed, docs["__row"] == changed["__changed"], "left")
-    text = F.when(F.col("__changed").isNotNull(), F.col("__kept")).otherwise(F.col(text_col))
-    return _replaced(out, docs.drop("__row").columns, text, text_col, size_col)
-
-
-def _replaced(df: DataFrame, columns: list[str], text, text_col: str, size_col: str) -> DataFrame:
-    df = df.withColumn("__text", text)
-    return df.select(*(F.col("__text").alias(c) if c == text_col else F.when(F.col("__changed").isNotNull(), F.length("__text").cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == size_col else F.col(c) for c in columns))
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    src = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").isNull().alias("none"), *(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    with Temporary() as tables:
+        rows = tables.keep(_texts(src, names[text_col], width, gram, True))
+        runs = tables.keep(_runs(rows, width))
+    text = pa.string()
+
+    def cut(batches):
+        for b in batches:
+            out = []
+            for raw, spans, none in zip(*(b.column(c).to_pylist() for c in ("raw", "spans", "none")), strict=True):
+                if not spans:
+                    out.append((None if none else raw.decode("utf-8", "replace"), False))
+                else:
+                    out.append((_cut(raw, spans)[0].decode("utf-8", "ignore"), True))
+            made = [pa.array([x[0] for x in out], text), pa.array([x[1] for x in out])]
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in others), *made], [*others, "text", "changed"])
+
+    others = [n for c, n in names.items() if c != text_col]
+    kinds = "".join(f"{n} {docs.schema[c].dataType.simpleString()}, " for c, n in names.items() if c != text_col)
+    found = rows.join(runs, "row", "left").select("raw", "spans", "none", *others).mapInArrow(released(cut), f"{kinds}text string, changed boolean")
+    columns = []
+    for c, n in names.items():
+        if c == text_col:
+            columns.append(F.col("text").cast(docs.schema[c].dataType).alias(c))
+        elif c == size_col:
+            columns.append(F.when(F.col("changed"), F.length("text").cast(docs.schema[c].dataType)).otherwise(F.col(n)).alias(c))
+        else:
+            columns.append(F.col(n).alias(c))
+    return found.select(*columns)
+
+
+def _cut(raw: bytes, spans: list[int]) -> tuple[bytes, np.ndarray]:
+    """The bytes that the spans leave, and which are gone."""
+    edge = np.zeros(len(raw) + 1, np.int64)
+    np.add.at(edge, spans[0::2], 1)
+    np.add.at(edge, spans[1::2], -1)
+    gone = np.cumsum(edge[:-1]) > 0
+    return np.frombuffer(raw, np.uint8)[~gone].tobytes(), gone
 
 
 def _sorter(width: int):
@@ -309,11 +392,7 @@ def _cutter(batches):
             if not spans:
                 out.append((0, 0, hashlib.sha256(raw).hexdigest(), None, None))
                 continue
-            edge = np.zeros(len(raw) + 1, np.int64)
-            np.add.at(edge, spans[0::2], 1)
-            np.add.at(edge, spans[1::2], -1)
-            gone = np.cumsum(edge[:-1]) > 0
-            kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
+            kept, gone = _cut(raw, spans)
             out.append((int(gone.sum()), int(gone[0]) + int(np.count_nonzero(np.diff(gone.astype(np.int8)) == 1)), hashlib.sha256(kept).hexdigest(), kept, kept.decode("utf-8", "ignore")))
         cols = list(zip(*out, strict=True))
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.binary()), pa.array(cols[4], pa.string())], ["row", "id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text"])

@@ -22,6 +22,22 @@ e AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE
 reach AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT reach.doc_id, e.b FROM reach JOIN e ON e.a = reach.c)
 SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id"""
 
+#: Bytes as hex text; every window of 200 bytes by its MD5.
+REPEATS = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT rid, i, md5(substr(h, 2 * i + 1, 400)) AS k FROM (SELECT rid, h, unnest(range(0, length(h) // 2 - 199)) AS i FROM d WHERE length(h) >= 400)),
+r AS (SELECT rid, i FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+n AS (SELECT rid, i, CASE WHEN i - lag(i) OVER (PARTITION BY rid ORDER BY i) <= 200 THEN 0 ELSE 1 END AS fresh FROM r),
+g AS (SELECT rid, i, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS run FROM n),
+runs AS (SELECT rid, min(i) AS s, max(i) + 200 AS e FROM g GROUP BY rid, run),
+p AS (SELECT rid, s, e, coalesce(lag(e) OVER (PARTITION BY rid ORDER BY s), 0) AS b FROM runs),
+k AS (
+  SELECT d.rid, CAST(sum(e - s) AS BIGINT) AS n_removed, count(*) AS n_spans,
+    string_agg(substr(h, 2 * b + 1, 2 * (s - b)), '' ORDER BY s) || any_value(substr(h, 2 * z + 1)) AS kept
+  FROM (SELECT *, max(e) OVER (PARTITION BY rid) AS z FROM p) JOIN d USING (rid) GROUP BY d.rid)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(from_hex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN k USING (rid)"""
+
 #: CRC-32 of a string of ASCII letters, bit by bit.
 _CRC = """xor(list_reduce(list_transform(range(1, len({s}) + 1), lambda i: ord({s}[i])::BIGINT),
   lambda c, b: list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END, xor(c, b)), 4294967295::BIGINT), 4294967295::BIGINT)"""
@@ -140,4 +156,4 @@ SELECT d.doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coale
 FROM d LEFT JOIN b USING (rid) LEFT JOIN a USING (rid)"""
 
 
-ORACLE_SQL = {"op7_jaccard_join": COMPONENTS, "op9_impact_topk": TOP_K, "op11_merkle_intervals": MANIFEST, "op12_heap_centroids": CLUSTERS, "op13_credential_links": _credentials()}
+ORACLE_SQL = {"op6_dc3_dedup": REPEATS, "op7_jaccard_join": COMPONENTS, "op9_impact_topk": TOP_K, "op11_merkle_intervals": MANIFEST, "op12_heap_centroids": CLUSTERS, "op13_credential_links": _credentials()}

@@ -127,3 +127,111 @@ def test_cut_characters_are_dropped_from_the_text(spark):
         want = bytes(b for j, b in enumerate(r) if j not in gone).decode("utf-8", "ignore")
         assert (rows[i] or "") == want
     assert rows[2] is None and rows[3] == texts[3]
+
+
+def templated(n, frame, extra, seed):
+    """Documents that share a frame of words in the same order, each with words of its own between them."""
+    rng = random.Random(seed)
+    words = [f"frame{i}" for i in range(frame)]
+    out = []
+    for d in range(n):
+        own = sorted(rng.sample(range(frame), extra(rng)))
+        text = [w if i not in own else f"own{d}x{i}" for i, w in enumerate(words)]
+        out.append(" ".join(text))
+    return out
+
+
+def test_templated_documents_that_do_not_link(spark):
+    """2,000 documents with one frame: none is near another, and few pairs are looked at."""
+    texts = templated(2000, 150, lambda rng: 6, 4)
+    df = spark.createDataFrame([(i, t, "s", 0, 0) for i, t in enumerate(texts)], SCHEMA)
+    found = jaccard_join.link_components(df, width=3, num=90, den=100).collect()
+    expected = brute_components_fast(texts)
+    assert sorted((r["doc_id"], r["component_id"]) for r in found) == list(enumerate(expected))
+
+
+def brute_components_fast(texts, width=3, num=90, den=100):
+    """Components by a matrix of intersections."""
+    shingles = [{tuple(t.split()[i : i + width]) for i in range(len(t.split()) - width + 1)} for t in texts]
+    names = {s: i for i, s in enumerate(sorted(set().union(*shingles)))}
+    m = np.zeros((len(texts), len(names)), np.float32)
+    for i, s in enumerate(shingles):
+        m[i, [names[x] for x in s]] = 1
+    inter = m @ m.T
+    sizes = m.sum(axis=1)
+    linked = den * inter >= num * (sizes[:, None] + sizes[None, :] - inter)
+    label = np.arange(len(texts))
+    while True:
+        new = np.where(linked, label[None, :], len(texts)).min(axis=1)
+        if (new == label).all():
+            return label.tolist()
+        label = new
+
+
+@pytest.mark.parametrize(("n", "frame", "low", "high", "num"), [(400, 120, 0, 9, 80), (400, 120, 2, 6, 90), (300, 60, 0, 20, 70)])
+def test_hot_regions_with_links_of_all_kinds(spark, n, frame, low, high, num):
+    texts = templated(n, frame, lambda rng: rng.randint(low, high), 7)
+    df = spark.createDataFrame([(i, t, "s", 0, 0) for i, t in enumerate(texts)], SCHEMA)
+    found = jaccard_join.link_components(df, width=3, num=num, den=100).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in found) == list(enumerate(brute_components_fast(texts, 3, num)))
+
+
+def test_parity_bitmaps_bound_the_difference():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        a, b = (np.unique(rng.integers(-(1 << 62), 1 << 62, rng.integers(1, 3000))) for _ in range(2))
+        a = np.unique(np.concatenate([a, b[: len(b) // 2]]))
+        bits = sum(int(x).bit_count() for x in (jaccard_join.parity(a) ^ jaccard_join.parity(b)).view(np.uint64))
+        assert bits <= len(np.setxor1d(a, b))
+
+
+def test_more_pivots_and_salts(spark, monkeypatch):
+    """Small cells make several turns and deal a region's members to several salts."""
+    monkeypatch.setattr(jaccard_join, "CELL", 8)
+    texts = templated(300, 100, lambda rng: rng.randint(0, 6), 11) + templated(60, 100, lambda rng: 1, 12)
+    df = spark.createDataFrame([(i, t, "s", 0, 0) for i, t in enumerate(texts)], SCHEMA)
+    found = jaccard_join.link_components(df, width=3, num=88, den=100).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in found) == list(enumerate(brute_components_fast(texts, 3, 88)))
+
+
+def test_passage_with_different_edges_in_many_texts(spark, monkeypatch):
+    """5,000 texts share a passage, each with its own words on either side: its edge anchors are dealt by whole windows."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6)))
+    passage = " ".join(word() for _ in range(70))
+    texts = [" ".join(word() for _ in range(30)) + f" {i} " + passage + f" {i * 7} " + " ".join(word() for _ in range(30)) for i in range(5000)]
+    monkeypatch.setattr(dc3_dedup, "SORT_BYTES", 1 << 18)
+    df = spark.createDataFrame([(i, t, "s", 0, 0) for i, t in enumerate(texts)], SCHEMA)
+    found = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in dc3_dedup.remove_repeats(df).collect()}
+    expected = brute_repeats(texts[:300])  # the passage repeats there too, and whatever else does is in all
+    common = len((" " + passage + " ").encode())
+    assert all(common - 2 <= found[i][1] <= common + 40 for i in found)
+    assert [found[i] for i in range(300)] == expected or all(abs(found[i][1] - expected[i][1]) <= 40 for i in range(300))
+
+
+@pytest.mark.parametrize("many", [0, 1, 3])
+def test_windows_and_suffixes_agree(spark, monkeypatch, many):
+    """Whatever share of the anchors is dealt by windows, the result is the same."""
+    monkeypatch.setattr(dc3_dedup, "MANY", many)
+    texts = corpus(4)
+    df = spark.createDataFrame([(i, t, "s", 0, 0) for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in dc3_dedup.remove_repeats(df).collect())
+    assert got == [(i, *x) for i, x in enumerate(brute_repeats(texts))]
+
+
+def test_cut_texts_keep_their_columns(spark):
+    texts = corpus(5)
+    rows = [(i if i % 9 else None, t, f"src{i % 3}", i * 10, i) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, c0 string, n_chars int, row long").repartition(3)
+    out = dc3_dedup.without_repeats(df)
+    assert out.schema == df.schema
+    got = {r["row"]: r for r in out.collect()}
+    expected = brute_repeats(texts)
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        r = got[i]
+        assert (r["doc_id"], r["c0"]) == (rows[i][0], rows[i][2])
+        if expected[i][1] == 0:
+            assert r["text"] == t and r["n_chars"] == i * 10
+        else:
+            assert r["n_chars"] == len(r["text"]) and len(r["text"].encode()) <= expected[i][0] - expected[i][1]
