@@ -248,13 +248,19 @@ def _runs(rows: DataFrame, width: int) -> DataFrame:
     """(row, spans) of the texts that lose bytes, as start, end, start, end ..."""
     places = rows.where("occ is not null").select("row", F.explode("occ").alias("o")).select("row", "o.*")
     distinct = places.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("row", "start", "n", "h")).alias("x")).select("key", "c", "x.*")
-    many = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > MANY).select(F.col("h").alias("hot"))
-    distinct = distinct.join(many, F.col("h") == F.col("hot"), "left")
+    hot = settle(distinct.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > MANY).select(F.col("h").alias("hot")), "hot")
+    rare = hot.isEmpty()
+    if rare:
+        distinct = distinct.withColumn("hot", F.lit(None).cast("long"))
+    else:
+        distinct = distinct.join(hot, F.col("h") == F.col("hot"), "left")
     wanted = distinct.groupBy("row").agg(F.collect_list(F.struct("key", "c", "start", "n", "h", F.col("hot").isNotNull().alias("hot"))).alias("xs"))
     strings = rows.where("occ is not null").select("row", "raw").join(wanted, "row").select("raw", F.explode("xs").alias("x"))
-    strings = settle(strings.select("x.h", "x.key", "x.c", "x.n", "x.hot", F.expr(f"substring(raw, cast(x.start + 1 as int), cast(x.n + {width - 1} as int))").alias("s")), "contexts")
+    strings = strings.select("x.h", "x.key", "x.c", "x.n", "x.hot", F.expr(f"substring(raw, cast(x.start + 1 as int), cast(x.n + {width - 1} as int))").alias("s"))
+    strings = strings if rare else settle(strings, "contexts")
     few = strings.where("not hot").drop("hot").repartition("h").sortWithinPartitions("h")
-    marked = settle(few.mapInArrow(released(_sorter(width)), "key binary, spans array<long>").unionByName(_by_windows(strings.where("hot"), width)), "marked")
+    marked = few.mapInArrow(released(_sorter(width)), "key binary, spans array<long>")
+    marked = settle(marked if rare else marked.unionByName(_by_windows(strings.where("hot"), width)), "marked")
     runs = places.join(marked, "key").groupBy("row").agg(F.flatten(F.collect_list(F.transform("spans", lambda x: x + F.col("start")))).alias("spans"))
     return settle(runs, "runs")
 

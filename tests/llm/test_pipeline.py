@@ -101,3 +101,29 @@ def test_run_gives_the_last_stage(spark, folder):
         tokens[r.doc_id] = r.doc_tokens
         lengths[r.doc_id] = lengths.get(r.doc_id, 0) + r.length
     assert tokens == lengths and corpus_pipeline.ORACLE_SQL is None
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, row long, h long, key string, gone long, c0 int, `none` string, spans array<int>, text_2 string"
+
+
+@pytest.mark.parametrize("case", ["no documents", "no labels", "repeated ids and further columns"])
+def test_stages_of_odd_tables(spark, tmp_path, case):
+    rng = random.Random(3)
+    prose = lambda n: " ".join("".join(rng.choice("aeiourstln") for _ in range(rng.randint(2, 7))) for _ in range(n))
+    texts = [prose(60), prose(50), None, "", "a b", prose(70), "long " + prose(30_000)]
+    rows = [(i % 3 if i < 5 else None, t, None, None if i % 2 else "s", i, 1, 2, "k", 3, 4, "n", [i], "other") for i, t in enumerate([*texts, texts[0], texts[0]])]
+    docs = spark.createDataFrame(rows if case != "no documents" else [], ODD)
+    labels = [(0, 1, 0), (1, 0, 1), (2, 1, 0), (3, None, None)] if case != "no labels" else []
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/{name}")
+        before, docs = docs, spark.read.parquet(f"{tmp_path}/{name}")
+        if name != "packing":
+            assert docs.columns == before.columns and {f.dataType for f in docs.schema} == {f.dataType for f in before.schema}
+    ids = {r.doc_id for r in before.collect()}
+    assert {r.doc_id for r in docs.collect()} == ids
+    assert (case == "no documents") == (not ids)
+    if case == "no labels":  # nothing is rejected without labels, and a null id stands for no document
+        assert None in ids

@@ -153,3 +153,95 @@ def test_top_k_equals_brute_force(spark, kind):
 def test_few_candidates_give_all(spark):
     df = spark.createDataFrame([(0, [1, 2]), (1, [3, 4]), (20, [5, 6])], "vec_id long, vec array<int>")
     assert sorted((r.query_id, r.rank, r.vec_id) for r in impact_topk.top_k(df, df.where("vec_id % 20 = 0"), 20).collect()) == [(0, 1, 20), (0, 2, 1), (20, 1, 1), (20, 2, 0)]
+
+
+@pytest.mark.parametrize("shards", [4, 7])
+def test_splits_equal_brute_force(spark, monkeypatch, shards):
+    """Every cut again by sorting a node's rows along its widest axis."""
+    from pyspark.sql import functions as F
+
+    kept, settle = {}, kd_sharding.settle
+
+    def spy(df, name, *rest):
+        out = settle(df, name, *rest)
+        kept.setdefault(name, out)
+        return out
+
+    monkeypatch.setattr(kd_sharding, "settle", spy)
+    rng = random.Random(9)
+    own = ["x" * rng.randint(0, 90) for _ in range(300)] + ["copy of one text"] * 150 + [None]
+    df = spark.createDataFrame([(i, t, rng.choice(["a", "b", "b", None]), rng.choice(["en", "de"])) for i, t in enumerate(own)], "doc_id long, text string, source string, lang string").repartition(3)
+    found = {r.doc_id: r.shard for r in kd_sharding.shard(df, shards).collect()}
+    points = kept["points"]
+    axes = [c for c in points.columns if c.startswith("raw_")]
+    rows = points.withColumn("tail", F.shiftleft("t", kd_sharding.ROW_BITS) + F.pmod(F.xxhash64("row"), F.lit(1 << kd_sharding.ROW_BITS))).collect()
+    rows = [r.asDict() | {"t": r["t"] or 0} for r in rows]
+    for a in axes:
+        values = [r[a] for r in rows if r[a] is not None]
+        low, high, top = min(values), max(values), (1 << kd_sharding.VALUE_BITS) - 1
+        for r in rows:
+            r[a] = 0 if r[a] is None or high <= low else min(top, max(0, int((r[a] - low) / (high - low) * top)))
+    expected, nodes = {}, [(rows, shards, 0)]
+    while nodes:
+        part, k, first = nodes.pop()
+        if k == 1:
+            expected |= {r["id"]: first for r in part}
+            continue
+        axis = max(axes, key=lambda a: max(r[a] for r in part) - min(r[a] for r in part))  # noqa: B023
+        place = lambda r: (r[axis] << (kd_sharding.TEXT_BITS + kd_sharding.ROW_BITS)) + (r["tail"] or 0)  # noqa: B023, E731
+        part = sorted(part, key=place)
+        goal, upto, cut = sum(r["bytes"] for r in part) * (k // 2) / k, 0, 0
+        for i, r in enumerate(part):
+            if upto > goal:
+                break
+            cut, begin, last = i, upto, r["bytes"]
+            upto += r["bytes"]
+        cut += goal - begin > last / 2
+        nodes += [(part[:cut], k // 2, first), (part[cut:], k - k // 2, first + k // 2)]
+    assert found == expected
+
+
+def test_long_texts_of_identifiers_take_linear_time(spark):
+    """A text of six-digit numbers and one of addresses, both of more than half a megabyte, and masked whole."""
+    import time
+
+    rng = random.Random(6)
+    numbers = " ".join(str(rng.randrange(100_000, 999_999)) for _ in range(100_000))
+    mails = " ".join(f"p{i}@mail{i % 7}.example.org" for i in range(25_000))
+    df = frame(spark, [numbers, mails, "é" * 1500 + " me@ex.org " + "w" * 3000])
+    began = time.time()
+    found = {r.doc_id: r for r in pii_bootstrap.find(df).collect()}
+    assert len(found[1].base) == 25_000 and [tuple(x) for x in found[2].base] == [(1501, 0, 1510)]
+    masked = {r.doc_id: r.text for r in pii_bootstrap.redact(df).collect()}
+    assert masked[1] == " ".join(["<email>"] * 25_000) and masked[2] == "é" * 1500 + " <email> " + "w" * 3000
+    assert time.time() - began < 120
+
+
+def test_overlapping_cuts_are_masked_once(spark):
+    from pyspark.sql import functions as F
+
+    text = "ab é😀 12345678901 tail"
+    spans = [(0, 2, 2), (3, 0, 6), (4, 1, 5), (5, 3, 9), (9, 2, 9)]
+
+    def brute():
+        out, at = "", 0
+        for s, k, e in spans:
+            if s >= at:
+                out += text[at:s] + f"<{pii_bootstrap.KINDS[k]}>"
+            at = max(at, e)
+        return out + text[at:]
+
+    b = lambda n: len(text[:n].encode())
+    df = spark.createDataFrame([(text, [(s, k, e, b(s), b(e)) for s, k, e in spans])], "t string, c array<struct<start: int, kind: int, end: int, bstart: int, bend: int>>")
+    assert df.select(pii_bootstrap.masked(F.col("t"), F.col("c"))).first()[0] == brute()
+    assert df.select(pii_bootstrap.masked(F.col("t"), F.filter("c", lambda x: F.lit(False)))).first()[0] == text
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 1500])
+def test_running_totals_in_blocks(spark, n):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(n)
+    values = [rng.randrange(100) for _ in range(n)]
+    row = spark.createDataFrame([(values,)], "v array<int>").select(pii_bootstrap._before(F.col("v"), lambda a, b: a + b), pii_bootstrap._before(F.col("v"), F.greatest)).first()
+    assert row[0] == [sum(values[:i]) for i in range(n)] and row[1] == [max([0, *values[:i]]) for i in range(n)]
