@@ -68,6 +68,7 @@ def process_bucket(
     now: datetime | None = None,
     manifest: DataFrame | None = None,
     follow_retry_plan: bool = False,
+    files_per_pass: int = 20_000,
 ) -> dict:
     """Run one incremental pass.
 
@@ -81,7 +82,8 @@ def process_bucket(
     the plan gives up is left until its ETag changes; without it every run tries failed files again.
 
     Every pending file is decompressed once: its parsed lines are written to the shared checkpoint folder,
-    and the outputs and the ledger both come from there.
+    and the outputs and the ledger both come from there.  Files are dealt to passes of about ``files_per_pass``, and the
+    ledger is appended after each, so a broken run goes on behind its last pass and no reader gets more names at once.
     """
     psl = psl or default_psl(spark)
     now = now or datetime.now(timezone.utc).replace(tzinfo=None)
@@ -111,9 +113,13 @@ def process_bucket(
         facts = file_facts(pending.filter("present and checked").select(F.col("key").alias("file")))
         checked = verify_integrity(pending.filter("checked and not void").select("key", "size", "etag"), facts)
         bad = keep(checked.filter(~F.col("ok")).select(F.col("key").alias("file"), F.col("integrity_error").alias("file_error")), "bad")
-    done = keep(run_files(spark, pending, input_path, output_path, psl, fmt, now, bad), "events")
-    done.write.mode("append").parquet(ledger_path)
-    return {"total_files": total, "pending_files": n_pending, "status": done}
+    passes, status = -(-n_pending // files_per_pass), None
+    for i in range(passes):
+        part = pending.filter(F.pmod(F.xxhash64("key"), F.lit(passes)) == i)
+        done = keep(run_files(spark, part, input_path, output_path, psl, fmt, now, bad), "events")
+        done.write.mode("append").parquet(ledger_path)
+        status = done if status is None else status.unionByName(done)
+    return {"total_files": total, "pending_files": n_pending, "status": status}
 
 
 def due_files(pending: DataFrame, plan: DataFrame, now: datetime) -> DataFrame:
@@ -131,7 +137,8 @@ def run_files(spark: SparkSession, pending: DataFrame, input_path: str, output_p
     if bad is None:
         bad = spark.createDataFrame([], "file string, file_error string")
     void = pending.filter("void").select(F.col("key").alias("file"), F.lit(UNREADABLE).alias("file_error"))
-    errs = bad.unionByName(void)
+    # what is known of other files does not matter here
+    errs = bad.join(pending.select(F.col("key").alias("file")), "file", "left_semi").unionByName(void)
     files = pending.filter("present").select(F.col("key").alias("file")).join(bad.select("file"), "file", "left_anti")
     # a file source takes its files as a list, which its index holds on the driver in any case
     paths = [r.file for r in files.collect()]

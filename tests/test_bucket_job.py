@@ -204,3 +204,35 @@ def test_gzip_ends_and_whole_reads(spark, tmp_path):
     import hashlib
 
     assert (facts["whole.gz"].actual_size, facts["whole.gz"].actual_md5) == (len(whole), hashlib.md5(whole).hexdigest())
+
+
+def test_passes_of_a_few_files_and_a_run_that_breaks(spark, psl, tmp_path, monkeypatch):
+    """The ledger has every finished pass, and the next run goes on behind it."""
+    import pytest
+
+    from ctspark.plans import bucket_job
+
+    src, led, out = tmp_path / "p", str(tmp_path / "ledger"), str(tmp_path / "out")
+    src.mkdir()
+    good = lambda s: f"{s} {base64.b64encode(cert([('O', 'Org'), ('CN', f'h{s}.example.com')])).decode()}\n"
+    for i in range(7):
+        (src / f"f{i}.gz").write_bytes(gzip.compress(good(i).encode()) if i else b"")
+    real, calls = bucket_job.run_files, []
+
+    def breaking(*args, **kw):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return real(*args, **kw)
+
+    monkeypatch.setattr(bucket_job, "run_files", breaking)
+    with pytest.raises(RuntimeError, match="lost"):
+        process_bucket(spark, str(src), out, led, psl=psl, files_per_pass=2)
+    first = {r.key: r.status for r in read_ledger(spark, led).collect()}
+    assert 0 < len(first) < 7
+    monkeypatch.setattr(bucket_job, "run_files", real)
+    r = process_bucket(spark, str(src), out, led, psl=psl, files_per_pass=2)
+    assert r["pending_files"] == 7 - sum(s == "processed" for s in first.values())
+    current = {x.key.rsplit("/", 1)[-1]: x.status for x in L.ledger_apply(read_ledger(spark, led)).collect()}
+    assert current == {f"f{i}.gz": "processed" if i else "failed" for i in range(7)}
+    assert sorted(x.sequence_number for x in spark.read.json(out).collect()) == list(range(1, 7))
