@@ -7,6 +7,7 @@ piece, which the format demands, comes last: ids are ranks.  Pre-tokens are enco
 a pre-token that is itself an entry takes its rank directly, as rank-file encoders do.  Decoding
 maps ids back to bytes.
 
+Texts are encoded whole, whatever their length: pre-tokens go to the model in pieces of a few megabytes.
 Nulls count as empty texts (no ids, no bytes).  Rows are independent: ties, repeated rows and
 further columns do not matter, an empty table gives an empty result.
 """

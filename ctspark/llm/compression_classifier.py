@@ -12,7 +12,7 @@ the dictionaries, the other the calibration, where a drawn row counts for as man
 for: the share of good labels that the score learns is the table's at every size.  Scoring reads whole texts.  Nulls count as empty
 texts; an empty text gets the calibrated score of zero sizes.  Without labels of both classes every
 score is 1 (nothing is rejected).  Rows are independent of each other, so repeated rows get equal
-scores; further columns do not matter; an empty table gives an empty result.
+scores, and ties are equal scores; a score on the threshold is kept; further columns do not matter; an empty table gives an empty result.
 """
 
 from __future__ import annotations

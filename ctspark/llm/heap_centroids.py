@@ -158,14 +158,13 @@ def _round(shared, dims: int):
                 x = _matrix(row["data"], row["width"], dims)
                 heaps, popped, old, own = _pass(row, x, centres)
                 went = old != own
-                weight = np.zeros((k, int(went.sum())))
-                weight[own[went], np.arange(weight.shape[1])] = 1
-                back = np.flatnonzero(old[went] >= 0)
-                weight[old[went][back], back] -= 1
-                sums = (weight @ x[popped[went]].astype(np.float64)).astype(np.int64)
-                count = weight.sum(axis=1).astype(np.int64)
-                touched = np.flatnonzero(weight.any(axis=1))
-                row["moved"] = [{"cluster": int(c), "n": int(count[c]), "sums": sums[c].tolist()} for c in touched]
+                # sums of whole numbers: what joins a cluster, less what leaves it
+                gone = went & (old >= 0)
+                sums = np.zeros((k, dims), np.int64)
+                np.add.at(sums, own[went], x[popped[went]])
+                np.subtract.at(sums, old[gone], x[popped[gone]])
+                joined, left = np.bincount(own[went], minlength=k), np.bincount(old[gone], minlength=k)
+                row["moved"] = [{"cluster": int(c), "n": int(joined[c] - left[c]), "sums": sums[c].tolist()} for c in np.flatnonzero(joined + left)]
                 row["scanned"] = len(popped)
                 row["heap_keys"] = np.array([e[0] for h in heaps for e in h]).tobytes()
                 row["heap_rows"] = np.array([e[1] for h in heaps for e in h], np.int32).tobytes()
