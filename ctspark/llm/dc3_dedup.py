@@ -34,6 +34,8 @@ from .common import Temporary, bitmap, filter_bits, pieces, release, released, s
 
 WIDTH = 200
 GRAM = 50
+#: Bytes of text that a worker takes together.
+PIECE = 8 << 20
 #: Bytes that one suffix sort takes together, unless a single anchor's contexts are more.
 SORT_BYTES = 1 << 20
 #: Different contexts of one anchor that one task sorts together, about a megabyte; the windows of more meet by their hashes.
@@ -214,7 +216,7 @@ def _texts(docs: DataFrame, text_col: str, width: int, gram: int, all_texts: boo
     """
 
     def anchors(batches):
-        for b in pieces(batches):
+        for b in pieces(batches, PIECE):
             found = [contexts(r, width, gram)[2] for r in utf8(b.column(0))]
             h, c = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(np.minimum(c, 2), pa.int64())], ["h", "c"])
@@ -228,7 +230,7 @@ def _texts(docs: DataFrame, text_col: str, width: int, gram: int, all_texts: boo
     def split(batches):
         from xxhash import xxh3_128_digest
 
-        for b in pieces(batches):
+        for b in pieces(batches, PIECE):
             out = []
             for raw in utf8(b.column(0)):
                 starts, counts, hashes = contexts(raw, width, gram)
@@ -255,8 +257,10 @@ def _runs(rows: DataFrame, width: int) -> DataFrame:
     else:
         distinct = distinct.join(hot, F.col("h") == F.col("hot"), "left")
     wanted = distinct.groupBy("row").agg(F.collect_list(F.struct("key", "c", "start", "n", "h", F.col("hot").isNotNull().alias("hot"))).alias("xs"))
-    strings = rows.where("occ is not null").select("row", "raw").join(wanted, "row").select("raw", F.explode("xs").alias("x"))
-    strings = strings.select("x.h", "x.key", "x.c", "x.n", "x.hot", F.expr(f"substring(raw, cast(x.start + 1 as int), cast(x.n + {width - 1} as int))").alias("s"))
+    strings = rows.where("occ is not null").select("row", "raw").join(wanted, "row")
+    # cut before they are told apart, so that no text is copied to each of its contexts
+    cut = f"transform(xs, x -> struct(x.h, x.key, x.c, x.n, x.hot, substring(raw, cast(x.start + 1 as int), cast(x.n + {width - 1} as int)) AS s))"
+    strings = strings.select(F.explode(F.expr(cut)).alias("x")).select("x.*")
     strings = strings if rare else settle(strings, "contexts")
     few = strings.where("not hot").drop("hot").repartition("h").sortWithinPartitions("h")
     marked = few.mapInArrow(released(_sorter(width)), "key binary, spans array<long>")
@@ -392,7 +396,7 @@ def _sorter(width: int):
 
 
 def _cutter(batches):
-    for b in pieces(batches):
+    for b in pieces(batches, PIECE):
         out = []
         for raw, spans in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
             if not spans:

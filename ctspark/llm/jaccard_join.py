@@ -26,7 +26,7 @@ bits in which every shingle of a set turns one bit gives another bound, as diffe
 Pairs already in one component are not compared again.  A region's rows carry its size, and members of
 large regions are dealt by salt.
 
-Equal sets are collapsed first.  A null text or one without words has the empty set and is linked
+Texts of any length are read whole.  Ties in the order of shingles go by their hash.  Equal sets are collapsed first.  A null text or one without words has the empty set and is linked
 with nothing.  Repeated rows are copies of each other.  Null ids are allowed; a component's id is its
 smallest non-null one.  Further columns do not matter.  An empty table gives an empty result.
 """
@@ -40,8 +40,9 @@ from pyspark.sql import functions as F
 
 from .common import Temporary, bitmap, connected_components, filter_bits, pieces, released, settle, utf8
 
-#: Words that a worker remembers the hash of.
-CACHE_ENTRIES = 400_000
+#: Words that a worker remembers the hash of, and bytes of text that it takes together.
+CACHE_ENTRIES = 200_000
+PIECE = 8 << 20
 #: Members of a region that one task takes together, and partners a member may have without another pivot.
 CELL = 1000
 #: Words of 64 bits of a set's parity bitmap.
@@ -106,7 +107,7 @@ def link_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 1
         from xxhash import xxh3_128_digest
 
         shingles = Shingler(width)
-        for b in pieces(batches):
+        for b in pieces(batches, PIECE):
             sets = [shingles(r) for r in utf8(b.column(2))]
             # the order is that of the whole hashes; 48 bits of them are enough to filter by
             low = [(s[: _prefix(len(s), num, den)[1]] >> 16) & _LOW if len(s) else s for s in sets]
@@ -164,7 +165,7 @@ def _member_sets(src: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         from xxhash import xxh3_128_digest
 
         shingles, known = Shingler(width), shared.value
-        for b in pieces(batches):
+        for b in pieces(batches, PIECE):
             keys, sets, seen = [], [], set()
             for r in utf8(b.column(0)):
                 s = shingles(r)
@@ -208,11 +209,12 @@ def _regions(members: DataFrame, num: int, den: int) -> DataFrame:
     mine = entries.join(shared, "h").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("xs"))
     mine = mine.join(members.select("row", F.size("hs").cast("long").alias("n")), "row")
     mine = mine.select("row", "n", (F.col("n") - F.size("xs")).alias("own"), F.expr(f"n - ({num} * n + {den - 1}) div {den} + 1").alias("p"), "xs").where("own < p")
-    mine = mine.select("row", "n", "own", F.expr("slice(xs, 1, cast(greatest(p - own, 0) as int))").alias("xs"))
-    prior = F.slice(F.transform("xs", lambda x: x["h"]), F.lit(1), F.least(F.col("k"), F.lit(PRIOR)))
-    flat = mine.select("row", "n", "own", "xs", F.posexplode("xs").alias("k", "x"))
-    size = F.col("x.df")
-    return flat.select("row", "n", "own", F.col("x.h").alias("h"), size.alias("size"), F.pmod(F.xxhash64("row"), _salts(size)).alias("salt"), (F.col("own") + F.col("k")).alias("pos"), prior.alias("prior"))
+    mine = mine.select("row", "n", "own", F.expr("slice(xs, 1, cast(greatest(p - own, 0) as int))").alias("xs"), F.expr(f"transform(slice(xs, 1, {PRIOR}), x -> x.h)").alias("first"))
+    # all that a region's row needs is in its element, so that no list is copied to each of its rows
+    one = lambda x, k: F.struct(x["h"].alias("h"), x["df"].alias("size"), k.alias("k"), F.slice("first", F.lit(1), F.least(k, F.lit(PRIOR))).alias("prior"))
+    flat = mine.select("row", "n", "own", F.explode(F.transform("xs", one)).alias("x"))
+    size = F.col("x.size")
+    return flat.select("row", "n", "own", "x.h", size.alias("size"), F.pmod(F.xxhash64("row"), _salts(size)).alias("salt"), (F.col("own") + F.col("x.k")).alias("pos"), "x.prior")
 
 
 def _distances(pairs: DataFrame, members: DataFrame) -> DataFrame:

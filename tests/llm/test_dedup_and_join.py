@@ -235,3 +235,18 @@ def test_cut_texts_keep_their_columns(spark):
             assert r["text"] == t and r["n_chars"] == i * 10
         else:
             assert r["n_chars"] == len(r["text"]) and len(r["text"].encode()) <= expected[i][0] - expected[i][1]
+
+
+def test_texts_of_a_megabyte(spark):
+    rng = random.Random(21)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghé") for _ in range(rng.randint(2, 7))) for _ in range(n))
+    half, own = prose(130_000), prose(230_000)
+    texts = [half + " " + half, own, own + " tail", "z" * 1_200_000]
+    assert min(len(t.encode()) for t in texts) > 1_000_000
+    df = spark.createDataFrame([(i, t, "s", 0, 0) for i, t in enumerate(texts)], SCHEMA)
+    found = {r["doc_id"]: r for r in dc3_dedup.remove_repeats(df).collect()}
+    sizes = [len(t.encode()) for t in texts]
+    assert found[0]["n_removed"] in (sizes[0], sizes[0] - 1) and [found[i]["n_removed"] for i in (1, 3)] == [sizes[1], sizes[3]]
+    assert sizes[2] - 5 <= found[2]["n_removed"] + 5 <= sizes[2] + 5 and found[2]["kept_text"] in (" tail", "tail")
+    links = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.link_components(df).collect()}
+    assert [links[i][1] for i in range(4)] == [0, 1, 1, 3] and links[3][0] == 1 and links[1][0] > 200_000
