@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -116,7 +117,6 @@ def tokens_of(text):
     from tokenizers import Tokenizer
 
     tool = Tokenizer.from_file(WORDS)
-    tool.encode_special_tokens = True
     return tool.encode(text or "", add_special_tokens=False).ids + [1]
 
 
@@ -257,3 +257,174 @@ def test_empty_tables(spark):
     assert ss_packing.pack(none, WORDS).count() == 0
     assert compression_classifier.score(none, None).count() == nb_toxicity.score(none, None).count() == 0
     assert hashlib.sha256(b"").hexdigest() in {r.h for r in byte_bpe.encode(frame(spark, [None]), VOCAB, public_tokenizers.PATTERN).selectExpr("sha2(ids, 256) h").collect()}
+
+
+def test_ngram_ratios_equal_brute_force(spark, sentences, monkeypatch):
+    """Counts by strings instead of slots, the ratio and its standard error by hand."""
+    rng, prose = sentences
+    texts = [prose(30) + (" Grumblefax" * (i % 5) if i % 2 else "") for i in range(160)] + ["", "a"]
+    marks = [i % 2 for i in range(162)]
+    monkeypatch.setattr(nb_toxicity, "fit", lambda rows, counts, sizes, toxic, ratio, *_, **__: ratio)
+    found = nb_toxicity.train(*labelled(spark, texts, marks, "toxic"))
+    usable = [i for i in range(162) if zlib.crc32(str(i).encode()) % 3 != 1]
+    seen, times, chars, n = {}, {}, [0, 0], [0, 0]
+    for i in usable:
+        n[marks[i]] += 1
+        chars[marks[i]] += len(texts[i])
+        t = f" {texts[i].lower()} "
+        own = [t[a : a + k] for k in nb_toxicity.LENGTHS for a in range(len(t) - k + 1)]
+        for g in set(own):
+            seen.setdefault(g, [0, 0])[marks[i]] += 1
+        for g in own:
+            times.setdefault(g, [0, 0])[marks[i]] += 1
+    slots = {g: slot_of(g) for g in seen}
+    shared = Counter(slots.values())
+    checked = 0
+    for g in sorted(seen, key=lambda g: -abs(seen[g][1] - seen[g][0]))[:1500]:
+        if shared[slots[g]] > 1:
+            continue  # a slot that other n-grams fall into too
+        x, t = seen[g], times[g]
+        share = np.log((x[1] + 1) / (n[1] + 2)) - np.log((x[0] + 1) / (n[0] + 2))
+        z = abs(share) / np.sqrt(1 / (x[1] + 1) + 1 / (x[0] + 1))
+        ratio = np.log((t[1] + 1) / (chars[1] + 2)) - np.log((t[0] + 1) / (chars[0] + 2))
+        assert abs(found[slots[g]] - (ratio if z >= 3.0 and sum(x) >= 3 else 0.0)) < 1e-9, (g, z)
+        checked += found[slots[g]] != 0
+    assert checked > 5
+
+
+def slot_of(g):
+    """The slot of an n-gram, step by step in whole numbers."""
+    chars = [ord(c) for c in g]
+    rolled = chars[:]
+    for n in range(2, len(g) + 1):
+        rolled = [((rolled[i] * 0x01000193) & 0xFFFFFFFF) ^ ((chars[i + n - 1] * 0x85EBCA6B) & 0xFFFFFFFF) for i in range(len(g) - n + 1)]
+    h = rolled[0]
+    return (((h ^ (h >> 15)) * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - nb_toxicity.SLOT_BITS)
+
+
+def test_toxicity_ignores_chance_and_repeats(spark, sentences):
+    """Held-out recall at 0.7 where a third of the toxic texts have a marker once; repeated rows score alike; a text of 2 MB."""
+    rng, prose = sentences
+    texts, marks = [], []
+    for i in range(900):
+        bad = i % 5 == 0
+        words = prose(rng.randint(30, 400)).split()
+        for _ in range(rng.choice([1, 2, 4]) if bad else 0):
+            words.insert(rng.randrange(len(words)), "quimble" + rng.choice(["", "d", "fax", "zor"]))
+        texts.append(" ".join(words))
+        marks.append(int(bad))
+    texts += [texts[0], texts[0], prose(300_000)]
+    docs, labels = labelled(spark, texts, [*marks, 1, 1, 0], "toxic")
+    scores = {r.doc_id: r.score for r in nb_toxicity.score(docs, nb_toxicity.train(docs, labels)).collect()}
+    held = [i for i in range(900) if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert np.mean([scores[i] >= 0.7 for i in held if marks[i]]) >= 0.85
+    assert np.mean([scores[i] >= 0.7 for i in held if not marks[i]]) <= 0.01
+    assert scores[900] == scores[901] == scores[0] and scores[902] < 0.7
+
+
+def test_added_token_strings_get_their_ids(spark):
+    """Ids equal the plain tool's on texts that hold the strings of added tokens."""
+    texts = ["hello <|endoftext|> there", "<|startoftext|>", "a<|endoftext|>b <|ENDOFTEXT|> <|endoftext|><|startoftext|>", "x | y <| z", "<|endoftext|", None]
+    rows = ss_packing.pack(frame(spark, texts), WORDS).collect()
+    for d, t in enumerate(texts):
+        mine = sorted((r for r in rows if r.doc_id == d), key=lambda r: r.start)
+        ids = tokens_of(t)
+        assert [r.ids_crc32 for r in mine] == [zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes()) for r in mine] and sum(r.length for r in mine) == len(ids)
+    assert 49407 in tokens_of(texts[0])
+
+
+def test_band_verdicts_equal_brute_force(spark):
+    """The verdict from plain compressed sizes and a straight line between two given lengths; repeated rows, ties, a text of 1 MB."""
+    import math
+
+    import zstandard
+
+    rng = random.Random(17)
+    syllables = ["".join(rng.choice("aeioustrnl") for _ in range(rng.randint(1, 3))) for _ in range(400)]
+    prose = lambda n: " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 3))) for _ in range(n))
+    texts = [None, "", "word " * 30, prose(250_000), base64.b64encode(rng.randbytes(60_000)).decode()]
+    for _ in range(150):
+        parts = [prose(rng.randint(5, 900)) if rng.random() < 0.7 else (prose(4) + " ") * rng.randint(1, 300) if rng.random() < 0.5 else base64.b64encode(rng.randbytes(rng.randint(10, 4000))).decode() for _ in range(rng.randint(1, 4))]
+        texts.append(" ".join(parts))
+    texts += texts[5:8]
+
+    def limits(size, bands):
+        if size <= bands[0][0]:
+            return bands[0][1:]
+        for (n0, a0, b0), (n1, a1, b1) in zip(bands, bands[1:], strict=False):
+            if size <= n1:
+                x = math.log(size / n0) / math.log(n1 / n0)
+                return a0 + x * (a1 - a0), b0 + x * (b1 - b0)
+        return bands[-1][1:]
+
+    def brute(text):
+        raw = (text or "").encode()
+        size = lambda x: len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(x))
+        ratio = len(raw) / size(raw) if raw else 0.0
+        chunks = [raw[i : i + 4096] for i in range(0, len(raw), 4096)] if len(raw) >= 4096 else []
+        rs = [len(c) / size(c) for c in chunks]
+        out = []
+        for c, r in zip(chunks, rs, strict=True):
+            lo, hi = limits(len(c), compression_bands.CHUNK_BANDS)
+            out.append(r < lo - 1e-12 or r > hi + 1e-12)
+        full = [r for c, r in zip(chunks, rs, strict=True) if len(c) == 4096]
+        lo, hi = limits(len(raw), compression_bands.WHOLE_BANDS)
+        ok = lo - 1e-12 <= ratio <= hi + 1e-12 and sum(out) * 20 <= len(out) and not any(out[i] and out[i + 1] for i in range(len(out) - 1)) and (not full or max(full) - min(full) <= 0.25)
+        words = re.findall(rb"[^\x20\x09-\x0d]+", raw)
+        windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+        again = {i + k for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for k in range(8)}
+        return ok and len(words) >= 20 and 100 * len(again) <= 30 * len(words)
+
+    got = {r.doc_id: r.kept for r in compression_bands.measure(frame(spark, texts)).collect()}
+    expected = {i: brute(t) for i, t in enumerate(texts)}
+    assert got == expected and 8 < sum(expected.values()) < 140
+    assert [got[i] for i in range(5, 8)] == [got[i] for i in range(len(texts) - 3, len(texts))]
+
+
+def test_compressed_sizes_equal_brute_force(sentences):
+    """op5: both dictionaries' sizes of the chunks and the plain size, by separate compressors."""
+    import zstandard
+
+    rng, prose = sentences
+    good, bad = (compression_classifier.build_dictionary([f(prose(80)).encode() for _ in range(300)], 4096, 3) for f in (str, lambda t: t.replace(" ", " *** ")))
+    meter = compression_classifier.Meter(good, bad, 512, 3)
+    for raw in (b"x", prose(40).encode(), prose(900).replace(" ", " *** ").encode(), bytes(rng.randbytes(3000))):
+        sizes = []
+        for d in (good, bad):
+            kind = zstandard.DICT_TYPE_FULLDICT if d.startswith(b"\x37\xa4\x30\xec") else zstandard.DICT_TYPE_RAWCONTENT
+            total = 0
+            for i in range(0, len(raw), 512):
+                packer = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d, dict_type=kind), write_content_size=False, write_dict_id=False)
+                total += len(packer.compress(raw[i : i + 512]))
+            sizes.append(total)
+        plain = len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(raw))
+        n = len(raw)
+        difference, with_good, without, size = meter.measure(raw)
+        assert abs(difference - (sizes[1] - sizes[0]) / n) <= 0.02 and abs(with_good - sizes[0] / n) <= 0.02
+        assert without == plain / n and abs(size - np.log1p(n)) < 1e-12
+
+
+def test_tokenizers_that_span_blanks_must_be_named(spark):
+    """Without ``spanning`` a tokenizer whose tokens hold blanks is an error; with it ids are the plain tool's."""
+    from tokenizers import Tokenizer
+
+    data = open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read()
+    with pytest.raises(ValueError, match="spanning"):
+        ss_packing.WordTokenizer(data)
+    texts = [t or "" for t in TRICKY]
+    tool = Tokenizer.from_str(data.decode())
+    ids = ss_packing.WordTokenizer(data, spanning=True).encode_all(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in ids] == [tool.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_very_long_texts_of_the_text_operators(spark):
+    """2 MB of one word, of one line end, and of words: whole results, the encoded ones decoded again."""
+    rng = random.Random(12)
+    texts = ["x" * 2_000_000, "\n" * 2_000_000, " ".join("".join(rng.choice("aeiourst") for _ in range(rng.randint(1, 9))) for _ in range(400_000))]
+    df = frame(spark, texts)
+    ids = byte_bpe.decode(byte_bpe.encode(df, VOCAB, public_tokenizers.PATTERN), VOCAB)
+    assert {r.doc_id: r.h for r in ids.selectExpr("doc_id", "sha2(decoded, 256) h").collect()} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in enumerate(texts)}
+    bands = {r.doc_id: r for r in compression_bands.measure(df).collect()}
+    assert [bands[i].n_words for i in range(3)] == [1, 0, 400_000] and not bands[0].kept and not bands[1].kept
+    packed = ss_packing.pack(df, WORDS).groupBy("doc_id").sum("length").collect()
+    assert {r.doc_id for r in packed} == {0, 1, 2} and {r.doc_id: r["sum(length)"] for r in packed}[1] == 1
