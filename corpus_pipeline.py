@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ctspark.llm import compression_classifier, dc3_dedup, jaccard_join, pii_bootstrap, ss_packing
-from ctspark.llm.common import prepare, settle, table
+from ctspark.llm.common import Temporary, prepare, release, settle, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document in a training sequence."""
     prepare(spark)
-    return ss_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return ss_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), remember=False)
 
 
 STAGES = [
@@ -57,8 +57,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each one's result written and read again."""
+    """All stages over ``documents``, each one's result written and read again.
+
+    What a stage has written besides its result, and the result of the stage before, go once it is there.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir), f"stage-{name}")
+        before = docs
+        with Temporary() as tables:
+            docs = tables.keep(settle(stage(spark, before, sf_dir), f"stage-{name}"))
+        release(before)
     return docs
