@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import keep
+
 DEFAULT_BATCH = 100_000
 
 
@@ -108,7 +110,7 @@ def contiguous_prefix(df: DataFrame, idx: str = "log_index", start: int = 0, bat
     Presence is one bitmap per run of ``batch_size`` indexes.  (number, count, first, last) of the runs alone are ordered,
     in chunks; the first run that is incomplete, or absent, is joined back to its bitmap, whose first bit not set is the answer.
     """
-    per = _presence(df, idx, start, batch_size)
+    per = keep(_presence(df, idx, start, batch_size), "presence")  # small, and read more than once
     runs = _with_before(_runs(per, batch_size))
     # runs absent between prev and b make prev + 1 the first bad one, without a bitmap
     bad = F.when(F.col("b") != F.col("prev") + 1, F.col("prev") + 1).when(F.col("n") < batch_size, F.col("b"))
@@ -140,7 +142,7 @@ def gap_report(df: DataFrame, idx: str = "log_index", start: int = 0, tree_size:
         # the tree head counts as present, so that what is missing below it ends there
         d = d.filter(F.col("i") < tree_size).unionByName(df.sparkSession.range(tree_size, tree_size + 1).select(F.col("id").alias("i")))
     extra = 0 if tree_size is None else 1
-    per = _presence(d, "i", start, batch_size)
+    per = keep(_presence(d, "i", start, batch_size), "presence")  # small, and read more than once
     runs = _with_before(_runs(per, batch_size))
     total = runs.agg((F.sum("n") - extra).alias("total"))
     origin = F.lit(start).cast("long")
