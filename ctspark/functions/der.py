@@ -57,6 +57,29 @@ def tlv(tag_hex: str, content_hex: Column) -> Column:
     return _let(F.coalesce(content_hex, F.lit("")), lambda x: F.concat(F.lit(tag_hex), der_length(nbytes(x)), x))
 
 
+def fixed_tlv(tag_hex: str, *content_hex: str) -> str:
+    """``tlv`` of content that is the same in every row, built once with the plan."""
+    content = "".join(content_hex)
+    n = len(content) // 2
+    length = f"{n:02X}" if n < 128 else f"{0x80 + (n.bit_length() + 7) // 8:02X}{n.to_bytes((n.bit_length() + 7) // 8, 'big').hex().upper()}"
+    return tag_hex + length + content
+
+
+def fixed_rdn(oid_hex: str, value: str) -> str:
+    return fixed_tlv("31", fixed_tlv("30", oid_hex, fixed_tlv("0C", value.encode().hex().upper())))
+
+
+# What every certificate of the fixtures has in common.
+ISSUER = fixed_tlv("30", fixed_rdn(OID_O, "Fixture CA"), fixed_rdn(OID_CN, "Fixture Root"))
+VALIDITY = fixed_tlv("30", *(fixed_tlv("17", t.hex().upper()) for t in (b"240101000000Z", b"340101000000Z")))
+ISSUER_CERTIFICATE = fixed_tlv("30", fixed_tlv("30", VERSION_V3, fixed_tlv("02", f"01{1:016X}"), ALG_SHA256_RSA, ISSUER, VALIDITY, ISSUER, ED25519_SPKI), ALG_SHA256_RSA, EMPTY_SIGNATURE)
+
+
+def fixed_u24(content_hex: str) -> str:
+    """``u24`` of content that is the same in every row."""
+    return f"{len(content_hex) // 2:06X}{content_hex}"
+
+
 def utf8_hex(s: Column) -> Column:
     return F.hex(F.encode(s, "UTF-8"))
 
@@ -80,8 +103,6 @@ def san_extensions(sans: Column) -> Column:
 
 def certificate_hex(o: Column, ou: Column, cn: Column, sans: Column, serial: Column) -> Column:
     """A minimal unsigned X.509 v3 certificate (hex)."""
-    issuer = name_hex(F.lit("Fixture CA"), F.lit(None).cast("string"), F.lit("Fixture Root"))
-    validity = tlv("30", F.concat(tlv("17", utf8_hex(F.lit("240101000000Z"))), tlv("17", utf8_hex(F.lit("340101000000Z")))))
     # 9-byte serial: a fixed 0x01 lead byte keeps it positive and minimally encoded.
     serial_hex = tlv("02", F.concat(F.lit("01"), F.lpad(F.hex(serial.cast("long")), 16, "0")))
     tbs = tlv(
@@ -90,8 +111,8 @@ def certificate_hex(o: Column, ou: Column, cn: Column, sans: Column, serial: Col
             F.lit(VERSION_V3),
             serial_hex,
             F.lit(ALG_SHA256_RSA),
-            issuer,
-            validity,
+            F.lit(ISSUER),
+            F.lit(VALIDITY),
             name_hex(o, ou, cn),
             F.lit(ED25519_SPKI),
             san_extensions(sans),

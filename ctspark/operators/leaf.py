@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.der import be_uint
 from ..functions.encoding import decode_base64_strict
+from ..functions.steps import computed
 
 # Leaf decode failure reasons.
 ERR_UNSUPPORTED = "unsupported log entry type"
@@ -72,14 +73,10 @@ def decode_leaf(df: DataFrame, leaf_col: str = "leaf_input", extra_col: str = "e
         .when((entry_type == 1) & extra.isNull(), F.lit(ERR_BAD_EXTRA_B64))
         .when((entry_type == 1) & ~pre_ok, F.lit(ERR_TRUNCATED))
     )
-    df = df.select(*others, "__leaf", "__n", "__type", der.alias("__der"), error.alias("error"))
-    return df.select(
-        *others,
-        F.when(F.col("__n") >= 12, be_uint(F.col("__leaf"), 3, 8)).alias("timestamp_ms"),
-        F.when(F.col("__n") >= 12, F.col("__type")).alias("entry_type"),
-        F.when(F.col("error").isNull(), F.col("__der")).alias("der"),
-        "error",
-    )
+    # a filter on the error does not bring the decoding with it
+    told = F.col("__n") >= 12
+    df = computed(df, others, timestamp_ms=F.when(told, be_uint(leaf, 3, 8)), entry_type=F.when(told, entry_type), __der=der, error=error)
+    return df.select(*others, "timestamp_ms", "entry_type", F.when(F.col("error").isNull(), F.col("__der")).alias("der"), "error")
 
 
 def leaf_payload(df: DataFrame, leaf_col: str = "leaf_input") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.encoding import B64_SHAPE, ERR_BAD_BASE64, ERR_DATA_EMPTY, ERR_DECODED_EMPTY, strip_crlf
+from ..functions.steps import computed
 from ..functions.text import go_trim, is_blank
 from .hosts import PublicSuffixTable, normalize_host_ascii, registered_domain
 from .x509 import extract_cert_fields
@@ -127,7 +128,9 @@ def certificates(
 
 def _with_cert_flags(c: DataFrame) -> DataFrame:
     # staged: the names array is built once, the flags read it
-    c = c.select("*", _names_array().alias("names"), F.coalesce(F.col("org_idna"), normalize_host_ascii(F.col("organization"))).alias("__org_host"))
+    others = [x for x in c.columns if x != "organization"]
+    c = computed(c.select(*others, "organization"), others, organization=F.col("organization"), names=_names_array())
+    c = c.select("*", F.coalesce(F.col("org_idna"), normalize_host_ascii(F.col("organization"))).alias("__org_host"))
     org = F.col("organization")
     names = F.col("names")
     n_emit = F.size(F.filter(names, lambda x: x["name"] != ""))

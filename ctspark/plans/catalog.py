@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import errors as E
 from ..functions.encoding import base64_error, decode_base64_strict
+from ..functions.steps import spread
 from ..operators import errlog, ledger, monitor, objects, ordering, stats
 from ..operators.hosts import clean_log_name, default_psl, file_ext, is_gzip, normalize_host, output_name, registered_domain
 from ..operators.leaf import decode_leaf, leaf_payload
@@ -35,7 +36,7 @@ def _extract(spark, sf_dir):
     from ..shipping import ensure_shipped
 
     ensure_shipped(spark)
-    return extract(fx.ct_lines(spark, sf_dir), default_psl(spark), partitions=spark.sparkContext.defaultParallelism)
+    return extract(spread(fx.ct_lines(spark, sf_dir)), default_psl(spark))
 
 
 # ---- flagship and decode ---------------------------------------------------------------------
@@ -125,7 +126,7 @@ def _certs(spark, sf_dir):
     from ..shipping import ensure_shipped
 
     ensure_shipped(spark)
-    return certificates(fx.ct_lines(spark, sf_dir))
+    return certificates(spread(fx.ct_lines(spark, sf_dir)))
 
 
 @query(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import der
 from ..functions.encoding import base64_line
+from ..functions.steps import computed, spread
 from ..operators.leaf import decode_leaf
 from ..session import ensure_checkpoint_dir, path_exists, read_table
 
@@ -99,14 +100,16 @@ def ct_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ct_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    # a certificate takes far longer to build than its row to read, and the table comes in a few large pieces
+    c = spread(read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"))
     k = F.col("c_custkey")
     cls = k % 12
     o, ou, cn, sans = _cert_fields(k, cls, F.col("c_name"), F.col("c_mktsegment"))
-    cert = der.certificate_hex(o, ou, cn, sans, k)
     # class 6: the leaf carries a TBS with another organisation; the real one is in extra_data
     tbs = der.certificate_hex(F.lit(LEAF_TBS_ORG), F.lit(None).cast("string"), cn, sans, k)
-    issuer = der.certificate_hex(F.lit("Fixture CA"), F.lit(None).cast("string"), F.lit("Fixture Root"), F.array().cast("array<string>"), F.lit(1))
+    c = computed(c, ["c_custkey"], cert=der.certificate_hex(o, ou, cn, sans, k), tbs=F.when(cls == CLASS_PRECERT, tbs))
+    cert, tbs = F.col("cert"), F.col("tbs")
+    chain = F.lit(der.fixed_u24(der.fixed_u24(der.ISSUER_CERTIFICATE)))
     corrupt = F.substring(cert, 1, 40)
     ts = der.hex_uint(F.lit(TS_BASE_MS) + k * 1000, 8)
     key_hash = F.sha2(F.lit("fixture issuer key"), 256)
@@ -116,9 +119,7 @@ def _ct_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(cls == CLASS_CORRUPT, F.concat(F.lit("0000"), ts, F.lit("0000"), der.u24(corrupt), F.lit("0000")))
         .otherwise(F.concat(F.lit("0000"), ts, F.lit("0000"), der.u24(cert), F.lit("0000")))
     )
-    extra_hex = F.when(cls == CLASS_PRECERT, F.concat(der.u24(cert), der.u24(der.u24(issuer)))).otherwise(
-        der.u24(der.u24(issuer))
-    )
+    extra_hex = F.when(cls == CLASS_PRECERT, F.concat(der.u24(cert), chain)).otherwise(chain)
     return c.select(
         k.alias("log_index"),
         base64_line(F.unhex(leaf_hex)).alias("leaf_input"),
