@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.encoding import base64_valid
+from ..functions.steps import computed
 from ..operators.hosts import clean_log_name
 
 PAGE_SCHEMA = "struct<entries:array<struct<leaf_input:string,extra_data:string>>>"
@@ -26,7 +27,7 @@ def explode_entries(pages: DataFrame, json_col: str = "json", start_col: str = "
     has a field that is not valid base64 (the JSON decoder decodes the bytes), yields no entry;
     with ``keep_errors`` it yields one row at the page's start, and a column ``page_error``.
     """
-    p = pages.select(F.col(start_col).alias("start"), F.from_json(F.col(json_col), PAGE_SCHEMA, {"mode": "PERMISSIVE"}).alias("p"))
+    p = computed(pages.withColumnRenamed(start_col, "start"), ["start"], p=F.from_json(F.col(json_col), PAGE_SCHEMA, {"mode": "PERMISSIVE"}))
     ok = F.coalesce(F.forall("p.entries", lambda e: _b64_ok(e["leaf_input"]) & _b64_ok(e["extra_data"])), F.lit(False))
     p = p.select("start", "p", ok.alias("ok"))
     if not keep_errors:
