@@ -157,7 +157,8 @@ def run_files(spark: SparkSession, pending: DataFrame, input_path: str, output_p
         )
         errs = errs.unionByName(damaged).unionByName(file_err.select("file", "file_error").join(damaged.select("file"), "file", "left_anti"))
         mappings, status = extract(ok, psl, keep=("file",))
-        out = mappings.withColumn("output_name", relative_output_name(F.col("file"), input_path, fmt)).drop("file", "position")
+        # certificates are parsed once: the outputs are written from what is kept, and the sources without rows found in it
+        out = keep(mappings.withColumn("output_name", relative_output_name(F.col("file"), input_path, fmt)).drop("file", "position"), "mappings")
         done = pending.filter("present").select(relative_output_name(F.col("key"), input_path, fmt).alias("output_name"))
         write_per_source(out, output_path, fmt, sources=done)
         if status_path:
