@@ -8,6 +8,8 @@ windows, a small per-bucket table for running state).
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,6 +104,14 @@ def histogram_latency(histogram: DataFrame, by: tuple = ("endpoint",)) -> DataFr
     )
 
 
+def _sample_order(samples: DataFrame) -> Column:
+    """What orders samples by time, then value, a missing one first: one number for whole values, else a struct."""
+    if samples.schema["value"].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        return F.struct("ts", "value")
+    value = F.coalesce(F.col("value").cast("decimal(20,0)") + F.lit(Decimal(2**63 + 1)), F.lit(Decimal(0)))
+    return F.unix_micros("ts").cast("decimal(20,0)") * F.lit(Decimal(2**64 + 1)) + value
+
+
 def windowed_rate(samples: DataFrame, window_s: int = 60, slide_s: int = 10, part: tuple = (), watermark: str | None = None, per_minute: bool = False) -> DataFrame:
     """W5 / W6 by sliding windows: (part..., window_end, samples, rate) for samples (ts, value), batch or streaming.
 
@@ -110,12 +120,14 @@ def windowed_rate(samples: DataFrame, window_s: int = 60, slide_s: int = 10, par
     with ``watermark`` ("5 minutes") windows older than that are closed and rows for them are late and dropped.
     """
     d = samples.withColumn("ts", F.col("ts").cast("timestamp"))
+    d = d.withColumn("__at", _sample_order(d))
     d = d.withWatermark("ts", watermark) if watermark else d
     w = F.window("ts", f"{window_s} seconds", f"{slide_s} seconds").alias("w")
-    at = F.struct("ts", "value")
-    g = d.groupBy(w, *part).agg(F.min(at).alias("a"), F.max(at).alias("z"), F.count(F.lit(1)).alias("samples"))
-    elapsed = (F.unix_micros("z.ts") - F.unix_micros("a.ts")) / 1e6
-    rate = F.when((F.col("samples") < 2) | (elapsed < 1), F.lit(0.0)).otherwise((F.col("z.value") - F.col("a.value")) / elapsed)
+    # plain values in the buffers: a row goes to many windows, and those copies are hashed where structs would have them sorted
+    ends = [F.min("ts").alias("t0"), F.max("ts").alias("t1"), F.min_by("value", "__at").alias("v0"), F.max_by("value", "__at").alias("v1")]
+    g = d.groupBy(w, *part).agg(*ends, F.count(F.lit(1)).alias("samples"))
+    elapsed = (F.unix_micros("t1") - F.unix_micros("t0")) / 1e6
+    rate = F.when((F.col("samples") < 2) | (elapsed < 1), F.lit(0.0)).otherwise((F.col("v1") - F.col("v0")) / elapsed)
     return g.select(*part, F.col("w.end").alias("window_end"), "samples", F.round(rate * 60 if per_minute else rate, 6).alias("rate"))
 
 

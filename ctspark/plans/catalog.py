@@ -820,7 +820,8 @@ def q_stream_rate(spark, sf_dir):
 
     base = fx.fixture_path(spark, sf_dir, f"rates_{uuid.uuid4().hex}")
     s = fx.samples(spark, sf_dir).select("endpoint", "ts", "value")
-    s.repartition(4).write.parquet(f"{base}/in")
+    # small row groups, so that a file of any size is read by many tasks
+    s.repartition(4).write.option("parquet.block.size", 4 << 20).parquet(f"{base}/in")
     stream = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", "2").parquet(f"{base}/in")
     start_rate_stream(stream, f"{base}/out", f"{base}/ckpt", window_s=86_400, slide_s=3600, part=("endpoint",), watermark="3650 days", per_minute=True).awaitTermination()
     return current_rates(spark, f"{base}/out", ("endpoint",))
