@@ -945,6 +945,15 @@ def q_sink_batches(spark, sf_dir):
 # ---- CT log source and streaming ingest -------------------------------------------------------
 
 
+#: The most triggers that a log is read in: each costs some seconds, whatever it reads.
+TRIGGERS = 25
+
+
+def _per_trigger(spark, sf_dir, least):
+    """Pages a trigger: ``least``, and more where a log of many pages would take more than ``TRIGGERS``."""
+    return max(least, -(-fx.ct_pages(spark, sf_dir).count() // TRIGGERS))
+
+
 def _log_dir(spark, sf_dir):
     from ..streaming.ct_source import write_log_dir
 
@@ -990,16 +999,22 @@ def q_stream_ingest(spark, sf_dir):
     O.with_(O.DER) + "SELECT k AS log_index, CASE WHEN cls <> 7 THEN sha256(k::VARCHAR || ' ' || base64(from_hex(cert))) END AS line_sha256, CAST(1 AS BIGINT) AS times FROM entries",
 )
 def q_stream_dedupe(spark, sf_dir):
-    """T4 as a stream: a log whose pages are all served again later, read a few pages a trigger and restarted between."""
+    """T4 as a stream: a log whose pages are all served again later, read a part of them a trigger and restarted between.
+
+    Replays reach back over the whole log, and its pages come in no order: the delay covers its entries' time, 30 days at least.
+    """
     import uuid
 
     from ..streaming.ct_source import write_log_dir
     from ..streaming.ingest import start_ingest
 
     base = fx.fixture_path(spark, sf_dir, f"replay_{uuid.uuid4().hex}")
+    span = decode_leaf(fx.ct_entries(spark, sf_dir)).agg(F.max("timestamp_ms") - F.min("timestamp_ms")).first()[0] or 0
+    delay = f"{max(30, span // 86_400_000 + 2)} days"
+    each = _per_trigger(spark, sf_dir, 40)
     for _ in range(2):
         write_log_dir(fx.ct_pages(spark, sf_dir).repartition(4), f"{base}/log", mode="append")
-        start_ingest(spark, f"{base}/log", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=40, dedupe="30 days").awaitTermination()
+        start_ingest(spark, f"{base}/log", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=each, dedupe=delay).awaitTermination()
     out = spark.read.parquet(f"{base}/out")
     return out.groupBy("log_index").agg(F.sha2(F.max("line"), 256).alias("line_sha256"), F.count(F.lit(1)).alias("times"))
 
@@ -1208,13 +1223,13 @@ def q_sink_json(spark, sf_dir):
     O.with_(O.DER) + "SELECT k AS log_index, k - k % 100 AS batch_start, true AS in_order, CAST(1 AS BIGINT) AS files, sha256(k::VARCHAR || ' ' || base64(from_hex(cert))) AS line_sha256 FROM entries WHERE cls <> 7",
 )
 def q_stream_batches(spark, sf_dir):
-    """T1 + K5: the CT log streamed two pages a trigger into gzip batch files, each written when complete, the last one by the final flush; read back with S1/S2."""
+    """T1 + K5: the CT log streamed two pages a trigger, or a 25th of them if that is more, into gzip batch files, each written when complete, the last one by the final flush; read back with S1/S2."""
     import uuid
 
     from ..streaming.ingest import flush_incomplete, start_ingest_to_batches
 
     base = fx.fixture_path(spark, sf_dir, f"stream_batches_{uuid.uuid4().hex}")
-    start_ingest_to_batches(spark, _log_dir(spark, sf_dir), f"{base}/out", f"{base}/ckpt", batch_size=100, max_files_per_trigger=2).awaitTermination()
+    start_ingest_to_batches(spark, _log_dir(spark, sf_dir), f"{base}/out", f"{base}/ckpt", batch_size=100, max_files_per_trigger=_per_trigger(spark, sf_dir, 2)).awaitTermination()
     flush_incomplete(spark, f"{base}/out", batch_size=100)
     lines = read_batch_lines(spark, f"{base}/out", recursive=True)
     back = parse_lines(lines).withColumn("batch_start", F.regexp_extract("file", r"batch_start=(\d+)", 1).cast("long"))
