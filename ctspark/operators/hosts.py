@@ -17,6 +17,8 @@ from ..functions.idna_host import idna_to_ascii_udf
 from ..functions.text import col_
 
 # Where a system copy of the public-suffix list is looked for.
+#: Rules that are sent to every task (some 100 bytes each); a longer list is left to the session's threshold.
+BROADCAST_RULES = 200_000
 PSL_PATHS = ("/usr/share/publicsuffix/public_suffix_list.dat", "/usr/share/publicsuffix/effective_tld_names.dat")
 
 
@@ -81,8 +83,8 @@ class PublicSuffixTable:
         stats = df.agg(F.count(F.lit(1)).alias("n"), F.max("labels").alias("l")).first()
         self.rows = int(stats["n"])
         self.max_labels = int(stats["l"] or 1)
-        # a written table of known size: Spark broadcasts it below its own threshold
-        self.df = df
+        # of known size; under a session's lower threshold most hosts would meet in one task, that of "com" or of no candidate
+        self.df = F.broadcast(df) if self.rows <= BROADCAST_RULES else df
 
 
 _PSL_CACHE: dict = {}

@@ -112,3 +112,18 @@ def test_certificates_of_the_bucket_are_parsed_once(spark, psl, tmp_path, monkey
     bucket_job.process_bucket(spark, str(src), str(tmp_path / "out"), str(tmp_path / "ledger"), psl=psl)
     assert kept.count("mappings") == 1 and "MapInArrow" not in written[0]
     assert [r.sequence_number for r in spark.read.json(str(tmp_path / "out")).collect()] == [1]
+
+
+def test_hosts_do_not_meet_by_their_suffix(spark, psl):
+    """Whatever the session's threshold, hosts are looked up where they are: nearly all share the key "com"."""
+    from ctspark.operators.hosts import registered_domain
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        d = registered_domain(spark.range(3).selectExpr("concat('www.c', id, '.example.com') AS host"), "host", psl)
+        assert "SortMergeJoin" not in d._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.domain for r in d.collect()) == ["example.com"] * 3
+    finally:
+        spark.conf.set(key, before)
