@@ -78,6 +78,21 @@ def keep(df, name: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tasks a core that list folders: listing one takes less than starting a task for it.
+LISTING_TASKS = 4
+
+
+def few_listing_tasks(spark: SparkSession) -> None:
+    """From now on the session lists many folders or files in a few tasks a core, not in one task each.
+
+    A streaming source lists its folder at every trigger, by the session's setting of that moment, so it stays.
+    """
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    most = LISTING_TASKS * spark.sparkContext.defaultParallelism
+    if int(spark.conf.get(key)) > most:
+        spark.conf.set(key, str(most))
+
+
 def make_dirs(spark: SparkSession, path: str) -> None:
     """Create a folder through the Hadoop file system of ``path``."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -16,10 +16,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import make_dirs, path_exists
+from ..functions.steps import spread
+from ..session import few_listing_tasks, make_dirs, path_exists
 from ..sources.pages import explode_entries
 
 PAGES = "value string, start long"
+#: Pages that one task writes: each is a file of its own, which takes longer than its bytes.
+PAGES_PER_TASK = 500
 
 
 def _pages_path(path: str) -> str:
@@ -50,6 +53,7 @@ def read_log(spark: SparkSession, path: str, keep_errors: bool = False, tree_siz
     """
     pages = _pages_path(path)
     if path_exists(spark, pages):
+        few_listing_tasks(spark)
         raw = spark.read.schema(PAGES).option("lineSep", "\n").text(pages)
     else:
         raw = spark.createDataFrame([], PAGES)
@@ -62,6 +66,7 @@ def log_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None
     """The streaming form of ``read_log``; the folder may still be empty."""
     pages = _pages_path(path)
     make_dirs(spark, pages)
+    few_listing_tasks(spark)
     reader = spark.readStream.schema(PAGES).option("lineSep", "\n")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -75,4 +80,4 @@ def write_tree_head(spark: SparkSession, path: str, tree_size: int, timestamp: i
 
 def write_log_dir(pages_df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Lay out a file-backed log from (start, json) pages."""
-    pages_df.selectExpr("json AS value", "start").write.mode(mode).partitionBy("start").text(_pages_path(path))
+    spread(pages_df.selectExpr("json AS value", "start"), PAGES_PER_TASK).write.mode(mode).partitionBy("start").text(_pages_path(path))

@@ -114,6 +114,44 @@ def test_certificates_of_the_bucket_are_parsed_once(spark, psl, tmp_path, monkey
     assert [r.sequence_number for r in spark.read.json(str(tmp_path / "out")).collect()] == [1]
 
 
+def most_tasks(spark, group):
+    """The most tasks that any stage of a job group had."""
+    told = spark.sparkContext.statusTracker()
+    stages = [told.getStageInfo(s) for j in told.getJobIdsForGroup(group) for s in told.getJobInfo(j).stageIds]
+    return max((s.numTasks for s in stages if s), default=0)
+
+
+def test_pages_are_listed_in_few_tasks_and_written_in_many(spark, tmp_path):
+    from ctspark.session import LISTING_TASKS
+    from ctspark.streaming import ct_source
+    from ctspark.streaming.ingest import start_ingest
+
+    cores = spark.sparkContext.defaultParallelism
+    n = (LISTING_TASKS + 1) * cores + 40
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    spark.conf.set(key, "10000")
+    pages = spark.range(0, n, 1, 1).selectExpr("id AS start", """'{"entries":[{"leaf_input":"AA==","extra_data":""}]}' AS json""")
+    try:
+        spark.sparkContext.setJobGroup("pages-written", "")
+        ct_source.write_log_dir(pages, f"{tmp_path}/log")
+        spark.sparkContext.setJobGroup("pages-listed", "")
+        read = ct_source.read_log(spark, f"{tmp_path}/log")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert most_tasks(spark, "pages-written") >= cores
+    assert 0 < most_tasks(spark, "pages-listed") <= LISTING_TASKS * cores
+    assert sorted(r.log_index for r in read.collect()) == list(range(n))
+    spark.conf.set(key, "10000")
+    q = start_ingest(spark, f"{tmp_path}/log", f"{tmp_path}/out", f"{tmp_path}/ckpt")
+    q.awaitTermination()
+    assert most_tasks(spark, str(q.runId)) < n
+    assert spark.read.parquet(f"{tmp_path}/out").count() == n
+    spark.conf.set(key, "7")  # a lower setting stays
+    ct_source.read_log(spark, f"{tmp_path}/log")
+    assert spark.conf.get(key) == "7"
+    spark.conf.set(key, "10000")
+
+
 def test_hosts_do_not_meet_by_their_suffix(spark, psl):
     """Whatever the session's threshold, hosts are looked up where they are: nearly all share the key "com"."""
     from ctspark.operators.hosts import registered_domain
