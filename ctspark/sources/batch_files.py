@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import go_trim, is_blank
-from ..session import keep
+from ..session import few_listing_tasks, keep
 from . import remote
 
 # The line grammar and its failure reasons.
@@ -41,6 +41,7 @@ def read_batch_lines(spark: SparkSession, path, recursive: bool = False, min_par
         first = empty_files(spark, path, recursive).orderBy("file").first()
         if first:
             raise ValueError(f"{first.file}: {first.file_error}")
+    few_listing_tasks(spark)
     reader = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.[gG][zZ]").option("recursiveFileLookup", str(recursive).lower())
     if ignore_corrupt:
         reader = reader.option("ignoreCorruptFiles", "true")

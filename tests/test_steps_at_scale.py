@@ -152,6 +152,24 @@ def test_pages_are_listed_in_few_tasks_and_written_in_many(spark, tmp_path):
     spark.conf.set(key, "10000")
 
 
+def test_batch_files_are_listed_in_few_tasks(spark, tmp_path):
+    from ctspark.session import LISTING_TASKS
+    from ctspark.sinks.writers import write_batches
+    from ctspark.sources.batch_files import read_batch_lines
+
+    cores = spark.sparkContext.defaultParallelism
+    n = (LISTING_TASKS + 1) * cores + 40
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", "10000")
+    write_batches(spark.range(n).selectExpr("id AS log_index", "encode('x', 'UTF-8') AS der"), f"{tmp_path}/batches", batch_size=1)
+    try:
+        spark.sparkContext.setJobGroup("batches-listed", "")
+        lines = read_batch_lines(spark, f"{tmp_path}/batches", recursive=True)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert 0 < most_tasks(spark, "batches-listed") <= LISTING_TASKS * cores
+    assert lines.count() == n
+
+
 def test_hosts_do_not_meet_by_their_suffix(spark, psl):
     """Whatever the session's threshold, hosts are looked up where they are: nearly all share the key "com"."""
     from ctspark.operators.hosts import registered_domain
