@@ -149,10 +149,12 @@ def ct_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFram
 
 def _ct_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
     """D1 as get-entries pages: one JSON document per `page_size` indexes, start = first index."""
-    e = ct_entries(spark, sf_dir)
+    # a page is a long row and a reader takes thousands at once: a file holds those of 50,000 entries
     page = (F.col("log_index") / page_size).cast("long") * page_size
+    e = ct_entries(spark, sf_dir).withColumn("start", page)
     return (
-        e.groupBy(page.alias("start"))
+        e.repartition(max(spark.sparkContext.defaultParallelism, -(-e.count() // 50_000)), "start")
+        .groupBy("start")
         .agg(F.sort_array(F.collect_list(F.struct("log_index", "leaf_input", "extra_data"))).alias("es"))
         .select(
             "start",

@@ -183,3 +183,11 @@ def test_hosts_do_not_meet_by_their_suffix(spark, psl):
         assert sorted(r.domain for r in d.collect()) == ["example.com"] * 3
     finally:
         spark.conf.set(key, before)
+
+
+def test_pages_are_built_in_tasks_by_entries(spark, tmp_path):
+    from ctspark.plans import fixtures as fx
+
+    pages = fx._ct_pages(spark, customers(spark, tmp_path, range(250)))
+    assert "RepartitionByExpression" in plan(pages)
+    assert sorted((r.start, r.json.count("leaf_input")) for r in pages.collect()) == [(0, 100), (100, 100), (200, 50)]
